@@ -84,3 +84,145 @@ dim_customer AS (
 SQL["fact_lookup"] = f"""WITH {DIM_CUSTOMER.strip()}
 SELECT o.o_orderkey, d.customer_key, o.o_orderstatus, o.o_totalprice, o.o_orderdate
 FROM orders o LEFT JOIN dim_customer d ON o.o_custkey = d.c_custkey"""
+
+SQL["cdc_parse_stats"] = f"""WITH {EV}
+SELECT CASE WHEN is_cut THEN NULL ELSE op END AS cdc_operation, count(*) AS n_messages,
+       count(*) FILTER (WHERE NOT is_cut) AS n_parsed,
+       count(*) FILTER (WHERE NOT is_cut AND op <> 'd') AS n_with_after_key
+FROM msgs GROUP BY 1"""
+
+SQL["cdc_sample"] = f"""WITH {EV}
+SELECT source_lsn, entity_id, cdc_operation, status, substr(note, 1, 6) AS note
+FROM bronze ORDER BY source_lsn LIMIT 5"""
+
+SQL["cdc_decode_decimal"] = f"WITH {EV} SELECT source_lsn, amount, amount_dec FROM ledger"
+
+SQL["cdc_current_state_deletes"] = f"""WITH {EV}
+SELECT entity_id, status, amount, amount_dec, note, cdc_operation, source_ts_ms, source_lsn FROM (
+  SELECT * FROM changes
+  QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY source_ts_ms DESC, source_lsn DESC) = 1)
+WHERE cdc_operation <> 'd'"""
+
+SQL["cdc_change_diff"] = f"""WITH {EV},
+img AS (
+  SELECT *,
+    CASE WHEN cdc_operation = 'c' THEN NULL ELSE b_status END AS bs,
+    CASE WHEN cdc_operation = 'c' THEN NULL ELSE b_amount END AS ba,
+    CASE WHEN cdc_operation = 'c' THEN NULL ELSE
+      CAST(CAST(CAST(round(b_amount * 100) AS BIGINT) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) END AS bd,
+    CASE WHEN cdc_operation = 'c' THEN NULL ELSE n0 END AS bn
+  FROM (SELECT c.*, e.props AS n0 FROM changes c JOIN events e ON e.event_id = c.source_lsn))
+SELECT source_lsn, entity_id, cdc_operation,
+  concat_ws(',', CASE WHEN ba IS DISTINCT FROM amount THEN 'amount' END,
+                 CASE WHEN bd IS DISTINCT FROM amount_dec THEN 'amount_dec' END,
+                 CASE WHEN bn IS DISTINCT FROM note THEN 'note' END,
+                 CASE WHEN bs IS DISTINCT FROM status THEN 'status' END) AS changed_columns
+FROM img"""
+
+LEDGER_CHECKED = "lc AS (SELECT *, " + SILVER_FLAGS + " FROM ledger)"
+
+SQL["quality_flags"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT source_lsn, entity_id, has_valid_status, has_valid_amount, has_note FROM lc"""
+
+SQL["rule_accepted_values"] = f"""WITH {EV}
+SELECT source_lsn, coalesce(status IN ('signup','view','click','purchase'), false) AS has_valid_status FROM ledger"""
+
+SQL["rule_positive"] = f"""WITH {EV}
+SELECT source_lsn, coalesce(amount > 0, false) AS has_valid_amount FROM ledger"""
+
+SQL["rule_required"] = f"""WITH {EV}
+SELECT source_lsn, note IS NOT NULL AS has_note FROM ledger"""
+
+SQL["rule_null_or_nonneg"] = f"""WITH {EV}
+SELECT source_lsn, cdc_operation, coalesce(amount_dec IS NULL OR amount_dec >= 0, false) AS has_nonneg_amount FROM changes"""
+
+SQL["rule_implication"] = """
+SELECT o_orderkey, o_orderstatus = 'F' AS is_final,
+       coalesce(NOT (o_orderstatus = 'F') OR o_orderpriority IN ('1-URGENT', '2-HIGH'), false) AS has_valid_final
+FROM orders"""
+
+SQL["rule_distinct_pair"] = """
+SELECT l.l_orderkey, l.l_linenumber,
+       coalesce(c.c_nationkey IS NOT NULL AND s.s_nationkey IS NOT NULL AND c.c_nationkey <> s.s_nationkey, false)
+         AS has_distinct_nations
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
+
+SQL["ledger_quality_split"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT source_lsn, entity_id, status, amount, source_ts_ms FROM lc
+WHERE has_valid_status AND has_valid_amount AND has_note"""
+
+SQL["quarantine_reason"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT source_lsn, {REASON} FROM lc
+WHERE NOT (has_valid_status AND has_valid_amount AND has_note)"""
+
+SQL["quality_reconcile"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT count(*) AS n_input,
+       count(*) FILTER (WHERE has_valid_status AND has_valid_amount AND has_note) AS n_valid,
+       count(*) FILTER (WHERE NOT (has_valid_status AND has_valid_amount AND has_note)) AS n_quarantine,
+       CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra
+FROM lc"""
+
+SQL["stamp_processed_at"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT source_lsn, TIMESTAMP '2024-02-01 00:00:00' AS _silver_processed_at FROM lc
+WHERE has_valid_status AND has_valid_amount AND has_note"""
+
+SQL["stage_row_counts"] = f"""WITH {EV}, {CURRENT.strip()}
+SELECT 'raw_messages' AS stage, count(*) AS n_rows FROM msgs
+UNION ALL SELECT 'bronze_rows', count(*) FROM bronze
+UNION ALL SELECT 'changes', count(*) FROM ledger
+UNION ALL SELECT 'current_state', count(*) FROM current
+UNION ALL SELECT 'silver_valid', count(*) FROM checked WHERE has_valid_status AND has_valid_amount AND has_note
+UNION ALL SELECT 'quarantine', count(*) FROM checked WHERE NOT (has_valid_status AND has_valid_amount AND has_note)"""
+
+SQL["dim_date"] = """
+WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders),
+d AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT date, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month,
+       CAST(day(date) AS INTEGER) AS day, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week,
+       CAST(quarter(date) AS INTEGER) AS quarter, strftime(date, '%B') AS month_name,
+       strftime(date, '%A') AS day_name
+FROM d"""
+
+SQL["dim_surrogate_key"] = f"WITH {DIM_CUSTOMER.strip()} SELECT * FROM dim_customer"
+
+SQL["dim_enriched"] = """
+SELECT CAST(row_number() OVER (ORDER BY n.n_nationkey) - 1 AS BIGINT) AS nation_key,
+       n.n_nationkey, n.n_name, n.n_regionkey, r.r_name
+FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+SQL["dim_renamed_key"] = "SELECT r_regionkey AS region_key, r_name FROM region"
+
+SQL["dim_denormalized"] = """
+SELECT s.s_suppkey, s.s_name, s.s_acctbal, s.s_nationkey, n.n_name
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""
+
+SQL["dim_scd2"] = f"""WITH {EV},
+v AS (SELECT entity_id, status, source_ts_ms, source_lsn,
+             lag(status) OVER w AS prev, row_number() OVER w AS rn
+      FROM ledger WINDOW w AS (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn)),
+c AS (SELECT * FROM v WHERE rn = 1 OR prev IS DISTINCT FROM status)
+SELECT entity_id, status, source_lsn, source_ts_ms AS valid_from,
+       lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn) AS valid_to,
+       lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn) IS NULL AS is_current
+FROM c"""
+
+SQL["fact_unmatched_keys"] = f"""WITH {DIM_CUSTOMER.strip()}
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE d.customer_key IS NULL) AS n_unmatched
+FROM orders o LEFT JOIN dim_customer d ON o.o_custkey = d.c_custkey"""
+
+SQL["fact_role_playing"] = """
+WITH dn AS (SELECT n_nationkey, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS nation_key FROM nation)
+SELECT l.l_orderkey, l.l_linenumber, o1.nation_key AS origin_nation_key,
+       o2.nation_key AS destination_nation_key, s.s_name AS supplier_name
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN dn o1 ON c.c_nationkey = o1.n_nationkey
+LEFT JOIN dn o2 ON s.s_nationkey = o2.n_nationkey"""
+
+SQL["fact_ledger"] = f"""WITH {EV}, {LEDGER_CHECKED}
+SELECT source_lsn AS transaction_id, entity_id, status, amount_dec, source_ts_ms FROM lc
+WHERE has_valid_status AND has_valid_amount AND has_note"""

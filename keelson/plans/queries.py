@@ -95,3 +95,221 @@ def q_fact_lookup(spark, sf):
                                                  "o_totalprice", "o_orderdate")
     fact = facts.lookup_key(orders, dim_customer(spark, sf), "o_custkey", "c_custkey", "customer_key")
     return fact.select("o_orderkey", "customer_key", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
+# ---------------------------------------------------------------- CDC ----
+
+@query("cdc_parse_stats")
+def q_cdc_parse_stats(spark, sf):
+    return cdc.parse_stats(fx.cdc_raw(spark, sf), fx.EVENTS_SPEC)
+
+
+@query("cdc_sample")
+def q_cdc_sample(spark, sf):
+    b = bronze(spark, sf).select("source_lsn", "entity_id", "cdc_operation", "status", "note")
+    return cdc.sample(b, 5, ["source_lsn"], {"note": 6})
+
+
+@query("cdc_decode_decimal")
+def q_cdc_decode_decimal(spark, sf):
+    return ledger(spark, sf).select("source_lsn", "amount", "amount_dec")
+
+
+@query("cdc_current_state_deletes")
+def q_cdc_current_state_deletes(spark, sf):
+    return cdc.current_state_with_deletes(all_changes(spark, sf), fx.EVENTS_SPEC).select(*STATE_COLS)
+
+
+@query("cdc_change_diff")
+def q_cdc_change_diff(spark, sf):
+    return (cdc.change_diff(all_changes(spark, sf), fx.EVENTS_SPEC)
+            .select("source_lsn", "entity_id", "cdc_operation", "changed_columns"))
+
+
+# ------------------------------------------------------------ quality ----
+
+def checked_ledger(spark, sf) -> DataFrame:
+    return Q.check(ledger(spark, sf), fx.EVENTS_SPEC.rules)
+
+
+@query("quality_flags")
+def q_quality_flags(spark, sf):
+    return checked_ledger(spark, sf).select("source_lsn", "entity_id", "has_valid_status",
+                                            "has_valid_amount", "has_note")
+
+
+@query("rule_accepted_values")
+def q_rule_accepted_values(spark, sf):
+    r = Q.accepted_values("has_valid_status", "status", fx.EVENT_STATUSES)
+    return ledger(spark, sf).select("source_lsn", r.flag().alias(r.name))
+
+
+@query("rule_positive")
+def q_rule_positive(spark, sf):
+    r = Q.positive("has_valid_amount", "amount")
+    return ledger(spark, sf).select("source_lsn", r.flag().alias(r.name))
+
+
+@query("rule_required")
+def q_rule_required(spark, sf):
+    r = Q.required("has_note", "note")
+    return ledger(spark, sf).select("source_lsn", r.flag().alias(r.name))
+
+
+@query("rule_null_or_nonneg")
+def q_rule_null_or_nonneg(spark, sf):
+    r = Q.null_or_nonneg("has_nonneg_amount", "amount_dec")
+    return all_changes(spark, sf).select("source_lsn", "cdc_operation", r.flag().alias(r.name))
+
+
+@query("rule_implication")
+def q_rule_implication(spark, sf):
+    """A final order must carry an escalation priority (urgent / high)."""
+    o = fx.read(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").alias("is_final"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderpriority")).alias("escalation"))
+    r = Q.implication("has_valid_final", "is_final", "escalation")
+    return o.select("o_orderkey", "is_final", r.flag().alias(r.name))
+
+
+@query("rule_distinct_pair")
+def q_rule_distinct_pair(spark, sf):
+    """Each line ships between two different nations (customer vs supplier)."""
+    li = fx.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = fx.read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("origin_nation"))
+    s = fx.read(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("destination_nation"))
+    x = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
+         .join(c, F.col("o_custkey") == c.c_custkey, "left")
+         .join(s, li.l_suppkey == s.s_suppkey, "left"))
+    r = Q.distinct_pair("has_distinct_nations", "origin_nation", "destination_nation")
+    return x.select("l_orderkey", "l_linenumber", r.flag().alias(r.name))
+
+
+@query("ledger_quality_split")
+def q_ledger_quality_split(spark, sf):
+    valid, _ = Q.split(checked_ledger(spark, sf))
+    return valid.select("source_lsn", "entity_id", "status", "amount", "source_ts_ms")
+
+
+@query("quarantine_reason")
+def q_quarantine_reason(spark, sf):
+    _, quarantine = Q.split(checked_ledger(spark, sf))
+    return quarantine.select("source_lsn", "quarantine_reason", "failed_rules")
+
+
+@query("quality_reconcile")
+def q_quality_reconcile(spark, sf):
+    led = ledger(spark, sf)
+    valid, quarantine = Q.split(Q.check(led, fx.EVENTS_SPEC.rules))
+    return Q.reconcile(led, valid.select(*led.columns), quarantine.select(*led.columns))
+
+
+@query("stamp_processed_at")
+def q_stamp_processed_at(spark, sf):
+    valid, _ = Q.split(checked_ledger(spark, sf))
+    return valid.select("source_lsn", F.lit(AS_OF_PROCESSED).cast("timestamp_ntz").alias("_silver_processed_at"))
+
+
+@query("stage_row_counts")
+def q_stage_row_counts(spark, sf):
+    """Row count per pipeline stage.  Stages share their scan and shuffles
+    (Spark reuses identical exchanges), so the log is read once per branch
+    type; in ``plans.pipeline`` the counts come from ``observe`` instead."""
+    raw = fx.cdc_raw(spark, sf)
+    b = cdc.parse_envelope(raw, fx.EVENTS_SPEC)
+    led = cdc.dedupe_changes(b, fx.EVENTS_SPEC)
+    cur = cdc.current_state(led, fx.EVENTS_SPEC)
+    valid, quarantine = Q.split(Q.check(cur, fx.EVENTS_SPEC.rules))
+    stages = [("raw_messages", raw), ("bronze_rows", b), ("changes", led), ("current_state", cur),
+              ("silver_valid", valid), ("quarantine", quarantine)]
+    out = None
+    for name, df in stages:
+        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+# --------------------------------------------------------- dimensions ----
+
+@query("dim_date")
+def q_dim_date(spark, sf):
+    """Calendar over the order-date span of the data."""
+    bounds = fx.read(spark, sf, "orders").agg(F.min("o_orderdate").alias("start"),
+                                              F.max("o_orderdate").alias("end"))
+    return dims.calendar_from_bounds(bounds)
+
+
+@query("dim_surrogate_key")
+def q_dim_surrogate_key(spark, sf):
+    return dim_customer(spark, sf)
+
+
+def dim_nation(spark, sf) -> DataFrame:
+    return dims.dense_key(fx.read(spark, sf, "nation"), ["n_nationkey"], "nation_key")
+
+
+@query("dim_enriched")
+def q_dim_enriched(spark, sf):
+    """nation enriched with its region (one region row per key enforced)."""
+    n = fx.read(spark, sf, "nation")
+    r = fx.read(spark, sf, "region")
+    e = dims.enrich(n, r, "n_regionkey", "r_regionkey", ["r_name"])
+    return dims.dense_key(e, ["n_nationkey"], "nation_key").select(
+        "nation_key", "n_nationkey", "n_name", "n_regionkey", "r_name")
+
+
+@query("dim_renamed_key")
+def q_dim_renamed_key(spark, sf):
+    return dims.rename_key(fx.read(spark, sf, "region"), "r_regionkey", "region_key")
+
+
+def dim_supplier(spark, sf) -> DataFrame:
+    s = fx.read(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    n = fx.read(spark, sf, "nation").select("n_nationkey", "n_name")
+    return dims.enrich(s, n, "s_nationkey", "n_nationkey", ["n_name"])
+
+
+@query("dim_denormalized")
+def q_dim_denormalized(spark, sf):
+    return dim_supplier(spark, sf).select("s_suppkey", "s_name", "s_acctbal", "s_nationkey", "n_name")
+
+
+@query("dim_scd2")
+def q_dim_scd2(spark, sf):
+    """Status history per entity from every change (ledger)."""
+    v = ledger(spark, sf).select("entity_id", "status", "source_ts_ms", "source_lsn")
+    h = dims.scd2(v, ["entity_id"], "source_ts_ms", ["status"], tie=["source_lsn"])
+    return h.select("entity_id", "status", "source_lsn", "valid_from", "valid_to", "is_current")
+
+
+# -------------------------------------------------------------- facts ----
+
+@query("fact_unmatched_keys")
+def q_fact_unmatched_keys(spark, sf):
+    return facts.unmatched_report(q_fact_lookup(spark, sf), "customer_key")
+
+
+@query("fact_role_playing")
+def q_fact_role_playing(spark, sf):
+    """Line fact with the nation dimension in two roles (customer nation =
+    origin, supplier nation = destination) and supplier attributes."""
+    li = fx.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    c = fx.read(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    s = dim_supplier(spark, sf).select("s_suppkey", F.col("s_name").alias("supplier_name"), "s_nationkey")
+    dn = dim_nation(spark, sf).select("n_nationkey", "nation_key")
+    x = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
+         .join(c, F.col("o_custkey") == c.c_custkey, "left")
+         .join(s, li.l_suppkey == s.s_suppkey, "left"))
+    x = facts.lookup_key(x, dn, "c_nationkey", "n_nationkey", "nation_key", out="origin_nation_key")
+    x = facts.lookup_key(x, dn, "s_nationkey", "n_nationkey", "nation_key", out="destination_nation_key")
+    return x.select("l_orderkey", "l_linenumber", "origin_nation_key", "destination_nation_key",
+                    "supplier_name")
+
+
+@query("fact_ledger")
+def q_fact_ledger(spark, sf):
+    valid, _ = Q.split(checked_ledger(spark, sf))
+    return valid.select(F.col("source_lsn").alias("transaction_id"), "entity_id", "status",
+                        "amount_dec", "source_ts_ms")
