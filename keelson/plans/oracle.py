@@ -226,3 +226,176 @@ LEFT JOIN dn o2 ON s.s_nationkey = o2.n_nationkey"""
 SQL["fact_ledger"] = f"""WITH {EV}, {LEDGER_CHECKED}
 SELECT source_lsn AS transaction_id, entity_id, status, amount_dec, source_ts_ms FROM lc
 WHERE has_valid_status AND has_valid_amount AND has_note"""
+
+SQL["cross_domain_lookup"] = """
+SELECT CAST(c.c_custkey AS VARCHAR) AS customer_ref, c.c_name, CAST(count(o.o_orderkey) AS BIGINT) AS n_orders
+FROM customer c LEFT JOIN orders o ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)
+GROUP BY 1, 2 ORDER BY 1"""
+
+SQL["referential_orphans"] = """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)"""
+
+SQL["cascade_semi_join"] = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
+            THEN 'CANCELLED' ELSE 'ISSUED' END AS ticket_status
+FROM lineitem"""
+
+SQL["refund_candidates"] = """
+SELECT o.o_orderkey, l.l_linenumber, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS refund_amount,
+       CASE WHEN l.l_returnflag = 'R' THEN 'PROCESSED' ELSE 'PENDING' END AS refund_status,
+       CASE WHEN l.l_returnflag = 'R' THEN l.l_shipdate END AS processed_at
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'P'"""
+
+SQL["lookup_pick_one"] = """
+WITH g AS (SELECT s_nationkey, min(s_suppkey) AS gate_suppkey FROM supplier GROUP BY 1)
+SELECT c.c_custkey, g.gate_suppkey, s.s_name AS gate_name
+FROM customer c LEFT JOIN g ON c.c_nationkey = g.s_nationkey
+LEFT JOIN supplier s ON s.s_suppkey = g.gate_suppkey"""
+
+LINE_AMOUNT = """round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                   * (1 + CAST(l_tax AS DECIMAL(4,2))), 2)"""
+
+SQL["header_rollup"] = f"""
+WITH per AS (SELECT l_orderkey, count(*) AS n_items, CAST(sum({LINE_AMOUNT}) AS DECIMAL(18,2)) AS items_total
+             FROM lineitem GROUP BY 1)
+SELECT o.o_orderkey, CAST(coalesce(p.n_items, 0) AS BIGINT) AS n_items,
+       coalesce(p.items_total, CAST(0 AS DECIMAL(18,2))) AS items_total,
+       CAST(o.o_totalprice AS DECIMAL(18,2)) AS header_total,
+       coalesce(p.items_total, CAST(0 AS DECIMAL(18,2))) = CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_matches
+FROM orders o LEFT JOIN per p ON o.o_orderkey = p.l_orderkey"""
+
+SQL["ledger_balance"] = """
+SELECT user_id,
+  CAST(coalesce(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE event_type = 'purchase'), 0) AS DECIMAL(18,2)) AS earned,
+  CAST(coalesce(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE event_type = 'click'), 0) AS DECIMAL(18,2)) AS redeemed,
+  count(*) AS n_transactions,
+  CAST(coalesce(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE event_type = 'purchase'), 0)
+     - coalesce(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE event_type = 'click'), 0) AS DECIMAL(18,2)) AS balance
+FROM events GROUP BY user_id"""
+
+SQL["ledger_running_balance"] = """
+WITH s AS (SELECT event_id, user_id, ts,
+             CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(12,2))
+                  WHEN event_type = 'click' THEN -CAST(value AS DECIMAL(12,2)) ELSE 0 END AS signed
+           FROM events),
+r AS (SELECT event_id, user_id,
+        sum(signed) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rb
+      FROM s)
+SELECT event_id, user_id, CAST(rb AS DECIMAL(18,2)) AS running_balance, rb < 0 AS is_overdrawn FROM r"""
+
+TIERS_SQL = """
+tiers AS (SELECT * FROM (VALUES (1, 'Bronze', 0), (2, 'Silver', 25000), (3, 'Gold', 75000), (4, 'Platinum', 150000))
+          t(tier_id, tier_name, min_miles)),
+miles AS (SELECT c.c_custkey,
+            CAST(CAST(coalesce(sum(CAST(o.o_totalprice AS DECIMAL(18,2))), 0) * 100 AS BIGINT) // 10000 AS BIGINT) AS miles
+          FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY 1),
+assigned AS (SELECT m.c_custkey, m.miles,
+               (SELECT max(tier_id) FROM tiers t WHERE t.min_miles <= m.miles) AS tier_id FROM miles m)"""
+
+SQL["tier_assignment"] = f"""WITH {TIERS_SQL.strip()}
+SELECT a.c_custkey, a.miles, t.tier_id, t.tier_name FROM assigned a LEFT JOIN tiers t ON a.tier_id = t.tier_id"""
+
+SQL["tier_distribution"] = f"""WITH {TIERS_SQL.strip()}
+SELECT t.tier_name, count(*) AS n_members FROM assigned a LEFT JOIN tiers t ON a.tier_id = t.tier_id GROUP BY 1"""
+
+SQL["status_counts"] = """
+WITH last AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS s FROM events GROUP BY 1)
+SELECT count(*) AS n_entities,
+  count(*) FILTER (WHERE s = 'signup') AS n_signup, count(*) FILTER (WHERE s = 'view') AS n_view,
+  count(*) FILTER (WHERE s = 'click') AS n_click, count(*) FILTER (WHERE s = 'purchase') AS n_purchase,
+  count(*) FILTER (WHERE s = 'error') AS n_error
+FROM last"""
+
+SQL["status_transitions"] = """
+WITH tr AS (SELECT lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS from_status,
+                   event_type AS to_status FROM events),
+allowed AS (SELECT * FROM (VALUES (NULL, 'signup'), ('signup', 'view'), ('view', 'view'), ('view', 'click'),
+                                  ('click', 'view'), ('click', 'purchase'), ('purchase', 'view')) a(f, t))
+SELECT from_status, to_status, count(*) AS n_transitions,
+       EXISTS (SELECT 1 FROM allowed a WHERE a.f IS NOT DISTINCT FROM tr.from_status AND a.t = tr.to_status) AS is_allowed
+FROM tr GROUP BY from_status, to_status"""
+
+FLIGHTS_SQL = """
+sched AS (SELECT s_suppkey AS schedule_id, 'N' || lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS code,
+            CASE s_suppkey % 3 WHEN 0 THEN 'MON,WED,FRI' WHEN 1 THEN 'TUE,THU,SAT,SUN'
+                 ELSE 'MON,TUE,WED,THU,FRI,SAT,SUN' END AS days_of_week,
+            CAST((s_suppkey * 37) % 1440 AS INTEGER) AS dep_minute,
+            CAST(((s_suppkey * 37) % 1440 + 60 + (s_suppkey * 11) % 600) % 1440 AS INTEGER) AS arr_minute
+          FROM supplier),
+inst AS (SELECT *, CAST(unnest(generate_series(DATE '1998-08-02' - INTERVAL 14 DAY, DATE '1998-08-02' + INTERVAL 3 DAY,
+                                               INTERVAL 1 DAY)) AS DATE) AS flight_date FROM sched),
+flights AS (
+  SELECT code || CAST(schedule_id + 100 AS VARCHAR) || strftime(flight_date, '%m%d') AS flight_id,
+         schedule_id, flight_date,
+         CAST(flight_date AS TIMESTAMP) + to_minutes(dep_minute) AS scheduled_departure,
+         CAST(CASE WHEN arr_minute < dep_minute THEN flight_date + 1 ELSE flight_date END AS TIMESTAMP)
+           + to_minutes(arr_minute) AS scheduled_arrival
+  FROM inst
+  WHERE flight_date <= DATE '1998-08-02'
+    AND list_contains(string_split(days_of_week, ','), upper(strftime(flight_date, '%a'))))"""
+
+SQL["schedule_expand"] = f"WITH {FLIGHTS_SQL.strip()} SELECT * FROM flights"
+
+SQL["delay_adjusted_times"] = f"""WITH {FLIGHTS_SQL.strip()},
+delays AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS d, CAST(max(l_quantity) AS INTEGER) AS delay_minutes
+           FROM lineitem GROUP BY 1, 2)
+SELECT f.flight_id, coalesce(d.delay_minutes, 0) AS delay_minutes,
+       f.scheduled_departure + to_minutes(coalesce(d.delay_minutes, 0)) AS actual_departure,
+       f.scheduled_arrival + to_minutes(coalesce(d.delay_minutes, 0)) AS actual_arrival
+FROM flights f LEFT JOIN delays d ON d.l_suppkey = f.schedule_id AND d.d = f.flight_date"""
+
+SQL["usage_due_events"] = """
+WITH usage AS (SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) * 10 AS hours, count(*) * 20 AS cycles
+               FROM lineitem GROUP BY 1),
+types AS (SELECT * FROM (VALUES ('A_CHECK', 600, 400), ('B_CHECK', 2000, 1200), ('C_CHECK', 6000, 4000),
+                                ('D_CHECK', 24000, 16000)) t(maintenance_type, ih, ic)),
+due AS (SELECT p.p_partkey, t.maintenance_type,
+          CAST(least(greatest(floor(u.hours / t.ih), floor(u.cycles / t.ic)), 5) AS INTEGER) AS n
+        FROM usage u JOIN part p ON u.l_partkey = p.p_partkey, types t)
+SELECT p_partkey, maintenance_type, CAST(unnest(generate_series(1, n)) AS INTEGER) AS occurrence FROM due WHERE n >= 1"""
+
+SQL["flag_from_events"] = """
+SELECT c_custkey, EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey AND e.event_type = 'error' AND e.value > 400)
+       AS is_flagged
+FROM customer c"""
+
+SQL["hash_sample"] = """
+SELECT c_custkey, c_name FROM customer WHERE substr(md5(CAST(c_custkey AS VARCHAR)), 1, 4) < 'b333'"""
+
+SQL["entity_age"] = """
+SELECT o_orderkey, CAST(datediff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS INTEGER) AS age_days,
+       CAST(floor(datediff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') / 365) AS INTEGER) AS age_years
+FROM orders"""
+
+SQL["case_rules"] = """
+WITH x AS (SELECT p_partkey, CASE WHEN p_size > 40 THEN 'F' WHEN p_size > 25 THEN 'J' ELSE 'Y' END AS class_code FROM part)
+SELECT p_partkey, class_code, class_code = 'F' AS refundable,
+       CAST(CASE class_code WHEN 'F' THEN 0 WHEN 'J' THEN 5000 ELSE 2000 END AS DECIMAL(10,2)) AS change_fee,
+       CASE class_code WHEN 'F' THEN 40 WHEN 'J' THEN 32 ELSE 23 END AS baggage_allowance_kg
+FROM x"""
+
+SQL["dq_report"] = """
+SELECT 'orders' AS table_name, 'not_null' AS test_name, 'o_custkey' AS column_name,
+       count(*) FILTER (WHERE o_custkey IS NULL) AS failures FROM orders
+UNION ALL SELECT 'orders', 'not_null', 'o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
+UNION ALL SELECT 'orders', 'accepted_values', 'o_orderstatus',
+       count(*) FILTER (WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
+UNION ALL SELECT 'orders', 'unique', 'o_orderkey', coalesce(sum(n), 0) FROM
+       (SELECT count(*) AS n FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)
+UNION ALL SELECT 'orders', 'relationships', 'o_custkey', count(*) FROM orders o
+       WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)
+UNION ALL SELECT 'customer', 'not_null', 'c_name', count(*) FILTER (WHERE c_name IS NULL) FROM customer
+UNION ALL SELECT 'customer', 'accepted_values', 'c_mktsegment',
+       count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN
+                        ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) FROM customer
+UNION ALL SELECT 'customer', 'unique', 'c_custkey', coalesce(sum(n), 0) FROM
+       (SELECT count(*) AS n FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING count(*) > 1)"""
+
+SQL["incremental_upsert"] = SQL["cdc_current_state_deletes"]
+
+SQL["mart_daily_rollup"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_price
+FROM orders GROUP BY ROLLUP (year(o_orderdate), month(o_orderdate))"""

@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators import cdc, dims, facts
+from keelson.operators import cdc, dims, facts, rollups as R
 from keelson.operators import quality as Q
 from keelson.plans import fixtures as fx
 
@@ -313,3 +313,265 @@ def q_fact_ledger(spark, sf):
     valid, _ = Q.split(checked_ledger(spark, sf))
     return valid.select(F.col("source_lsn").alias("transaction_id"), "entity_id", "status",
                         "amount_dec", "source_ts_ms")
+
+
+# ------------------------------------------------------------ rollups ----
+
+AS_OF_SCHEDULE = "1998-08-02"
+AS_OF_AGE = "2002-01-01"
+UPSERT_CUTOFF = "2024-01-15 00:00:00"
+
+
+@query("cross_domain_lookup")
+def q_cross_domain_lookup(spark, sf):
+    """Customers referenced from another system by a string id: orders are
+    counted per customer first, then matched on the id cast to string, in
+    customer-id order."""
+    refs = fx.read(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer_ref"), "c_name")
+    per = fx.read(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
+    j = refs.join(per, F.col("customer_ref") == F.col("o_custkey").cast("string"), "left")
+    return (j.select("customer_ref", "c_name", F.coalesce("n_orders", F.lit(0)).cast("bigint").alias("n_orders"))
+            .orderBy("customer_ref"))
+
+
+@query("referential_orphans")
+def q_referential_orphans(spark, sf):
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return facts.orphans(o, fx.active_customers(spark, sf), "o_custkey", "c_custkey")
+
+
+def cancelled_orders(spark, sf) -> DataFrame:
+    """Orders in status P stand for cancelled bookings."""
+    return fx.read(spark, sf, "orders").filter(F.col("o_orderstatus") == "P")
+
+
+@query("cascade_semi_join")
+def q_cascade_semi_join(spark, sf):
+    """Lines (tickets) of cancelled orders (bookings) become CANCELLED."""
+    li = fx.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    flagged = R.flag_from_events(li, "l_orderkey", cancelled_orders(spark, sf), "o_orderkey",
+                                 F.lit(True), "__cancelled")
+    return flagged.select("l_orderkey", "l_linenumber",
+                          F.when(F.col("__cancelled"), "CANCELLED").otherwise("ISSUED").alias("ticket_status"))
+
+
+@query("refund_candidates")
+def q_refund_candidates(spark, sf):
+    """Cancelled orders with their lines as payments; processed time only
+    for processed refunds."""
+    c = cancelled_orders(spark, sf).select("o_orderkey")
+    li = fx.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice",
+                                               "l_returnflag", "l_shipdate")
+    j = c.join(li, c.o_orderkey == li.l_orderkey)
+    status = F.when(F.col("l_returnflag") == "R", "PROCESSED").otherwise("PENDING")
+    return j.select("o_orderkey", "l_linenumber", R.dec("l_extendedprice").alias("refund_amount"),
+                    status.alias("refund_status"),
+                    F.when(status == "PROCESSED", F.col("l_shipdate")).alias("processed_at"))
+
+
+@query("lookup_pick_one")
+def q_lookup_pick_one(spark, sf):
+    """Each customer gets one supplier of its nation: the lowest key."""
+    s = fx.read(spark, sf, "supplier").select("s_nationkey", "s_suppkey", "s_name")
+    gate = R.pick_one(s, "s_nationkey", ["s_suppkey"], ["s_suppkey", "s_name"])
+    c = fx.read(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    j = c.join(gate, c.c_nationkey == gate.s_nationkey, "left")
+    return j.select("c_custkey", F.col("s_suppkey").alias("gate_suppkey"), F.col("s_name").alias("gate_name"))
+
+
+def line_amount() -> "F.Column":
+    return (R.dec("l_extendedprice", 12, 2) * (F.lit(1) - R.dec("l_discount", 4, 2))
+            * (F.lit(1) + R.dec("l_tax", 4, 2)))
+
+
+@query("header_rollup")
+def q_header_rollup(spark, sf):
+    li = fx.read(spark, sf, "lineitem")
+    o = fx.read(spark, sf, "orders")
+    return R.header_rollup(li, o, "l_orderkey", "o_orderkey", line_amount(), F.col("o_totalprice")).select(
+        "o_orderkey", "n_items", "items_total", "header_total", "total_matches")
+
+
+def event_ledger(spark, sf) -> DataFrame:
+    """events as a points ledger: purchases earn, clicks redeem."""
+    return fx.read(spark, sf, "events").select(
+        "event_id", "ts", "user_id", "event_type", R.dec("value", 12, 2).alias("points"))
+
+
+@query("ledger_balance")
+def q_ledger_balance(spark, sf):
+    return R.ledger_balance(event_ledger(spark, sf), "user_id", "event_type", F.col("points"),
+                            ["purchase"], ["click"])
+
+
+@query("ledger_running_balance")
+def q_ledger_running_balance(spark, sf):
+    led = event_ledger(spark, sf)
+    signed = (F.when(F.col("event_type") == "purchase", F.col("points"))
+              .when(F.col("event_type") == "click", -F.col("points")).otherwise(F.lit(0)))
+    rb = R.running_balance(led, "user_id", ["ts", "event_id"], signed)
+    return rb.select("event_id", "user_id", F.col("running_balance").cast("decimal(18,2)").alias("running_balance"),
+                     (F.col("running_balance") < 0).alias("is_overdrawn"))
+
+
+def customer_miles(spark, sf) -> DataFrame:
+    """Miles = whole hundreds of order value per customer (0 without orders)."""
+    per = (fx.read(spark, sf, "orders").groupBy("o_custkey")
+           .agg(F.sum(R.dec("o_totalprice")).alias("__spend")))
+    c = fx.read(spark, sf, "customer").select("c_custkey")
+    j = c.join(per, c.c_custkey == per.o_custkey, "left")
+    return j.select("c_custkey", F.floor(F.coalesce("__spend", F.lit(0)) / 100).cast("bigint").alias("miles"))
+
+
+@query("tier_assignment")
+def q_tier_assignment(spark, sf):
+    t = R.assign_tier(customer_miles(spark, sf), "miles", fx.tiers_df(spark))
+    return t.select("c_custkey", "miles", "tier_id", "tier_name")
+
+
+@query("tier_distribution")
+def q_tier_distribution(spark, sf):
+    t = R.assign_tier(customer_miles(spark, sf), "miles", fx.tiers_df(spark))
+    return t.groupBy("tier_name").agg(F.count(F.lit(1)).alias("n_members"))
+
+
+EVENT_TYPES = ["signup", "view", "click", "purchase", "error"]
+
+
+@query("status_counts")
+def q_status_counts(spark, sf):
+    ev = fx.read(spark, sf, "events")
+    return R.last_status_counts(ev, "user_id", ["ts", "event_id"], "event_type", EVENT_TYPES)
+
+
+# Transitions allowed between event types (first event: signup).
+ALLOWED_TRANSITIONS = [(None, "signup"), ("signup", "view"), ("view", "view"), ("view", "click"),
+                       ("click", "view"), ("click", "purchase"), ("purchase", "view")]
+
+
+@query("status_transitions")
+def q_status_transitions(spark, sf):
+    ev = fx.read(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    tr = R.transitions(ev, "user_id", ["ts", "event_id"], "event_type")
+    allowed = spark.createDataFrame(ALLOWED_TRANSITIONS, "from_status string, to_status string")
+    return R.transition_counts(tr, allowed)
+
+
+def schedules(spark, sf) -> DataFrame:
+    """Suppliers as recurring schedules: code by nation, operating days and
+    departure / arrival minute derived from the key."""
+    s = fx.read(spark, sf, "supplier")
+    k = F.col("s_suppkey")
+    days = (F.when(k % 3 == 0, "MON,WED,FRI").when(k % 3 == 1, "TUE,THU,SAT,SUN")
+            .otherwise("MON,TUE,WED,THU,FRI,SAT,SUN"))
+    dep = (k * 37) % 1440
+    return s.select(k.alias("schedule_id"), F.concat(F.lit("N"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("code"),
+                    days.alias("days_of_week"), dep.cast("int").alias("dep_minute"),
+                    ((dep + 60 + (k * 11) % 600) % 1440).cast("int").alias("arr_minute"))
+
+
+@query("schedule_expand")
+def q_schedule_expand(spark, sf):
+    return R.expand_schedule(schedules(spark, sf), AS_OF_SCHEDULE, 14, 3)
+
+
+@query("delay_adjusted_times")
+def q_delay_adjusted_times(spark, sf):
+    flights = R.expand_schedule(schedules(spark, sf), AS_OF_SCHEDULE, 14, 3)
+    delays = (fx.read(spark, sf, "lineitem")
+              .groupBy(F.col("l_suppkey").alias("schedule_id"), F.to_date("l_shipdate").alias("flight_date"))
+              .agg(F.max("l_quantity").cast("int").alias("delay_minutes")))
+    return R.apply_delays(flights, delays, ["schedule_id", "flight_date"]).select(
+        "flight_id", "delay_minutes", "actual_departure", "actual_arrival")
+
+
+@query("usage_due_events")
+def q_usage_due_events(spark, sf):
+    usage = (fx.read(spark, sf, "lineitem").groupBy("l_partkey")
+             .agg((F.sum("l_quantity").cast("bigint") * 10).alias("total_hours"),
+                  (F.count(F.lit(1)) * 20).alias("total_cycles")))
+    p = fx.read(spark, sf, "part").select("p_partkey", (F.col("p_size") % 4).alias("model_id"))
+    u = usage.join(p, usage.l_partkey == p.p_partkey)
+    due = R.usage_due(u, fx.maintenance_schedules_df(spark), "model_id", "total_hours", "total_cycles")
+    return due.select("p_partkey", "maintenance_type", "occurrence")
+
+
+@query("flag_from_events")
+def q_flag_from_events(spark, sf):
+    """Customers with a critical error event (value > 400) are flagged."""
+    c = fx.read(spark, sf, "customer").select("c_custkey")
+    ev = fx.read(spark, sf, "events")
+    return R.flag_from_events(c, "c_custkey", ev, "user_id",
+                              (F.col("event_type") == "error") & (F.col("value") > 400), "is_flagged")
+
+
+@query("hash_sample")
+def q_hash_sample(spark, sf):
+    return R.hash_sample(fx.read(spark, sf, "customer"), "c_custkey", 0.7).select("c_custkey", "c_name")
+
+
+@query("entity_age")
+def q_entity_age(spark, sf):
+    o = fx.read(spark, sf, "orders")
+    days = F.datediff(F.lit(AS_OF_AGE).cast("date"), F.to_date("o_orderdate"))
+    return o.select("o_orderkey", days.alias("age_days"), F.floor(days / 365).cast("int").alias("age_years"))
+
+
+@query("case_rules")
+def q_case_rules(spark, sf):
+    """Fare class by size and its rules: refundable, change fee, baggage."""
+    p = fx.read(spark, sf, "part")
+    code = F.when(F.col("p_size") > 40, "F").when(F.col("p_size") > 25, "J").otherwise("Y")
+    x = p.select("p_partkey", code.alias("class_code"))
+    # Fare rules per class code (F / J / other).
+    return x.select(
+        "p_partkey", "class_code",
+        (F.col("class_code") == "F").alias("refundable"),
+        F.when(F.col("class_code") == "F", 0).when(F.col("class_code") == "J", 5000).otherwise(2000)
+        .cast("decimal(10,2)").alias("change_fee"),
+        F.when(F.col("class_code") == "F", 40).when(F.col("class_code") == "J", 32).otherwise(23)
+        .alias("baggage_allowance_kg"))
+
+
+# Accepted order statuses and market segments.
+ORDER_STATUSES = ["F", "O", "P"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@query("dq_report")
+def q_dq_report(spark, sf):
+    o = fx.read(spark, sf, "orders")
+    c = fx.read(spark, sf, "customer")
+    ro = Q.dq_report(o, "orders", not_null=["o_custkey", "o_orderdate"], unique=["o_orderkey"],
+                     accepted={"o_orderstatus": ORDER_STATUSES})
+    rel = Q.relationship_failures(o, fx.active_customers(spark, sf), "o_custkey", "c_custkey")
+    rel = rel.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit("orders").alias("table_name"), F.lit("relationships").alias("test_name"),
+        F.lit("o_custkey").alias("column_name"), "failures")
+    rc = Q.dq_report(c, "customer", not_null=["c_name"], unique=["c_custkey"],
+                     accepted={"c_mktsegment": SEGMENTS})
+    return ro.unionByName(rel).unionByName(rc)
+
+
+@query("incremental_upsert")
+def q_incremental_upsert(spark, sf):
+    """Current state built in two loads (before / after a cutoff) equals the
+    full rebuild (``cdc_current_state_deletes``)."""
+    ch = all_changes(spark, sf)
+    cut = F.col("kafka_timestamp") < F.lit(UPSERT_CUTOFF).cast("timestamp")
+    base = cdc.current_state(ch.filter(cut), fx.EVENTS_SPEC)
+    merged = R.upsert_state(base, ch.filter(~cut), list(fx.EVENTS_SPEC.key),
+                            ["source_ts_ms", "source_lsn", "kafka_timestamp"])
+    return merged.filter(F.col("cdc_operation") != "d").select(*STATE_COLS)
+
+
+@query("mart_daily_rollup")
+def q_mart_daily_rollup(spark, sf):
+    """Orders by year and month with subtotals (rollup) via the calendar."""
+    o = fx.read(spark, sf, "orders")
+    dd = q_dim_date(spark, sf).select("date_key", "year", "month")
+    f = o.select(F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("order_date_key"),
+                 R.dec("o_totalprice").alias("price"))
+    j = facts.lookup_key(f, dd, "order_date_key", "date_key", "date_key", carry=["year", "month"])
+    return (j.rollup("year", "month")
+            .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("price").cast("decimal(18,2)").alias("total_price")))
