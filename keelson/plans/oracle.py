@@ -399,3 +399,41 @@ SQL["mart_daily_rollup"] = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
        count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_price
 FROM orders GROUP BY ROLLUP (year(o_orderdate), month(o_orderdate))"""
+
+SQL["stream_bronze_ingest"] = f"WITH {EV} SELECT * FROM ledger"
+
+SQL["stream_dedupe_change"] = f"WITH {EV} SELECT entity_id, source_lsn, cdc_operation FROM ledger"
+
+SQL["stream_dedupe_first"] = f"""WITH {EV}
+SELECT entity_id, source_lsn, status FROM ledger
+QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY source_lsn) = 1"""
+
+SQL["stream_window_counts"] = """
+WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value FROM events),
+m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n_events,
+       CAST(sum(CAST(value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS total_value
+FROM w, m WHERE window_start + INTERVAL 1 HOUR <= m.wm
+GROUP BY window_start, event_type"""
+
+SQL["window_sliding_counts"] = """
+WITH b AS (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events),
+w AS (SELECT b AS window_start FROM b UNION ALL SELECT b - INTERVAL 30 MINUTE FROM b)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS n_events FROM w GROUP BY 1"""
+
+SQL["session_counts"] = """
+WITH g AS (SELECT user_id, ts,
+             CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL
+                    OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE
+                  THEN 1 ELSE 0 END AS is_new, event_id FROM events),
+s AS (SELECT user_id, ts, sum(is_new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sid FROM g)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events
+FROM s GROUP BY user_id, sid"""
+
+SQL["stream_late_rows"] = f"""WITH {EV} SELECT * FROM ledger WHERE kafka_ts >= TIMESTAMP '2024-01-15 00:00:00'"""
+
+SQL["stream_restart"] = f"WITH {EV} SELECT * FROM ledger"
+
+SQL["stream_multi_table"] = f"""WITH {EV}
+SELECT 'events' AS table_name, entity_id AS entity_key, source_lsn FROM ledger
+UNION ALL SELECT 'orders', o_orderkey, o_orderkey FROM orders"""

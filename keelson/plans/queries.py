@@ -575,3 +575,7 @@ def q_mart_daily_rollup(spark, sf):
     j = facts.lookup_key(f, dd, "order_date_key", "date_key", "date_key", carry=["year", "month"])
     return (j.rollup("year", "month")
             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("price").cast("decimal(18,2)").alias("total_price")))
+
+
+# Streaming queries register themselves on import.
+from keelson.plans import streams as _streams  # noqa: E402,F401
