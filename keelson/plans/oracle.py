@@ -437,3 +437,14 @@ SQL["stream_restart"] = f"WITH {EV} SELECT * FROM ledger"
 SQL["stream_multi_table"] = f"""WITH {EV}
 SELECT 'events' AS table_name, entity_id AS entity_key, source_lsn FROM ledger
 UNION ALL SELECT 'orders', o_orderkey, o_orderkey FROM orders"""
+
+SQL["pipeline_end_to_end"] = f"""WITH {EV}, {DIM_CUSTOMER.strip()},
+cur AS (SELECT * FROM (SELECT * FROM changes
+        QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY source_ts_ms DESC, source_lsn DESC, kafka_ts DESC) = 1)
+        WHERE cdc_operation <> 'd'),
+chk AS (SELECT *, {SILVER_FLAGS} FROM cur)
+SELECT c.entity_id, d.customer_key, c.status, c.amount_dec, c.source_ts_ms
+FROM chk c LEFT JOIN dim_customer d ON c.entity_id = d.c_custkey
+WHERE has_valid_status AND has_valid_amount AND has_note"""
+
+SQL["table_overwrite_roundtrip"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'"

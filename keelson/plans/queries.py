@@ -579,3 +579,29 @@ def q_mart_daily_rollup(spark, sf):
 
 # Streaming queries register themselves on import.
 from keelson.plans import streams as _streams  # noqa: E402,F401
+
+
+# ----------------------------------------------------------- pipeline ----
+
+@query("pipeline_end_to_end")
+def q_pipeline_end_to_end(spark, sf):
+    """ingest -> refine -> publish: the fact of current, valid entities with
+    the customer surrogate key."""
+    from keelson.plans import pipeline as P
+    checked = P.refine(P.ingest(fx.cdc_raw(spark, sf), fx.EVENTS_SPEC), fx.EVENTS_SPEC)
+    valid, _ = Q.split(checked)
+    fact = P.publish(valid, dim_customer(spark, sf), "entity_id", "c_custkey", "customer_key")
+    return fact.select("entity_id", "customer_key", "status", "amount_dec", "source_ts_ms")
+
+
+@query("table_overwrite_roundtrip")
+def q_table_overwrite_roundtrip(spark, sf):
+    """Overwrite a table and read it back through the format: only the
+    second content is visible."""
+    from keelson.session import scratch_path
+    from keelson.sinks import tables as sinks
+    path = scratch_path(spark, "roundtrip")
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    sinks.overwrite(o, path)
+    sinks.overwrite(o.filter(F.col("o_orderstatus") == "F"), path)
+    return sinks.read(spark, path)
