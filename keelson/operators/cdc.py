@@ -59,12 +59,25 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
 
 
 def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
-              ts_col: str = "timestamp") -> DataFrame:
-    """Transport rows -> ``json_value, kafka_timestamp, p`` (parsed payload,
-    NULL when the message is not a valid envelope)."""
-    return (raw.select(F.col(value_col).cast("string").alias("json_value"),
-                       F.col(ts_col).alias("kafka_timestamp"))
-            .withColumn("p", F.from_json("json_value", envelope_schema(spec)).getField("payload")))
+              ts_col: str = "timestamp", keep=None) -> DataFrame:
+    """Transport rows -> ``json_value, kafka_timestamp, p`` (the parsed
+    payload, NULL when the message is not a valid envelope).
+
+    With ``keep`` (a predicate on the payload) only matching rows are
+    returned.  The predicate is applied inside a generator,
+    ``explode(filter(array(payload), keep))``, rather than as a ``filter``:
+    Catalyst pushes a filter below the projection by substituting the
+    ``from_json`` call into it, which parses every message twice; a
+    generator's output cannot be substituted, so each message is parsed
+    exactly once.
+    """
+    msgs = raw.select(F.col(value_col).cast("string").alias("json_value"),
+                      F.col(ts_col).alias("kafka_timestamp"))
+    payload = F.from_json(F.col("json_value"), envelope_schema(spec)).getField("payload")
+    if keep is None:
+        return msgs.withColumn("p", payload)
+    return msgs.select("json_value", "kafka_timestamp",
+                       F.explode(F.filter(F.array(payload), keep)).alias("p"))
 
 
 def _meta(spec: TableSpec) -> list[Column]:
@@ -81,12 +94,13 @@ def parse_envelope(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     """Bronze rows in the captured form: the after image flattened plus change
     metadata; deletes (no after image) and unparsable messages are dropped
     (key taken from the after image must be present)."""
-    parsed = parse_raw(raw, spec, **kw)
-    key_present = F.lit(True)
-    for k in spec.key:
-        key_present = key_present & F.col(f"p.after.{k}").isNotNull()
-    return (parsed.filter(key_present)
-            .select(*_decoded_image(F.col("p.after"), spec), *_meta(spec)))
+    def keep(p):
+        ok = p.isNotNull()
+        for k in spec.key:
+            ok = ok & p["after"][k].isNotNull()
+        return ok
+    parsed = parse_raw(raw, spec, keep=keep, **kw)
+    return parsed.select(*_decoded_image(F.col("p.after"), spec), *_meta(spec))
 
 
 def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
@@ -94,21 +108,25 @@ def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     image, else from the before image; value columns come from the after
     image (NULL for a delete).  ``_before`` keeps the decoded before image,
     ``_no_before`` tells an absent before image from an all-NULL one."""
-    parsed = parse_raw(raw, spec, **kw).filter(F.col("p").isNotNull())
+    def key_of(p, k):
+        return F.coalesce(p["after"][k], p["before"][k]) if spec.keep_before else p["after"][k]
+
+    def keep(p):
+        ok = p.isNotNull()
+        for k in spec.key:
+            ok = ok & key_of(p, k).isNotNull()
+        return ok
+    parsed = parse_raw(raw, spec, keep=keep, **kw)
+    p = F.col("p")
+    key_cols = [key_of(p, k).alias(k) for k in spec.key]
     after, before = F.col("p.after"), F.col("p.before")
-    key_cols = [F.coalesce(after[k], before[k]).alias(k) if spec.keep_before else after[k].alias(k)
-                for k in spec.key]
     value_cols = [c for c, f in zip(_decoded_image(after, spec), spec.after_schema.fields)
                   if f.name not in spec.key]
     extra = []
     if spec.keep_before:
         extra = [F.struct(*_decoded_image(before, spec)).alias("_before"),
                  before.isNull().alias("_no_before")]
-    out = parsed.select(*key_cols, *value_cols, *_meta(spec), *extra)
-    key_present = F.lit(True)
-    for k in spec.key:
-        key_present = key_present & F.col(k).isNotNull()
-    return out.filter(key_present)
+    return parsed.select(*key_cols, *value_cols, *_meta(spec), *extra)
 
 
 def parse_stats(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:

@@ -19,12 +19,15 @@ deliver it (one JSON envelope per change, as Kafka rows):
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import encode_decimal_base64, epoch_ms
 from keelson.operators import quality as Q
 from keelson.session import ensure_utc, table_path
+from keelson.sources.tables import spread
 from keelson.spec import TableSpec
 
 # The status list of the change-log table and the rule reasons.
@@ -45,7 +48,10 @@ EVENTS_SPEC = TableSpec(
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    size = os.path.getsize(path) if os.path.isfile(path) else None
+    return spread(df, size_hint=size) if size is not None else df
 
 
 def cdc_image_columns(ev: DataFrame) -> DataFrame:

@@ -38,3 +38,20 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
     """Reference table over JDBC; filters and column selections applied to
     the result are pushed into the database query by Spark."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kw)).load()
+
+
+def spread(df: DataFrame, min_bytes: int = 1 << 20, size_hint: int | None = None) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    A large table on a cluster comes in many files / row groups, so its scan
+    already has thousands of splits and this is a no-op.  A single-row-group
+    file (as in small local test sets) is read by one task; when it is
+    larger than ``min_bytes`` a round-robin repartition to the default
+    parallelism lets the per-row work after the scan use every core.
+    """
+    sc = df.sparkSession.sparkContext
+    if size_hint is not None and size_hint < min_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= sc.defaultParallelism:
+        return df
+    return df.repartition(sc.defaultParallelism)
