@@ -38,28 +38,33 @@ def dense_key(df: DataFrame, key_cols: Sequence[str], name: str, num_partitions:
     """Stable dense surrogate key ``0..n-1`` in business-key order, equal to
     ``row_number() over (order by key) - 1`` without a single-partition sort.
 
-    Two passes over one range shuffle (reused by both branches):
-    1. range-partition and sort within partitions by the business key;
-    2. count rows per partition (one row per partition: a proven small
-       broadcast), prefix-sum the counts, and add each partition's offset
-       to the row's position inside its partition.
+    1. Range-partition and sort within partitions by the business key; tag
+       each row with its partition and position.  This is written once with
+       ``checkpoint()`` (to the shared checkpoint folder): range bounds are
+       sampled per exchange, so two branches reading their own exchanges
+       could disagree; the checkpoint fixes the tags for both.
+    2. Count rows per partition (one row per partition: a proven small
+       broadcast), prefix-sum the counts, add each partition's offset to
+       the row's position inside its partition.
     The business key must be unique; the result does not depend on the
     partition count.
     """
+    from keelson.session import ensure_checkpoint_dir
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *key_cols).sortWithinPartitions(*key_cols)
-    pos = (ordered.withColumn("__pid", F.spark_partition_id())
-           .withColumn("__mid", F.monotonically_increasing_id()))
+    pos = (df.repartitionByRange(n, *key_cols).sortWithinPartitions(*key_cols)
+           .withColumn("__pid", F.spark_partition_id())
+           .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+           .checkpoint(eager=True))
     counts = pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__pid",
         F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"))
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
     return (pos.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, (F.col("__off") + local).cast("bigint"))
-            .drop("__pid", "__mid", "__off"))
+            .withColumn(name, (F.col("__off") + F.col("__pos")).cast("bigint"))
+            .drop("__pid", "__pos", "__off"))
 
 
 def hashed_key(df: DataFrame, key_cols: Sequence[str], name: str) -> DataFrame:
@@ -104,20 +109,29 @@ def rename_key(df: DataFrame, natural: str, surrogate: str) -> DataFrame:
     return df.withColumnRenamed(natural, surrogate)
 
 
-def scd2(versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
+def scd2(versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str], tie: Sequence[str] = (),
+         skew_safe: bool = True) -> DataFrame:
     """Type-2 history from a stream of versions: a new row whenever the
     attribute hash changes; ``valid_from`` = first version time,
     ``valid_to`` = next change time (NULL while current), ``is_current``.
 
-    Windows partitioned by the entity key (one sort per key)."""
-    order = [F.col(ts), *[F.col(c) for c in tie]]
-    w = Window.partitionBy(*key).orderBy(*order)
+    ``skew_safe`` (default) runs both per-key scans (previous hash, next
+    change time) as range-partitioned ordered scans, so a key with a huge
+    history is split over many tasks; otherwise plain windows per key."""
+    from keelson.operators.sequences import ordered_scan
+    order = [ts, *tie]
     h = F.xxhash64(*[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs])
-    changes = (versions.withColumn("__h", h)
-               .withColumn("__prev", F.lag("__h").over(w))
-               .filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))))
-    w2 = Window.partitionBy(*key).orderBy(*order)
-    return (changes.withColumn("valid_from", F.col(ts))
-            .withColumn("valid_to", F.lead(F.col(ts)).over(w2))
-            .withColumn("is_current", F.col("valid_to").isNull())
-            .drop("__h", "__prev"))
+    v = versions.withColumn("__h", h)
+    if skew_safe:
+        prev = ordered_scan(v, key, order, lag=["__h"]).withColumnRenamed("lag___h", "__prev")
+    else:
+        w = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
+        prev = v.withColumn("__prev", F.lag("__h").over(w))
+    changes = prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))).drop("__h", "__prev")
+    if skew_safe:
+        nxt = ordered_scan(changes, key, order, lead=[ts]).withColumnRenamed(f"lead_{ts}", "valid_to")
+    else:
+        w = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
+        nxt = changes.withColumn("valid_to", F.lead(F.col(ts)).over(w))
+    return (nxt.withColumn("valid_from", F.col(ts))
+            .withColumn("is_current", F.col("valid_to").isNull()))
