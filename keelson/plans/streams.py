@@ -20,7 +20,12 @@ MSG_SCHEMA = "value string, timestamp timestamp, lsn bigint, copy int"
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.file_source(spark, sf, EVENTS_SCHEMA, options={"pathGlobFilter": "events.parquet"})
+    """The events file as a stream, spread over the cores like a keyed change
+    topic: all changes of one key in one partition, in delivery order (what
+    "first event per key" relies on).  A Kafka source gets this from its
+    topic partitions."""
+    src = ingest.file_source(spark, sf, EVENTS_SCHEMA, options={"pathGlobFilter": "events.parquet"})
+    return src.repartition(spark.sparkContext.defaultParallelism, "user_id")
 
 
 def _bronze_columns(df: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@ from keelson.spec import TableSpec
 def kafka_source(spark: SparkSession, options: dict) -> DataFrame:
     """Kafka change topics (``subscribe`` or ``subscribePattern``), earliest
     offsets by default.  Needs the Kafka connector jar on the classpath;
-    connection settings come from the caller's configuration."""
+    connection settings come from the caller's configuration.  Read
+    parallelism follows the topic partitions; ``minPartitions`` splits them
+    further, ``maxOffsetsPerTrigger`` bounds a micro-batch."""
     opts = {"startingOffsets": "earliest", **options}
     return spark.readStream.format("kafka").options(**opts).load()
 
