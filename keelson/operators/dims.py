@@ -76,13 +76,14 @@ def hashed_key(df: DataFrame, key_cols: Sequence[str], name: str) -> DataFrame:
 def assign_keys(df: DataFrame, key_map: DataFrame, key_cols: Sequence[str], name: str) -> DataFrame:
     """Keep surrogate keys across runs: keys already in ``key_map``
     (business key + ``name``) are reused, new business keys get dense keys
-    from max + 1 on, in business-key order."""
+    from max + 1 on, in business-key order.  Only the scalar max key of the
+    map reaches the driver."""
     known = df.join(key_map.select(*key_cols, name), list(key_cols), "left")
     old = known.filter(F.col(name).isNotNull())
+    top = key_map.agg(F.max(name)).first()[0]
+    base = 0 if top is None else int(top) + 1
     new = dense_key(known.filter(F.col(name).isNull()).drop(name), key_cols, "__new")
-    base = key_map.agg(F.coalesce(F.max(name) + 1, F.lit(0)).alias("__base"))
-    new = (new.join(F.broadcast(base), how="cross")   # one-row frame
-           .withColumn(name, F.col("__base") + F.col("__new")).drop("__base", "__new"))
+    new = new.withColumn(name, (F.lit(base) + F.col("__new")).cast("bigint")).drop("__new")
     return old.unionByName(new)
 
 

@@ -17,14 +17,24 @@ DEFAULT_CONF = {
 }
 
 
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "keelson",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, rocksdb_state: bool = False) -> SparkSession:
     """Session with UTC time zone and AQE on.
 
     On a cluster ``master`` stays None (taken from spark-submit); shuffle
     partitions default to AQE's coalescing of Spark's default, and only
-    tests / local benches pin a number.
+    tests / local benches pin a number.  ``rocksdb_state`` keeps streaming
+    state (dedupe keys, open windows) in RocksDB with changelog
+    checkpointing instead of executor heap: the choice for large state.
+    It applies to queries started from a fresh checkpoint.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -33,7 +43,7 @@ def build_session(master: str | None = None, app: str = "keelson",
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+    for k, v in {**(ROCKSDB_STATE if rocksdb_state else {}), **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -64,3 +64,30 @@ def test_enrich_cannot_fan_out(spark):
     right = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c")], "rk int, v string")
     got = sorted((r.k, r.v) for r in dims.enrich(left, right, "k", "rk", ["v"]).collect())
     assert got == [(1, "a"), (2, None)]
+
+
+def test_ordered_scan_hot_key_matches_window(spark):
+    from keelson.operators.sequences import ordered_scan
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    # one key holds a third of all rows
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ref = ev.select("event_id", F.lag("event_type").over(w).alias("lag_event_type"),
+                    F.lead("ts").over(w).alias("lead_ts"),
+                    F.round(F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)), 4).alias("rs"))
+    for n in (1, 3, 8, 32):
+        got = ordered_scan(ev, ["user_id"], ["ts", "event_id"], lag=["event_type"], lead=["ts"],
+                           running_sum={"rs": F.col("value")}, num_partitions=n)
+        got = got.select("event_id", "lag_event_type", "lead_ts", F.round("rs", 4).alias("rs"))
+        assert got.count() == ref.count()
+        assert got.exceptAll(ref).count() == 0
+
+
+def test_scd2_forms_agree(spark):
+    led = cdc.dedupe_changes(cdc.parse_envelope(fx.cdc_raw(spark, SF_SMALL), fx.EVENTS_SPEC), fx.EVENTS_SPEC)
+    v = led.select("entity_id", "status", "source_ts_ms", "source_lsn")
+    a = dims.scd2(v, ["entity_id"], "source_ts_ms", ["status"], tie=["source_lsn"], skew_safe=True)
+    b = dims.scd2(v, ["entity_id"], "source_ts_ms", ["status"], tie=["source_lsn"], skew_safe=False)
+    cols = ["entity_id", "status", "source_lsn", "valid_from", "valid_to", "is_current"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+    assert a.count() == b.count()
