@@ -108,31 +108,43 @@ def reconcile(input_df: DataFrame, valid: DataFrame, quarantine: DataFrame) -> D
 
 def dq_report(df: DataFrame, table: str, not_null: Sequence[str] = (), unique: Sequence[str] = (),
               accepted: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """dbt-style tests in one scan: not_null, unique, accepted_values.
+    """dbt-style tests: not_null, unique, accepted_values.
 
-    Returns (table_name, test_name, column_name, failures).  Uniqueness needs
-    one shuffle per unique column (a partial-aggregated count per value).
+    Returns (table_name, test_name, column_name, failures).  One scan: the
+    row-level tests are counted inside the aggregation by the first unique
+    column (partial counts per value, map-side), and that aggregation also
+    yields the duplicate count; each further unique column adds one
+    partially aggregated shuffle.
     """
     accepted = accepted or {}
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    row_tests = {}
     for c in not_null:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"not_null__{c}"))
+        row_tests[("not_null", c)] = F.col(c).isNull()
     for c, vals in accepted.items():
-        aggs.append(F.count_if(~null_safe(F.col(c).isin(list(vals))) & F.col(c).isNotNull())
-                    .alias(f"accepted_values__{c}"))
-    one = df.agg(*aggs)
-    stacked = [one.select(F.lit(table).alias("table_name"), F.lit(n.split("__")[0]).alias("test_name"),
-                          F.lit(n.split("__", 1)[1]).alias("column_name"),
-                          F.col(n).cast("bigint").alias("failures"))
-               for n in one.columns if n != "__rows"]
-    for c in unique:
+        row_tests[("accepted_values", c)] = F.col(c).isNotNull() & ~null_safe(F.col(c).isin(list(vals)))
+    cols = {t: f"__t{i}" for i, t in enumerate(row_tests)}
+    flagged = df.select(*unique, *[F.when(e, 1).otherwise(0).alias(cols[t]) for t, e in row_tests.items()])
+
+    def stack(frame: DataFrame, entries: list) -> DataFrame:
+        """One-row aggregate -> one row per test (``inline``: no re-scan)."""
+        rows = [F.struct(F.lit(t).alias("test_name"), F.lit(c).alias("column_name"),
+                         F.coalesce(v, F.lit(0)).cast("bigint").alias("failures")) for t, c, v in entries]
+        return frame.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows)))
+
+    entries = [(t, c, F.col(cols[(t, c)])) for (t, c) in row_tests]
+    if unique:
+        first = unique[0]
+        per = flagged.groupBy(first).agg(F.count(F.lit(1)).alias("__n"),
+                                         *[F.sum(c).alias(c) for c in cols.values()])
+        dup = F.when(F.col(first).isNotNull() & (F.col("__n") > 1), F.col("__n")).otherwise(0)
+        tot = per.agg(F.sum(dup).alias("__dup"), *[F.sum(c).alias(c) for c in cols.values()])
+        out = stack(tot, entries + [("unique", first, F.col("__dup"))])
+    else:
+        out = stack(flagged.agg(*[F.sum(c).alias(c) for c in cols.values()]), entries)
+    for c in unique[1:]:
         dup = (df.filter(F.col(c).isNotNull()).groupBy(c).count().filter(F.col("count") > 1)
-               .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("failures")))
-        stacked.append(dup.select(F.lit(table).alias("table_name"), F.lit("unique").alias("test_name"),
-                                  F.lit(c).alias("column_name"), "failures"))
-    out = stacked[0]
-    for s in stacked[1:]:
-        out = out.unionByName(s)
+               .agg(F.sum("count").alias("__dup")))
+        out = out.unionByName(stack(dup, [("unique", c, F.col("__dup"))]))
     return out
 
 
