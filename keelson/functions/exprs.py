@@ -30,6 +30,11 @@ def epoch_ms(ts) -> Column:
     return F.floor(epoch_us(ts).cast("decimal(20,0)") / F.lit(1000)).cast("bigint")
 
 
+def from_epoch_ms(ms) -> Column:
+    """Epoch milliseconds -> timestamp_ntz (UTC wall clock), zone-free."""
+    return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def encode_decimal_base64(value, scale: int) -> Column:
     """Change-capture encoding of a decimal: base64 of the big-endian
     two's-complement unscaled value (8 bytes here).  Used to build test

@@ -51,3 +51,27 @@ def test_struct_diff(spark):
     df = spark.sql("select named_struct('a', 1, 'b', 'x', 'c', cast(null as int)) as b4, "
                    "named_struct('a', 2, 'b', 'x', 'c', 3) as af")
     assert df.select(X.struct_diff("b4", "af", ["a", "b", "c"])).first()[0] == "a,c"
+
+
+def test_epoch_ms_roundtrip(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-01 00:00:07.179' as t")
+    assert df.select((X.from_epoch_ms(X.epoch_ms("t")) == F.col("t")).alias("x")).first().x
+
+
+def test_decimal_decode_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.integers(min_value=-(10 ** 15), max_value=10 ** 15), min_size=1, max_size=50))
+    def check(vals):
+        import base64
+        from decimal import Decimal
+
+        def minimal(v):
+            n = max(1, (v.bit_length() + 8) // 8)
+            return base64.b64encode(v.to_bytes(n, "big", signed=True)).decode()
+        df = spark.createDataFrame([(minimal(v), v) for v in vals], "b string, v bigint")
+        for r in df.select("v", X.decode_decimal_base64("b", 18, 2).alias("d")).collect():
+            assert r.d == Decimal(r.v) / 100
+    check()
