@@ -47,6 +47,24 @@ EVENTS_SPEC = TableSpec(
 )
 
 
+def memo(fn):
+    """Build a lazy DataFrame once per (session, arguments).  Only the plan
+    object is reused (DataFrames are immutable); every action still reads
+    and computes from the tables.  Saves the driver-side construction
+    (py4j calls, analysis) when many queries share an input."""
+    cache: dict = {}
+
+    def wrapper(spark, *args):
+        k = (id(spark._jsparkSession), args)
+        if k not in cache:
+            cache[k] = fn(spark, *args)
+        return cache[k]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@memo
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
@@ -97,6 +115,7 @@ def envelopes(ev: DataFrame) -> DataFrame:
                        F.col("event_id").alias("lsn"), F.explode(copies).alias("copy"))
 
 
+@memo
 def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     return envelopes(read(spark, sf_dir, "events"))

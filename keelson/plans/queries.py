@@ -31,21 +31,25 @@ def _ntz(df: DataFrame, col: str = "kafka_timestamp", out: str = "kafka_ts") ->
     return df.withColumn(out, F.col(col).cast("timestamp_ntz")).drop(col) if col in df.columns else df
 
 
+@fx.memo
 def bronze(spark, sf) -> DataFrame:
     """Parsed change log in the captured form (deletes and bad messages out)."""
     return cdc.parse_envelope(fx.cdc_raw(spark, sf), fx.EVENTS_SPEC)
 
 
+@fx.memo
 def ledger(spark, sf) -> DataFrame:
     """Bronze with repeated deliveries removed (one row per change)."""
     return cdc.dedupe_changes(bronze(spark, sf), fx.EVENTS_SPEC)
 
 
+@fx.memo
 def all_changes(spark, sf) -> DataFrame:
     """Every parsed change, deletes included, one row per change."""
     return cdc.dedupe_changes(raw_changes(spark, sf), fx.EVENTS_SPEC)
 
 
+@fx.memo
 def raw_changes(spark, sf) -> DataFrame:
     """Every parsed change as delivered (repeats included).  Current-state
     aggregates read this directly: a repeated delivery is an identical row,
@@ -72,6 +76,7 @@ def q_cdc_current_state_agg(spark, sf):
     return cdc.current_state(bronze(spark, sf), fx.EVENTS_SPEC).select(*STATE_COLS)
 
 
+@fx.memo
 def checked_current(spark, sf) -> DataFrame:
     return Q.check(cdc.current_state(bronze(spark, sf), fx.EVENTS_SPEC), fx.EVENTS_SPEC.rules)
 
@@ -91,6 +96,7 @@ def q_quality_split_quarantine(spark, sf):
                              "quarantine_reason", "failed_rules")
 
 
+@fx.memo
 def dim_customer(spark, sf) -> DataFrame:
     src = fx.active_customers(spark, sf).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return dims.dense_key(src, ["c_custkey"], "customer_key")
@@ -135,6 +141,7 @@ def q_cdc_change_diff(spark, sf):
 
 # ------------------------------------------------------------ quality ----
 
+@fx.memo
 def checked_ledger(spark, sf) -> DataFrame:
     return Q.check(ledger(spark, sf), fx.EVENTS_SPEC.rules)
 
@@ -252,6 +259,7 @@ def q_dim_surrogate_key(spark, sf):
     return dim_customer(spark, sf)
 
 
+@fx.memo
 def dim_nation(spark, sf) -> DataFrame:
     return dims.dense_key(fx.read(spark, sf, "nation"), ["n_nationkey"], "nation_key")
 
@@ -271,6 +279,7 @@ def q_dim_renamed_key(spark, sf):
     return dims.rename_key(fx.read(spark, sf, "region"), "r_regionkey", "region_key")
 
 
+@fx.memo
 def dim_supplier(spark, sf) -> DataFrame:
     s = fx.read(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     n = fx.read(spark, sf, "nation").select("n_nationkey", "n_name")

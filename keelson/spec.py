@@ -4,6 +4,7 @@ about one captured table."""
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 from typing import Sequence
 
 from pyspark.sql import types as T
@@ -24,14 +25,15 @@ class TableSpec:
     order: tuple[str, ...] = ("source_ts_ms", "source_lsn", "kafka_timestamp")
     keep_before: bool = True           # parse the before image (deletes, diffs)
 
-    @property
+    @cached_property
     def after_schema(self) -> T.StructType:
+        """Parsed once per spec (DDL parsing goes through the JVM)."""
         return T._parse_datatype_string(self.after_ddl)
 
-    @property
+    @cached_property
     def row_fields(self) -> list[str]:
         return [f.name for f in self.after_schema.fields]
 
-    @property
+    @cached_property
     def value_fields(self) -> list[str]:
         return [f for f in self.row_fields if f not in self.key]
