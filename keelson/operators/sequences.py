@@ -93,5 +93,29 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
                              .otherwise(F.col(f"__llead_{c}")))
     for name in running_sum:
         out = out.withColumn(name, F.col(f"__lsum_{name}") + F.col(f"__carry_{name}"))
-    drop = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*drop)
+    internal = {"__pid", "__rn", "__last", "__prevlast", "__nextfirst"}
+    internal |= {f"__llag_{c}" for c in lag} | {f"__llead_{c}" for c in lead}
+    internal |= {f"__{p}_{n_}" for n_ in running_sum for p in ("m", "lsum", "carry")}
+    return out.drop(*[c for c in out.columns if c in internal])
+
+
+def sessions(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int, tie: Sequence[str] = (),
+             aggs: Sequence[Column] = ()) -> DataFrame:
+    """Gap-based sessions per key in batch, balanced under hot keys.
+
+    Same result as ``groupBy(key, session_window(ts, gap))``: a session
+    continues while the next event is less than ``gap`` after the previous
+    one; ``session_end`` = last event + gap.  Two ordered scans (previous
+    event time, then a running count of session starts give each row its
+    session number) and one aggregate per (key, session) with map-side
+    partial aggregation."""
+    order = [ts, *tie]
+    gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
+    step1 = ordered_scan(df, key, order, lag=[ts])
+    starts = step1.withColumn("session_starts", F.when(F.col(f"lag_{ts}").isNull()
+                                                       | (F.col(ts) >= F.col(f"lag_{ts}") + gap), 1).otherwise(0))
+    numbered = ordered_scan(starts.drop(f"lag_{ts}"), key, order,
+                            running_sum={"session_no": F.col("session_starts")})
+    return (numbered.groupBy(*key, "session_no")
+            .agg(F.min(ts).alias("session_start"), (F.max(ts) + gap).alias("session_end"), *aggs)
+            .drop("session_no"))

@@ -82,10 +82,12 @@ def q_window_sliding_counts(spark, sf):
 
 @query("session_counts")
 def q_session_counts(spark, sf):
-    """Batch form: per-user sessions closed by 30 minutes of inactivity."""
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    """Batch form: per-user sessions closed by 30 minutes of inactivity
+    (skew-safe ordered scans; ``windows.session_agg`` is the streaming form
+    and gives the same rows, see tests)."""
+    from keelson.operators.sequences import sessions
     ev = fx.read(spark, sf, "events")
-    return windows.session_agg(ev, "ts", "30 minutes", ["user_id"], [F.count(F.lit(1)).alias("n_events")])
+    return sessions(ev, ["user_id"], "ts", 30 * 60, tie=["event_id"], aggs=[F.count(F.lit(1)).alias("n_events")])
 
 
 def _two_deliveries(spark, sf, first_late: bool):

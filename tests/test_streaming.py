@@ -55,3 +55,15 @@ def test_first_mode_keeps_one_row_per_key(spark):
     _run(spark, landing, out, ck, dedupe="first")
     got = spark.read.parquet(out)
     assert got.count() == got.select("entity_id").distinct().count()
+
+
+def test_sessions_match_session_window(spark):
+    from keelson.operators.sequences import sessions
+    from keelson.streaming import windows
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    a = sessions(ev, ["user_id"], "ts", 1800, tie=["event_id"], aggs=[F.count(F.lit(1)).alias("n")])
+    b = windows.session_agg(ev, "ts", "30 minutes", ["user_id"], [F.count(F.lit(1)).alias("n")])
+    cols = ["user_id", "session_start", "session_end", "n"]
+    assert a.count() == b.count()
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
