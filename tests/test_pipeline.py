@@ -57,3 +57,26 @@ def test_rocksdb_state_store_runs(spark):
                 spark.conf.set(k, v)
     got = spark.read.parquet(out)
     assert got.count() == got.select("entity_id", "source_lsn").distinct().count() > 0
+
+
+def test_upsert_rewrites_only_touched_buckets(spark):
+    import os
+
+    from keelson.operators import cdc
+    from keelson.operators import incremental as I
+    from keelson.session import local_path
+    ch = cdc.parse_changes(fx.cdc_raw(spark, SF_SMALL), fx.EVENTS_SPEC).drop("_before", "_no_before")
+    path = scratch_path(spark, "state")
+    I.upsert_table(spark, path, ch, fx.EVENTS_SPEC, buckets=8)
+    one_key = ch.filter(F.col("entity_id") == 7)
+    listing = {d: sorted(os.listdir(os.path.join(local_path(path), d)))
+               for d in os.listdir(local_path(path)) if d.startswith(I.BUCKET)}
+    touched = I.upsert_table(spark, path, one_key, fx.EVENTS_SPEC, buckets=8)
+    assert len(touched) == 1
+    after = {d: sorted(os.listdir(os.path.join(local_path(path), d)))
+             for d in os.listdir(local_path(path)) if d.startswith(I.BUCKET)}
+    changed = {d for d in listing if listing[d] != after.get(d)}
+    assert changed == {f"{I.BUCKET}={touched[0]}"}
+    full = cdc.current_state_with_deletes(ch, fx.EVENTS_SPEC).select("entity_id", "source_lsn")
+    got = I.read_current(spark, path).select("entity_id", "source_lsn")
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
