@@ -52,7 +52,10 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
     for f in spec.after_schema.fields:
         if f.name in spec.decimals:
             p, s = spec.decimals[f.name]
-            out.append(decode_decimal_base64(img[f.name], p, s).alias(f.name))
+            if spec.decimal_encoding == "base64":
+                out.append(decode_decimal_base64(img[f.name], p, s).alias(f.name))
+            else:
+                out.append(img[f.name].try_cast(f"decimal({p},{s})").alias(f.name))
         else:
             out.append(img[f.name].alias(f.name))
     return out

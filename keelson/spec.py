@@ -18,8 +18,11 @@ class TableSpec:
     key: tuple[str, ...]               # business key inside the row image
     after_ddl: str                     # row image, e.g. "id bigint, status string"
     source_system: str = "source"      # literal lineage column
-    # row-image fields that arrive as base64 two's-complement decimals
-    decimals: dict = field(default_factory=dict)   # field -> (precision, scale)
+    # row-image fields that arrive as decimals: field -> (precision, scale);
+    # encoded as base64 two's complement ("base64", the capture tool's precise
+    # mode) or as plain numbers / numeric strings ("string")
+    decimals: dict = field(default_factory=dict)
+    decimal_encoding: str = "base64"
     rules: Sequence[Rule] = ()
     # change order, latest last: (commit time, log position, transport time)
     order: tuple[str, ...] = ("source_ts_ms", "source_lsn", "kafka_timestamp")
