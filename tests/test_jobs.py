@@ -111,3 +111,24 @@ def test_gold_star(spark):
           for r in written["fact_flight_operations"].collect()}
     assert ff == {"F1": (1, 0, True, "E190"), "F2": (0, None, False, None)}
     assert written["dim_aircraft"].first().model_name == "E190"
+
+
+def test_cli_silver(spark, tmp_path_factory):
+    from keelson.__main__ import main
+    from keelson.sinks import tables as sinks
+    b = lambda i, s: {"booking_id": i, "customer_id": 1, "booking_reference": "R", "booking_status": s,
+                      "booking_channel": "WEB", "currency": "KES"}
+    bronze = cdc.parse_changes(_msgs(spark, [("r", b(1, "PENDING"), None, 1, 1), ("r", b(2, "NOPE"), None, 1, 2)]),
+                               P.BOOKINGS)
+    base = scratch_path(spark, "cli")
+    sinks.overwrite(bronze, f"{base}/bronze")
+    # the CLI reuses the active session (getOrCreate) and must not stop it here
+    import keelson.__main__ as M
+    stop = type(spark).stop
+    try:
+        type(spark).stop = lambda self: None
+        assert main(["silver", "--table", "bookings", "--bronze", f"{base}/bronze", "--out", base]) == 0
+    finally:
+        type(spark).stop = stop
+    assert sinks.read(spark, f"{base}/silver_bookings").count() == 1
+    assert sinks.read(spark, f"{base}/silver_quarantine_bookings").count() == 1
