@@ -55,10 +55,12 @@ def memo(fn):
     cache: dict = {}
 
     def wrapper(spark, *args):
-        k = (id(spark._jsparkSession), args)
-        if k not in cache:
-            cache[k] = fn(spark, *args)
-        return cache[k]
+        # the entry keeps its session alive, so an id() cannot be recycled
+        k = (id(spark), args)
+        hit = cache.get(k)
+        if hit is None or hit[0] is not spark:
+            hit = cache[k] = (spark, fn(spark, *args))
+        return hit[1]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper

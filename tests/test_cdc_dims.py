@@ -91,3 +91,25 @@ def test_scd2_forms_agree(spark):
     cols = ["entity_id", "status", "source_lsn", "valid_from", "valid_to", "is_current"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
     assert a.count() == b.count()
+
+
+def test_binary_kafka_value_parses(spark):
+    raw = spark.createDataFrame(
+        [(bytearray(b'{"payload":{"after":{"entity_id":5,"status":"view"},"source":{"ts_ms":1,"lsn":9},"op":"u"}}'),)],
+        "value binary").withColumn("timestamp", F.current_timestamp())
+    r = cdc.parse_envelope(raw, fx.EVENTS_SPEC).first()
+    assert (r.entity_id, r.status, r.source_lsn) == (5, "view", 9)
+
+
+def test_jdbc_options_partitioned(monkeypatch):
+    import pytest
+
+    from keelson.sources.tables import jdbc_options
+    monkeypatch.setenv("JDBC_USER", "u")
+    monkeypatch.delenv("JDBC_PASSWORD", raising=False)
+    o = jdbc_options("jdbc:x://h/db", "customers", partition_column="customer_id", lower=1, upper=300,
+                     num_partitions=4)
+    assert o["user"] == "u" and "password" not in o
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("customer_id", "1", "300", "4")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x://h/db", "t", partition_column="id")
