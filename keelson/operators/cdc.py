@@ -153,9 +153,11 @@ def sample(bronze: DataFrame, n: int, order: Sequence[str], text_cols: dict[str,
 
 
 def dedupe_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Drop repeated deliveries of the same change: one row per (key, log
-    position).  The pair is near-unique, so the shuffle is balanced."""
-    return changes.dropDuplicates([*spec.key, "source_lsn"])
+    """Drop repeated deliveries of the same change: one row per (key,
+    change id).  The change id is the log position plus commit time,
+    transaction and operation, so sources that send no log position still
+    keep every version.  Near-unique, so the shuffle is balanced."""
+    return changes.dropDuplicates([*spec.key, *spec.change_id])
 
 
 def _order_struct(order: Sequence[str]) -> Column:

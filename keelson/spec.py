@@ -27,6 +27,9 @@ class TableSpec:
     # change order, latest last: (commit time, log position, transport time)
     order: tuple[str, ...] = ("source_ts_ms", "source_lsn", "kafka_timestamp")
     keep_before: bool = True           # parse the before image (deletes, diffs)
+    # what identifies one change (a repeated delivery repeats all of these):
+    # the log position when the source sends it, else commit time + tx + op
+    change_id: tuple[str, ...] = ("source_lsn", "source_ts_ms", "source_tx_id", "cdc_operation")
 
     @cached_property
     def after_schema(self) -> T.StructType:

@@ -26,6 +26,13 @@ def kafka_source(spark: SparkSession, options: dict) -> DataFrame:
     return spark.readStream.format("kafka").options(**opts).load()
 
 
+def kafka_batch(spark: SparkSession, options: dict) -> DataFrame:
+    """Bounded read of change topics, earliest to latest offsets (a
+    diagnostic or backfill run over what the topics hold now)."""
+    opts = {"startingOffsets": "earliest", "endingOffsets": "latest", **options}
+    return spark.read.format("kafka").options(**opts).load()
+
+
 def file_source(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                 options: dict | None = None) -> DataFrame:
     """Messages landed as files (a directory that grows): same columns as
@@ -42,7 +49,7 @@ def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes"
 
     ``dedupe``:
     * ``"change"`` (default): drop repeated deliveries of one change,
-      ``dropDuplicatesWithinWatermark(key + log position)``; state is evicted
+      ``dropDuplicatesWithinWatermark(key + change id)``; state is evicted
       once the watermark passes, and every version of a key is kept.
     * ``"first"``: keep only the first event ever seen per key,
       ``dropDuplicates(key)``; its state is never evicted and later versions
@@ -51,7 +58,7 @@ def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes"
     """
     b = cdc.parse_envelope(raw, spec).withWatermark("kafka_timestamp", watermark)
     if dedupe == "change":
-        b = b.dropDuplicatesWithinWatermark([*spec.key, "source_lsn"])
+        b = b.dropDuplicatesWithinWatermark([*spec.key, *spec.change_id])
     elif dedupe == "first":
         b = b.dropDuplicates(list(spec.key))
     elif dedupe is not None:
