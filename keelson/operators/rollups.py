@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import hash_fraction_keep, in_comma_list, weekday_code
+from keelson.operators.joins import checked_broadcast, range_lookup
 from keelson.operators.sequences import ordered_scan
 
 
@@ -62,18 +63,10 @@ def running_balance(ledger: DataFrame, account: str, order: Sequence[str], signe
     return ledger.withColumn(out, F.sum(signed).over(w))
 
 
-def tier_bands(tiers: DataFrame, min_col: str = "min_miles") -> DataFrame:
-    """Thresholds -> half-open bands [min, next min)."""
-    w = Window.orderBy(F.col(min_col))   # a literal table of a few rows
-    return tiers.withColumn("__upper", F.lead(F.col(min_col)).over(w))
-
-
 def assign_tier(totals: DataFrame, amount_col: str, tiers: DataFrame, min_col: str = "min_miles") -> DataFrame:
-    """Highest tier whose minimum is <= the amount: a range join against the
-    broadcast band table (fixed size), each amount falls in exactly one band."""
-    bands = F.broadcast(tier_bands(tiers, min_col))
-    cond = (F.col(amount_col) >= F.col(min_col)) & (F.col("__upper").isNull() | (F.col(amount_col) < F.col("__upper")))
-    return totals.join(bands, cond, "left").drop("__upper")
+    """Highest tier whose minimum is <= the amount (a range lookup: broadcast
+    band join behind a size check, as-of lookup beyond it)."""
+    return range_lookup(totals, amount_col, tiers, min_col)
 
 
 def last_status_counts(events: DataFrame, key: str, order: Sequence[str], status: str,
@@ -99,8 +92,8 @@ def transitions(events: DataFrame, key: str, order: Sequence[str], status: str,
 def transition_counts(trans: DataFrame, allowed: DataFrame) -> DataFrame:
     """Counts per (from, to) with an allowed flag from a literal table."""
     counts = trans.groupBy("from_status", "to_status").agg(F.count(F.lit(1)).alias("n_transitions"))
-    a = F.broadcast(allowed.select(F.col("from_status").alias("__f"), F.col("to_status").alias("__t"),
-                                   F.lit(True).alias("__ok")))
+    a = checked_broadcast(allowed.select(F.col("from_status").alias("__f"), F.col("to_status").alias("__t"),
+                                         F.lit(True).alias("__ok")))
     j = counts.join(a, F.col("from_status").eqNullSafe(F.col("__f")) & (F.col("to_status") == F.col("__t")), "left")
     return j.select("from_status", "to_status", "n_transitions",
                     F.coalesce(F.col("__ok"), F.lit(False)).alias("is_allowed"))
@@ -145,8 +138,8 @@ def usage_due(usage: DataFrame, schedules: DataFrame, model_col: str, hours: str
     """Maintenance occurrences due by accumulated usage: per (unit, check
     type) ``n = max(floor(hours / interval_h), floor(cycles / interval_c))``,
     at most ``max_occurrences``; one row per occurrence 1..n.  The schedule
-    table is small and fixed (types x models), so it is broadcast."""
-    j = usage.join(F.broadcast(schedules), model_col)
+    table (types x models) is broadcast when it passes the size check."""
+    j = usage.join(checked_broadcast(schedules), model_col)
     by_h = F.when(F.col("interval_flight_hours") > 0, F.floor(F.col(hours) / F.col("interval_flight_hours"))).otherwise(0)
     by_c = F.when(F.col("interval_flight_cycles") > 0, F.floor(F.col(cycles) / F.col("interval_flight_cycles"))).otherwise(0)
     n = F.least(F.greatest(by_h, by_c), F.lit(max_occurrences)).cast("int")

@@ -113,3 +113,18 @@ def test_jdbc_options_partitioned(monkeypatch):
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("customer_id", "1", "300", "4")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_range_lookup_fallback_equals_broadcast(spark):
+    from keelson.operators.joins import range_lookup
+    from keelson.plans import fixtures as fx2
+    vals = spark.createDataFrame([(i, v) for i, v in enumerate([-5, 0, 1, 24999, 25000, 74999, 75000, 150000, 10 ** 7])],
+                                 "id int, miles bigint")
+    tiers = fx2.tiers_df(spark)
+    a = range_lookup(vals, "miles", tiers, "min_miles")
+    b = range_lookup(vals, "miles", tiers, "min_miles", max_rows=0)   # force the as-of path
+    got_a = sorted((r.id, r.tier_name) for r in a.collect())
+    got_b = sorted((r.id, r.tier_name) for r in b.collect())
+    assert got_a == got_b
+    assert dict(got_a) == {0: None, 1: "Bronze", 2: "Bronze", 3: "Bronze", 4: "Silver", 5: "Silver", 6: "Gold",
+                           7: "Platinum", 8: "Platinum"}
