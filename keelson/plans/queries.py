@@ -227,21 +227,20 @@ def q_stamp_processed_at(spark, sf):
 
 @query("stage_row_counts")
 def q_stage_row_counts(spark, sf):
-    """Row count per pipeline stage.  Stages share their scan and shuffles
-    (Spark reuses identical exchanges), so the log is read once per branch
-    type; in ``plans.pipeline`` the counts come from ``observe`` instead."""
-    raw = fx.cdc_raw(spark, sf)
-    b = cdc.parse_envelope(raw, fx.EVENTS_SPEC)
-    led = cdc.dedupe_changes(b, fx.EVENTS_SPEC)
-    cur = cdc.current_state(led, fx.EVENTS_SPEC)
-    valid, quarantine = Q.split(Q.check(cur, fx.EVENTS_SPEC.rules))
-    stages = [("raw_messages", raw), ("bronze_rows", b), ("changes", led), ("current_state", cur),
-              ("silver_valid", valid), ("quarantine", quarantine)]
-    out = None
-    for name, df in stages:
-        c = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
-        out = c if out is None else out.unionByName(c)
-    return out
+    """Row count per pipeline stage from one pass: each stage carries an
+    ``observe`` and a single action over the last stage fills them all (the
+    reference counts each stage with its own job)."""
+    spec = fx.EVENTS_SPEC
+    raw, o_raw = Q.observe_counts(fx.cdc_raw(spark, sf), "raw_messages", {})
+    b, o_b = Q.observe_counts(cdc.parse_envelope(raw, spec), "bronze_rows", {})
+    led, o_led = Q.observe_counts(cdc.dedupe_changes(b, spec), "changes", {})
+    cur, o_cur = Q.observe_counts(cdc.current_state(led, spec), "current_state", {})
+    chk, o_chk = Q.observe_counts(Q.check(cur, spec.rules), "checked", {"valid": F.col("_valid")})
+    chk.write.format("noop").mode("overwrite").save()
+    rows = [("raw_messages", o_raw.get["rows"]), ("bronze_rows", o_b.get["rows"]),
+            ("changes", o_led.get["rows"]), ("current_state", o_cur.get["rows"]),
+            ("silver_valid", o_chk.get["valid"]), ("quarantine", o_chk.get["rows"] - o_chk.get["valid"])]
+    return spark.createDataFrame(rows, "stage string, n_rows bigint")
 
 
 # --------------------------------------------------------- dimensions ----
