@@ -448,3 +448,5 @@ FROM chk c LEFT JOIN dim_customer d ON c.entity_id = d.c_custkey
 WHERE has_valid_status AND has_valid_amount AND has_note"""
 
 SQL["table_overwrite_roundtrip"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
+
+SQL["stream_late_side_table"] = f"""WITH {EV} SELECT * FROM ledger WHERE kafka_ts < TIMESTAMP '2024-01-15 00:00:00'"""
