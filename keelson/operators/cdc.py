@@ -18,8 +18,6 @@ from pyspark.sql import types as T
 from keelson.functions.exprs import decode_decimal_base64, struct_diff
 from keelson.spec import TableSpec
 
-META_COLS = ["cdc_operation", "source_ts_ms", "is_snapshot", "source_tx_id", "source_lsn",
-             "kafka_timestamp", "_source_system"]
 
 
 def _image_schema(spec: TableSpec) -> T.StructType:

@@ -86,6 +86,15 @@ def build_dim_aircraft(silver_aircraft: DataFrame, dim_model: DataFrame) -> Data
                     "total_flight_cycles", "is_grounded", "grounded_reason")
 
 
+def build_dim_aircraft_history(bronze_aircraft: DataFrame, spec: TableSpec) -> DataFrame:
+    """Type-2 aircraft dimension from every captured version: a row per
+    change of grounding / usage attributes with validity interval."""
+    versions = bronze_aircraft.filter(F.col("cdc_operation") != "d")
+    attrs = ["model_id", "total_flight_hours", "total_flight_cycles", "is_grounded", "grounded_reason"]
+    h = dims.scd2(versions, list(spec.key), "source_ts_ms", attrs, tie=["source_lsn", "kafka_timestamp"])
+    return h.select(*spec.key, *attrs, "valid_from", "valid_to", "is_current")
+
+
 def build_fact_bookings(silver_bookings: DataFrame, dim_customer: DataFrame) -> DataFrame:
     f = facts.lookup_key(silver_bookings, dim_customer, "customer_id", "customer_id", "customer_key")
     return f.select("booking_id", "customer_key", "booking_reference", "booking_status", "booking_channel",

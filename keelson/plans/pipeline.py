@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.functions.exprs import from_epoch_ms
 from keelson.operators import cdc, dims, facts
 from keelson.operators import quality as Q
 from keelson.sinks import tables as sinks
@@ -47,5 +48,8 @@ def run_pipeline(raw: DataFrame, spec: TableSpec, customers: DataFrame, out: str
     fact, of = Q.observe_counts(
         publish(silver, sinks.read(spark, f"{out}/dim_customer", fmt), spec.key[0], "c_custkey", "customer_key"),
         "fact", {"unmatched": F.col("customer_key").isNull()})
-    sinks.overwrite(fact, f"{out}/fact", fmt)
+    # facts partitioned by month of the change: date filters prune whole folders
+    month = F.date_format(from_epoch_ms("source_ts_ms"), "yyyy-MM")
+    sinks.overwrite(fact.withColumn("change_month", month), f"{out}/fact", fmt, partition_by=["change_month"],
+                    sort_within=[spec.key[0]])
     return {"bronze": ob.get, "silver": oc.get, "fact": of.get}

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators import cdc
 from keelson.plans import fixtures as fx
 from keelson.plans.queries import UPSERT_CUTOFF, query
 from keelson.session import ensure_utc, scratch_path

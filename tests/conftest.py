@@ -16,3 +16,8 @@ def spark():
                       extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="session")
+def spark_session_for_props(spark):
+    return spark

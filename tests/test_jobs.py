@@ -146,3 +146,15 @@ def test_versions_kept_without_log_position(spark):
     ch = cdc.dedupe_changes(cdc.parse_changes(raw, P.FLIGHTS), P.FLIGHTS)
     assert sorted(r.flight_status for r in ch.collect()) == ["BOARDING", "SCHEDULED"]
     assert cdc.current_state(ch, P.FLIGHTS).first().flight_status == "BOARDING"
+
+
+def test_aircraft_history_scd2(spark):
+    a = lambda hrs, g, why: {"aircraft_registration": "XX-A", "model_id": 1, "total_flight_hours": hrs,
+                             "total_flight_cycles": 5, "is_grounded": g, "grounded_reason": why}
+    raw = _msgs(spark, [("r", a("AA==", False, None), None, 1, 1),
+                        ("u", a("AA==", False, None), None, 2, 2),           # no attribute change
+                        ("u", a("AA==", True, "bird strike"), None, 3, 3),
+                        ("u", a("AA==", False, None), None, 4, 4)])
+    h = J.build_dim_aircraft_history(cdc.parse_changes(raw, P.AIRCRAFT), P.AIRCRAFT)
+    rows = sorted((r.valid_from, r.valid_to, r.is_grounded, r.is_current) for r in h.collect())
+    assert rows == [(1, 3, False, False), (3, 4, True, False), (4, None, False, True)]

@@ -80,3 +80,13 @@ def test_upsert_rewrites_only_touched_buckets(spark):
     full = cdc.current_state_with_deletes(ch, fx.EVENTS_SPEC).select("entity_id", "source_lsn")
     got = I.read_current(spark, path).select("entity_id", "source_lsn")
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_fact_partitions_are_pruned(spark):
+    out = scratch_path(spark, "pipe")
+    P.run_pipeline(fx.cdc_raw(spark, SF_SMALL), fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
+    fact = sinks.read(spark, f"{out}/fact")
+    q = fact.filter(F.col("change_month") == "2024-01")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(change_month" in plan
+    assert q.count() == fact.filter(F.col("change_month") == "2024-01").count() > 0
