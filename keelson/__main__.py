@@ -7,6 +7,8 @@
 ``gold`` reads reference tables (airports, customers, fare_classes,
 fare_rules, aircraft_models) and the silver_* tables from ``--tables``
 (one table per sub-folder) and writes dimensions, then facts, to ``--out``.
+A reference table can come over JDBC instead: ``--jdbc airports=URL``
+(repeatable; user / password from JDBC_USER / JDBC_PASSWORD).
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ def main(argv=None) -> int:
     g.add_argument("--tables", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--format", default="parquet")
+    g.add_argument("--jdbc", action="append", default=[], metavar="TABLE=URL")
     args = ap.parse_args(argv)
 
     from keelson.plans import jobs as J
@@ -56,7 +59,12 @@ def main(argv=None) -> int:
         sinks.overwrite(silver, f"{args.out}/silver_{spec.name}", args.format)
         sinks.overwrite(quarantine, f"{args.out}/silver_quarantine_{spec.name}", args.format)
     else:
+        from keelson.sources.tables import read_jdbc
+        jdbc = dict(item.split("=", 1) for item in args.jdbc)
+
         def read(name):
+            if name in jdbc:
+                return read_jdbc(spark, jdbc[name], name)
             base = args.out if name.startswith("dim_") else args.tables
             return sinks.read(spark, f"{base}/{name}", args.format)
 
