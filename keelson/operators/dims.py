@@ -111,28 +111,20 @@ def rename_key(df: DataFrame, natural: str, surrogate: str) -> DataFrame:
 
 
 def scd2(versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str], tie: Sequence[str] = (),
-         skew_safe: bool = True) -> DataFrame:
+         skew_safe: bool | str = "auto") -> DataFrame:
     """Type-2 history from a stream of versions: a new row whenever the
     attribute hash changes; ``valid_from`` = first version time,
     ``valid_to`` = next change time (NULL while current), ``is_current``.
 
-    ``skew_safe`` (default) runs both per-key scans (previous hash, next
-    change time) as range-partitioned ordered scans, so a key with a huge
-    history is split over many tasks; otherwise plain windows per key."""
-    from keelson.operators.sequences import ordered_scan
+    Both per-key scans (previous hash, next change time) go through
+    ``sequences.keyed_scan``: a key with more than a partition's share of
+    the versions is split over many tasks."""
+    from keelson.operators.sequences import keyed_scan
     order = [ts, *tie]
     h = F.xxhash64(*[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs])
     v = versions.withColumn("__h", h)
-    if skew_safe:
-        prev = ordered_scan(v, key, order, lag=["__h"]).withColumnRenamed("lag___h", "__prev")
-    else:
-        w = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
-        prev = v.withColumn("__prev", F.lag("__h").over(w))
+    prev = keyed_scan(v, key, order, lag=["__h"], skew_safe=skew_safe).withColumnRenamed("lag___h", "__prev")
     changes = prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))).drop("__h", "__prev")
-    if skew_safe:
-        nxt = ordered_scan(changes, key, order, lead=[ts]).withColumnRenamed(f"lead_{ts}", "valid_to")
-    else:
-        w = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
-        nxt = changes.withColumn("valid_to", F.lead(F.col(ts)).over(w))
+    nxt = keyed_scan(changes, key, order, lead=[ts], skew_safe=skew_safe).withColumnRenamed(f"lead_{ts}", "valid_to")
     return (nxt.withColumn("valid_from", F.col(ts))
             .withColumn("is_current", F.col("valid_to").isNull()))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from keelson.functions.exprs import hash_fraction_keep, in_comma_list, weekday_code
 from keelson.operators.joins import checked_broadcast, range_lookup
-from keelson.operators.sequences import ordered_scan
+from keelson.operators.sequences import keyed_scan
 
 
 def dec(c, p: int = 18, s: int = 2) -> Column:
@@ -49,18 +49,12 @@ def ledger_balance(ledger: DataFrame, account: str, type_col: str, amount: Colum
 
 
 def running_balance(ledger: DataFrame, account: str, order: Sequence[str], signed: Column,
-                    out: str = "running_balance", skew_safe: bool = True) -> DataFrame:
+                    out: str = "running_balance", skew_safe: bool | str = "auto") -> DataFrame:
     """Available balance after each transaction (cumulative signed sum in
-    time order, ties broken by the following order columns).
-
-    ``skew_safe`` (default) uses the range-partitioned ordered scan, so an
-    account holding a large share of the ledger is split over many tasks;
-    otherwise a plain window per account."""
-    if skew_safe:
-        return ordered_scan(ledger, [account], order, running_sum={out: signed})
-    w = (Window.partitionBy(account).orderBy(*[F.col(c) for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return ledger.withColumn(out, F.sum(signed).over(w))
+    time order, ties broken by the following order columns).  An account
+    holding more than a partition's share of the ledger is split over many
+    tasks (``sequences.keyed_scan``)."""
+    return keyed_scan(ledger, [account], order, running_sum={out: signed}, skew_safe=skew_safe)
 
 
 def assign_tier(totals: DataFrame, amount_col: str, tiers: DataFrame, min_col: str = "min_miles") -> DataFrame:
@@ -80,13 +74,10 @@ def last_status_counts(events: DataFrame, key: str, order: Sequence[str], status
 
 
 def transitions(events: DataFrame, key: str, order: Sequence[str], status: str,
-                skew_safe: bool = True) -> DataFrame:
+                skew_safe: bool | str = "auto") -> DataFrame:
     """Each row with the entity's previous status (NULL for the first)."""
-    if skew_safe:
-        out = ordered_scan(events, [key], order, lag=[status])
-        return out.withColumnRenamed(f"lag_{status}", "from_status").withColumnRenamed(status, "to_status")
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    return events.withColumn("from_status", F.lag(F.col(status)).over(w)).withColumnRenamed(status, "to_status")
+    out = keyed_scan(events, [key], order, lag=[status], skew_safe=skew_safe)
+    return out.withColumnRenamed(f"lag_{status}", "from_status").withColumnRenamed(status, "to_status")
 
 
 def transition_counts(trans: DataFrame, allowed: DataFrame) -> DataFrame:

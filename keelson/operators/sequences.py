@@ -100,7 +100,7 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
 
 
 def sessions(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int, tie: Sequence[str] = (),
-             aggs: Sequence[Column] = ()) -> DataFrame:
+             aggs: Sequence[Column] = (), skew_safe: bool | str = "auto") -> DataFrame:
     """Gap-based sessions per key in batch, balanced under hot keys.
 
     Same result as ``groupBy(key, session_window(ts, gap))``: a session
@@ -111,11 +111,48 @@ def sessions(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int, tie:
     partial aggregation."""
     order = [ts, *tie]
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
-    step1 = ordered_scan(df, key, order, lag=[ts])
+    step1 = keyed_scan(df, key, order, lag=[ts], skew_safe=skew_safe)
     starts = step1.withColumn("session_starts", F.when(F.col(f"lag_{ts}").isNull()
                                                        | (F.col(ts) >= F.col(f"lag_{ts}") + gap), 1).otherwise(0))
-    numbered = ordered_scan(starts.drop(f"lag_{ts}"), key, order,
-                            running_sum={"session_no": F.col("session_starts")})
+    numbered = keyed_scan(starts.drop(f"lag_{ts}"), key, order,
+                          running_sum={"session_no": F.col("session_starts")}, skew_safe=skew_safe)
     return (numbered.groupBy(*key, "session_no")
             .agg(F.min(ts).alias("session_start"), (F.max(ts) + gap).alias("session_end"), *aggs)
             .drop("session_no"))
+
+
+def window_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
+                lag: Sequence[str] = (), lead: Sequence[str] = (),
+                running_sum: dict[str, Column] | None = None) -> DataFrame:
+    """The same columns as ``ordered_scan`` with plain windows per key (one
+    shuffle; every row of a key in one task)."""
+    w = Window.partitionBy(*key).orderBy(*[F.col(c) for c in order])
+    out = df
+    for c in lag:
+        out = out.withColumn(f"lag_{c}", F.lag(F.col(c)).over(w))
+    for c in lead:
+        out = out.withColumn(f"lead_{c}", F.lead(F.col(c)).over(w))
+    for name, expr in (running_sum or {}).items():
+        out = out.withColumn(name, F.sum(expr).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return out
+
+
+def has_hot_key(df: DataFrame, key: Sequence[str], num_partitions: int | None = None) -> bool:
+    """True when one key holds more rows than an even share of a shuffle
+    partition (total / partitions).  One partially aggregated count per key;
+    only two numbers reach the driver."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top, total = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+                  .agg(F.max("__n"), F.sum("__n")).first())
+    return bool(total) and top > max(total / max(n, 1), 1)
+
+
+def keyed_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
+               lag: Sequence[str] = (), lead: Sequence[str] = (),
+               running_sum: dict[str, Column] | None = None, skew_safe: bool | str = "auto") -> DataFrame:
+    """Per-key lag / lead / running sums.  ``skew_safe``: True = always the
+    split scan, False = always plain windows, "auto" = split only when
+    ``has_hot_key`` finds a key larger than a partition's share."""
+    split = skew_safe is True or (skew_safe == "auto" and has_hot_key(df, key))
+    fn = ordered_scan if split else window_scan
+    return fn(df, key, order, lag=lag, lead=lead, running_sum=running_sum)

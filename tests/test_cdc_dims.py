@@ -128,3 +128,15 @@ def test_range_lookup_fallback_equals_broadcast(spark):
     assert got_a == got_b
     assert dict(got_a) == {0: None, 1: "Bronze", 2: "Bronze", 3: "Bronze", 4: "Silver", 5: "Silver", 6: "Gold",
                            7: "Platinum", 8: "Platinum"}
+
+
+def test_hot_key_detection_and_auto_scan(spark):
+    from keelson.operators.sequences import has_hot_key, keyed_scan
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))
+    assert not has_hot_key(ev, ["user_id"], 8)
+    assert has_hot_key(hot, ["user_id"], 8)
+    a = keyed_scan(hot, ["user_id"], ["ts", "event_id"], lag=["event_type"], skew_safe="auto")
+    b = keyed_scan(hot, ["user_id"], ["ts", "event_id"], lag=["event_type"], skew_safe=False)
+    cols = ["event_id", "lag_event_type"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
