@@ -34,7 +34,7 @@ class TableSpec:
     @cached_property
     def after_schema(self) -> T.StructType:
         """Parsed once per spec (DDL parsing goes through the JVM)."""
-        return T._parse_datatype_string(self.after_ddl)
+        return T.StructType.fromDDL(self.after_ddl)
 
     @cached_property
     def row_fields(self) -> list[str]:
