@@ -23,11 +23,15 @@ from keelson.streaming import ingest, runner
 
 
 def bronze_query(raw_stream: DataFrame, spec: TableSpec, path: str, checkpoint: str,
-                 trigger: dict | None = None, dedupe: str | None = "change", watermark: str = "10 minutes"):
+                 trigger: dict | None = None, dedupe: str | None = "change", watermark: str = "10 minutes",
+                 state_partitions: int | None = None):
     """Start the Bronze ingest of one table (production trigger:
-    ``{"processingTime": "10 seconds"}``; default ``availableNow``)."""
+    ``{"processingTime": "10 seconds"}``; default ``availableNow``).
+    ``state_partitions`` sizes the dedupe state store at the first start
+    (the checkpoint pins it afterwards)."""
     b = ingest.bronze_stream(raw_stream, spec, watermark=watermark, dedupe=dedupe)
-    return runner.start_file_sink(b, path, checkpoint, trigger=trigger, name=f"bronze_{spec.name}")
+    return runner.start_file_sink(b, path, checkpoint, trigger=trigger, name=f"bronze_{spec.name}",
+                                  state_partitions=state_partitions)
 
 
 def silver(bronze: DataFrame, spec: TableSpec, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:

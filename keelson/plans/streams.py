@@ -18,6 +18,10 @@ EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type s
 MSG_SCHEMA = "value string, timestamp timestamp, lsn bigint, copy int"
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events file as a stream, spread over the cores like a keyed change
     topic: all changes of one key in one partition, in delivery order (what
@@ -35,7 +39,8 @@ def _run_ingest(spark, sf, dedupe: str) -> DataFrame:
     ensure_utc(spark)
     raw = fx.envelopes(_events_stream(spark, sf))
     out, ck = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
-    runner.run_to_end(runner.start_file_sink(ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe=dedupe), out, ck))
+    runner.run_to_end(runner.start_file_sink(ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe=dedupe), out, ck,
+                                                 state_partitions=_cores(spark)))
     return spark.read.parquet(out)
 
 
@@ -66,7 +71,7 @@ def q_stream_window_counts(spark, sf):
                               F.sum(F.col("value").cast("decimal(12,2)")).cast("decimal(18,2)").alias("total_value")],
                              by=["event_type"], watermark="10 minutes")
     out, ck = scratch_path(spark, "windows"), scratch_path(spark, "windows-ckpt")
-    runner.run_to_end(runner.start_file_sink(agg, out, ck))
+    runner.run_to_end(runner.start_file_sink(agg, out, ck, state_partitions=_cores(spark)))
     return (spark.read.parquet(out)
             .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
             .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
@@ -105,7 +110,7 @@ def _two_deliveries(spark, sf, first_late: bool):
     def run():
         raw = ingest.file_source(spark, f"{landing}/*", MSG_SCHEMA)
         return runner.run_to_end(runner.start_file_sink(
-            ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe="change"), out, ck))
+            ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe="change"), out, ck, state_partitions=_cores(spark)))
 
     q1 = run()
     b.write.parquet(f"{landing}/b")

@@ -2,15 +2,33 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
+@contextmanager
+def _shuffle_partitions(spark, n: int | None):
+    """A streaming query fixes its state-store partition count from the
+    session at its first start (then the checkpoint pins it).  Size it to
+    the cluster's cores, not the batch default, while the query starts."""
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
                     output_mode: str = "append", trigger: dict | None = None,
-                    partition_by: list[str] | None = None, name: str | None = None) -> StreamingQuery:
+                    partition_by: list[str] | None = None, name: str | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
     """Append to a file table.  The file sink's own log records each batch,
     so a restart from ``checkpoint`` never duplicates rows.  Default trigger
     is ``availableNow`` (process what is there, then stop); production
@@ -22,14 +40,17 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str, fmt: str = "parqu
     if name:
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    with _shuffle_partitions(df.sparkSession, state_partitions):
+        return w.start()
 
 
 def start_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                        trigger: dict | None = None, output_mode: str = "append") -> StreamingQuery:
+                        trigger: dict | None = None, output_mode: str = "append",
+                        state_partitions: int | None = None) -> StreamingQuery:
     w = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .outputMode(output_mode).trigger(**(trigger or {"availableNow": True})))
-    return w.start()
+    with _shuffle_partitions(df.sparkSession, state_partitions):
+        return w.start()
 
 
 def run_to_end(q: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
