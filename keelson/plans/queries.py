@@ -214,7 +214,12 @@ def q_quarantine_reason(spark, sf):
 
 @query("quality_reconcile")
 def q_quality_reconcile(spark, sf):
-    led = ledger(spark, sf)
+    """valid + quarantine = input, checked on stored data: the ledger is
+    materialised once (checkpoint), so the three sides are scans of it
+    rather than three re-parses of the log."""
+    from keelson.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    led = ledger(spark, sf).checkpoint(eager=True)
     valid, quarantine = Q.split(Q.check(led, fx.EVENTS_SPEC.rules))
     return Q.reconcile(led, valid.select(*led.columns), quarantine.select(*led.columns))
 
