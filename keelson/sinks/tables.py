@@ -46,3 +46,22 @@ def read(spark, path: str, fmt: str = "parquet") -> DataFrame:
 def with_month(df: DataFrame, ts_col: str, out: str = "month") -> DataFrame:
     """Month partition column (yyyy-MM) for fact tables."""
     return df.withColumn(out, F.date_format(F.col(ts_col), "yyyy-MM"))
+
+
+def compact(spark, src: str, dst: str, target_files: int, fmt: str = "parquet",
+            cluster_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
+    """Rewrite a table of many small files (streaming appends, per-batch
+    partitions) into ``target_files`` files per output partition.  With
+    ``cluster_by`` the rows are range-partitioned and sorted on those
+    columns, which keeps per-file min/max statistics tight for data
+    skipping.  Without a transactional format the result goes to a new
+    location (``dst``); readers switch to it once it is written."""
+    df = spark.read.format(fmt).load(src)
+    if cluster_by:
+        df = df.repartitionByRange(target_files, *cluster_by).sortWithinPartitions(*cluster_by)
+    else:
+        df = df.repartition(target_files)
+    w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(dst)

@@ -90,3 +90,14 @@ def test_fact_partitions_are_pruned(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(change_month" in plan
     assert q.count() == fact.filter(F.col("change_month") == "2024-01").count() > 0
+
+
+def test_compact_small_files(spark):
+    import glob
+
+    from keelson.session import local_path
+    src, dst = scratch_path(spark, "small"), scratch_path(spark, "compacted")
+    spark.range(0, 5000, numPartitions=40).write.parquet(src)
+    sinks.compact(spark, src, dst, target_files=2, cluster_by=["id"])
+    assert len(glob.glob(f"{local_path(dst)}/*.parquet")) == 2
+    assert sinks.read(spark, dst).count() == 5000
