@@ -1,6 +1,6 @@
 """ingest -> refine -> publish, as DataFrame functions with I/O at the edges.
 
-``run_pipeline`` writes Bronze, Silver + Quarantine (one job, partitioned by
+``run_layers`` writes Bronze, Silver + Quarantine (one job, partitioned by
 ``_valid``), a customer dimension and the fact, in dependency order, and
 returns row counts gathered with ``observe`` during the writes (no extra
 counting passes)."""
@@ -35,7 +35,7 @@ def publish(silver: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key:
     return facts.lookup_key(silver, dim, fact_col, dim_col, key)
 
 
-def run_pipeline(raw: DataFrame, spec: TableSpec, customers: DataFrame, out: str, fmt: str = "parquet") -> dict:
+def run_layers(raw: DataFrame, spec: TableSpec, customers: DataFrame, out: str, fmt: str = "parquet") -> dict:
     spark = raw.sparkSession
     bronze, ob = Q.observe_counts(ingest(raw, spec), "bronze", {})
     sinks.overwrite(bronze.drop("_before"), f"{out}/bronze", fmt)

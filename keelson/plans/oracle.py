@@ -438,7 +438,7 @@ SQL["stream_multi_table"] = f"""WITH {EV}
 SELECT 'events' AS table_name, entity_id AS entity_key, source_lsn FROM ledger
 UNION ALL SELECT 'orders', o_orderkey, o_orderkey FROM orders"""
 
-SQL["pipeline_end_to_end"] = f"""WITH {EV}, {DIM_CUSTOMER.strip()},
+SQL["end_to_end_star"] = f"""WITH {EV}, {DIM_CUSTOMER.strip()},
 cur AS (SELECT * FROM (SELECT * FROM changes
         QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY source_ts_ms DESC, source_lsn DESC, kafka_ts DESC) = 1)
         WHERE cdc_operation <> 'd'),

@@ -604,13 +604,13 @@ def q_mart_daily_rollup(spark, sf):
 from keelson.plans import streams as _streams  # noqa: E402,F401
 
 
-# ----------------------------------------------------------- pipeline ----
+# -------------------------------------------------------- end to end ----
 
-@query("pipeline_end_to_end")
-def q_pipeline_end_to_end(spark, sf):
+@query("end_to_end_star")
+def q_end_to_end_star(spark, sf):
     """ingest -> refine -> publish: the fact of current, valid entities with
     the customer surrogate key."""
-    from keelson.plans import pipeline as P
+    from keelson.plans import layers as P
     checked = P.refine(P.ingest(fx.cdc_raw(spark, sf), fx.EVENTS_SPEC, dedupe=False), fx.EVENTS_SPEC)
     valid, _ = Q.split(checked)
     fact = P.publish(valid, dim_customer(spark, sf), "entity_id", "c_custkey", "customer_key")

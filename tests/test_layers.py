@@ -1,17 +1,17 @@
 from pyspark.sql import functions as F
 
 from keelson.plans import fixtures as fx
-from keelson.plans import pipeline as P
+from keelson.plans import layers as P
 from keelson.session import scratch_path
 from keelson.sinks import tables as sinks
 
 from conftest import SF_SMALL
 
 
-def test_run_pipeline_writes_and_counts(spark):
+def test_run_layers_writes_and_counts(spark):
     out = scratch_path(spark, "pipe")
     raw = fx.cdc_raw(spark, SF_SMALL)
-    counts = P.run_pipeline(raw, fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
+    counts = P.run_layers(raw, fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
     bronze = sinks.read(spark, f"{out}/bronze")
     silver = sinks.read(spark, f"{out}/silver")
     fact = sinks.read(spark, f"{out}/fact")
@@ -24,7 +24,7 @@ def test_run_pipeline_writes_and_counts(spark):
     assert counts["fact"]["unmatched"] == fact.filter(F.col("customer_key").isNull()).count()
     # idempotent re-run: same content
     before = sorted(tuple(r) for r in fact.collect())
-    P.run_pipeline(raw, fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
+    P.run_layers(raw, fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
     again = sorted(tuple(r) for r in sinks.read(spark, f"{out}/fact").collect())
     assert again == before
 
@@ -84,7 +84,7 @@ def test_upsert_rewrites_only_touched_buckets(spark):
 
 def test_fact_partitions_are_pruned(spark):
     out = scratch_path(spark, "pipe")
-    P.run_pipeline(fx.cdc_raw(spark, SF_SMALL), fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
+    P.run_layers(fx.cdc_raw(spark, SF_SMALL), fx.EVENTS_SPEC, spark.read.parquet(f"{SF_SMALL}/customer.parquet"), out)
     fact = sinks.read(spark, f"{out}/fact")
     q = fact.filter(F.col("change_month") == "2024-01")
     plan = q._jdf.queryExecution().executedPlan().toString()
