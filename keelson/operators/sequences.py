@@ -83,8 +83,11 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
             F.sum(f"__tot_{name}").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     carry = carry.drop("__lastrow", "__firstrow", *[f"__tot_{n_}" for n_ in running_sum])
 
-    j = loc.join(carry, ["__pid", *key], "left")
-    out = j
+    # NULL is a key like any other here: join on null-safe equality
+    carry = carry.select(*[F.col(c).alias(f"__ck_{c}") for c in ["__pid", *key]],
+                         *[c for c in carry.columns if c not in ("__pid", *key)])
+    cond = [F.col(c).eqNullSafe(F.col(f"__ck_{c}")) for c in ["__pid", *key]]
+    out = loc.join(carry, cond, "left").drop(*[f"__ck_{c}" for c in ["__pid", *key]])
     for c in lag:
         out = out.withColumn(f"lag_{c}", F.when(F.col("__rn") == 1, F.col("__prevlast")[c])
                              .otherwise(F.col(f"__llag_{c}")))

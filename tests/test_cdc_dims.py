@@ -140,3 +140,13 @@ def test_hot_key_detection_and_auto_scan(spark):
     b = keyed_scan(hot, ["user_id"], ["ts", "event_id"], lag=["event_type"], skew_safe=False)
     cols = ["event_id", "lag_event_type"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_ordered_scan_null_key_spanning_slices(spark):
+    from keelson.operators.sequences import ordered_scan, window_scan
+    df = spark.range(0, 400).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit(1)).cast("int").alias("k"),
+                                    F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
+    a = ordered_scan(df, ["k"], ["t"], lag=["v"], lead=["v"], running_sum={"s": F.col("v")}, num_partitions=8)
+    b = window_scan(df, ["k"], ["t"], lag=["v"], lead=["v"], running_sum={"s": F.col("v")})
+    cols = ["k", "t", "lag_v", "lead_v", "s"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == 400
