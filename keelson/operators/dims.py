@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import date_key
+from keelson.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def calendar_from_bounds(bounds: DataFrame, start_col: str = "start", end_col: str = "end") -> DataFrame:
@@ -49,10 +50,9 @@ def dense_key(df: DataFrame, key_cols: Sequence[str], name: str, num_partitions:
     The business key must be unique; the result does not depend on the
     partition count.
     """
-    from keelson.session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(spark)
     pos = (df.repartitionByRange(n, *key_cols).sortWithinPartitions(*key_cols)
            .withColumn("__pid", F.spark_partition_id())
            .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))

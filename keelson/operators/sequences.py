@@ -30,6 +30,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.session import ensure_checkpoint_dir, shuffle_partitions
+
 
 def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
                  lag: Sequence[str] = (), lead: Sequence[str] = (),
@@ -38,11 +40,10 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
     """Adds ``lag_<c>`` for ``c`` in ``lag``, ``lead_<c>`` for ``c`` in
     ``lead`` and one column per ``running_sum`` entry (inclusive running sum
     of the expression), all per ``key`` in ``order``."""
-    from keelson.session import ensure_checkpoint_dir
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     running_sum = running_sum or {}
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(spark)
     key, order = list(key), list(order)
     base = df
     for name, expr in running_sum.items():
@@ -144,7 +145,7 @@ def has_hot_key(df: DataFrame, key: Sequence[str], num_partitions: int | None =
     """True when one key holds more rows than an even share of a shuffle
     partition (total / partitions).  One partially aggregated count per key;
     only two numbers reach the driver."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(df.sparkSession)
     top, total = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
                   .agg(F.max("__n"), F.sum("__n")).first())
     return bool(total) and top > max(total / max(n, 1), 1)

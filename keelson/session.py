@@ -87,3 +87,13 @@ def local_path(p: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's shuffle partition count; the default parallelism when
+    the setting is not a number."""
+    v = spark.conf.get("spark.sql.shuffle.partitions", None)
+    try:
+        return max(int(v), 1)
+    except (TypeError, ValueError):
+        return spark.sparkContext.defaultParallelism
