@@ -34,6 +34,16 @@ def bronze_query(raw_stream: DataFrame, spec: TableSpec, path: str, checkpoint:
                                   state_partitions=state_partitions)
 
 
+def start_bronze_queries(sources: dict, specs: dict, base_path: str, checkpoint_base: str,
+                         trigger: dict | None = None, dedupe: str | None = "change",
+                         state_partitions: int | None = None) -> dict:
+    """One independent Bronze query per table (each with its own sink and
+    checkpoint): ``sources[name]`` is that table's change stream."""
+    return {name: bronze_query(src, specs[name], f"{base_path}/bronze_{name}", f"{checkpoint_base}/{name}",
+                               trigger=trigger, dedupe=dedupe, state_partitions=state_partitions)
+            for name, src in sources.items()}
+
+
 def silver(bronze: DataFrame, spec: TableSpec, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Silver and Quarantine of one table.  Silver = business columns +
     ``source_ts_ms`` + ``_silver_processed_at``; Quarantine = every Bronze

@@ -124,3 +124,40 @@ def test_batch_ingest_late_side_table_and_copies(spark):
     assert lt.filter(cut).count() == early_ids.count()
     run()                                                               # nothing new: nothing added
     assert BI.read_table(spark, table).count() == got.count()
+
+
+def test_closed_window_ignores_late_events(spark):
+    from keelson.streaming import windows
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "ts", "event_type")
+    cut = F.col("ts") < F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    landing, out, ck = scratch_path(spark, "l"), scratch_path(spark, "o"), scratch_path(spark, "c")
+
+    def run():
+        src = ingest.file_source(spark, f"{landing}/*", "event_id bigint, ts timestamp_ntz, event_type string")
+        agg = windows.window_agg(src.withColumn("et", F.col("ts").cast("timestamp")), "et", "1 hour",
+                                 [F.count(F.lit(1)).alias("n")], watermark="10 minutes")
+        return runner.run_to_end(runner.start_file_sink(agg, out, ck))
+
+    ev.filter(cut).write.parquet(f"{landing}/a")
+    run()
+    first = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    ev.filter(cut).write.parquet(f"{landing}/b")      # the same hours again: all late now
+    q = run()
+    again = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert again == first and runner.dropped_by_watermark(q) > 0
+
+
+def test_one_query_per_table(spark):
+    from keelson.plans import jobs as J
+    from keelson.plans.streams import ORDERS_SPEC, order_envelopes
+    landing = scratch_path(spark, "l")
+    fx.cdc_raw(spark, SF_SMALL).write.parquet(f"{landing}/events")
+    order_envelopes(spark.read.parquet(f"{SF_SMALL}/orders.parquet")).write.parquet(f"{landing}/orders")
+    sources = {"events_cdc": ingest.file_source(spark, f"{landing}/events", MSG),
+               "orders_cdc": ingest.file_source(spark, f"{landing}/orders", "value string, timestamp timestamp")}
+    base, ck = scratch_path(spark, "bronze"), scratch_path(spark, "ck")
+    qs = J.start_bronze_queries(sources, {"events_cdc": fx.EVENTS_SPEC, "orders_cdc": ORDERS_SPEC}, base, ck)
+    for q in qs.values():
+        runner.run_to_end(q)
+    assert spark.read.parquet(f"{base}/bronze_orders_cdc").count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert spark.read.parquet(f"{base}/bronze_events_cdc").count() > 0
