@@ -23,14 +23,6 @@ def key_bucket(cols, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("parquet").load(path).schema
-        return True
-    except Exception:
-        return False
-
-
 def upsert_table(spark: SparkSession, path: str, changes: DataFrame, spec: TableSpec,
                  buckets: int = 64, fmt: str = "parquet") -> list[int]:
     """Merge ``changes`` (parsed change rows) into the state table at
@@ -50,12 +42,10 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, spec: Table
     touched = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())
     if not touched:
         return []
-    if _exists(spark, path):
-        base = spark.read.format(fmt).load(path).filter(F.col(BUCKET).isin(touched))
-        merged = upsert_state(base, latest.select(*base.columns), list(spec.key), order)
-    else:
-        merged = latest
-    merged = merged.checkpoint(eager=True)
+    # create the (empty) table on first use; a no-op once it exists
+    latest.limit(0).write.mode("ignore").format(fmt).partitionBy(BUCKET).save(path)
+    base = spark.read.format(fmt).schema(latest.schema).load(path).filter(F.col(BUCKET).isin(touched))
+    merged = upsert_state(base, latest.select(*base.columns), list(spec.key), order).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .format(fmt).partitionBy(BUCKET).save(path))
     return touched

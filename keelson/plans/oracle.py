@@ -382,7 +382,7 @@ SELECT 'orders' AS table_name, 'not_null' AS test_name, 'o_custkey' AS column_na
 UNION ALL SELECT 'orders', 'not_null', 'o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM orders
 UNION ALL SELECT 'orders', 'accepted_values', 'o_orderstatus',
        count(*) FILTER (WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O', 'P')) FROM orders
-UNION ALL SELECT 'orders', 'unique', 'o_orderkey', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'orders', 'unique', 'o_orderkey', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
        (SELECT count(*) AS n FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1)
 UNION ALL SELECT 'orders', 'relationships', 'o_custkey', count(*) FROM orders o
        WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey)
@@ -390,7 +390,7 @@ UNION ALL SELECT 'customer', 'not_null', 'c_name', count(*) FILTER (WHERE c_name
 UNION ALL SELECT 'customer', 'accepted_values', 'c_mktsegment',
        count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN
                         ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')) FROM customer
-UNION ALL SELECT 'customer', 'unique', 'c_custkey', coalesce(sum(n), 0) FROM
+UNION ALL SELECT 'customer', 'unique', 'c_custkey', CAST(coalesce(sum(n), 0) AS BIGINT) FROM
        (SELECT count(*) AS n FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING count(*) > 1)"""
 
 SQL["incremental_upsert"] = SQL["cdc_current_state_deletes"]

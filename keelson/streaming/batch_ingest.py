@@ -17,6 +17,8 @@ Per micro-batch:
    a replayed batch rewrites the same rows (exactly once).
 
 Only scalars reach the driver (the watermark, one timestamp per batch).
+No existence probes: the progress table is created empty on first use
+(``mode("ignore")``) and read with its schema.
 """
 
 from __future__ import annotations
@@ -30,11 +32,7 @@ from keelson.operators import cdc
 from keelson.spec import TableSpec
 
 
-def _read_or_none(spark, path: str, fmt: str):
-    try:
-        return spark.read.format(fmt).load(path)
-    except Exception:
-        return None
+PROGRESS_SCHEMA = "batch_id bigint, max_ts timestamp"
 
 
 def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_seconds: int = 600,
@@ -46,20 +44,20 @@ def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_
         spark = batch.sparkSession
         rows = cdc.dedupe_changes(cdc.parse_envelope(batch, spec), spec).withColumn(
             "event_date", F.to_date("kafka_timestamp"))
-        progress = _read_or_none(spark, f"{table_path}/_progress", fmt)
-        wm = None
-        if progress is not None:
-            prior = progress.filter(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
-            wm = prior - _dt.timedelta(seconds=delay_seconds) if prior is not None else None
+        # progress table: created empty on first use (a no-op afterwards)
+        spark.createDataFrame([], PROGRESS_SCHEMA).write.mode("ignore").format(fmt).save(f"{table_path}/_progress")
+        progress = spark.read.format(fmt).schema(PROGRESS_SCHEMA).load(f"{table_path}/_progress")
+        prior = progress.filter(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
+        wm = prior - _dt.timedelta(seconds=delay_seconds) if prior is not None else None
         if wm is not None:
-            seen = _read_or_none(spark, f"{table_path}/data", fmt)
-            if seen is not None:
-                recent = (seen.filter((F.col("event_date") >= F.lit(wm.date()))
-                                      & (F.col("kafka_timestamp") >= F.lit(wm))
-                                      & (F.col("batch_id") < batch_id))
-                          .select(*[F.col(c).alias(f"__s_{c}") for c in ids]))
-                cond = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ids]
-                rows = rows.join(recent, cond, "left_anti")
+            # a watermark exists only after a batch wrote on-time rows, so the table exists
+            seen = spark.read.format(fmt).load(f"{table_path}/data")
+            recent = (seen.filter((F.col("event_date") >= F.lit(wm.date()))
+                                  & (F.col("kafka_timestamp") >= F.lit(wm))
+                                  & (F.col("batch_id") < batch_id))
+                      .select(*[F.col(c).alias(f"__s_{c}") for c in ids]))
+            cond = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ids]
+            rows = rows.join(recent, cond, "left_anti")
             late_cond = F.col("kafka_timestamp") < F.lit(wm)
         else:
             late_cond = F.lit(False)
