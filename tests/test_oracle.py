@@ -21,6 +21,14 @@ def con():
     return c
 
 
+def _duck_type(t):
+    t = str(t)
+    if t.startswith("DECIMAL"):
+        return t.lower().replace(" ", "")
+    return {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+            "DATE": "date", "TIMESTAMP": "timestamp_ntz"}.get(t, t)
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 6)
@@ -47,6 +55,9 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in rel.description]
     assert sorted(ocols) == cols
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    oracle_types = {d[0]: _duck_type(d[1]) for d in rel.description}
+    assert spark_types == oracle_types
     idx = {c: i for i, c in enumerate(ocols)}
     exp = collections.Counter(tuple(_norm(r[idx[c]]) for c in cols) for r in rel.fetchall())
     assert got == exp
