@@ -32,6 +32,13 @@ def _image_schema(spec: TableSpec) -> T.StructType:
 
 
 def envelope_schema(spec: TableSpec) -> T.StructType:
+    """Change record, either wrapped (``{"payload": {...}}``, JSON converter
+    with schemas on) or bare (the same fields at top level)."""
+    record = _record_schema(spec)
+    return T.StructType([T.StructField("payload", record, True), *record.fields])
+
+
+def _record_schema(spec: TableSpec) -> T.StructType:
     image = _image_schema(spec)
     source = T.StructType([
         T.StructField("ts_ms", T.LongType()), T.StructField("snapshot", T.StringType()),
@@ -42,7 +49,7 @@ def envelope_schema(spec: TableSpec) -> T.StructType:
         payload_fields.append(T.StructField("before", image, True))
     payload_fields += [T.StructField("after", image, True), T.StructField("source", source, True),
                        T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType())]
-    return T.StructType([T.StructField("payload", T.StructType(payload_fields), True)])
+    return T.StructType(payload_fields)
 
 
 def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
@@ -64,21 +71,25 @@ def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
     """Transport rows -> ``json_value, kafka_timestamp, p`` (the parsed
     payload, NULL when the message is not a valid envelope).
 
-    With ``keep`` (a predicate on the payload) only matching rows are
-    returned.  The predicate is applied inside a generator,
-    ``explode(filter(array(payload), keep))``, rather than as a ``filter``:
-    Catalyst pushes a filter below the projection by substituting the
-    ``from_json`` call into it, which parses every message twice; a
-    generator's output cannot be substituted, so each message is parsed
-    exactly once.
+    The record may come wrapped (``{"payload": ...}``) or bare.  With
+    ``keep`` (a predicate on the payload) only matching rows are returned.
+    The parse is a projected column read by a generator,
+    ``explode(filter(array(payload), keep))``, rather than followed by a
+    ``filter``: Catalyst pushes a filter below the projection by
+    substituting the ``from_json`` call into it (parsing every message
+    twice), and would inline the parse into each reference of a collapsed
+    projection; a generator's input stays one projected column, so each
+    message is parsed exactly once.
     """
     msgs = raw.select(F.col(value_col).cast("string").alias("json_value"),
-                      F.col(ts_col).alias("kafka_timestamp"))
-    payload = F.from_json(F.col("json_value"), envelope_schema(spec)).getField("payload")
-    if keep is None:
-        return msgs.withColumn("p", payload)
-    return msgs.select("json_value", "kafka_timestamp",
-                       F.explode(F.filter(F.array(payload), keep)).alias("p"))
+                      F.col(ts_col).alias("kafka_timestamp"),
+                      F.from_json(F.col(value_col).cast("string"), envelope_schema(spec)).alias("__env"))
+    env = F.col("__env")
+    bare_fields = [f.name for f in _record_schema(spec).fields]
+    bare = F.when(env.getField("op").isNotNull(), F.struct(*[env.getField(n).alias(n) for n in bare_fields]))
+    payload = F.coalesce(env.getField("payload"), bare)
+    rows = F.array(payload) if keep is None else F.filter(F.array(payload), keep)
+    return msgs.select("json_value", "kafka_timestamp", F.explode(rows).alias("p"))
 
 
 def _meta(spec: TableSpec) -> list[Column]:

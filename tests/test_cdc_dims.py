@@ -150,3 +150,15 @@ def test_ordered_scan_null_key_spanning_slices(spark):
     b = window_scan(df, ["k"], ["t"], lag=["v"], lead=["v"], running_sum={"s": F.col("v")})
     cols = ["k", "t", "lag_v", "lead_v", "s"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and a.count() == 400
+
+
+def test_bare_records_and_tombstones(spark):
+    raw = spark.createDataFrame([
+        ('{"payload":{"after":{"entity_id":1,"status":"view"},"source":{"ts_ms":5,"lsn":1},"op":"u"}}',),
+        ('{"after":{"entity_id":2,"status":"click"},"source":{"ts_ms":6,"lsn":2},"op":"c"}',),   # schemas off
+        (None,),                                                                               # tombstone
+    ], "value string").withColumn("timestamp", F.current_timestamp())
+    got = sorted((r.entity_id, r.status) for r in cdc.parse_envelope(raw, fx.EVENTS_SPEC).collect())
+    assert got == [(1, "view"), (2, "click")]
+    stats = {r.cdc_operation: (r.n_messages, r.n_parsed) for r in cdc.parse_stats(raw, fx.EVENTS_SPEC).collect()}
+    assert stats == {"u": (1, 1), "c": (1, 1), None: (1, 0)}
