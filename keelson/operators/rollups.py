@@ -1,14 +1,14 @@
 """Table computations behind the source systems' data: header totals,
 ledgers and tiers, status outcomes and transitions, schedule expansion,
-usage-driven maintenance, cascades, samples.  All built-in expressions,
-aggregates with map-side partial aggregation, and small literal tables
-joined by broadcast (their size is fixed by construction)."""
+usage-driven maintenance, cascades, samples.  All built-in expressions and
+aggregates with map-side partial aggregation; small lookup tables are
+broadcast only behind a size check (``operators.joins``)."""
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import hash_fraction_keep, in_comma_list, weekday_code
