@@ -39,8 +39,8 @@ def _run_ingest(spark, sf, dedupe: str) -> DataFrame:
     ensure_utc(spark)
     raw = fx.envelopes(_events_stream(spark, sf))
     out, ck = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
-    runner.run_to_end(runner.start_file_sink(ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe=dedupe), out, ck,
-                                                 state_partitions=_cores(spark)))
+    stream = ingest.bronze_stream(raw, fx.EVENTS_SPEC, dedupe=dedupe)
+    runner.run_to_end(runner.start_file_sink(stream, out, ck, state_partitions=_cores(spark)))
     return spark.read.parquet(out)
 
 
