@@ -44,9 +44,13 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType | str, fmt:
 
 
 def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes",
-                  dedupe: str | None = "change") -> DataFrame:
+                  dedupe: str | None = "change", keep_deletes: bool = False) -> DataFrame:
     """Parsed, filtered, watermarked and deduplicated change rows.
 
+    ``keep_deletes``: keep delete events (key from the before image, value
+    columns NULL), so downstream current state can remove deleted keys;
+    off, rows come in the captured form (after image only, deletes out).
+
     ``dedupe``:
     * ``"change"`` (default): drop repeated deliveries of one change,
       ``dropDuplicatesWithinWatermark(key + change id)``; state is evicted
@@ -56,7 +60,10 @@ def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes"
       of a key are dropped.
     * ``None``: no dedupe.
     """
-    b = cdc.parse_envelope(raw, spec).withWatermark("kafka_timestamp", watermark)
+    parsed = cdc.parse_changes(raw, spec) if keep_deletes else cdc.parse_envelope(raw, spec)
+    if keep_deletes and spec.keep_before:
+        parsed = parsed.drop("_before", "_no_before")
+    b = parsed.withWatermark("kafka_timestamp", watermark)
     if dedupe == "change":
         b = b.dropDuplicatesWithinWatermark([*spec.key, *spec.change_id])
     elif dedupe == "first":
