@@ -38,7 +38,10 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, spec: Table
     from keelson.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     order = [c for c in spec.order if c in changes.columns]
-    latest = cdc.current_state(changes, spec).withColumn(BUCKET, key_bucket(spec.key, buckets))
+    # newest change per key of this load, materialised once (one row per key
+    # touched): it feeds both the bucket list and the merge
+    latest = (cdc.current_state(changes, spec).withColumn(BUCKET, key_bucket(spec.key, buckets))
+              .checkpoint(eager=True))
     touched = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())
     if not touched:
         return []
