@@ -187,3 +187,32 @@ def test_incremental_silver_equals_full_rebuild(spark):
     got_q = J.read_quarantine(spark, silver).select("entity_id", "source_ts_ms")
     for got, full in ((got_v, full_valid.select("entity_id", "source_ts_ms")), (got_q, full_q.select("entity_id", "source_ts_ms"))):
         assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+
+
+def test_cli_gold(spark):
+    from keelson.__main__ import main
+    from keelson.sinks import tables as sinks
+    tables = scratch_path(spark, "ref")
+    out = scratch_path(spark, "gold")
+    frames = {
+        "airports": spark.createDataFrame([("AAA", "A", "A", "AA", "UTC")], "airport_code string, airport_name string, city string, country string, timezone string"),
+        "customers": spark.createDataFrame([(11, "A", "B", "a@x", "AA", None)], "customer_id int, first_name string, last_name string, email string, nationality string, date_of_birth date"),
+        "fare_classes": spark.createDataFrame([(1, "Y", "Economy")], "fare_class_id int, class_code string, class_name string"),
+        "fare_rules": spark.createDataFrame([(1, 1, False, Decimal("2000.00"), 23)], "fare_rule_id int, fare_class_id int, refundable boolean, change_fee decimal(10,2), baggage_allowance_kg int"),
+        "aircraft_models": spark.createDataFrame([(1, "E190", "Embraer", 100)], "model_id int, model_name string, manufacturer string, seat_capacity int"),
+        "silver_aircraft": spark.createDataFrame([("XX-A", 1, Decimal("1.00"), 5, False, None)], "aircraft_registration string, model_id int, total_flight_hours decimal(10,2), total_flight_cycles int, is_grounded boolean, grounded_reason string"),
+        "silver_bookings": spark.createDataFrame([(1, 11, "R1", "CONFIRMED", "WEB", "USD", 5)], "booking_id int, customer_id int, booking_reference string, booking_status string, booking_channel string, currency string, source_ts_ms bigint"),
+        "silver_flights": spark.createDataFrame([("F1", 1, "AAA", "AAA", "ARRIVED", "XX-A", 5)], "flight_id string, schedule_id int, origin_airport string, destination_airport string, flight_status string, aircraft_registration string, source_ts_ms bigint"),
+        "silver_loyalty_transactions": spark.createDataFrame([(1, 1, "EARN", 500, 5)], "transaction_id int, loyalty_account_id int, transaction_type string, miles_amount int, source_ts_ms bigint"),
+    }
+    for name, df in frames.items():
+        sinks.overwrite(df, f"{tables}/{name}")
+    stop = type(spark).stop
+    try:
+        type(spark).stop = lambda self: None
+        assert main(["gold", "--tables", tables, "--out", out]) == 0
+    finally:
+        type(spark).stop = stop
+    assert sinks.read(spark, f"{out}/fact_bookings").first().customer_key == 0
+    assert sinks.read(spark, f"{out}/dim_date").count() == 730
+    assert sinks.read(spark, f"{out}/fact_flight_operations").first().aircraft_matched is True
