@@ -104,6 +104,28 @@ def read_quarantine(spark: SparkSession, silver_path: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(silver_path).filter(F.col("_status") == "quarantine")
 
 
+def fact_incremental(spark: SparkSession, silver_path: str, touched: list[int], build, fact_path: str,
+                     fmt: str = "parquet") -> None:
+    """Rebuild the fact for the touched key buckets only.  ``build(silver,
+    carry)`` is one of the ``build_fact_*`` builders (dimensions bound);
+    it runs on every Silver row of those buckets with ``_status`` and the
+    bucket carried, so a touched bucket always has rows and the dynamic
+    partition overwrite replaces it whole.  ``read_fact`` keeps the valid
+    rows."""
+    from keelson.operators.incremental import BUCKET
+    if not touched:
+        return
+    s = spark.read.format(fmt).load(silver_path).filter(F.col(BUCKET).isin(touched))
+    f = build(s, ("_status", BUCKET))
+    (f.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .format(fmt).partitionBy(BUCKET).save(fact_path))
+
+
+def read_fact(spark: SparkSession, fact_path: str, fmt: str = "parquet") -> DataFrame:
+    from keelson.operators.incremental import BUCKET
+    return spark.read.format(fmt).load(fact_path).filter(F.col("_status") == "valid").drop("_status", BUCKET)
+
+
 def build_dim_date(spark: SparkSession, start: str = "2025-01-01", end: str = "2026-12-31") -> DataFrame:
     return dims.calendar(spark, start, end)
 
@@ -155,14 +177,14 @@ def build_dim_aircraft_history(bronze_aircraft: DataFrame, spec: TableSpec) -> D
     return h.select(*spec.key, *attrs, "valid_from", "valid_to", "is_current")
 
 
-def build_fact_bookings(silver_bookings: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def build_fact_bookings(silver_bookings: DataFrame, dim_customer: DataFrame, carry: tuple = ()) -> DataFrame:
     f = facts.lookup_key(silver_bookings, dim_customer, "customer_id", "customer_id", "customer_key")
     return f.select("booking_id", "customer_key", "booking_reference", "booking_status", "booking_channel",
-                    "currency", "source_ts_ms")
+                    "currency", "source_ts_ms", *carry)
 
 
 def build_fact_flight_operations(silver_flights: DataFrame, dim_airport: DataFrame,
-                                 dim_aircraft: DataFrame) -> DataFrame:
+                                 dim_aircraft: DataFrame, carry: tuple = ()) -> DataFrame:
     """Airport dimension in two roles; the aircraft dimension contributes its
     model and a matched flag (an aircraft registration missing from the
     dimension is visible instead of silently dropped)."""
@@ -175,12 +197,12 @@ def build_fact_flight_operations(silver_flights: DataFrame, dim_airport: DataFra
     f = f.join(ac, F.col("aircraft_registration") == F.col("__reg"), "left").drop("__reg")
     return f.select("flight_id", "origin_airport_key", "destination_airport_key", "aircraft_registration",
                     "flight_status", "source_ts_ms", "aircraft_model",
-                    F.coalesce("aircraft_matched", F.lit(False)).alias("aircraft_matched"))
+                    F.coalesce("aircraft_matched", F.lit(False)).alias("aircraft_matched"), *carry)
 
 
-def build_fact_loyalty_transactions(silver_loyalty: DataFrame) -> DataFrame:
+def build_fact_loyalty_transactions(silver_loyalty: DataFrame, carry: tuple = ()) -> DataFrame:
     return silver_loyalty.select("transaction_id", "loyalty_account_id", "transaction_type", "miles_amount",
-                                 "source_ts_ms")
+                                 "source_ts_ms", *carry)
 
 
 def run_gold(spark: SparkSession, read, write) -> None:

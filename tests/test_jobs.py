@@ -170,13 +170,20 @@ def test_incremental_silver_equals_full_rebuild(spark):
     landing, bronze_path, ck = scratch_path(spark, "l"), scratch_path(spark, "bronze"), scratch_path(spark, "ck")
     state, silver = scratch_path(spark, "state"), scratch_path(spark, "silver")
 
+    fact = scratch_path(spark, "fact")
+
+    def build(s, carry=()):
+        return s.select("entity_id", "status", "amount_dec", "source_ts_ms", *carry)
+
     def ingest_and_refine(since):
         raw = ingest.file_source(spark, f"{landing}/*", "value string, timestamp timestamp, lsn bigint, copy int")
         runner.run_to_end(J.bronze_query(raw, fx.EVENTS_SPEC, bronze_path, ck))
         b = spark.read.parquet(bronze_path)
         if since:
             b = b.filter(F.col("ingest_date") >= F.lit(since).cast("date"))     # partition pruning
-        return J.silver_incremental(spark, b, fx.EVENTS_SPEC, state, silver, buckets=8)
+        touched = J.silver_incremental(spark, b, fx.EVENTS_SPEC, state, silver, buckets=8)
+        J.fact_incremental(spark, silver, touched, build, fact)
+        return touched
 
     msgs.filter(cut).write.parquet(f"{landing}/a")
     ingest_and_refine(None)
@@ -185,7 +192,9 @@ def test_incremental_silver_equals_full_rebuild(spark):
     full_valid, full_q = J.silver(cdc.parse_changes(msgs, fx.EVENTS_SPEC).drop("_before", "_no_before"), fx.EVENTS_SPEC)
     got_v = J.read_silver(spark, silver, fx.EVENTS_SPEC).select("entity_id", "source_ts_ms")
     got_q = J.read_quarantine(spark, silver).select("entity_id", "source_ts_ms")
-    for got, full in ((got_v, full_valid.select("entity_id", "source_ts_ms")), (got_q, full_q.select("entity_id", "source_ts_ms"))):
+    got_f = J.read_fact(spark, fact).select("entity_id", "source_ts_ms")
+    for got, full in ((got_v, full_valid.select("entity_id", "source_ts_ms")), (got_q, full_q.select("entity_id", "source_ts_ms")),
+                      (got_f, full_valid.select("entity_id", "source_ts_ms"))):
         assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
 
 
