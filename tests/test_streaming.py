@@ -161,3 +161,28 @@ def test_one_query_per_table(spark):
         runner.run_to_end(q)
     assert spark.read.parquet(f"{base}/bronze_orders_cdc").count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
     assert spark.read.parquet(f"{base}/bronze_events_cdc").count() > 0
+
+
+def test_processing_time_trigger_picks_up_new_files(spark):
+    import time
+    early, late = _split(spark)
+    landing, out, ck = scratch_path(spark, "l"), scratch_path(spark, "o"), scratch_path(spark, "c")
+    early.write.parquet(f"{landing}/a")
+    raw = ingest.file_source(spark, f"{landing}/*", MSG)
+    q = runner.start_file_sink(ingest.bronze_stream(raw, fx.EVENTS_SPEC), out, ck,
+                               trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        n1 = spark.read.parquet(out).count()
+        late.write.parquet(f"{landing}/b")          # lands while the query runs
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            q.processAllAvailable()
+            if spark.read.parquet(out).count() > n1:
+                break
+            time.sleep(1)
+        assert q.isActive and q.exception() is None
+    finally:
+        q.stop()
+    got = spark.read.parquet(out)
+    assert got.count() > n1 and got.count() == got.select("entity_id", "source_lsn").distinct().count()
