@@ -162,3 +162,10 @@ def test_bare_records_and_tombstones(spark):
     assert got == [(1, "view"), (2, "click")]
     stats = {r.cdc_operation: (r.n_messages, r.n_parsed) for r in cdc.parse_stats(raw, fx.EVENTS_SPEC).collect()}
     assert stats == {"u": (1, 1), "c": (1, 1), None: (1, 0)}
+
+
+def test_hashed_key_is_stable(spark):
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_custkey")
+    a = dims.hashed_key(c, ["c_custkey"], "k")
+    b = dims.hashed_key(c.repartition(7), ["c_custkey"], "k")
+    assert a.exceptAll(b).count() == 0 and a.select("k").distinct().count() == c.count()

@@ -186,3 +186,21 @@ def test_processing_time_trigger_picks_up_new_files(spark):
         q.stop()
     got = spark.read.parquet(out)
     assert got.count() > n1 and got.count() == got.select("entity_id", "source_lsn").distinct().count()
+
+
+def test_streaming_sliding_windows_match_batch(spark):
+    from keelson.streaming import windows
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "ts")
+    landing, out, ck = scratch_path(spark, "l"), scratch_path(spark, "o"), scratch_path(spark, "c")
+    ev.write.parquet(f"{landing}/a")
+    src = ingest.file_source(spark, f"{landing}/*", "event_id bigint, ts timestamp_ntz")
+    agg = windows.window_agg(src.withColumn("et", F.col("ts").cast("timestamp")), "et", "1 hour",
+                             [F.count(F.lit(1)).alias("n")], slide="30 minutes", watermark="10 minutes")
+    runner.run_to_end(runner.start_file_sink(agg, out, ck))
+    got = spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("s"), "n")
+    wm = ev.agg(F.max("ts")).first()[0]
+    import datetime as dt
+    batch = (windows.window_agg(ev, "ts", "1 hour", [F.count(F.lit(1)).alias("n")], slide="30 minutes")
+             .filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=10)))
+             .select(F.col("window_start").alias("s"), "n"))
+    assert got.count() > 0 and got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
