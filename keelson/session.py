@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # remove checkpoint files of ordered scans / dense keys once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # session windows: merge sessions inside each map partition before the shuffle
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
