@@ -4,6 +4,7 @@
     python -m keelson silver --table bookings --bronze P --out P [--format parquet]
     python -m keelson silver --table bookings --bronze P --out P --state S [--since YYYY-MM-DD]
     python -m keelson gold --tables DIR --out DIR [--format parquet]
+    python -m keelson dq --table bookings --input P --tables DIR --out P
 
 ``gold`` reads reference tables (airports, customers, fare_classes,
 fare_rules, aircraft_models) and the silver_* tables from ``--tables``
@@ -41,6 +42,12 @@ def main(argv=None) -> int:
     g.add_argument("--out", required=True)
     g.add_argument("--format", default="parquet")
     g.add_argument("--jdbc", action="append", default=[], metavar="TABLE=URL")
+    d = sub.add_parser("dq")
+    d.add_argument("--table", required=True)
+    d.add_argument("--input", required=True, help="the table to test (e.g. its Silver)")
+    d.add_argument("--tables", required=True, help="folder of the referenced tables")
+    d.add_argument("--out", required=True)
+    d.add_argument("--format", default="parquet")
     args = ap.parse_args(argv)
 
     from keelson.plans import jobs as J
@@ -68,6 +75,10 @@ def main(argv=None) -> int:
             silver, quarantine = J.silver(bronze, spec)
             sinks.overwrite(silver, f"{args.out}/silver_{spec.name}", args.format)
             sinks.overwrite(quarantine, f"{args.out}/silver_quarantine_{spec.name}", args.format)
+    elif args.cmd == "dq":
+        report = J.dq_job(args.table, sinks.read(spark, args.input, args.format),
+                          lambda name: sinks.read(spark, f"{args.tables}/{name}", args.format))
+        sinks.overwrite(report, args.out, args.format)
     else:
         from keelson.sources.tables import read_jdbc
         jdbc = dict(item.split("=", 1) for item in args.jdbc)

@@ -107,8 +107,11 @@ def reconcile(input_df: DataFrame, valid: DataFrame, quarantine: DataFrame) -> D
 
 
 def dq_report(df: DataFrame, table: str, not_null: Sequence[str] = (), unique: Sequence[str] = (),
-              accepted: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """dbt-style tests: not_null, unique, accepted_values.
+              accepted: dict[str, Sequence[str]] | None = None,
+              relationships: dict | None = None) -> DataFrame:
+    """dbt-style tests: not_null, unique, accepted_values, relationships
+    (``{column: (parent DataFrame, parent column)}``: non-NULL values with
+    no parent row, one left anti join each).
 
     Returns (table_name, test_name, column_name, failures).  One scan: the
     row-level tests are counted inside the aggregation by the first unique
@@ -145,6 +148,9 @@ def dq_report(df: DataFrame, table: str, not_null: Sequence[str] = (), unique: S
         dup = (df.filter(F.col(c).isNotNull()).groupBy(c).count().filter(F.col("count") > 1)
                .agg(F.sum("count").alias("__dup")))
         out = out.unionByName(stack(dup, [("unique", c, F.col("__dup"))]))
+    for c, (parent, parent_col) in (relationships or {}).items():
+        miss = relationship_failures(df.select(c), parent, c, parent_col).agg(F.count(F.lit(1)).alias("__m"))
+        out = out.unionByName(stack(miss, [("relationships", c, F.col("__m"))]))
     return out
 
 

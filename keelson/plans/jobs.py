@@ -126,6 +126,17 @@ def read_fact(spark: SparkSession, fact_path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(fact_path).filter(F.col("_status") == "valid").drop("_status", BUCKET)
 
 
+def dq_job(table: str, df: DataFrame, read) -> DataFrame:
+    """Data-quality report of one captured table against its source
+    constraints (``presets.DQ_TESTS``); ``read(name)`` returns the
+    reference tables the relationships point to."""
+    from keelson.plans.presets import DQ_TESTS
+    t = DQ_TESTS[table]
+    rel = {c: (read(parent), pc) for c, (parent, pc) in t.get("relationships", {}).items()}
+    return Q.dq_report(df, table, not_null=t.get("not_null", ()), unique=t.get("unique", ()),
+                       accepted=t.get("accepted"), relationships=rel)
+
+
 def build_dim_date(spark: SparkSession, start: str = "2025-01-01", end: str = "2026-12-31") -> DataFrame:
     return dims.calendar(spark, start, end)
 

@@ -49,6 +49,25 @@ LOYALTY_TRANSACTIONS = TableSpec(
     rules=(Q.accepted_values("has_valid_type", "transaction_type", TRANSACTION_TYPES, REASON_TRANSACTION_TYPE),
            Q.positive("has_valid_amount", "miles_amount", REASON_MILES)))
 
+# Constraints of the captured tables in their source DDL
+# (primary / unique keys, required columns, accepted values, references to
+# reference tables), checked as data-quality tests.
+DQ_TESTS = {
+    "bookings": {"unique": ["booking_id", "booking_reference"],
+                 "not_null": ["booking_reference", "booking_status"],
+                 "accepted": {"booking_status": BOOKING_STATUSES},
+                 "relationships": {"customer_id": ("customers", "customer_id")}},
+    "flights": {"unique": ["flight_id"], "not_null": ["flight_status"],
+                "accepted": {"flight_status": FLIGHT_STATUSES},
+                "relationships": {"origin_airport": ("airports", "airport_code"),
+                                  "destination_airport": ("airports", "airport_code")}},
+    "aircraft": {"unique": ["aircraft_registration"],
+                 "relationships": {"model_id": ("aircraft_models", "model_id")}},
+    "loyalty_transactions": {"unique": ["transaction_id"], "not_null": ["transaction_type", "miles_amount"],
+                             "accepted": {"transaction_type": TRANSACTION_TYPES},
+                             "relationships": {"loyalty_account_id": ("loyalty_accounts", "loyalty_account_id")}},
+}
+
 # Append-only ledgers skip the current-state step.
 LEDGERS = {LOYALTY_TRANSACTIONS.name}
 

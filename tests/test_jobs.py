@@ -225,3 +225,14 @@ def test_cli_gold(spark):
     assert sinks.read(spark, f"{out}/fact_bookings").first().customer_key == 0
     assert sinks.read(spark, f"{out}/dim_date").count() == 730
     assert sinks.read(spark, f"{out}/fact_flight_operations").first().aircraft_matched is True
+
+
+def test_dq_job_on_bookings(spark):
+    silver = spark.createDataFrame([(1, 11, "R1", "CONFIRMED"), (1, 12, "R1", "BOGUS"), (2, 99, None, None)],
+                                   "booking_id int, customer_id int, booking_reference string, booking_status string")
+    customers = spark.createDataFrame([(11,), (12,)], "customer_id int")
+    rep = {(r.test_name, r.column_name): r.failures
+           for r in J.dq_job("bookings", silver, lambda name: customers).collect()}
+    assert rep == {("not_null", "booking_reference"): 1, ("not_null", "booking_status"): 1,
+                   ("accepted_values", "booking_status"): 1, ("unique", "booking_id"): 2,
+                   ("unique", "booking_reference"): 2, ("relationships", "customer_id"): 1}
