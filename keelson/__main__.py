@@ -51,7 +51,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     from keelson.plans import jobs as J
-    from keelson.plans.presets import SPECS
+    from keelson.plans.presets import ALL_CAPTURED, SPECS
     from keelson.session import build_session
     from keelson.sinks import tables as sinks
     from keelson.streaming import ingest
@@ -59,7 +59,7 @@ def main(argv=None) -> int:
     spark = build_session(app=f"keelson-{args.cmd}")
     if args.cmd == "bronze":
         raw = ingest.kafka_source(spark, {"kafka.bootstrap.servers": args.kafka_bootstrap, "subscribe": args.topic})
-        q = J.bronze_query(raw, SPECS[args.table], args.out, args.checkpoint,
+        q = J.bronze_query(raw, ALL_CAPTURED[args.table], args.out, args.checkpoint,
                            trigger={"processingTime": f"{args.trigger_seconds} seconds"},
                            dedupe=None if args.dedupe == "none" else args.dedupe)
         q.awaitTermination()

@@ -35,6 +35,20 @@ def from_epoch_ms(ms) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def decode_temporal(value, unit: str) -> Column:
+    """Number since the epoch -> timestamp_ntz ("micros", "millis") or date
+    ("days"): the capture tool's default JSON encodings of TIMESTAMP and
+    DATE columns."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    if unit == "micros":
+        return F.timestamp_add("MICROSECOND", _c(value), epoch)
+    if unit == "millis":
+        return F.timestamp_add("MILLISECOND", _c(value), epoch)
+    if unit == "days":
+        return F.date_add(F.lit("1970-01-01").cast("date"), _c(value))
+    raise ValueError(f"unknown temporal unit {unit!r}")
+
+
 def encode_decimal_base64(value, scale: int) -> Column:
     """Change-capture encoding of a decimal: base64 of the big-endian
     two's-complement unscaled value (8 bytes here).  Used to build test

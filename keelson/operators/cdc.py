@@ -15,17 +15,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.exprs import decode_decimal_base64, struct_diff
+from keelson.functions.exprs import decode_decimal_base64, decode_temporal, struct_diff
 from keelson.spec import TableSpec
 
 
 
 def _image_schema(spec: TableSpec) -> T.StructType:
-    """Row image as it travels: decimal fields arrive as base64 strings."""
+    """Row image as it travels: decimal fields arrive as base64 strings,
+    temporal fields as numbers since the epoch."""
     fields = []
     for f in spec.after_schema.fields:
         if f.name in spec.decimals:
             fields.append(T.StructField(f.name, T.StringType(), True))
+        elif f.name in spec.temporal:
+            unit = spec.temporal[f.name]
+            fields.append(T.StructField(f.name, T.IntegerType() if unit == "days" else T.LongType(), True))
         else:
             fields.append(T.StructField(f.name, f.dataType, True))
     return T.StructType(fields)
@@ -61,6 +65,8 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
                 out.append(decode_decimal_base64(img[f.name], p, s).alias(f.name))
             else:
                 out.append(img[f.name].try_cast(f"decimal({p},{s})").alias(f.name))
+        elif f.name in spec.temporal:
+            out.append(decode_temporal(img[f.name], spec.temporal[f.name]).alias(f.name))
         else:
             out.append(img[f.name].alias(f.name))
     return out

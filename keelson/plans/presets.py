@@ -72,3 +72,64 @@ DQ_TESTS = {
 LEDGERS = {LOYALTY_TRANSACTIONS.name}
 
 SPECS = {s.name: s for s in (BOOKINGS, FLIGHTS, AIRCRAFT, LOYALTY_TRANSACTIONS)}
+
+
+def _captured(name, key, ddl, system, decimals=None, temporal=None):
+    return TableSpec(name=name, key=(key,), after_ddl=ddl, source_system=system,
+                     decimals=decimals or {}, temporal=temporal or {})
+
+
+# The other captured tables: a spec each, no rules (they have no Silver job
+# in the source project).  Row images follow the source DDL; TIMESTAMP
+# columns arrive as epoch microseconds and DATE columns as epoch days.
+OTHER_CAPTURED = {s.name: s for s in (
+    _captured("flight_events", "event_id",
+              "event_id int, flight_id string, event_type string, event_details string, event_timestamp timestamp_ntz",
+              "flightops", temporal={"event_timestamp": "micros"}),
+    _captured("delays", "delay_id",
+              "delay_id int, flight_id string, delay_minutes int, delay_reason string, recorded_at timestamp_ntz",
+              "flightops", temporal={"recorded_at": "micros"}),
+    _captured("diversions", "diversion_id",
+              "diversion_id int, flight_id string, original_destination string, diverted_to string, "
+              "diversion_reason string, diverted_at timestamp_ntz", "flightops", temporal={"diverted_at": "micros"}),
+    _captured("flight_cancellations", "cancellation_id",
+              "cancellation_id int, flight_id string, cancellation_reason string, cancelled_at timestamp_ntz",
+              "flightops", temporal={"cancelled_at": "micros"}),
+    _captured("gates", "gate_id", "gate_id int, airport_code string, gate_number string, terminal string", "flightops"),
+    _captured("loyalty_accounts", "loyalty_account_id",
+              "loyalty_account_id int, customer_id string, member_number string, current_tier_id int, "
+              "total_miles_earned int, total_miles_redeemed int, miles_balance int, enrollment_date date",
+              "loyalty", temporal={"enrollment_date": "days"}),
+    _captured("maintenance_events", "maintenance_event_id",
+              "maintenance_event_id int, aircraft_registration string, schedule_id int, maintenance_type string, "
+              "event_status string, due_date date, started_at timestamp_ntz, completed_at timestamp_ntz, "
+              "is_unscheduled boolean", "maintenance",
+              temporal={"due_date": "days", "started_at": "micros", "completed_at": "micros"}),
+    _captured("defects", "defect_id",
+              "defect_id int, aircraft_registration string, maintenance_event_id int, defect_description string, "
+              "severity string, defect_status string, reported_at timestamp_ntz, resolved_at timestamp_ntz",
+              "maintenance", temporal={"reported_at": "micros", "resolved_at": "micros"}),
+    _captured("maintenance_costs", "cost_id",
+              "cost_id int, maintenance_event_id int, part_id int, labor_cost decimal(12,2), "
+              "parts_cost decimal(12,2), currency string", "maintenance",
+              decimals={"labor_cost": (12, 2), "parts_cost": (12, 2)}),
+    _captured("booking_items", "booking_item_id",
+              "booking_item_id int, booking_id int, passenger_id int, flight_id string, fare_class_id int, "
+              "seat_number string, fare_amount decimal(10,2)", "reservations", decimals={"fare_amount": (10, 2)}),
+    _captured("payments", "payment_id",
+              "payment_id int, booking_id int, payment_method string, amount decimal(12,2), currency string, "
+              "payment_status string, paid_at timestamp_ntz", "reservations",
+              decimals={"amount": (12, 2)}, temporal={"paid_at": "micros"}),
+    _captured("tickets", "ticket_id",
+              "ticket_id int, booking_item_id int, ticket_number string, ticket_status string, issued_at timestamp_ntz",
+              "reservations", temporal={"issued_at": "micros"}),
+    _captured("booking_cancellations", "cancellation_id",
+              "cancellation_id int, booking_id int, cancelled_by string, cancellation_reason string, "
+              "cancelled_at timestamp_ntz", "reservations", temporal={"cancelled_at": "micros"}),
+    _captured("refunds", "refund_id",
+              "refund_id int, payment_id int, refund_amount decimal(12,2), refund_reason string, refund_status string, "
+              "requested_at timestamp_ntz, processed_at timestamp_ntz", "reservations",
+              decimals={"refund_amount": (12, 2)}, temporal={"requested_at": "micros", "processed_at": "micros"}),
+)}
+
+ALL_CAPTURED = {**SPECS, **OTHER_CAPTURED}

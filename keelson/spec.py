@@ -23,6 +23,9 @@ class TableSpec:
     # mode) or as plain numbers / numeric strings ("string")
     decimals: dict = field(default_factory=dict)
     decimal_encoding: str = "base64"
+    # row-image fields sent as numbers since the epoch: field -> "micros" |
+    # "millis" (-> timestamp_ntz) or "days" (-> date)
+    temporal: dict = field(default_factory=dict)
     rules: Sequence[Rule] = ()
     # change order, latest last: (commit time, log position, transport time)
     order: tuple[str, ...] = ("source_ts_ms", "source_lsn", "kafka_timestamp")

@@ -236,3 +236,16 @@ def test_dq_job_on_bookings(spark):
     assert rep == {("not_null", "booking_reference"): 1, ("not_null", "booking_status"): 1,
                    ("accepted_values", "booking_status"): 1, ("unique", "booking_id"): 2,
                    ("unique", "booking_reference"): 2, ("relationships", "customer_id"): 1}
+
+
+def test_other_captured_tables_parse(spark):
+    import datetime as dt
+    assert len(P.ALL_CAPTURED) == 18
+    pay = {"payment_id": 7, "booking_id": 1, "payment_method": "CARD", "amount": "AYag",   # 1000.00
+           "currency": "USD", "payment_status": "COMPLETED", "paid_at": 1704067207179575}
+    acct = {"loyalty_account_id": 3, "customer_id": "11", "member_number": "M1", "current_tier_id": 1,
+            "total_miles_earned": 0, "total_miles_redeemed": 0, "miles_balance": 0, "enrollment_date": 19723}
+    p = cdc.parse_changes(_msgs(spark, [("c", pay, None, 1, 1)]), P.ALL_CAPTURED["payments"]).first()
+    assert (p.amount, p.paid_at) == (Decimal("1000.00"), dt.datetime(2024, 1, 1, 0, 0, 7, 179575))
+    a = cdc.parse_changes(_msgs(spark, [("c", acct, None, 1, 1)]), P.ALL_CAPTURED["loyalty_accounts"]).first()
+    assert a.enrollment_date == dt.date(2024, 1, 1)
