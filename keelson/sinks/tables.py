@@ -37,10 +37,17 @@ def write_split(checked: DataFrame, path: str, fmt: str = "parquet") -> tuple[st
     return f"{base}/_valid=true", f"{base}/_valid=false"
 
 
-def read(spark, path: str, fmt: str = "parquet") -> DataFrame:
+def read(spark, path: str, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
     """Read a table through its format (never by globbing data files), so an
-    overwrite is seen as the new content only."""
-    return spark.read.format(fmt).load(path)
+    overwrite is seen as the new content only.
+
+    Schema evolution is additive: files written before a column was added
+    read it as NULL (``mergeSchema``); a column whose type changed is an
+    error, not a silent cast."""
+    r = spark.read.format(fmt)
+    if fmt == "parquet" and merge_schema:
+        r = r.option("mergeSchema", "true")
+    return r.load(path)
 
 
 def with_month(df: DataFrame, ts_col: str, out: str = "month") -> DataFrame:
