@@ -37,13 +37,14 @@ def write_split(checked: DataFrame, path: str, fmt: str = "parquet") -> tuple[st
     return f"{base}/_valid=true", f"{base}/_valid=false"
 
 
-def read(spark, path: str, fmt: str = "parquet", merge_schema: bool = True) -> DataFrame:
+def read(spark, path: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
     """Read a table through its format (never by globbing data files), so an
     overwrite is seen as the new content only.
 
-    Schema evolution is additive: files written before a column was added
-    read it as NULL (``mergeSchema``); a column whose type changed is an
-    error, not a silent cast."""
+    Schema evolution is additive: with ``merge_schema`` files written before
+    a column was added read it as NULL; a column whose type changed is an
+    error, not a silent cast.  Off by default: merging reads every file
+    footer, so turn it on for tables whose schema has evolved."""
     r = spark.read.format(fmt)
     if fmt == "parquet" and merge_schema:
         r = r.option("mergeSchema", "true")

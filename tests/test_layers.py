@@ -108,10 +108,10 @@ def test_additive_schema_evolution(spark):
     path = scratch_path(spark, "evolve")
     spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
     spark.createDataFrame([(2, "b", "shop")], "k int, v string, _source_system string").write.mode("append").parquet(path)
-    got = sorted((r.k, r._source_system) for r in sinks.read(spark, path).collect())
+    got = sorted((r.k, r._source_system) for r in sinks.read(spark, path, merge_schema=True).collect())
     assert got == [(1, None), (2, "shop")]
     bad = scratch_path(spark, "evolve-bad")
     spark.createDataFrame([(1,)], "k int").write.parquet(bad)
     spark.createDataFrame([("x",)], "k string").write.mode("append").parquet(bad)
     with pytest.raises(Exception):
-        sinks.read(spark, bad).collect()
+        sinks.read(spark, bad, merge_schema=True).collect()
