@@ -1,7 +1,7 @@
 """Randomised change logs: current state equals a brute-force model."""
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
 
 from keelson.operators import cdc
 from keelson.spec import TableSpec
@@ -28,3 +28,26 @@ def test_current_state_model(spark_session_for_props, log, copies):
             latest[k] = (ts, lsn, op, v)
     expect = {k: (lsn, v) for k, (ts, lsn, op, v) in latest.items() if op != "d"}
     assert got == expect
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(-5, 5)), min_size=1, max_size=60),
+       st.integers(1, 9))
+def test_ordered_scan_equals_windows(spark_session_for_props, rows, n):
+    from keelson.operators.sequences import ordered_scan, window_scan
+    spark = spark_session_for_props
+    df = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(rows)], "k int, t int, v int")
+    kw = dict(lag=["v"], lead=["v"], running_sum={"s": F.col("v")})
+    a = ordered_scan(df, ["k"], ["t"], num_partitions=n, **kw).select("k", "t", "lag_v", "lead_v", "s")
+    b = window_scan(df, ["k"], ["t"], **kw).select("k", "t", "lag_v", "lead_v", "s")
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.sets(st.integers(-1000, 1000), min_size=1, max_size=80), st.integers(1, 9))
+def test_dense_key_equals_row_number(spark_session_for_props, keys, n):
+    from keelson.operators.dims import dense_key
+    spark = spark_session_for_props
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    got = sorted(tuple(r) for r in dense_key(df.repartition(3), ["k"], "sk", num_partitions=n).collect())
+    assert got == [(k, i) for i, k in enumerate(sorted(keys))]
