@@ -8,8 +8,12 @@ import pytest
 
 import __spark_entry__ as E
 
+import os
+
 from conftest import SF_SMALL
 
+SF = os.environ.get("KEELSON_ORACLE_SF", SF_SMALL)     # e.g. /root/testdata/sf0.01
+
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
@@ -17,7 +21,7 @@ TABLES = "region nation customer supplier part orders lineitem events".split()
 def con():
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
 
@@ -49,7 +53,7 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = collections.Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
     rel = con.execute(E.oracle_sql()[name])
