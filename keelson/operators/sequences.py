@@ -40,9 +40,11 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
     """Adds ``lag_<c>`` for ``c`` in ``lag``, ``lead_<c>`` for ``c`` in
     ``lead`` and one column per ``running_sum`` entry (inclusive running sum
     of the expression), all per ``key`` in ``order``."""
+    running_sum = running_sum or {}
+    if not (lag or lead or running_sum):
+        return df
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    running_sum = running_sum or {}
     n = num_partitions or shuffle_partitions(spark)
     key, order = list(key), list(order)
     base = df
@@ -58,9 +60,10 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
         loc = loc.withColumn(f"__llag_{c}", F.lag(F.col(c)).over(w))
     for c in lead:
         loc = loc.withColumn(f"__llead_{c}", F.lead(F.col(c)).over(w))
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for name in running_sum:
-        loc = loc.withColumn(f"__lsum_{name}", F.sum(F.col(f"__m_{name}")).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        loc = loc.withColumn(f"__lsum_{name}", F.sum(F.col(f"__m_{name}")).over(upto))
+        loc = loc.withColumn(f"__lcnt_{name}", F.count(F.col(f"__m_{name}")).over(upto))
 
     ordering = F.struct(*[F.col(c) for c in order])
     aggs = []
@@ -70,8 +73,7 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead]), ordering).alias("__firstrow"))
     for name in running_sum:
         aggs.append(F.sum(F.col(f"__m_{name}")).alias(f"__tot_{name}"))
-    if not aggs:
-        return df
+        aggs.append(F.count(F.col(f"__m_{name}")).alias(f"__cnt_{name}"))
     summary = r.groupBy("__pid", *key).agg(*aggs)
     wk = Window.partitionBy(*key).orderBy("__pid")
     carry = summary
@@ -79,10 +81,12 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
         carry = carry.withColumn("__prevlast", F.lag("__lastrow").over(wk))
     if lead:
         carry = carry.withColumn("__nextfirst", F.lead("__firstrow").over(wk))
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
     for name in running_sum:
-        carry = carry.withColumn(f"__carry_{name}", F.coalesce(
-            F.sum(f"__tot_{name}").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    carry = carry.drop("__lastrow", "__firstrow", *[f"__tot_{n_}" for n_ in running_sum])
+        carry = carry.withColumn(f"__carry_{name}", F.sum(f"__tot_{name}").over(before))
+        carry = carry.withColumn(f"__ccnt_{name}", F.coalesce(F.sum(f"__cnt_{name}").over(before), F.lit(0)))
+    carry = carry.drop("__lastrow", "__firstrow", *[f"__tot_{n_}" for n_ in running_sum],
+                       *[f"__cnt_{n_}" for n_ in running_sum])
 
     # NULL is a key like any other here: join on null-safe equality
     carry = carry.select(*[F.col(c).alias(f"__ck_{c}") for c in ["__pid", *key]],
@@ -96,10 +100,13 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
         out = out.withColumn(f"lead_{c}", F.when(F.col("__last"), F.col("__nextfirst")[c])
                              .otherwise(F.col(f"__llead_{c}")))
     for name in running_sum:
-        out = out.withColumn(name, F.col(f"__lsum_{name}") + F.col(f"__carry_{name}"))
+        # NULL only while no non-NULL value has been seen, as a window sum
+        seen = F.col(f"__lcnt_{name}") + F.coalesce(F.col(f"__ccnt_{name}"), F.lit(0))
+        total = F.coalesce(F.col(f"__lsum_{name}"), F.lit(0)) + F.coalesce(F.col(f"__carry_{name}"), F.lit(0))
+        out = out.withColumn(name, F.when(seen > 0, total))
     internal = {"__pid", "__rn", "__last", "__prevlast", "__nextfirst"}
     internal |= {f"__llag_{c}" for c in lag} | {f"__llead_{c}" for c in lead}
-    internal |= {f"__{p}_{n_}" for n_ in running_sum for p in ("m", "lsum", "carry")}
+    internal |= {f"__{p}_{n_}" for n_ in running_sum for p in ("m", "lsum", "lcnt", "carry", "ccnt")}
     return out.drop(*[c for c in out.columns if c in internal])
 
 

@@ -169,3 +169,13 @@ def test_hashed_key_is_stable(spark):
     a = dims.hashed_key(c, ["c_custkey"], "k")
     b = dims.hashed_key(c.repartition(7), ["c_custkey"], "k")
     assert a.exceptAll(b).count() == 0 and a.select("k").distinct().count() == c.count()
+
+
+def test_ordered_scan_null_measures_across_slices(spark):
+    from keelson.operators.sequences import ordered_scan, window_scan
+    # key 1 spans all slices; its measure is NULL on every other row
+    df = spark.range(0, 200).select(F.lit(1).alias("k"), F.col("id").alias("t"),
+                                    F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("v"))
+    a = ordered_scan(df, ["k"], ["t"], running_sum={"s": F.col("v")}, num_partitions=8).select("t", "s")
+    b = window_scan(df, ["k"], ["t"], running_sum={"s": F.col("v")}).select("t", "s")
+    assert a.exceptAll(b).count() == 0 and a.count() == 200

@@ -30,8 +30,9 @@ def test_current_state_model(spark_session_for_props, log, copies):
     assert got == expect
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(-5, 5)), min_size=1, max_size=60),
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(-5, 5))),
+                min_size=1, max_size=60),
        st.integers(1, 9))
 def test_ordered_scan_equals_windows(spark_session_for_props, rows, n):
     from keelson.operators.sequences import ordered_scan, window_scan
