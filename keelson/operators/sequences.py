@@ -122,6 +122,7 @@ def sessions(df: DataFrame, key: Sequence[str], ts: str, gap_seconds: int, tie:
     partial aggregation."""
     order = [ts, *tie]
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_seconds))
+    df = df.filter(F.col(ts).isNotNull())      # as session_window: no time, no session
     step1 = keyed_scan(df, key, order, lag=[ts], skew_safe=skew_safe)
     starts = step1.withColumn("session_starts", F.when(F.col(f"lag_{ts}").isNull()
                                                        | (F.col(ts) >= F.col(f"lag_{ts}") + gap), 1).otherwise(0))

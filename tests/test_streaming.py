@@ -204,3 +204,14 @@ def test_streaming_sliding_windows_match_batch(spark):
              .filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=10)))
              .select(F.col("window_start").alias("s"), "n"))
     assert got.count() > 0 and got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_sessions_ignore_null_times_like_session_window(spark):
+    from keelson.operators.sequences import sessions
+    from keelson.streaming import windows
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev = ev.withColumn("ts", F.when(F.col("event_id") % 5 == 0, F.lit(None)).otherwise(F.col("ts")))
+    a = sessions(ev, ["user_id"], "ts", 1800, tie=["event_id"], aggs=[F.count(F.lit(1)).alias("n")])
+    b = windows.session_agg(ev, "ts", "30 minutes", ["user_id"], [F.count(F.lit(1)).alias("n")])
+    cols = ["user_id", "session_start", "session_end", "n"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and b.select(cols).exceptAll(a.select(cols)).count() == 0
