@@ -57,20 +57,27 @@ def encode_decimal_base64(value, scale: int) -> Column:
     return F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
 
 
-def decode_decimal_base64(b64, precision: int, scale: int) -> Column:
+def decode_decimal_base64(b64, precision: int, scale: int, accept_numbers: bool = True) -> Column:
     """Decode a base64 two's-complement unscaled integer into a decimal.
 
-    Sign extension: a value shorter than 8 bytes whose top bit is set is
-    padded with FF bytes, otherwise with 00; ``conv(..., 16, -10)`` then reads
-    the 16 hex digits as a signed 64-bit number.  Precision is at most 18.
+    Strict base64 (``try_to_binary``): malformed text is not decoded.  Sign
+    extension: a value shorter than 8 bytes whose top bit is set is padded
+    with FF bytes, otherwise with 00; ``conv(..., 16, -10)`` then reads the 16
+    hex digits as a signed 64-bit number.  Precision is at most 18.  With
+    ``accept_numbers``, text that is not base64 but a number (``"12.5"``,
+    a JSON number) is read as that number; anything else is NULL.
     """
-    hx = F.hex(F.unbase64(_c(b64)))
+    raw = F.try_to_binary(_c(b64), F.lit("base64"))
+    hx = F.hex(raw)
     neg = F.conv(F.substring(hx, 1, 1), 16, 10).cast("int") >= 8
     padded = F.when(neg, F.lpad(hx, 16, "F")).otherwise(F.lpad(hx, 16, "0"))
     unscaled = F.conv(padded, 16, -10).cast("decimal(38,0)")
     out = (unscaled / F.lit(10 ** scale).cast("decimal(38,0)")).cast(
         f"decimal({precision},{scale})")
-    return F.when(F.length(hx) > 0, out)
+    decoded = F.when((F.length(hx) > 0) & (F.length(hx) <= 16), out)
+    if not accept_numbers:
+        return decoded
+    return F.when(raw.isNotNull(), decoded).otherwise(_c(b64).try_cast(f"decimal({precision},{scale})"))
 
 
 def hash_fraction_keep(key, fraction: float, salt: str = "") -> Column:

@@ -75,3 +75,10 @@ def test_decimal_decode_property(spark):
         for r in df.select("v", X.decode_decimal_base64("b", 18, 2).alias("d")).collect():
             assert r.d == Decimal(r.v) / 100
     check()
+
+
+def test_decimal_decode_is_strict_and_accepts_numbers(spark):
+    df = spark.createDataFrame([("EDMz",), ("%%%",), ("",), (None,), ("12.5",), ("-3",)], "b string")
+    got = [r.d for r in df.select(X.decode_decimal_base64("b", 10, 2).alias("d")).collect()]
+    # "-3" is not valid base64 (it has a '-'), so it is read as a number
+    assert got == [Decimal("10616.83"), None, None, None, Decimal("12.50"), Decimal("-3.00")]
