@@ -37,6 +37,7 @@ def upsert_table(spark: SparkSession, path: str, changes: DataFrame, spec: Table
     """
     from keelson.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
+    changes = changes.drop(*[c for c in ("_before", "_no_before") if c in changes.columns])
     order = [c for c in spec.order if c in changes.columns]
     # newest change per key of this load, materialised once (one row per key
     # touched): it feeds both the bucket list and the merge
