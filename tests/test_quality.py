@@ -72,3 +72,13 @@ def test_dq_report_counts(spark):
     rep = {(r.test_name, r.column_name): r.failures
            for r in Q.dq_report(df, "t", not_null=["s"], unique=["k"], accepted={"s": ["A", "B"]}).collect()}
     assert rep == {("not_null", "s"): 1, ("unique", "k"): 2, ("accepted_values", "s"): 1}
+
+
+def test_valid_and_quarantine_helpers(spark):
+    df = _frame(spark)
+    v = Q.valid_rows(df, RULES)
+    q = Q.quarantine_rows(df, RULES)
+    assert v.columns == df.columns + [r.name for r in RULES]
+    assert "quarantine_reason" in q.columns and "_valid" not in q.columns
+    assert v.count() + q.count() == df.count()
+    assert Q.valid_rows(df, RULES, keep=["id"]).columns == ["id"]
