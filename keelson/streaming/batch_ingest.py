@@ -36,13 +36,20 @@ PROGRESS_SCHEMA = "batch_id bigint, max_ts timestamp"
 
 
 def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_seconds: int = 600,
-                        fmt: str = "parquet"):
-    """``foreachBatch`` function implementing the steps above."""
+                        fmt: str = "parquet", keep_deletes: bool = False):
+    """``foreachBatch`` function implementing the steps above.
+    ``keep_deletes`` keeps delete events (key from the before image), as in
+    ``ingest.bronze_stream``."""
     ids = [*spec.key, *spec.change_id]
 
+    def parse(batch: DataFrame) -> DataFrame:
+        if not keep_deletes:
+            return cdc.parse_envelope(batch, spec)
+        return cdc.parse_changes(batch, spec).drop(*[c for c in ("_before", "_no_before")])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = cdc.dedupe_changes(cdc.parse_envelope(batch, spec), spec).withColumn(
+        rows = cdc.dedupe_changes(parse(batch), spec).withColumn(
             "event_date", F.to_date("kafka_timestamp"))
         # progress table: created empty on first use (a no-op afterwards)
         spark.createDataFrame([], PROGRESS_SCHEMA).write.mode("ignore").format(fmt).save(f"{table_path}/_progress")

@@ -215,3 +215,16 @@ def test_sessions_ignore_null_times_like_session_window(spark):
     b = windows.session_agg(ev, "ts", "30 minutes", ["user_id"], [F.count(F.lit(1)).alias("n")])
     cols = ["user_id", "session_start", "session_end", "n"]
     assert a.select(cols).exceptAll(b.select(cols)).count() == 0 and b.select(cols).exceptAll(a.select(cols)).count() == 0
+
+
+def test_batch_ingest_keeps_deletes_when_asked(spark):
+    from keelson.streaming import batch_ingest as BI
+    landing = scratch_path(spark, "l")
+    table, late_tbl, ck = scratch_path(spark, "t"), scratch_path(spark, "late"), scratch_path(spark, "c")
+    fx.cdc_raw(spark, SF_SMALL).write.parquet(f"{landing}/a")
+    raw = ingest.file_source(spark, f"{landing}/*", MSG)
+    runner.run_to_end(runner.start_foreach_batch(raw, BI.dedupe_batch_writer(fx.EVENTS_SPEC, table, late_tbl,
+                                                                             keep_deletes=True), ck))
+    got = BI.read_table(spark, table)
+    assert got.filter(F.col("cdc_operation") == "d").count() > 0
+    assert got.count() == got.select("entity_id", "source_lsn").distinct().count()
