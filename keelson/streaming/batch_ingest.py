@@ -45,7 +45,7 @@ def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_
     def parse(batch: DataFrame) -> DataFrame:
         if not keep_deletes:
             return cdc.parse_envelope(batch, spec)
-        return cdc.parse_changes(batch, spec).drop(*[c for c in ("_before", "_no_before")])
+        return cdc.parse_changes(batch, spec).drop("_before", "_no_before")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
