@@ -72,9 +72,16 @@ def main(argv=None) -> int:
                 bronze = bronze.filter(F.col("ingest_date") >= F.lit(args.since).cast("date"))
             J.silver_incremental(spark, bronze, spec, args.state, f"{args.out}/silver_all_{spec.name}", fmt=args.format)
         else:
+            import json
+            from keelson.operators import quality as Q
             silver, quarantine = J.silver(bronze, spec)
+            silver, s_obs = Q.observe_counts(silver, "silver", {})
+            quarantine, q_obs = Q.observe_counts(quarantine, "quarantine", {})
             sinks.overwrite(silver, f"{args.out}/silver_{spec.name}", args.format)
             sinks.overwrite(quarantine, f"{args.out}/silver_quarantine_{spec.name}", args.format)
+            # row counts gathered during the writes (no extra counting pass)
+            print(json.dumps({"table": spec.name, "silver_rows": s_obs.get["rows"],
+                              "quarantine_rows": q_obs.get["rows"]}))
     elif args.cmd == "dq":
         report = J.dq_job(args.table, sinks.read(spark, args.input, args.format),
                           lambda name: sinks.read(spark, f"{args.tables}/{name}", args.format))
