@@ -216,6 +216,20 @@ def build_fact_loyalty_transactions(silver_loyalty: DataFrame, carry: tuple = ()
                                  "source_ts_ms", *carry)
 
 
+def run_silver_all(read_bronze, write, as_of: str | None = None) -> None:
+    """Silver and Quarantine of every refined table: ``read_bronze(name)``
+    returns that table's Bronze (or None to skip it), ``write(name, df)``
+    stores ``silver_<name>`` / ``silver_quarantine_<name>``."""
+    from keelson.plans.presets import SPECS
+    for name, spec in SPECS.items():
+        bronze = read_bronze(name)
+        if bronze is None:
+            continue
+        valid, quarantine = silver(bronze, spec, as_of=as_of)
+        write(f"silver_{name}", valid)
+        write(f"silver_quarantine_{name}", quarantine)
+
+
 def run_gold(spark: SparkSession, read, write) -> None:
     """Dimensions first (aircraft after its model), then facts.  ``read(name)``
     returns a table, ``write(name, df)`` stores one."""

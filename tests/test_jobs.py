@@ -249,3 +249,22 @@ def test_other_captured_tables_parse(spark):
     assert (p.amount, p.paid_at) == (Decimal("1000.00"), dt.datetime(2024, 1, 1, 0, 0, 7, 179575))
     a = cdc.parse_changes(_msgs(spark, [("c", acct, None, 1, 1)]), P.ALL_CAPTURED["loyalty_accounts"]).first()
     assert a.enrollment_date == dt.date(2024, 1, 1)
+
+
+def test_run_silver_all_then_gold_facts(spark):
+    b = lambda i, s: {"booking_id": i, "customer_id": 11, "booking_reference": f"R{i}", "booking_status": s,
+                      "booking_channel": "WEB", "currency": "USD"}
+    t = lambda i, typ, m: {"transaction_id": i, "loyalty_account_id": 1, "transaction_type": typ,
+                           "miles_amount": m, "reference_type": "BOOKING"}
+    bronze = {"bookings": cdc.parse_changes(_msgs(spark, [("r", b(1, "PENDING"), None, 1, 1),
+                                                          ("r", b(2, "NOPE"), None, 1, 2)]), P.BOOKINGS),
+              "loyalty_transactions": cdc.parse_changes(_msgs(spark, [("c", t(1, "EARN", 5), None, 1, 1)]),
+                                                        P.LOYALTY_TRANSACTIONS)}
+    out = {}
+    J.run_silver_all(lambda name: bronze.get(name), lambda name, df: out.__setitem__(name, df),
+                     as_of="2026-01-01 00:00:00")
+    assert sorted(out) == ["silver_bookings", "silver_loyalty_transactions",
+                           "silver_quarantine_bookings", "silver_quarantine_loyalty_transactions"]
+    assert out["silver_bookings"].count() == 1 and out["silver_quarantine_bookings"].count() == 1
+    dim = spark.createDataFrame([(0, 11)], "customer_key int, customer_id int")
+    assert J.build_fact_bookings(out["silver_bookings"], dim).first().customer_key == 0
