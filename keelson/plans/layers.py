@@ -19,15 +19,15 @@ from keelson.spec import TableSpec
 
 def ingest(raw: DataFrame, spec: TableSpec, dedupe: bool = True) -> DataFrame:
     """Bronze: every parsed change (deletes kept, key from before), once
-    when ``dedupe`` (for a stored table); a lazy pipeline that goes straight
+    when ``dedupe`` (for a stored table); a lazy chain that goes straight
     into ``refine`` can skip that shuffle."""
     changes = cdc.parse_changes(raw, spec)
     return cdc.dedupe_changes(changes, spec) if dedupe else changes
 
 
 def refine(bronze: DataFrame, spec: TableSpec) -> DataFrame:
-    # (Bronze may still hold repeated deliveries: max_by collapses them.)
-    """Current state (deletes removed) with null-safe rule flags."""
+    """Current state (deletes removed) with null-safe rule flags.  Bronze
+    may still hold repeated deliveries: ``max_by`` collapses them."""
     return Q.check(cdc.current_state_with_deletes(bronze, spec), spec.rules)
 
 
