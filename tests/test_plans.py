@@ -44,3 +44,10 @@ def test_no_cartesian_products(spark, name):
     assert "CartesianProduct" not in p
     if "BroadcastNestedLoopJoin" in p:          # only the size-checked band join
         assert name in ("tier_assignment", "tier_distribution")
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_python_udfs(spark, name):
+    p = plan(spark, name)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF"):
+        assert node not in p
