@@ -52,6 +52,36 @@ def partitions_for(spark: SparkSession, rows: int, per: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per), 1)
 
 
+def row_key(id_col: str, text: str) -> list[Column]:
+    """``id`` and ``th`` (hash of the whole text): what tells rows apart here.
+    Rows that agree in both count as one row repeated."""
+    return [F.col(f"`{id_col}`").alias("id"), F.xxhash64(whole_text(F.col(f"`{text}`"))).alias("th")]
+
+
+def without(docs: DataFrame, losers: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``losers`` (id, th)."""
+    spark = docs.sparkSession
+    gone = stored(spark, losers.select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct(), "losers")
+    key = row_key(id_col, text)
+    side = broadcast_if_small(gone, gone.count())
+    return docs.join(side, key[0].eqNullSafe(side["__id"]) & (key[1] == side["__th"]), "left_anti")
+
+
+def once(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """``docs`` with one row for each key.  Only keys that do repeat (the
+    others are told by a count over ids and hashes) send their rows through
+    a shuffle."""
+    spark = docs.sparkSession
+    many = stored(spark, docs.select(*row_key(id_col, text)).groupBy("id", "th").count().where("count > 1").select("id", "th"), "repeated")
+    if not many.limit(1).count():
+        return docs
+    single = without(docs, many, id_col, text)
+    names, key = docs.columns, row_key(id_col, text)
+    side = many.select(F.col("id").alias("__id"), F.col("th").alias("__th"))
+    again = docs.join(broadcast_if_small(side, many.count()), key[0].eqNullSafe(side["__id"]) & (key[1] == side["__th"]))
+    return single.unionByName(again.dropDuplicates(["__id", "__th"]).select(names))
+
+
 def crc_text(c: Column) -> Column:
     """crc32 of a value's text; null counts as empty text."""
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
@@ -99,5 +129,5 @@ def add_blocks(blocks: DataFrame, keys: list[str], value: str, dtype: str, n: in
     return spread.repartition(n, *keys).mapInArrow(add, spread.schema)
 
 
-__all__ = ["add_blocks", "ascii_lower", "broadcast_if_small", "crc_text", "ensure_checkpoint_dir", "partitions_for",
-           "pieces", "scratch_path", "stored", "table", "table_path", "texts", "whole_text"]
+__all__ = ["add_blocks", "ascii_lower", "broadcast_if_small", "crc_text", "ensure_checkpoint_dir", "once", "partitions_for",
+           "pieces", "row_key", "scratch_path", "stored", "table", "table_path", "texts", "whole_text", "without"]

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, whole_text
+from .common import ascii_lower, once, row_key, stored, table, whole_text, without
 
 #: A group is hot from this share of the rows on: 1/HOT, so at most HOT groups are.
 HOT = 1000
@@ -34,8 +34,8 @@ def groups_of_texts(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
             .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
 
 
-def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """All rows and columns of ``docs`` with ``keep_id``, ``group_size``,
+def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", columns: list[str] | None = None) -> DataFrame:
+    """All rows and the ``columns`` (default: all) of ``docs`` with ``keep_id``, ``group_size``,
     ``kept`` and ``text_sha256`` (the four replace columns of the same name).
 
     The largest id of a group stays.  Null text counts as empty; a null id
@@ -55,35 +55,38 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     many = per_hash.where("n_texts > 1").select("h")
     exact = found.join(many, "h", "left_semi").select("h", "norm", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
 
-    names = docs.columns
+    names = [c for c in columns or docs.columns if c not in added]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
-                       F.md5(normalised(text).cast("binary")).alias("h"))
-    out = ["row", "text_sha256", "keep_id", "group_size"]
+                       F.md5(normalised(text).cast("binary")).alias("h"), F.col(f"`{text}`").alias("text"), F.col(f"`{id_col}`").alias("id"))
+    out = ["row", "id", "text_sha256", "keep_id", "group_size"]
     is_hot = F.broadcast(hot)
     parts = [
         rows.join(is_hot, "h").select(*out),
         rows.join(F.broadcast(hot.select("h")), "h", "left_anti").join(cold, "h").select(*out),
-        rows.withColumn("norm", ascii_lower(whole_text(F.col("row")[text]))).join(exact, ["h", "norm"]).select(*out),
+        rows.withColumn("norm", normalised()).join(exact, ["h", "norm"]).select(*out),
     ]
     all_rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return all_rows.select(
         "row.*", "keep_id", "group_size",
-        F.coalesce(F.col("row")[id_col] == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
+        F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
 
 
 def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose text a row of larger id repeats; of
-    rows with the same id and text one stays."""
-    names = docs.columns
-    kept = exact_dedup(docs, text, id_col).where("kept")
-    once = kept.where("group_size = 1").select(names)
-    return once.unionByName(kept.where("group_size > 1").dropDuplicates([id_col, "text_sha256"]).select(names))
+    """``docs`` with one row of each group of equal texts, that of the largest
+    id (of rows that repeat it, one)."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text"), row_key(id_col, text)[1])
+    found = stored(spark, exact_dedup(slim, "text", "id", ["id", "th"]).where("group_size > 1"), "copies")
+    # rows that repeat the largest id in another case differ in th; the largest stays
+    top = found.where("kept").groupBy("text_sha256").agg(F.max("th").alias("top"))
+    late = found.where("kept").join(top, "text_sha256").where("th <> top")
+    losers = found.where("not kept").select("id", "th").unionByName(late.select("id", "th"))
+    return once(without(docs, losers, id_col, text), id_col, text)
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    from .common import table
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exact_dedup(docs, columns=["doc_id"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 SQL = """

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, packing, sharding, simhash, url_rules
+from . import decontaminate, exact_dedup, language_id, packing, sharding, simhash, url_rules
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op5_url_filter": url_rules.op5_url_filter,
+    "op6_decontamination": decontaminate.op6_decontamination,
     "op7_simhash": simhash.op7_simhash,
     "op8_language_id": language_id.op8_language_id,
     "op9_sharding": sharding.op9_sharding,

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import stored, table, texts
+from .common import once, row_key, stored, table, texts, without
 
 SHINGLE = 3
 BITS = 64
@@ -149,11 +149,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
 
 def one_per_component(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component: its least id (of rows that
-    repeat that id, the text that sorts first)."""
-    names = docs.columns
-    got = near_duplicates(docs, text, id_col).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    return got.dropDuplicates(["component_id"]).select(names)
+    """``docs`` with one row of each component, that of its least id (of
+    rows that repeat it, the least by the hash of the text)."""
+    slim = docs.select(*row_key(id_col, text), F.col(f"`{text}`").alias("text"))
+    found = stored(docs.sparkSession, near_duplicates(slim, "text", "id", columns=["id", "th"]), "components")
+    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("th").alias("first"))
+    late = found.join(first, found["component_id"].eqNullSafe(first["component_id"])) \
+        .where(~F.col("id").eqNullSafe(found["component_id"]) | (F.col("th") != F.col("first")))
+    return once(without(docs, late.select("id", "th"), id_col, text), id_col, text)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
