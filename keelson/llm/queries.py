@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, lm_mixing, packing, sharding, simhash, url_rules
+from . import decontaminate, exact_dedup, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
 
 QUERIES = {
     "op2_lm_scoring": lm_mixing.op2_lm_scoring,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
     "op5_url_filter": url_rules.op5_url_filter,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_simhash": simhash.op7_simhash,
