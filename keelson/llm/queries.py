@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
+from . import decontaminate, exact_dedup, html_template, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
 
 QUERIES = {
+    "op1_html_extraction": html_template.op1_html_extraction,
     "op2_lm_scoring": lm_mixing.op2_lm_scoring,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
