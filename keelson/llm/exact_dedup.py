@@ -46,26 +46,25 @@ def exact_dedup(docs: DataFrame, text: str = "text", id_col: str = "doc_id", col
     """
     added = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.select([c for c in docs.columns if c not in added])
+    spark = docs.sparkSession
     found = groups_of_texts(docs, text, id_col)
-    slim = found.select("h", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
+    # the texts end here: only hashes and verdicts are kept of the groups
+    slim = stored(spark, found.select("h", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size"), "groups")
     per_hash = slim.groupBy("h").agg(F.count(F.lit(1)).alias("n_texts"), *[F.max(c).alias(c) for c in ("text_sha256", "keep_id", "group_size")])
     one = per_hash.where("n_texts = 1").drop("n_texts")
     least = max(2, docs.count() // HOT)
     hot, cold = one.where(F.col("group_size") >= least), one.where(F.col("group_size") < least)
-    many = per_hash.where("n_texts > 1").select("h")
-    exact = found.join(many, "h", "left_semi").select("h", "norm", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
+    many = stored(spark, per_hash.where("n_texts > 1").select("h"), "collisions")
 
     names = [c for c in columns or docs.columns if c not in added]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
                        F.md5(normalised(text).cast("binary")).alias("h"), F.col(f"`{text}`").alias("text"), F.col(f"`{id_col}`").alias("id"))
     out = ["row", "id", "text_sha256", "keep_id", "group_size"]
-    is_hot = F.broadcast(hot)
-    parts = [
-        rows.join(is_hot, "h").select(*out),
-        rows.join(F.broadcast(hot.select("h")), "h", "left_anti").join(cold, "h").select(*out),
-        rows.withColumn("norm", normalised()).join(exact, ["h", "norm"]).select(*out),
-    ]
-    all_rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    all_rows = rows.join(F.broadcast(hot), "h").select(*out).unionByName(
+        rows.join(F.broadcast(hot.select("h")), "h", "left_anti").join(cold, "h").select(*out))
+    if many.limit(1).count():
+        exact = found.join(many, "h", "left_semi").select("h", "norm", F.sha2(F.col("norm").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
+        all_rows = all_rows.unionByName(rows.withColumn("norm", normalised()).join(exact, ["h", "norm"]).select(*out))
     return all_rows.select(
         "row.*", "keep_id", "group_size",
         F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
