@@ -153,9 +153,9 @@ def one_per_component(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     rows that repeat it, the least by the hash of the text)."""
     slim = docs.select(*row_key(id_col, text), F.col(f"`{text}`").alias("text"))
     found = stored(docs.sparkSession, near_duplicates(slim, "text", "id", columns=["id", "th"]), "components")
-    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("th").alias("first"))
-    late = found.join(first, found["component_id"].eqNullSafe(first["component_id"])) \
-        .where(~F.col("id").eqNullSafe(found["component_id"]) | (F.col("th") != F.col("first")))
+    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id").alias("of")).agg(F.min("th").alias("first"))
+    late = found.join(first, F.col("component_id").eqNullSafe(F.col("of"))) \
+        .where(~F.col("id").eqNullSafe(F.col("component_id")) | (F.col("th") != F.col("first")))
     return once(without(docs, late.select("id", "th"), id_col, text), id_col, text)
 
 
