@@ -58,28 +58,32 @@ def row_key(id_col: str, text: str) -> list[Column]:
     return [F.col(f"`{id_col}`").alias("id"), F.xxhash64(whole_text(F.col(f"`{text}`"))).alias("th")]
 
 
+def in_struct(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The whole row as ``row``, so no column of it can clash, and its key."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(id_col, text))
+
+
+def join_keys(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``in_struct`` joined to stored distinct keys (id, th)."""
+    r, k = rows.alias("r"), broadcast_if_small(keys, keys.count()).alias("k")
+    return r.join(k, F.col("r.id").eqNullSafe(F.col("k.id")) & (F.col("r.th") == F.col("k.th")), how)
+
+
 def without(docs: DataFrame, losers: DataFrame, id_col: str, text: str) -> DataFrame:
     """``docs`` without the rows whose key is in ``losers`` (id, th)."""
-    spark = docs.sparkSession
-    gone = stored(spark, losers.select(F.col("id").alias("__id"), F.col("th").alias("__th")).distinct(), "losers")
-    key = row_key(id_col, text)
-    side = broadcast_if_small(gone, gone.count())
-    return docs.join(side, key[0].eqNullSafe(side["__id"]) & (key[1] == side["__th"]), "left_anti")
+    gone = stored(docs.sparkSession, losers.select("id", "th").distinct(), "losers")
+    return join_keys(in_struct(docs, id_col, text), gone, "left_anti").select("row.*")
 
 
 def once(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``docs`` with one row for each key.  Only keys that do repeat (the
-    others are told by a count over ids and hashes) send their rows through
-    a shuffle."""
-    spark = docs.sparkSession
-    many = stored(spark, docs.select(*row_key(id_col, text)).groupBy("id", "th").count().where("count > 1").select("id", "th"), "repeated")
+    """``docs`` with one row for each key.  Only keys that do repeat (a count
+    over ids and hashes tells them) send their rows through a shuffle."""
+    many = stored(docs.sparkSession, docs.select(*row_key(id_col, text)).groupBy("id", "th").count().where("count > 1").select("id", "th"), "repeated")
     if not many.limit(1).count():
         return docs
-    single = without(docs, many, id_col, text)
-    names, key = docs.columns, row_key(id_col, text)
-    side = many.select(F.col("id").alias("__id"), F.col("th").alias("__th"))
-    again = docs.join(broadcast_if_small(side, many.count()), key[0].eqNullSafe(side["__id"]) & (key[1] == side["__th"]))
-    return single.unionByName(again.dropDuplicates(["__id", "__th"]).select(names))
+    rows = in_struct(docs, id_col, text)
+    again = join_keys(rows, many, "left_semi").dropDuplicates(["id", "th"])
+    return join_keys(rows, many, "left_anti").select("row.*").unionByName(again.select("row.*"))
 
 
 def crc_text(c: Column) -> Column:

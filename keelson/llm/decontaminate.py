@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, broadcast_if_small, row_key, stored, table, whole_text, without
+from .common import ascii_lower, broadcast_if_small, in_struct, row_key, stored, table, whole_text, without
 
 #: Contract: a window is this many words, and a document is contaminated from 1/SHARE of its words on.
 WINDOW = 13
@@ -147,6 +147,16 @@ def verdicts(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str
                          ((n_hit > 0) & (n_hit * SHARE >= F.col("d.n_words"))).alias("contaminated"))
 
 
+def contamination(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """All rows of ``docs`` with the columns of ``verdicts`` (they replace
+    columns of the same name, but for id and th, which are left out)."""
+    added = ["n_words", "n_hit", "item_ids", "spans", "contaminated"]
+    plain = docs.select([F.col(f"`{c}`") for c in docs.columns if c not in added])
+    found = verdicts(docs, items, text, id_col).distinct().alias("v")
+    rows = in_struct(plain, id_col, text).alias("d")
+    return rows.join(found, F.col("d.id").eqNullSafe(F.col("v.id")) & (F.col("d.th") == F.col("v.th"))).select("d.row.*", *[f"v.{c}" for c in added])
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the contaminated rows; nothing else is changed."""
     bad = verdicts(docs, items, text, id_col).where("contaminated")

@@ -31,6 +31,9 @@ BIG = 1000
 #: Groups a block, and rows a slice of a shard, hold about this many.
 BLOCK = 50_000
 DIMS = ["bytes", "tokens", "n_rows"]
+#: Weights of the dimensions in the dot product: bytes come first, the law
+#: that the query states; tokens and rows follow as far as they agree.
+WEIGHTS = np.array([100.0, 1.0, 1.0])
 
 
 def n_tokens(text: Column) -> Column:
@@ -40,7 +43,7 @@ def n_tokens(text: Column) -> Column:
 def pack(items: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The shard of each item (rows of ``items``, taken largest first) and
     the residual capacities (shards x dimensions) after all."""
-    scale = np.maximum(capacity.mean(axis=0), 1e-9)
+    scale = np.maximum(capacity.mean(axis=0), 1e-9) / np.sqrt(WEIGHTS)
     left, vectors = capacity / scale, items / scale
     shard = np.zeros(len(items), np.int32)
     order = np.argsort(-vectors.max(axis=1, initial=0), kind="stable")

@@ -79,8 +79,9 @@ def segments_of(fp: str, segments: int) -> list:
 
 
 def balls(width: int, radius: int) -> list[int]:
-    """All masks of at most ``radius`` set bits among ``width``."""
-    return [sum(1 << b for b in at) for r in range(radius + 1) for at in combinations(range(width), r)]
+    """All masks of at most ``radius`` set bits among ``width``, as signed longs."""
+    masks = (sum(1 << b for b in at) for r in range(radius + 1) for at in combinations(range(width), r))
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
 
 
 def links(fps: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
@@ -123,7 +124,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE,
-                    segments: int = SEGMENTS, columns: list[str] | None = None) -> DataFrame:
+                    segments: int = SEGMENTS, columns: list[str] | None = None, with_root: bool = False) -> DataFrame:
     """The ``columns`` of ``docs`` (default: all) with ``fingerprint`` (16
     hex digits) and ``component_id``, the least id reachable by links; they
     replace columns of the same name.
@@ -131,7 +132,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     Null text counts as empty and has fingerprint 0, linked like any other;
     a null id is larger than all others, and a component of null ids has a
     null ``component_id``.  Repeated rows share a component.  An empty table
-    gives no rows.
+    gives no rows.  ``with_root`` adds ``root``, which tells components apart
+    even where ids repeat or are null.
     """
     spark = docs.sparkSession
     names = [c for c in columns or docs.columns if c not in ("fingerprint", "component_id")]
@@ -141,21 +143,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     linked = components(links(least.select("fp"), distance, segments))
     roots = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     per_root = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = roots.join(per_root, "root").select("fp", "component_id")
+    of_fp = roots.join(per_root, "root").select("fp", F.col("root").alias("__root"), "component_id")
     # a fingerprint with a thousandth of the rows or more is hot; at most a thousand are
     hot = F.broadcast(rows.groupBy("fp").count().where(F.col("count") >= max(2, rows.count() // 1000)).select("fp"))
     back = rows.join(F.broadcast(of_fp.join(hot, "fp")), "fp").unionByName(rows.join(hot, "fp", "left_anti").join(of_fp, "fp"))
-    return back.select(*[c for c in names if c != "fp"], F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return back.select(*[c for c in names if c != "fp"], F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+                       *([F.col("__root").alias("root")] if with_root else []))
 
 
 def one_per_component(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component, that of its least id (of
-    rows that repeat it, the least by the hash of the text)."""
+    """``docs`` with one row of each component, that of its least id (a null
+    id only if there is no other; of rows with that id, the least by the
+    hash of the text)."""
     slim = docs.select(*row_key(id_col, text), F.col(f"`{text}`").alias("text"))
-    found = stored(docs.sparkSession, near_duplicates(slim, "text", "id", columns=["id", "th"]), "components")
-    first = found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id").alias("of")).agg(F.min("th").alias("first"))
-    late = found.join(first, F.col("component_id").eqNullSafe(F.col("of"))) \
-        .where(~F.col("id").eqNullSafe(F.col("component_id")) | (F.col("th") != F.col("first")))
+    found = stored(docs.sparkSession, near_duplicates(slim, "text", "id", columns=["id", "th"], with_root=True), "components")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "th")
+    first = found.groupBy("root").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    late = found.join(first, "root").where(~rank.eqNullSafe(F.col("first")))
     return once(without(docs, late.select("id", "th"), id_col, text), id_col, text)
 
 
