@@ -52,43 +52,49 @@ def decode_temporal(value, unit: str) -> Column:
 def encode_decimal_base64(value, scale: int) -> Column:
     """Change-capture encoding of a decimal: base64 of the big-endian
     two's-complement unscaled value (8 bytes here).  Used to build test
-    envelopes; the decoder accepts any length up to 8 bytes."""
+    envelopes; the decoder accepts any length."""
     unscaled = F.round(_c(value) * F.lit(10 ** scale)).cast("bigint")
     return F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
 
 
-def decode_decimal_base64(b64, precision: int, scale: int, accept_numbers: bool = True) -> Column:
+def decode_decimal_base64(b64, precision: int, scale: int) -> Column:
     """Decode a base64 two's-complement unscaled integer into a decimal.
 
-    Strict base64 (``try_to_binary``): malformed text is not decoded.  Sign
-    extension: a value shorter than 8 bytes whose top bit is set is padded
-    with FF bytes, otherwise with 00; ``conv(..., 16, -10)`` then reads the 16
-    hex digits as a signed 64-bit number.  Precision is at most 18.  With
-    ``accept_numbers``, text that is not base64 but a number (``"12.5"``,
-    a JSON number) is read as that number; anything else is NULL.
+    Strict base64 (``try_to_binary``); any length: redundant sign bytes are
+    dropped, the rest is read as two 64-bit halves.  The digits are shifted
+    as text, so every scale is exact.  NULL for malformed text, an empty
+    value and a value that does not fit ``decimal(precision, scale)``;
+    ``decimal_fault`` tells those from a NULL that was sent.
     """
-    raw = F.try_to_binary(_c(b64), F.lit("base64"))
-    hx = F.hex(raw)
+    hx = F.hex(F.try_to_binary(_c(b64), F.lit("base64")))
     neg = F.conv(F.substring(hx, 1, 1), 16, 10).cast("int") >= 8
-    padded = F.when(neg, F.lpad(hx, 16, "F")).otherwise(F.lpad(hx, 16, "0"))
-    unscaled = F.conv(padded, 16, -10).cast("decimal(38,0)")
-    out = (unscaled / F.lit(10 ** scale).cast("decimal(38,0)")).cast(
-        f"decimal({precision},{scale})")
-    decoded = F.when((F.length(hx) > 0) & (F.length(hx) <= 16), out)
-    if not accept_numbers:
-        return decoded
-    return F.when(raw.isNotNull(), decoded).otherwise(_c(b64).try_cast(f"decimal({precision},{scale})"))
+    short = F.when(neg, F.regexp_replace(hx, "^(FF)+(?=[89A-F])", "")).otherwise(F.regexp_replace(hx, "^(00)+(?=[0-7])", ""))
+    wide = F.when(neg, F.lpad(short, 32, "F")).otherwise(F.lpad(short, 32, "0"))
+    high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(20,0)")
+    low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(20,0)")
+    unscaled = F.try_add(F.try_multiply(high, F.lit(str(1 << 64)).cast("decimal(20,0)")), low)
+    digits = F.abs(unscaled).cast("decimal(38,0)").cast("string")
+    padded = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, scale + 1, "0"))
+    text = F.concat(
+        F.when(unscaled < 0, "-").otherwise(""), F.substring(padded, F.lit(1), F.length(padded) - scale), F.lit("."),
+        F.substring(padded, F.length(padded) - scale + 1, F.lit(scale)))
+    return F.when((F.length(hx) > 0) & (F.length(short) <= 32), text.try_cast(f"decimal({precision},{scale})"))
+
+
+def decimal_fault(sent, decoded) -> Column:
+    """A decimal that was sent but could not be decoded."""
+    return _c(sent).isNotNull() & _c(decoded).isNull()
 
 
 def hash_fraction_keep(key, fraction: float, salt: str = "") -> Column:
-    """Repeatable fraction filter: keep a row when the first 4 hex digits of
-    md5(salt || key) are below ``fraction``·16^4.  Compared as strings (fixed
+    """Repeatable fraction filter: keep a row when the first 15 hex digits of
+    md5(salt || key) are below ``fraction``·16^15.  Compared as strings (fixed
     width lowercase hex), which orders like the numbers."""
-    threshold = int(round(fraction * 65536))
-    if threshold >= 65536:
+    threshold = round(fraction * 16 ** 15)
+    if threshold >= 16 ** 15:
         return F.lit(True)
-    bound = format(threshold, "04x")
-    h = F.substring(F.md5(F.concat(F.lit(salt), _c(key).cast("string"))), 1, 4)
+    bound = format(threshold, "015x")
+    h = F.substring(F.md5(F.concat(F.lit(salt), _c(key).cast("string"))), 1, 15)
     return h < F.lit(bound)
 
 

@@ -77,8 +77,31 @@ def test_decimal_decode_property(spark):
     check()
 
 
-def test_decimal_decode_is_strict_and_accepts_numbers(spark):
+def test_decimal_decode_is_strict(spark):
     df = spark.createDataFrame([("EDMz",), ("%%%",), ("",), (None,), ("12.5",), ("-3",)], "b string")
     got = [r.d for r in df.select(X.decode_decimal_base64("b", 10, 2).alias("d")).collect()]
-    # "-3" is not valid base64 (it has a '-'), so it is read as a number
-    assert got == [Decimal("10616.83"), None, None, None, Decimal("12.50"), Decimal("-3.00")]
+    assert got == [Decimal("10616.83"), None, None, None, None, None]
+    faults = [r.f for r in df.select(X.decimal_fault("b", X.decode_decimal_base64("b", 10, 2)).alias("f")).collect()]
+    assert faults == [False, True, True, False, True, True]
+
+
+def test_decimal_decode_of_wide_values(spark):
+    """Longer than 8 bytes, redundant sign bytes, digits that are base64 too,
+    more scale than a division keeps, and values over the precision."""
+    import base64
+    wide = [0, 1, -1, 10 ** 30, -(10 ** 30), (1 << 63), -(1 << 63) - 1, 10 ** 37, -(10 ** 37), 123456789]
+    rows = [(base64.b64encode(v.to_bytes(n, "big", signed=True)).decode(), str(v)) for v in wide for n in (16, 20)]
+    df = spark.createDataFrame(rows, "b string, v string")
+    for r in df.select("v", X.decode_decimal_base64("b", 38, 0).alias("d"), X.decode_decimal_base64("b", 38, 8).alias("s")).collect():
+        assert r.d == Decimal(r.v)
+        assert r.s == (Decimal(r.v).scaleb(-8) if abs(int(r.v)) < 10 ** 38 else None)
+    one = spark.createDataFrame([("1234",), ("B1vNFQ==",), ("f////w==",)], "b string")
+    got = [r.d for r in one.select(X.decode_decimal_base64("b", 18, 8).alias("d")).collect()]
+    assert got[0] == Decimal(int.from_bytes(base64.b64decode("1234"), "big", signed=True)).scaleb(-8) and got[1] == Decimal("1.23456789")
+    small = one.select(X.decode_decimal_base64("b", 4, 2).alias("d")).collect()   # over the precision: NULL, no failed job
+    assert small[1].d is None and small[2].d is None
+
+
+def test_tiny_fractions_keep_some(spark):
+    keep = spark.range(2_000_000).filter(X.hash_fraction_keep("id", 1 / 262144)).count()
+    assert 0 < keep < 40
