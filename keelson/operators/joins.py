@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 # Row bound under which a side is broadcast (a few MB for narrow rows).
 MAX_BROADCAST_ROWS = 100_000
+# Band tables up to this many rows are compared band by band; larger ones
+# take the as-of path, so no value is ever paired with thousands of bands.
+MAX_BANDS = 256
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -23,7 +26,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def range_lookup(values: DataFrame, value_col: str, bands: DataFrame, min_col: str,
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_rows: int = MAX_BANDS) -> DataFrame:
     """For each row of ``values``, the band with the largest ``min_col`` <=
     value (NULL band columns when the value is below every band).  Band
     minimums must be unique.
@@ -34,6 +37,8 @@ def range_lookup(values: DataFrame, value_col: str, bands: DataFrame, min_col: s
     values and band starts are range-partitioned together in value order
     (band starts first on ties), a running count of band starts gives each
     value the ordinal of its band, and the band is joined by that ordinal.
+    Both paths compare in the common type of the two columns and return the
+    same columns: those of ``values``, then the bands' others.
     """
     from keelson.operators.dims import dense_key
     from keelson.operators.sequences import ordered_scan
@@ -42,10 +47,11 @@ def range_lookup(values: DataFrame, value_col: str, bands: DataFrame, min_col: s
         w = Window.orderBy(F.col(min_col))
         b = bands.withColumn("__upper", F.lead(F.col(min_col)).over(w))   # size-checked table
         cond = (F.col(value_col) >= F.col(min_col)) & (F.col("__upper").isNull() | (F.col(value_col) < F.col("__upper")))
-        return values.join(F.broadcast(b), cond, "left").drop("__upper")
+        out = values.alias("v").join(F.broadcast(b).alias("b"), cond, "left")
+        return out.select("v.*", *[f"b.{c}" for c in band_cols if c not in values.columns])
     ranked = dense_key(bands, [min_col], "__ord")
-    probes = values.select("*", F.col(value_col).cast("double").alias("__v"), F.lit(1).alias("__probe"))
-    starts = ranked.select(F.col(min_col).cast("double").alias("__v"), F.lit(0).alias("__probe"))
+    probes = values.select("*", F.col(value_col).alias("__v"), F.lit(1).alias("__probe"))
+    starts = ranked.select(F.col(min_col).alias("__v"), F.lit(0).alias("__probe"))
     both = probes.unionByName(starts, allowMissingColumns=True).withColumn("__g", F.lit(0))
     scanned = ordered_scan(both, ["__g"], ["__v", "__probe"],
                            running_sum={"__k": F.when(F.col("__probe") == 0, 1).otherwise(0)})

@@ -125,17 +125,19 @@ def apply_delays(flights: DataFrame, delays: DataFrame, on: Sequence[str]) -> Da
 
 
 def usage_due(usage: DataFrame, schedules: DataFrame, model_col: str, hours: str, cycles: str,
-              max_occurrences: int = 5) -> DataFrame:
+              max_occurrences: int | None = None) -> DataFrame:
     """Maintenance occurrences due by accumulated usage: per (unit, check
     type) ``n = max(floor(hours / interval_h), floor(cycles / interval_c))``,
-    at most ``max_occurrences``; one row per occurrence 1..n.  The schedule
+    kept whole in ``times_due``; one row per occurrence 1..n, at most
+    ``max_occurrences`` of them when that is given.  The schedule
     table (types x models) is broadcast when it passes the size check."""
     j = usage.join(checked_broadcast(schedules), model_col)
     by_h = F.when(F.col("interval_flight_hours") > 0, F.floor(F.col(hours) / F.col("interval_flight_hours"))).otherwise(0)
     by_c = F.when(F.col("interval_flight_cycles") > 0, F.floor(F.col(cycles) / F.col("interval_flight_cycles"))).otherwise(0)
-    n = F.least(F.greatest(by_h, by_c), F.lit(max_occurrences)).cast("int")
+    n = F.greatest(by_h, by_c).cast("int")
     j = j.withColumn("times_due", n).filter(F.col("times_due") >= 1)
-    return j.withColumn("occurrence", F.explode(F.sequence(F.lit(1), F.col("times_due"))))
+    last = F.col("times_due") if max_occurrences is None else F.least(F.col("times_due"), F.lit(max_occurrences))
+    return j.withColumn("occurrence", F.explode(F.sequence(F.lit(1), last)))
 
 
 def flag_from_events(entities: DataFrame, key: str, events: DataFrame, event_key: str,

@@ -48,6 +48,8 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
     n = num_partitions or shuffle_partitions(spark)
     key, order = list(key), list(order)
     base = df
+    # the type a plain window sum has, so both forms return the same schema
+    kinds = {name: df.select(F.sum(expr)).schema[0].dataType for name, expr in running_sum.items()}
     for name, expr in running_sum.items():
         base = base.withColumn(f"__m_{name}", expr)
     r = (base.repartitionByRange(n, *key, *order).withColumn("__pid", F.spark_partition_id())
@@ -103,7 +105,7 @@ def ordered_scan(df: DataFrame, key: Sequence[str], order: Sequence[str], *,
         # NULL only while no non-NULL value has been seen, as a window sum
         seen = F.col(f"__lcnt_{name}") + F.coalesce(F.col(f"__ccnt_{name}"), F.lit(0))
         total = F.coalesce(F.col(f"__lsum_{name}"), F.lit(0)) + F.coalesce(F.col(f"__carry_{name}"), F.lit(0))
-        out = out.withColumn(name, F.when(seen > 0, total))
+        out = out.withColumn(name, F.when(seen > 0, total).cast(kinds[name]))
     internal = {"__pid", "__rn", "__last", "__prevlast", "__nextfirst"}
     internal |= {f"__llag_{c}" for c in lag} | {f"__llead_{c}" for c in lead}
     internal |= {f"__{p}_{n_}" for n_ in running_sum for p in ("m", "lsum", "lcnt", "carry", "ccnt")}

@@ -65,11 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; we only set our own
-    when it is unset (local tests).
+    when it is unset, and only in local mode; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="keelson-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -33,9 +33,11 @@ def test_usage_due_cap_and_zero_interval(spark):
                                   "unit int, model_id int, hours bigint, cycles bigint")
     sched = spark.createDataFrame([(0, "A", 600, 400), (1, "B", 0, 400)],
                                   "model_id int, maintenance_type string, interval_flight_hours int, interval_flight_cycles int")
-    got = sorted((r.unit, r.maintenance_type, r.occurrence) for r in R.usage_due(usage, sched, "model_id", "hours", "cycles").collect())
+    got = sorted((r.unit, r.maintenance_type, r.occurrence) for r in R.usage_due(usage, sched, "model_id", "hours", "cycles", max_occurrences=5).collect())
     # unit 1: 16 by hours, capped at 5; unit 2: nothing due; unit 3: hours interval 0 ignored, 2 by cycles
     assert got == [(1, "A", i) for i in range(1, 6)] + [(3, "B", 1), (3, "B", 2)]
+    whole = R.usage_due(usage, sched, "model_id", "hours", "cycles").collect()   # no cap unless asked for
+    assert len(whole) == 18 and {r.times_due for r in whole if r.unit == 1} == {16}
 
 
 def test_header_rollup_flags_mismatch_and_missing_lines(spark):
