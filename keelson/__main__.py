@@ -73,15 +73,19 @@ def main(argv=None) -> int:
             J.silver_incremental(spark, bronze, spec, args.state, f"{args.out}/silver_all_{spec.name}", fmt=args.format)
         else:
             import json
+            from pyspark.sql import functions as F
             from keelson.operators import quality as Q
-            silver, quarantine = J.silver(bronze, spec)
-            silver, s_obs = Q.observe_counts(silver, "silver", {})
-            quarantine, q_obs = Q.observe_counts(quarantine, "quarantine", {})
+            # Bronze is read and aggregated once: the checked rows are stored, then split
+            checked, obs = Q.observe_counts(J.checked_state(bronze, spec), "silver", {"valid": F.col("_valid")})
+            sinks.write_split(checked, f"{args.out}/silver_checked_{spec.name}", args.format)
+            whole = sinks.read(spark, f"{args.out}/silver_checked_{spec.name}", args.format)
+            # a partition column reads back as text
+            silver, quarantine = J.split_checked(whole.withColumn("_valid", F.col("_valid").cast("boolean")), spec)
             sinks.overwrite(silver, f"{args.out}/silver_{spec.name}", args.format)
             sinks.overwrite(quarantine, f"{args.out}/silver_quarantine_{spec.name}", args.format)
-            # row counts gathered during the writes (no extra counting pass)
-            print(json.dumps({"table": spec.name, "silver_rows": s_obs.get["rows"],
-                              "quarantine_rows": q_obs.get["rows"]}))
+            # row counts gathered during the write (no extra counting pass)
+            print(json.dumps({"table": spec.name, "silver_rows": obs.get["valid"],
+                              "quarantine_rows": obs.get["rows"] - obs.get["valid"]}))
     elif args.cmd == "dq":
         report = J.dq_job(args.table, sinks.read(spark, args.input, args.format),
                           lambda name: sinks.read(spark, f"{args.tables}/{name}", args.format))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.exprs import decode_decimal_base64, decode_temporal, struct_diff
+from keelson.functions.exprs import decimal_fault, decode_decimal_base64, decode_temporal, struct_diff
 from keelson.spec import TableSpec
 
 
@@ -60,11 +60,7 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
     out = []
     for f in spec.after_schema.fields:
         if f.name in spec.decimals:
-            p, s = spec.decimals[f.name]
-            if spec.decimal_encoding == "base64":
-                out.append(decode_decimal_base64(img[f.name], p, s).alias(f.name))
-            else:
-                out.append(img[f.name].try_cast(f"decimal({p},{s})").alias(f.name))
+            out.append(_decimal(img, spec, f.name).alias(f.name))
         elif f.name in spec.temporal:
             out.append(decode_temporal(img[f.name], spec.temporal[f.name]).alias(f.name))
         else:
@@ -72,6 +68,19 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
     return out
 
 
+def _decimal(img: Column, spec: TableSpec, name: str) -> Column:
+    p, s = spec.decimals[name]
+    return decode_decimal_base64(img[name], p, s) if spec.decimal_encoding == "base64" else img[name].try_cast(f"decimal({p},{s})")
+
+
+def _decodable(img: Column, spec: TableSpec) -> Column:
+    """Every decimal that was sent can be decoded (NULL images pass)."""
+    ok = F.lit(True)
+    for name in spec.decimals:
+        ok = ok & ~decimal_fault(img[name], _decimal(img, spec, name))
+    return F.coalesce(ok, F.lit(True))
+
+
 def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
               ts_col: str = "timestamp", keep=None) -> DataFrame:
     """Transport rows -> ``json_value, kafka_timestamp, p`` (the parsed
@@ -110,13 +119,14 @@ def _meta(spec: TableSpec) -> list[Column]:
 
 def parse_envelope(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     """Bronze rows in the captured form: the after image flattened plus change
-    metadata; deletes (no after image) and unparsable messages are dropped
-    (key taken from the after image must be present)."""
+    metadata; deletes (no after image), unparsable messages and those with
+    an undecodable decimal are left out (the key must be in the after
+    image); ``dead_letters`` returns the last two."""
     def keep(p):
         ok = p.isNotNull()
         for k in spec.key:
             ok = ok & p["after"][k].isNotNull()
-        return ok
+        return ok & _decodable(p["after"], spec)
     parsed = parse_raw(raw, spec, keep=keep, **kw)
     return parsed.select(*_decoded_image(F.col("p.after"), spec), *_meta(spec))
 
@@ -133,7 +143,7 @@ def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
         ok = p.isNotNull()
         for k in spec.key:
             ok = ok & key_of(p, k).isNotNull()
-        return ok
+        return ok & _decodable(p["after"], spec)
     parsed = parse_raw(raw, spec, keep=keep, **kw)
     p = F.col("p")
     key_cols = [key_of(p, k).alias(k) for k in spec.key]
@@ -147,6 +157,33 @@ def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     return parsed.select(*key_cols, *value_cols, *_meta(spec), *extra)
 
 
+def dead_letters(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
+    """Messages that ``parse_changes`` leaves out, with their text, their
+    transport time and the reason: not an envelope, no key, or a decimal
+    that cannot be decoded.  Parsed rows and dead letters together are all
+    messages."""
+    p = F.col("p")
+    has_key = F.lit(True)
+    for k in spec.key:
+        has_key = has_key & (F.coalesce(p["after"][k], p["before"][k]) if spec.keep_before else p["after"][k]).isNotNull()
+    reason = (F.when(p.isNull(), "unparsable").when(~has_key, "no key")
+              .when(~_decodable(p["after"], spec), "undecodable decimal"))
+    parsed = parse_raw(raw, spec, **kw)
+    return parsed.select("json_value", "kafka_timestamp", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def ledger_rows(changes: DataFrame, spec: TableSpec, order: Sequence[str] | None = None) -> DataFrame:
+    """Rows of an append-only ledger that stand: a delete takes back all
+    earlier rows of its key; rows written after it count again.  The last
+    delete per key is an aggregate, joined back to the rows."""
+    order = [c for c in (order or spec.order) if c in changes.columns]
+    last = (changes.filter(F.col("cdc_operation") == "d").groupBy(*spec.key)
+            .agg(F.max(_order_struct(order)).alias("__deleted")))
+    rows = changes.filter(F.col("cdc_operation") != "d").join(last, list(spec.key), "left")
+    stands = F.col("__deleted").isNull() | (_order_struct(order) > F.col("__deleted"))
+    return rows.filter(stands).drop("__deleted").select(*changes.columns)
+
+
 def parse_stats(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     """Diagnostic: messages, parsed envelopes and rows with a key, by op."""
     parsed = parse_raw(raw, spec, **kw)

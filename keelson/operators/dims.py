@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import date_key
@@ -111,20 +111,24 @@ def rename_key(df: DataFrame, natural: str, surrogate: str) -> DataFrame:
 
 
 def scd2(versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str], tie: Sequence[str] = (),
-         skew_safe: bool | str = "auto") -> DataFrame:
+         skew_safe: bool | str = "auto", deleted: Column | None = None) -> DataFrame:
     """Type-2 history from a stream of versions: a new row whenever the
     attribute hash changes; ``valid_from`` = first version time,
     ``valid_to`` = next change time (NULL while current), ``is_current``.
+    Where ``deleted`` holds, the version ends the entity: it closes the open
+    row and gives none itself; a later version starts anew.
 
     Both per-key scans (previous hash, next change time) go through
     ``sequences.keyed_scan``: a key with more than a partition's share of
     the versions is split over many tasks."""
     from keelson.operators.sequences import keyed_scan
     order = [ts, *tie]
-    h = F.xxhash64(*[F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs])
-    v = versions.withColumn("__h", h)
+    gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
+    image = [F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs]
+    h = F.when(gone, F.xxhash64(F.lit("deleted"))).otherwise(F.xxhash64(F.lit("image"), *image))
+    v = versions.withColumn("__h", h).withColumn("__gone", gone)
     prev = keyed_scan(v, key, order, lag=["__h"], skew_safe=skew_safe).withColumnRenamed("lag___h", "__prev")
     changes = prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))).drop("__h", "__prev")
     nxt = keyed_scan(changes, key, order, lead=[ts], skew_safe=skew_safe).withColumnRenamed(f"lead_{ts}", "valid_to")
-    return (nxt.withColumn("valid_from", F.col(ts))
+    return (nxt.filter(~F.col("__gone")).drop("__gone").withColumn("valid_from", F.col(ts))
             .withColumn("is_current", F.col("valid_to").isNull()))

@@ -9,16 +9,23 @@ from pyspark.sql import functions as F
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, key: str,
-               out: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+               out: str | None = None, carry: Sequence[str] = (), check: bool = False) -> DataFrame:
     """Left join a fact to a dimension by business key, returning the
     dimension's surrogate key (NULL when unmatched) and optional attributes.
 
     The dimension must be unique on ``dim_col`` (our dimension builders
-    guarantee it).  No hint: Catalyst broadcasts a dimension whose estimated
+    guarantee it); ``check`` makes the job fail when it is not, so a lookup
+    can never multiply fact rows.  No hint: Catalyst broadcasts a dimension whose estimated
     size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
     the real size at run time; larger dimensions take a sort-merge join.
     """
     d = dim.select(F.col(dim_col).alias("__dk"), F.col(key).alias(out or key), *carry)
+    if check:
+        rest = [c for c in d.columns if c != "__dk"]
+        one = d.groupBy("__dk").agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*rest)).alias("__r"))
+        sure = F.when((F.col("__n") == 1) | F.col("__dk").isNull(), F.col("__r")).otherwise(
+            F.raise_error(F.concat(F.lit(f"dimension key {dim_col} is not unique: "), F.col("__dk").cast("string"))))
+        d = one.select("__dk", sure.alias("__r")).select("__dk", *[F.col(f"__r.{c}").alias(c) for c in rest])
     return fact.join(d, F.col(fact_col) == F.col("__dk"), "left").drop("__dk")
 
 

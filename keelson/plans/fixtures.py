@@ -19,15 +19,12 @@ deliver it (one JSON envelope per change, as Kafka rows):
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import encode_decimal_base64, epoch_ms
 from keelson.operators import quality as Q
 from keelson.session import ensure_utc, table_path
-from keelson.sources.tables import spread
 from keelson.spec import TableSpec
 
 # The status list of the change-log table and the rule reasons.
@@ -48,9 +45,10 @@ EVENTS_SPEC = TableSpec(
 
 
 def memo(fn):
-    """Build a lazy DataFrame once per (session, arguments).  Only the plan
-    object is reused (DataFrames are immutable); every action still reads
-    and computes from the tables.  Saves the driver-side construction
+    """Build a lazy DataFrame once per (session, arguments).  Only for frames
+    that store nothing while they are built: the plan object is reused
+    (DataFrames are immutable) and every action still reads and computes
+    from the tables.  Saves the driver-side construction
     (py4j calls, analysis) when many queries share an input."""
     cache: dict = {}
 
@@ -68,10 +66,7 @@ def memo(fn):
 
 @memo
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    size = os.path.getsize(path) if os.path.isfile(path) else None
-    return spread(df, size_hint=size) if size is not None else df
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def cdc_image_columns(ev: DataFrame) -> DataFrame:

@@ -57,8 +57,18 @@ def silver(bronze: DataFrame, spec: TableSpec, as_of: str | None = None) -> tupl
     ``source_ts_ms`` + ``_silver_processed_at``; Quarantine = every Bronze
     column + rule flags + ``quarantine_reason`` + ``failed_rules`` +
     ``_silver_processed_at``.  ``as_of`` fixes the processing stamp."""
-    state = bronze if spec.name in LEDGERS else cdc.current_state_with_deletes(bronze, spec)
-    checked = Q.check(state, spec.rules)
+    return split_checked(checked_state(bronze, spec), spec, as_of)
+
+
+def checked_state(bronze: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows Silver starts from, with rule flags: what stands of a ledger
+    after deletes, else the current state."""
+    state = cdc.ledger_rows(bronze, spec) if spec.name in LEDGERS else cdc.current_state_with_deletes(bronze, spec)
+    return Q.check(state, spec.rules)
+
+
+def split_checked(checked: DataFrame, spec: TableSpec, as_of: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Silver and Quarantine of checked rows."""
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     valid, quarantine = Q.split(checked)
     silver_df = valid.select(*spec.row_fields, "source_ts_ms", stamp.alias("_silver_processed_at"))
@@ -184,12 +194,13 @@ def build_dim_aircraft_history(bronze_aircraft: DataFrame, spec: TableSpec) -> D
     change of grounding / usage attributes with validity interval."""
     versions = bronze_aircraft.filter(F.col("cdc_operation") != "d")
     attrs = ["model_id", "total_flight_hours", "total_flight_cycles", "is_grounded", "grounded_reason"]
-    h = dims.scd2(versions, list(spec.key), "source_ts_ms", attrs, tie=["source_lsn", "kafka_timestamp"])
+    h = dims.scd2(versions, list(spec.key), "source_ts_ms", attrs, tie=["source_lsn", "kafka_timestamp"],
+                  deleted=F.col("cdc_operation") == "d")
     return h.select(*spec.key, *attrs, "valid_from", "valid_to", "is_current")
 
 
 def build_fact_bookings(silver_bookings: DataFrame, dim_customer: DataFrame, carry: tuple = ()) -> DataFrame:
-    f = facts.lookup_key(silver_bookings, dim_customer, "customer_id", "customer_id", "customer_key")
+    f = facts.lookup_key(silver_bookings, dim_customer, "customer_id", "customer_id", "customer_key", check=True)
     return f.select("booking_id", "customer_key", "booking_reference", "booking_status", "booking_channel",
                     "currency", "source_ts_ms", *carry)
 

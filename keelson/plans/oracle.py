@@ -75,11 +75,11 @@ SELECT entity_id, status, amount, note, source_ts_ms, source_lsn,
        has_valid_status, has_valid_amount, has_note, {REASON}
 FROM checked WHERE NOT (has_valid_status AND has_valid_amount AND has_note)"""
 
-# Active-customer dimension: dense key by business key, customers in debit left out.
+# Customer dimension: dense key by business key.
 DIM_CUSTOMER = """
 dim_customer AS (
   SELECT CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS customer_key, c_custkey, c_name, c_nationkey, c_mktsegment
-  FROM customer WHERE c_acctbal >= 0)"""
+  FROM customer)"""
 
 SQL["fact_lookup"] = f"""WITH {DIM_CUSTOMER.strip()}
 SELECT o.o_orderkey, d.customer_key, o.o_orderstatus, o.o_totalprice, o.o_orderdate
@@ -200,18 +200,25 @@ SELECT s.s_suppkey, s.s_name, s.s_acctbal, s.s_nationkey, n.n_name
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 
 SQL["dim_scd2"] = f"""WITH {EV},
-v AS (SELECT entity_id, status, source_ts_ms, source_lsn,
-             lag(status) OVER w AS prev, row_number() OVER w AS rn
-      FROM ledger WINDOW w AS (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn)),
-c AS (SELECT * FROM v WHERE rn = 1 OR prev IS DISTINCT FROM status)
-SELECT entity_id, status, source_lsn, source_ts_ms AS valid_from,
-       lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn) AS valid_to,
-       lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn) IS NULL AS is_current
-FROM c"""
-
-SQL["fact_unmatched_keys"] = f"""WITH {DIM_CUSTOMER.strip()}
-SELECT count(*) AS n_rows, count(*) FILTER (WHERE d.customer_key IS NULL) AS n_unmatched
-FROM orders o LEFT JOIN dim_customer d ON o.o_custkey = d.c_custkey"""
+v AS (SELECT entity_id, status, source_ts_ms, source_lsn, cdc_operation = 'd' AS gone,
+             lag(status) OVER w AS prev, lag(cdc_operation = 'd') OVER w AS prev_gone, row_number() OVER w AS rn
+      FROM changes WINDOW w AS (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn)),
+c AS (SELECT * FROM v WHERE rn = 1 OR gone <> prev_gone OR (NOT gone AND prev IS DISTINCT FROM status)),
+n AS (SELECT *, lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_ts_ms, source_lsn) AS nxt FROM c)
+SELECT entity_id, status, source_lsn, source_ts_ms AS valid_from, nxt AS valid_to, nxt IS NULL AS is_current
+FROM n WHERE NOT gone"""
+
+SQL["cdc_dead_letters"] = f"""WITH {EV}
+SELECT 'unparsable' AS reason, ts AS kafka_ts, count(*) AS n_messages FROM msgs WHERE is_cut GROUP BY ts"""
+
+SQL["ledger_delete_state"] = f"""WITH {EV},
+last AS (SELECT entity_id, max((source_ts_ms, source_lsn)) AS d FROM changes WHERE cdc_operation = 'd' GROUP BY entity_id)
+SELECT c.entity_id, c.source_lsn, c.cdc_operation, c.amount_dec FROM changes c LEFT JOIN last l ON l.entity_id = c.entity_id
+WHERE c.cdc_operation <> 'd' AND (l.d IS NULL OR (c.source_ts_ms, c.source_lsn) > l.d)"""
+
+SQL["fact_unmatched_keys"] = """
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE c.c_custkey IS NULL) AS n_unmatched
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey AND c.c_acctbal >= 0"""
 
 SQL["fact_role_playing"] = """
 WITH dn AS (SELECT n_nationkey, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS nation_key FROM nation)
@@ -362,7 +369,7 @@ SELECT c_custkey, EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey A
 FROM customer c"""
 
 SQL["hash_sample"] = """
-SELECT c_custkey, c_name FROM customer WHERE substr(md5(CAST(c_custkey AS VARCHAR)), 1, 4) < 'b333'"""
+SELECT c_custkey, c_name FROM customer WHERE substr(md5(CAST(c_custkey AS VARCHAR)), 1, 15) < 'b33333333333300'"""
 
 SQL["entity_age"] = """
 SELECT o_orderkey, CAST(datediff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS INTEGER) AS age_days,
@@ -435,8 +442,9 @@ SQL["stream_late_rows"] = f"""WITH {EV} SELECT * FROM ledger WHERE kafka_ts >= T
 SQL["stream_restart"] = f"WITH {EV} SELECT * FROM ledger"
 
 SQL["stream_multi_table"] = f"""WITH {EV}
-SELECT 'events' AS table_name, entity_id AS entity_key, source_lsn FROM ledger
-UNION ALL SELECT 'orders', o_orderkey, o_orderkey FROM orders"""
+SELECT 'events' AS table_name, entity_id AS entity_key, source_lsn, cdc_operation FROM changes
+UNION ALL SELECT 'orders', o_orderkey, o_orderkey, 'r' FROM orders
+UNION ALL SELECT 'shop.unheard', NULL, NULL, NULL FROM msgs WHERE op = 'c' AND NOT is_cut"""
 
 SQL["end_to_end_star"] = f"""WITH {EV}, {DIM_CUSTOMER.strip()},
 cur AS (SELECT * FROM (SELECT * FROM changes

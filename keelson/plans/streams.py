@@ -23,12 +23,8 @@ def _cores(spark: SparkSession) -> int:
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file as a stream, spread over the cores like a keyed change
-    topic: all changes of one key in one partition, in delivery order (what
-    "first event per key" relies on).  A Kafka source gets this from its
-    topic partitions."""
-    src = ingest.file_source(spark, sf, EVENTS_SCHEMA, options={"pathGlobFilter": "events.parquet"})
-    return src.repartition(spark.sparkContext.defaultParallelism, "user_id")
+    """The events file as a stream."""
+    return ingest.file_source(spark, sf, EVENTS_SCHEMA, options={"pathGlobFilter": "events.parquet"})
 
 
 def _bronze_columns(df: DataFrame) -> DataFrame:
@@ -56,8 +52,13 @@ def q_stream_dedupe_change(spark, sf):
 
 @query("stream_dedupe_first")
 def q_stream_dedupe_first(spark, sf):
-    """First event per key for ever (the captured jobs' behaviour)."""
-    return _run_ingest(spark, sf, "first").select("entity_id", "source_lsn", "status")
+    """First event per key for ever (the captured jobs' behaviour): decided
+    by the log position, not by the order in which rows arrive."""
+    ensure_utc(spark)
+    out, ck = scratch_path(spark, "first"), scratch_path(spark, "first-ckpt")
+    writer = routing.first_per_key_writer(fx.EVENTS_SPEC, out)
+    runner.run_to_end(runner.start_foreach_batch(fx.envelopes(_events_stream(spark, sf)), writer, ck))
+    return spark.read.parquet(out).select("entity_id", "source_lsn", "status")
 
 
 @query("stream_window_counts")
@@ -156,23 +157,35 @@ def order_envelopes(orders: DataFrame) -> DataFrame:
 @query("stream_multi_table")
 def q_stream_multi_table(spark, sf):
     """Two captured tables on one stream, routed by topic in foreachBatch
-    and written per table and batch (idempotent on replay)."""
+    and written per table and batch (idempotent on replay), over two
+    overlapping deliveries, with deletes and a topic without a spec."""
     ensure_utc(spark)
-    ev_msgs = fx.envelopes(_events_stream(spark, sf)).select("value", "timestamp", F.lit("shop.events").alias("topic"))
-    ord_stream = ingest.file_source(spark, sf, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-                                    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
-                                    options={"pathGlobFilter": "orders.parquet"})
-    ord_msgs = order_envelopes(ord_stream).withColumn("topic", F.lit("sales.orders"))
-    both = ev_msgs.unionByName(ord_msgs)
-    base, ck = scratch_path(spark, "multi"), scratch_path(spark, "multi-ckpt")
-    router = routing.topic_router({"shop.events": fx.EVENTS_SPEC, "sales.orders": ORDERS_SPEC},
-                                  routing.batch_partition_writer(base))
-    runner.run_to_end(runner.start_foreach_batch(both, router, ck))
+    ev = fx.read(spark, sf, "events")
+    orders = fx.read(spark, sf, "orders")
+    ev_msgs = fx.envelopes(ev).select("value", "timestamp", F.lit("shop.events").alias("topic"))
+    ord_msgs = order_envelopes(orders).withColumn("topic", F.lit("sales.orders"))
+    stray = ev_msgs.filter(F.col("value").contains('"op":"c"')).withColumn("topic", F.lit("shop.unheard"))
+    landing, base, ck = scratch_path(spark, "multi-landing"), scratch_path(spark, "multi"), scratch_path(spark, "multi-ckpt")
+    router = routing.topic_router({"shop.events": fx.EVENTS_SPEC, "sales.orders": ORDERS_SPEC}, routing.batch_partition_writer(base),
+                                  reader=routing.batch_partition_reader(spark, base))
+
+    def run():
+        raw = ingest.file_source(spark, f"{landing}/*", "value string, timestamp timestamp, topic string")
+        runner.run_to_end(runner.start_foreach_batch(raw, router, ck))
+
+    # two deliveries that overlap: the second repeats all changes of the first
+    cut = F.col("timestamp") < F.lit(UPSERT_CUTOFF).cast("timestamp")
+    ev_msgs.filter(cut).unionByName(ord_msgs).unionByName(stray).write.parquet(f"{landing}/a")
+    run()
+    ev_msgs.unionByName(ord_msgs).write.parquet(f"{landing}/b")
+    run()
     ev = spark.read.parquet(f"{base}/{fx.EVENTS_SPEC.name}")
     od = spark.read.parquet(f"{base}/{ORDERS_SPEC.name}")
-    return (ev.select(F.lit("events").alias("table_name"), F.col("entity_id").alias("entity_key"), "source_lsn")
-            .unionByName(od.select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("entity_key"),
-                                   "source_lsn")))
+    un = spark.read.parquet(f"{base}/_unknown_topics")
+    return (ev.select(F.lit("events").alias("table_name"), F.col("entity_id").alias("entity_key"), "source_lsn", "cdc_operation")
+            .unionByName(od.select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("entity_key"), "source_lsn", "cdc_operation"))
+            .unionByName(un.select(F.col("topic").alias("table_name"), F.lit(None).cast("bigint").alias("entity_key"),
+                                   F.lit(None).cast("bigint").alias("source_lsn"), F.lit(None).cast("string").alias("cdc_operation"))))
 
 
 @query("stream_late_side_table")

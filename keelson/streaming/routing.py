@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +23,67 @@ def batch_partition_writer(base_path: str, fmt: str = "parquet") -> Callable[[Da
     return write
 
 
+def batch_partition_reader(spark, base_path: str, fmt: str = "parquet") -> Callable[[str, int], DataFrame | None]:
+    """What ``batch_partition_writer`` wrote for a table before a batch, or
+    None before its first write."""
+    def read(table: str, batch_id: int) -> DataFrame | None:
+        try:
+            t = spark.read.format(fmt).load(f"{base_path.rstrip('/')}/{table}")
+        except AnalysisException:
+            return None
+        return t.filter(F.col("batch_id") < batch_id)
+    return read
+
+
 def topic_router(specs: dict[str, TableSpec], writer: Callable[[DataFrame, str, int], None],
-                 topic_col: str = "topic") -> Callable[[DataFrame, int], None]:
+                 topic_col: str = "topic", reader: Callable[[str, int], DataFrame | None] | None = None,
+                 delay_seconds: int | None = None, unknown: str = "_unknown_topics") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: for each topic, parse its messages with the
-    table's spec, drop repeated deliveries within the batch, write."""
+    table's spec (deletes kept), drop repeated deliveries, write.
+
+    Repeats are dropped inside the batch and, with a ``reader`` of what was
+    written, against earlier batches by change id; ``delay_seconds`` limits
+    that to changes at most so much older than the batch's oldest (default:
+    all).  Messages of topics without a spec go, as they came, to the table
+    ``unknown``."""
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()          # read the micro-batch once for all tables
         try:
             for topic, spec in specs.items():
                 part = batch.filter(F.col(topic_col) == topic)
-                rows = cdc.dedupe_changes(cdc.parse_envelope(part, spec), spec)
+                rows = cdc.dedupe_changes(cdc.parse_changes(part, spec).drop("_before", "_no_before"), spec)
+                seen = reader(spec.name, batch_id) if reader else None
+                if seen is not None:
+                    if delay_seconds is not None:
+                        oldest = rows.agg(F.min("kafka_timestamp")).first()[0]
+                        if oldest is not None:
+                            seen = seen.filter(F.col("kafka_timestamp") >= F.lit(oldest) - F.make_dt_interval(secs=F.lit(delay_seconds)))
+                    ids = [*spec.key, *spec.change_id]
+                    known = seen.select(*[F.col(c).alias(f"__s_{c}") for c in ids])
+                    rows = rows.join(known, [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ids], "left_anti")
                 writer(rows, spec.name, batch_id)
+            rest = batch.filter(F.col(topic_col).isNull() | ~F.col(topic_col).isin(list(specs)))
+            if rest.limit(1).count():
+                writer(rest, unknown, batch_id)
         finally:
             batch.unpersist()
     return route
+
+
+def first_per_key_writer(spec: TableSpec, path: str, order: tuple[str, ...] = ("source_lsn", "source_ts_ms", "kafka_timestamp"),
+                         fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that keeps one row per key for ever: that of
+    the first batch the key comes in, and of that batch its least by
+    ``order``.  An aggregate decides, so neither the number of splits nor
+    the order of rows matters; keys already written are left out."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = cdc.parse_envelope(batch, spec)
+        rest = [c for c in rows.columns if c not in spec.key]
+        first = (rows.groupBy(*spec.key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r"))
+                 .select(*spec.key, *[F.col(f"__r.{c}").alias(c) for c in rest]))
+        seen = batch_partition_reader(batch.sparkSession, path, fmt)("", batch_id)
+        if seen is not None:
+            known = seen.select(*[F.col(c).alias(f"__s_{c}") for c in spec.key])
+            first = first.join(known, [F.col(c) == F.col(f"__s_{c}") for c in spec.key], "left_anti")
+        first.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+    return write

@@ -2,10 +2,11 @@
 import pytest
 
 import __spark_entry__ as E
+from keelson.plans.queries import QUERIES as CORE
 
 from conftest import SF_SMALL
 
-BATCH = [n for n in sorted(E.queries()) if not n.startswith("stream_")
+BATCH = [n for n in sorted(CORE) if not n.startswith("stream_")
          and n not in ("table_overwrite_roundtrip", "incremental_upsert", "stage_row_counts")]
 
 
