@@ -87,16 +87,19 @@ def quarantine_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def reconcile(input_df: DataFrame, valid: DataFrame, quarantine: DataFrame) -> DataFrame:
     """One row of counts proving valid + quarantine = input as multisets.
 
-    Net count per distinct row (+1 per input copy, -1 per output copy) in one
-    partially aggregated shuffle; ``n_missing`` / ``n_extra`` must be 0.
+    Net count per distinct row (+1 per input copy, -1 per output copy); rows
+    are told apart by a 128-bit hash of all columns, NULLs included, so one
+    pass shuffles two longs and three counts a row, whatever its width.
+    ``n_missing`` / ``n_extra`` must be 0.
     """
-    cols = input_df.columns
+    cols = [c for f in input_df.columns for c in (F.col(f).isNull(), F.col(f))]
 
     def tag(df, i, v, q):
-        return df.select(*cols, F.lit(i).alias("__i"), F.lit(v).alias("__v"), F.lit(q).alias("__q"))
+        return df.select(F.xxhash64(*cols).alias("__a"), F.xxhash64(F.lit("b"), *cols).alias("__b"),
+                         F.lit(i).alias("__i"), F.lit(v).alias("__v"), F.lit(q).alias("__q"))
 
     per_row = (tag(input_df, 1, 0, 0).unionByName(tag(valid, 0, 1, 0)).unionByName(tag(quarantine, 0, 0, 1))
-               .groupBy(*cols).agg(F.sum("__i").alias("i"), F.sum("__v").alias("v"), F.sum("__q").alias("q")))
+               .groupBy("__a", "__b").agg(F.sum("__i").alias("i"), F.sum("__v").alias("v"), F.sum("__q").alias("q")))
     net = F.col("i") - F.col("v") - F.col("q")
     return per_row.agg(
         F.coalesce(F.sum("i"), F.lit(0)).cast("bigint").alias("n_input"),
