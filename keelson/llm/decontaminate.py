@@ -168,3 +168,21 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = verdicts(docs, table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 13) AS k, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM b WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS win FROM i),
+lens AS (SELECT DISTINCT k FROM iw),
+dp AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, lens WHERE len(w) >= k),
+dw AS (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS win FROM dp),
+hits AS (SELECT dw.doc_id, dw.k, dw.s, iw.item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.win = iw.win),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM hits) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(pos.n_hit, 0) AS n_hit, coalesce(its.n_items, 0) AS n_items,
+  sha256(coalesce(its.items, '')) AS items_sha256, coalesce(pos.n_hit, 0) > 0 AND 20 * coalesce(pos.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN pos ON pos.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id
+"""

@@ -20,4 +20,5 @@ QUERIES = {
 SQL = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op5_url_filter": url_rules.SQL,
+    "op6_decontamination": decontaminate.SQL,
 }
