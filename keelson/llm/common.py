@@ -91,9 +91,18 @@ def crc_text(c: Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
 
 
-def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
-    """A batch's strings as UTF-8 bytes."""
-    return batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
+def texts(batch: pa.RecordBatch, column: str | int = "text") -> list[bytes]:
+    """A batch's strings as UTF-8 bytes, null as empty."""
+    at = column if isinstance(column, int) else batch.schema.get_field_index(column)
+    return [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: what a task makes of one is small,
+    however many rows Spark hands over at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -134,4 +143,4 @@ def add_blocks(blocks: DataFrame, keys: list[str], value: str, dtype: str, n: in
 
 
 __all__ = ["add_blocks", "ascii_lower", "broadcast_if_small", "crc_text", "ensure_checkpoint_dir", "once", "partitions_for",
-           "pieces", "row_key", "scratch_path", "stored", "table", "table_path", "texts", "whole_text", "without"]
+           "pieces", "row_key", "scratch_path", "slices", "stored", "table", "table_path", "texts", "whole_text", "without"]

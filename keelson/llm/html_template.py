@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import broadcast_if_small, stored, table, whole_text
+from .common import broadcast_if_small, slices, stored, table, whole_text
 from .url_rules import host_path
 
 #: A class is valid from this many pages and this share of a host's pages on.
@@ -194,7 +194,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
 def host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (host, page, html) to tokens: elements (0), texts (1), and the
     text mass of each container (2)."""
-    for b in batches:
+    for b in slices(batches):
         out: list[tuple] = []
         for host, page, source in zip(*(c.to_pylist() for c in b.columns), strict=True):
             blocks, paths = parse(source)
@@ -264,7 +264,7 @@ def extract(pages: DataFrame, source: str = "html", url: str = "url", columns: l
     joined = rows.join(broadcast_if_small(found, size), "__host", "left").select("__html", "texts", "main", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             text = [main_text(h, frozenset(t or ()), m) for h, t, m in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
                                              names=[*names, "text", "n_chars"])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import add_blocks, crc_text, pieces, table
+from .common import add_blocks, crc_text, pieces, slices, table
 
 #: 2**BITS buckets of n-grams.
 BITS = 16
@@ -69,7 +69,7 @@ def count_task(bits: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         rows: dict[str, int] = {}
-        for b in batches:
+        for b in slices(batches):
             by: dict[str, list[str]] = {}
             for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 by.setdefault(label, []).append(text or "")
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, training: DataFrame, text: str = "text", bits: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels, logs = model.value
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(at).to_pylist()
             known = [i for i, t in enumerate(texts) if labels and t and has_letter(t)]
             pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))

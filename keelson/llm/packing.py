@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, stored, table
+from .common import broadcast_if_small, slices, stored, table
 
 WINDOW = 2048
 END_ID = 1
@@ -107,7 +107,7 @@ def cut(vocabulary: str, window: int, end_id: int, with_ids: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
-        for b in batches:
+        for b in slices(batches):
             out: list[tuple] = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 raw = memoryview(np.append(enc.encode(text or ""), end).tobytes())

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import once, row_key, stored, table, texts, without
+from .common import once, row_key, slices, stored, table, texts, without
 
 SHINGLE = 3
 BITS = 64
@@ -64,8 +64,8 @@ def with_fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGL
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = np.array([fingerprint(t or b"", shingle) for t in texts(b, "__text")], "<u8").view("<i8")
+        for b in slices(batches):
+            fps = np.array([fingerprint(t, shingle) for t in texts(b, "__text")], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps, pa.int64())], names=[*b.schema.names[:-1], "fp"])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields[:-1], StructField("fp", LongType())]))
