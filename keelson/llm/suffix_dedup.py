@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions_for, row_key, table, whole_text
+from .common import partitions_for, row_key, slices, table, texts, whole_text
 
 #: Contract: strings of this many bytes.
 LENGTH = 50
@@ -49,6 +49,9 @@ PART = 1 << 21
 #: Bytes of segments for each byte of text, roughly: sizes the buckets.
 OVERLAP = 3.3
 LAST_ID = (1 << 63) - 1
+#: Suffixes that can match no more are dropped every so many columns, from this column on.
+PRUNE_EVERY = 4
+PRUNE_BELOW = 32
 
 
 def pressed(raw: bytes) -> bytes:
@@ -71,9 +74,8 @@ def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([block], pa.int64()), pa.array([[i for i, _ in found]], pa.list_(pa.int64())), pa.array([[len(t) for _, t in found]], pa.list_(pa.int64())),
             pa.array([pressed(b"".join(t for _, t in found))], pa.binary())], names=["block", "ids", "sizes", "texts"])
 
-    for b in batches:
-        for block, i, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            raw = (text or "").encode("utf-8", "surrogatepass")
+    for b in slices(batches):
+        for block, i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b, 2), strict=True):
             held.setdefault(block, []).append((i, raw))
             total[block] = total.get(block, 0) + len(raw)
             if total[block] > PART:
@@ -227,13 +229,16 @@ def smaller_elsewhere(text: np.ndarray, start: np.ndarray, size: np.ndarray, lef
             if len(lcp):
                 lcp[0] = 0
             order, lcp, born = np.concatenate([fresh, order]), np.concatenate([np.zeros(len(fresh), np.uint8), lcp]), upto
-        gone = begin[order] > column
-        if gone.any():  # segments without a symbol here leave
-            stay = np.nonzero(~gone)[0]
-            done = order[gone]
+        leave = begin[order] > column  # no symbol here
+        if column < PRUNE_BELOW and column % PRUNE_EVERY == 0:
+            # a common prefix grows by one a round: these cannot reach LENGTH in a window of their own any more
+            leave |= np.maximum(lcp, np.append(lcp[1:], 0)) < LENGTH - (column + 1) - left[order]
+        if leave.any():
+            done = order[leave]
             close = done[open_from[done] >= 0]
-            out.append((close, np.zeros(len(close), np.int64), open_from[close]))
+            out.append((close, column + 1 + left[close], open_from[close]))
             open_from[close] = -1
+            stay = np.nonzero(~leave)[0]
             if not len(stay):
                 order, lcp = order[:0], lcp[:0]
                 continue
