@@ -91,6 +91,7 @@ def main(argv=None) -> int:
                           lambda name: sinks.read(spark, f"{args.tables}/{name}", args.format))
         sinks.overwrite(report, args.out, args.format)
     else:
+        from pyspark.errors import AnalysisException
         from keelson.sources.tables import read_jdbc
         jdbc = dict(item.split("=", 1) for item in args.jdbc)
 
@@ -102,7 +103,13 @@ def main(argv=None) -> int:
 
         def write(name, df):
             sinks.overwrite(df, f"{args.out}/{name}", args.format)
-        J.run_gold(spark, read, write)
+
+        def previous(name):
+            try:
+                return sinks.read(spark, f"{args.out}/{name}", args.format)
+            except AnalysisException:
+                return None
+        J.run_gold(spark, read, write, previous)
     spark.stop()
     return 0
 

@@ -87,6 +87,16 @@ def assign_keys(df: DataFrame, key_map: DataFrame, key_cols: Sequence[str], name
     return old.unionByName(new)
 
 
+def kept_key(df: DataFrame, key_cols: Sequence[str], name: str, previous: DataFrame | None = None) -> DataFrame:
+    """Dense surrogate keys that do not move between runs: those of the
+    ``previous`` dimension stay, new business keys follow.  The previous
+    keys are checkpointed first, so the result may overwrite that table."""
+    if previous is None:
+        return dense_key(df, key_cols, name)
+    ensure_checkpoint_dir(df.sparkSession)
+    return assign_keys(df, previous.select(*key_cols, name).checkpoint(), key_cols, name)
+
+
 def one_per_key(df: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
     """At most one row per key: the row with the smallest ``tie_break`` tuple
     (an aggregate, pre-aggregated map-side)."""

@@ -69,6 +69,17 @@ def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return out.withColumns({"_valid": valid, "quarantine_reason": reason, "failed_rules": failed})
 
 
+def exists_in(df: DataFrame, col: str, parent: DataFrame, parent_col: str, name: str) -> tuple[DataFrame, Rule]:
+    """``df`` with a helper column and the rule that ``col``, where set,
+    names a row of ``parent``: a referential check that quarantines instead
+    of only reporting.  The parent is reduced to its distinct keys, so the
+    join cannot multiply rows."""
+    helper = f"__{name}"
+    keys = parent.select(F.col(parent_col).alias("__pk")).distinct().withColumn(helper, F.lit(True))
+    out = df.join(keys, F.col(col) == F.col("__pk"), "left").drop("__pk")
+    return out, Rule(name, lambda: F.col(col).isNull() | F.col(helper), f"{col} without a match")
+
+
 def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Complementary views of a checked frame (``_valid`` is never NULL)."""
     return checked.filter(F.col("_valid")), checked.filter(~F.col("_valid"))

@@ -151,20 +151,20 @@ def build_dim_date(spark: SparkSession, start: str = "2025-01-01", end: str = "2
     return dims.calendar(spark, start, end)
 
 
-def build_dim_airport(airports: DataFrame) -> DataFrame:
-    d = dims.dense_key(airports.select("airport_code", "airport_name", "city", "country", "timezone"),
-                       ["airport_code"], "airport_key")
+def build_dim_airport(airports: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    d = dims.kept_key(airports.select("airport_code", "airport_name", "city", "country", "timezone"),
+                       ["airport_code"], "airport_key", previous)
     return d.select("airport_key", "airport_code", "airport_name", "city", "country", "timezone")
 
 
-def build_dim_customer(customers: DataFrame) -> DataFrame:
-    d = dims.dense_key(customers.select("customer_id", "first_name", "last_name", "email", "nationality",
-                                        "date_of_birth"), ["customer_id"], "customer_key")
+def build_dim_customer(customers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    d = dims.kept_key(customers.select("customer_id", "first_name", "last_name", "email", "nationality",
+                                        "date_of_birth"), ["customer_id"], "customer_key", previous)
     return d.select("customer_key", "customer_id", "first_name", "last_name", "email", "nationality",
                     "date_of_birth")
 
 
-def build_dim_fare_class(fare_classes: DataFrame, fare_rules: DataFrame) -> DataFrame:
+def build_dim_fare_class(fare_classes: DataFrame, fare_rules: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Fare class with its rule; at most one rule row per class (lowest
     rule id) so the dimension stays one row per class."""
     rules = fare_rules.select("fare_class_id", "refundable", "change_fee", "baggage_allowance_kg",
@@ -173,7 +173,7 @@ def build_dim_fare_class(fare_classes: DataFrame, fare_rules: DataFrame) -> Data
     e = dims.enrich(fare_classes.select("fare_class_id", "class_code", "class_name"), rules,
                     "fare_class_id", "fare_class_id", ["refundable", "change_fee", "baggage_allowance_kg", *tie],
                     tie_break=tie)
-    d = dims.dense_key(e, ["fare_class_id"], "fare_class_key")
+    d = dims.kept_key(e, ["fare_class_id"], "fare_class_key", previous)
     return d.select("fare_class_id", "class_code", "class_name", "refundable", "change_fee",
                     "baggage_allowance_kg", "fare_class_key")
 
@@ -192,9 +192,8 @@ def build_dim_aircraft(silver_aircraft: DataFrame, dim_model: DataFrame) -> Data
 def build_dim_aircraft_history(bronze_aircraft: DataFrame, spec: TableSpec) -> DataFrame:
     """Type-2 aircraft dimension from every captured version: a row per
     change of grounding / usage attributes with validity interval."""
-    versions = bronze_aircraft.filter(F.col("cdc_operation") != "d")
     attrs = ["model_id", "total_flight_hours", "total_flight_cycles", "is_grounded", "grounded_reason"]
-    h = dims.scd2(versions, list(spec.key), "source_ts_ms", attrs, tie=["source_lsn", "kafka_timestamp"],
+    h = dims.scd2(bronze_aircraft, list(spec.key), "source_ts_ms", attrs, tie=["source_lsn", "kafka_timestamp"],
                   deleted=F.col("cdc_operation") == "d")
     return h.select(*spec.key, *attrs, "valid_from", "valid_to", "is_current")
 
@@ -241,13 +240,15 @@ def run_silver_all(read_bronze, write, as_of: str | None = None) -> None:
         write(f"silver_quarantine_{name}", quarantine)
 
 
-def run_gold(spark: SparkSession, read, write) -> None:
+def run_gold(spark: SparkSession, read, write, previous=lambda name: None) -> None:
     """Dimensions first (aircraft after its model), then facts.  ``read(name)``
-    returns a table, ``write(name, df)`` stores one."""
+    returns a table, ``write(name, df)`` stores one; ``previous(name)`` is a
+    dimension as the last run left it (None on the first), whose surrogate
+    keys stay."""
     write("dim_date", build_dim_date(spark))
-    write("dim_airport", build_dim_airport(read("airports")))
-    write("dim_customer", build_dim_customer(read("customers")))
-    write("dim_fare_class", build_dim_fare_class(read("fare_classes"), read("fare_rules")))
+    write("dim_airport", build_dim_airport(read("airports"), previous("dim_airport")))
+    write("dim_customer", build_dim_customer(read("customers"), previous("dim_customer")))
+    write("dim_fare_class", build_dim_fare_class(read("fare_classes"), read("fare_rules"), previous("dim_fare_class")))
     write("dim_aircraft_model", build_dim_aircraft_model(read("aircraft_models")))
     write("dim_aircraft", build_dim_aircraft(read("silver_aircraft"), read("dim_aircraft_model")))
     write("fact_bookings", build_fact_bookings(read("silver_bookings"), read("dim_customer")))

@@ -458,3 +458,14 @@ WHERE has_valid_status AND has_valid_amount AND has_note"""
 SQL["table_overwrite_roundtrip"] = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'"
 
 SQL["stream_late_side_table"] = f"""WITH {EV} SELECT * FROM ledger WHERE kafka_ts < TIMESTAMP '2024-01-15 00:00:00'"""
+
+SQL["silver_referential_split"] = """
+WITH x AS (SELECT o_orderkey, coalesce(o_orderstatus IN ('F', 'O'), false) AS s,
+             o_custkey IS NULL OR EXISTS (SELECT 1 FROM customer c WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey) AS k FROM orders o)
+SELECT o_orderkey, s AND k AS _valid,
+       CASE WHEN NOT s THEN 'invalid o_orderstatus value' WHEN NOT k THEN 'o_custkey without a match' END AS quarantine_reason,
+       concat_ws(',', CASE WHEN NOT s THEN 'has_final_status' END, CASE WHEN NOT k THEN 'has_customer' END) AS failed_rules
+FROM x"""
+
+SQL["dim_key_stability"] = """
+SELECT c_custkey, c_name, CAST(row_number() OVER (ORDER BY c_custkey % 2 = 0, c_custkey) - 1 AS BIGINT) AS customer_key FROM customer"""

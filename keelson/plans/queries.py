@@ -225,6 +225,25 @@ def q_quarantine_reason(spark, sf):
     return quarantine.select("source_lsn", "quarantine_reason", "failed_rules")
 
 
+@query("silver_referential_split")
+def q_silver_referential_split(spark, sf):
+    """Orders split by their rules and by whether their customer is in the
+    dimension source (accounts in debit are missing there)."""
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o, known = Q.exists_in(o, "o_custkey", fx.active_customers(spark, sf), "c_custkey", "has_customer")
+    checked = Q.check(o, [Q.accepted_values("has_final_status", "o_orderstatus", ["F", "O"]), known])
+    return checked.select("o_orderkey", "_valid", "quarantine_reason", "failed_rules")
+
+
+@query("dim_key_stability")
+def q_dim_key_stability(spark, sf):
+    """Customer keys over two loads: the odd customers first, then all;
+    first keys stay, new ones follow in business-key order."""
+    c = fx.read(spark, sf, "customer").select("c_custkey", "c_name")
+    first = dims.kept_key(c.filter(F.col("c_custkey") % 2 == 1), ["c_custkey"], "customer_key")
+    return dims.kept_key(c, ["c_custkey"], "customer_key", first).select("c_custkey", "c_name", "customer_key")
+
+
 @query("quality_reconcile")
 def q_quality_reconcile(spark, sf):
     """valid + quarantine = input, checked on stored data: the ledger is

@@ -111,6 +111,10 @@ def test_gold_star(spark):
           for r in written["fact_flight_operations"].collect()}
     assert ff == {"F1": (0, 1, True, "E190"), "F2": (1, None, False, None)}
     assert written["dim_aircraft"].first().model_name == "E190"
+    # a later run with a lower code: first keys stay
+    tables["airports"] = tables["airports"].unionByName(tables["airports"].limit(1).withColumn("airport_code", F.lit("AA0")))
+    J.run_gold(spark, read, write, previous=lambda name: written.get(name))
+    assert sorted((r.airport_code, r.airport_key) for r in written["dim_airport"].collect()) == [("AA0", 2), ("AAA", 0), ("BBB", 1)]
 
 
 def test_cli_silver(spark, tmp_path_factory):
