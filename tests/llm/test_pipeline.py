@@ -50,7 +50,7 @@ def test_stages_on_edge_cases(spark, edge_docs, empty_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             docs = stored(spark, stage(spark, docs, SF), "stage")
             assert docs.columns == edge_docs.columns
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == (0 if not docs.count() else docs.count())
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).where("start = 0").count() == docs.count()
 
 
 def test_registered():
