@@ -6,15 +6,16 @@ tokens with the same occurrence vector (how often in which page) form an
 equivalence class; the vectors are compared by a digest that adds up over
 pages in any order, so hosts of any size are aggregated map-side.  Classes
 of at least two tokens that cover nearly all pages of a host are valid; the
-element tokens among them are the host's frame, and valid text classes whose
-path lies in the frame nest in it: together they are the template.  What the
+element tokens among them are the host's frame.  Valid text classes outside
+the article, and those inside whose path lies in the frame, nest in it:
+together they are the template.  What the
 template does not hold are the slots.
 
 A page's text is read from its slots: blocks of the template are left out,
 and so are regions that their markup declares as menu, header, footer,
 sidebar, notice, advert, form, script, style or reader comment.  Of the rest
-the article (or main) element counts; pages without one are read from the
-deepest container that holds most of the host's text.
+the article (or main) element counts; of pages without one all of it does,
+whatever elements hold it.
 """
 
 from __future__ import annotations
@@ -37,8 +38,6 @@ from .url_rules import host_path
 #: A class is valid from this many pages and this share of a host's pages on.
 LEAST_PAGES = 5
 SUPPORT = 0.9
-#: The main container holds at least this share of a host's text.
-MASS = 0.6
 
 # HTML element names.
 RAW = frozenset(["script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "noembed", "noframes"])
@@ -72,7 +71,6 @@ class Block(NamedTuple):
     """A run of text without a block boundary inside."""
     text: str
     path: int
-    around: tuple[int, ...]
     in_article: bool
 
 
@@ -124,7 +122,7 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             run.clear()
             if text:
                 inner = stack[-1]
-                blocks.append(Block(text, inner.path, tuple(dict.fromkeys(e.path for e in stack if e.tag not in INLINE)), inner.article))
+                blocks.append(Block(text, inner.path, inner.article))
 
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
@@ -192,56 +190,43 @@ def parse(page: str) -> tuple[list[Block], Counter]:
 
 
 def host_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (host, page, html) to tokens: elements (0), texts (1), and the
-    text mass of each container (2)."""
+    """Rows of (host, page, html) to tokens: elements (0), texts outside (1)
+    and inside the article (2)."""
     for b in slices(batches):
         out: list[tuple] = []
         for host, page, source in zip(*(c.to_pylist() for c in b.columns), strict=True):
             blocks, paths = parse(source)
-            out += [(host, page, 0, p, n, p, 0, 0) for p, n in paths.items()]
-            texts = Counter((hashed(x.path, x.text), x.path, len(x.text)) for x in blocks)
-            out += [(host, page, 1, t, n, p, size, 0) for (t, p, size), n in texts.items()]
-            mass: Counter = Counter()
-            depth: dict[int, int] = {}
-            for x in blocks:
-                for d, p in enumerate(x.around):
-                    mass[p] += len(x.text)
-                    depth[p] = d
-            out += [(host, page, 2, p, 1, p, n, depth[p]) for p, n in mass.items()]
-        names = ["host", "page", "kind", "token", "n", "path", "chars", "depth"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.string() if i == 0 else pa.int64()) for i in range(8)], names=names)
+            out += [(host, page, 0, p, n, p) for p, n in paths.items()]
+            texts = Counter((1 + x.in_article, hashed(x.path, x.text), x.path) for x in blocks)
+            out += [(host, page, kind, t, n, p) for (kind, t, p), n in texts.items()]
+        names = ["host", "page", "kind", "token", "n", "path"]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.string() if i == 0 else pa.int64()) for i in range(6)], names=names)
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: ``texts`` (tokens of template texts) and ``main``
-    (path of the main container) from rows of (host, page, html)."""
+    """One row per host: ``texts`` (tokens of template texts) from rows of
+    (host, page, html)."""
     spark = pages.sparkSession
-    raw = pages.select("host", "page", "html").mapInArrow(host_tokens, "host string, page long, kind long, token long, n long, path long, chars long, depth long")
+    raw = pages.select("host", "page", "html").mapInArrow(host_tokens, "host string, page long, kind long, token long, n long, path long")
     tokens = stored(spark, raw.groupBy("host", "kind", "token").agg(
-        F.count(F.lit(1)).alias("n_pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.min("path").alias("path"),
-        F.sum("chars").alias("chars"), F.max("depth").alias("depth")), "page-tokens")
+        F.count(F.lit(1)).alias("n_pages"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.min("path").alias("path")), "page-tokens")
     n_pages = pages.groupBy("host").agg(F.count(F.lit(1)).alias("of"))
-    known = tokens.where("kind < 2").join(n_pages, "host").where((F.col("n_pages") >= LEAST_PAGES) & (F.col("n_pages") >= SUPPORT * F.col("of")))
+    known = tokens.join(n_pages, "host").where((F.col("n_pages") >= LEAST_PAGES) & (F.col("n_pages") >= SUPPORT * F.col("of")))
     size = Window.partitionBy("host", "vector", "n_pages")
     valid = known.withColumn("size", F.count(F.lit(1)).over(size)).where("size > 1")
     # at most 1/SUPPORT times as many tokens as a page has
     frames = valid.groupBy("host").agg(F.collect_set(F.when(F.col("kind") == 0, F.col("token"))).alias("frame"),
-                                       F.collect_set(F.when(F.col("kind") == 1, F.struct("token", "path"))).alias("found"))
-    texts = frames.select("host", F.transform(F.filter("found", lambda t: F.array_contains("frame", t["path"])), lambda t: t["token"]).alias("texts"))
-    mass = tokens.where("kind = 2")
-    total = mass.groupBy("host").agg(F.max("chars").alias("whole"))
-    main = (mass.join(total, "host").where(F.col("chars") >= MASS * F.col("whole"))
-            .groupBy("host").agg(F.max_by("token", F.struct("depth", "chars", "token")).alias("main")))
-    return n_pages.join(texts, "host", "left").join(main, "host", "left").select("host", "texts", "main")
+                                       F.collect_set(F.when(F.col("kind") > 0, F.struct("token", "path", "kind"))).alias("found"))
+    texts = frames.select("host", F.transform(F.filter("found", lambda t: (t["kind"] == 1) | F.array_contains("frame", t["path"])), lambda t: t["token"]).alias("texts"))
+    return n_pages.join(texts, "host", "left").select("host", "texts")
 
 
-def main_text(page: str, template: frozenset[int], main: int | None) -> str:
-    blocks, _ = parse(page)
+def main_text(page: str, template: frozenset[int], blocks: list[Block] | None = None) -> str:
+    """``blocks``: those of the page, where it is parsed already."""
+    blocks = parse(page)[0] if blocks is None else blocks
     slots = [x for x in blocks if hashed(x.path, x.text) not in template] if template else blocks
     if any(x.in_article for x in blocks):
         slots = [x for x in slots if x.in_article]
-    elif any(main in x.around for x in slots):
-        slots = [x for x in slots if main in x.around]
     return " ".join(x.text for x in slots)
 
 
@@ -261,15 +246,15 @@ def extract(pages: DataFrame, source: str = "html", url: str = "url", columns: l
     keyed = rows.select(F.col("__host").alias("host"), F.col("__html").alias("html"), F.xxhash64("__html", *names).alias("page"))
     found = stored(spark, templates(keyed).withColumnRenamed("host", "__host"), "templates")
     size = found.agg(F.coalesce(F.sum(F.size(F.coalesce("texts", F.array())) + 4), F.lit(0))).first()[0]
-    joined = rows.join(broadcast_if_small(found, size), "__host", "left").select("__html", "texts", "main", *names)
+    joined = rows.join(broadcast_if_small(found, size), "__host", "left").select("__html", "texts", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            text = [main_text(h, frozenset(t or ()), m) for h, t, m in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[3:], pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
+            text = [main_text(h, frozenset(t or ())) for h, t in zip(*(b.column(i).to_pylist() for i in range(2)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())],
                                              names=[*names, "text", "n_chars"])
 
-    schema = StructType([*joined.schema.fields[3:], StructField("text", StringType()), StructField("n_chars", LongType())])
+    schema = StructType([*joined.schema.fields[2:], StructField("text", StringType()), StructField("n_chars", LongType())])
     return joined.mapInArrow(run, schema)
 
 
