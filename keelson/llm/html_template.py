@@ -5,7 +5,8 @@ path, and its blocks of text, told apart by path and content.  Per host, all
 tokens with the same occurrence vector (how often in which page) form an
 equivalence class; the vectors are compared by a digest that adds up over
 pages in any order, so hosts of any size are aggregated map-side.  Classes
-of at least two tokens that cover nearly all pages of a host are valid; the
+of at least two tokens that cover nearly all pages of a host are valid, where
+pages that differ in markup alone count once (copies share their article too); the
 element tokens among them are the host's frame.  Valid text classes outside
 the article, and those inside whose path lies in the frame, nest in it:
 together they are the template.  What the
@@ -32,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import broadcast_if_small, slices, stored, table, whole_text
+from .common import broadcast_if_small, once, slices, stored, table, whole_text
 from .url_rules import host_path
 
-#: A class is valid from this many pages and this share of a host's pages on.
+#: A class is valid from this many pages of different content and this share of a host's on.
 LEAST_PAGES = 5
 SUPPORT = 0.9
+#: A template that would take this share of an article's characters takes none of them.
+MOST = 0.5
 
 # HTML element names.
 RAW = frozenset(["script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "xmp", "noembed", "noframes"])
@@ -225,8 +228,11 @@ def main_text(page: str, template: frozenset[int], blocks: list[Block] | None =
     """``blocks``: those of the page, where it is parsed already."""
     blocks = parse(page)[0] if blocks is None else blocks
     slots = [x for x in blocks if hashed(x.path, x.text) not in template] if template else blocks
-    if any(x.in_article for x in blocks):
+    article = [x for x in blocks if x.in_article]
+    if article:
         slots = [x for x in slots if x.in_article]
+        if sum(len(x.text) for x in slots) <= (1 - MOST) * sum(len(x.text) for x in article):
+            slots = article
     return " ".join(x.text for x in slots)
 
 
@@ -235,16 +241,18 @@ def extract(pages: DataFrame, source: str = "html", url: str = "url", columns: l
     ``n_chars`` (code points); they replace columns of the same name.
 
     Null html counts as empty and gives empty text; null urls, and urls
-    without a host, form one host of their own.  Repeated pages are pages
-    like any other; hosts with few pages have no template, and their pages
-    are read by their markup alone.  An empty table gives no rows.
+    without a host, form one host of their own.  Repeated pages are returned
+    like any other, but count once for the template; hosts with few pages
+    of different content have none, and their pages are read by their
+    markup alone.  An empty table gives no rows.
     """
     spark = pages.sparkSession
     names = [c for c in columns or pages.columns if c not in ("text", "n_chars")]
     host = host_path(F.col(f"`{url}`"))[0]
     rows = pages.select(host.alias("__host"), whole_text(F.col(f"`{source}`")).alias("__html"), *[F.col(f"`{c}`") for c in names])
-    keyed = rows.select(F.col("__host").alias("host"), F.col("__html").alias("html"), F.xxhash64("__html", *names).alias("page"))
-    found = stored(spark, templates(keyed).withColumnRenamed("host", "__host"), "templates")
+    content = F.xxhash64(F.regexp_replace("__html", r"<[^<>]*+>|\s+", "")).cast("string")
+    keyed = once(rows.select(F.col("__host").alias("host"), F.col("__html").alias("html"), content.alias("content")), "host", "content")
+    found = stored(spark, templates(keyed.select("host", "html", F.xxhash64("content").alias("page"))).withColumnRenamed("host", "__host"), "templates")
     size = found.agg(F.coalesce(F.sum(F.size(F.coalesce("texts", F.array())) + 4), F.lit(0))).first()[0]
     joined = rows.join(broadcast_if_small(found, size), "__host", "left").select("__html", "texts", *names)
 

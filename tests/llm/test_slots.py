@@ -14,3 +14,16 @@ def test_nothing_but_the_template_is_dropped(spark):
     rows = [(i, "http://many.example/", f"<body><div class='q1'>Home | News</div>{body.format(i, own[i])}</body>") for i in range(11)]
     rows.append((11, "http://one.example/", f"<body>{body.format(11, own[11])}</body>"))
     assert texts(spark, rows) == {i: want.format(i, own[i]) for i in own}
+
+
+def test_hosts_of_copies_keep_their_articles(spark):
+    """Copies, alike to the byte or but for their links or a line of their own."""
+    article = "<article><h1>Title</h1><p>First paragraph of it.</p><p>Second paragraph of it.</p>{}</article>"
+    line = "<article><h1>Title</h1><p>The one paragraph of it.</p><h2>printed at {}</h2></article>"
+    plain = "<section><h1>Title</h1><p>First paragraph of it.</p></section>"
+    rows = [(i, "http://same.example/", f"<body><div>Home</div>{article.format('')}</body>") for i in range(20)]
+    rows += [(100 + i, "http://links.example/", f"<body><div><a href='?v={i}'>Home</a></div>{plain}</body>") for i in range(20)]
+    rows += [(200 + i, "http://line.example/", f"<body><div>Home</div>{line.format(i)}</body>") for i in range(20)]
+    text = "Title First paragraph of it. Second paragraph of it."
+    want = dict.fromkeys(range(20), text) | dict.fromkeys(range(100, 120), "Home Title First paragraph of it.")
+    assert texts(spark, rows) == want | {200 + i: f"Title The one paragraph of it. printed at {i}" for i in range(20)}
