@@ -22,10 +22,14 @@ from keelson.llm.common import stored, table
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier names: it rejects those
-    without a letter."""
+    without a letter.  Where no training row has a language nothing is
+    learned, and that is an error rather than an empty corpus."""
     names = docs.columns
+    training = language_id.training_rows(docs)
+    if docs.limit(1).count() and not training.where("label is not null").limit(1).count():
+        raise ValueError("no training document has a language: the language stage cannot tell any")
     plain = docs.select([F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    found = language_id.identify(plain, language_id.training_rows(docs), text=f"c{names.index('text')}")
+    found = language_id.identify(plain, training, text=f"c{names.index('text')}")
     kept = found.where(F.col("lang_pred") != language_id.UNKNOWN)
     return kept.select([F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
