@@ -57,28 +57,43 @@ def encode_decimal_base64(value, scale: int) -> Column:
     return F.base64(F.unhex(F.lpad(F.hex(unscaled), 16, "0")))
 
 
-def decode_decimal_base64(b64, precision: int, scale: int) -> Column:
-    """Decode a base64 two's-complement unscaled integer into a decimal.
+def hex_of_base64(b64) -> Column:
+    """Hex digits of strict base64 text; NULL when it is malformed."""
+    return F.hex(F.try_to_binary(_c(b64), F.lit("base64")))
+
+
+def decimal_of_hex(digits, precision: int, scale: int) -> Column:
+    """Decimal of the hex digits of a big-endian two's-complement unscaled value.
+
+    Up to 8 bytes (nearly all values) the digits are extended by their sign
+    and read as one number.  Longer ones are extended or, where only sign
+    bytes go, cut to 128 bits and read as two halves.  The scale is applied
+    as a decimal exponent of the text, so every scale is exact.  NULL for no
+    digits and for a value that does not fit ``decimal(precision, scale)``.
 
-    Strict base64 (``try_to_binary``); any length: redundant sign bytes are
-    dropped, the rest is read as two 64-bit halves.  The digits are shifted
-    as text, so every scale is exact.  NULL for malformed text, an empty
-    value and a value that does not fit ``decimal(precision, scale)``;
-    ``decimal_fault`` tells those from a NULL that was sent.
+    ``digits`` is used several times: give a column that a projection of its
+    own has computed (Catalyst does not inline it then).
     """
-    hx = F.hex(F.try_to_binary(_c(b64), F.lit("base64")))
-    neg = F.conv(F.substring(hx, 1, 1), 16, 10).cast("int") >= 8
-    short = F.when(neg, F.regexp_replace(hx, "^(FF)+(?=[89A-F])", "")).otherwise(F.regexp_replace(hx, "^(00)+(?=[0-7])", ""))
-    wide = F.when(neg, F.lpad(short, 32, "F")).otherwise(F.lpad(short, 32, "0"))
+    h = _c(digits)
+    sign = F.when(h >= "8", "F").otherwise("0")
+    short = F.conv(F.lpad(h, 16, sign), 16, -10)
+    signed = F.concat(F.repeat(sign, F.lit(32)), h)
+    wide = F.regexp_extract(signed, "^(?:0*(?=[0-7].{31}$)|F*(?=[89A-F].{31}$))([0-9A-F]{32})$", 1)
     high = F.conv(F.substring(wide, 1, 16), 16, -10).cast("decimal(20,0)")
     low = F.conv(F.substring(wide, 17, 16), 16, 10).cast("decimal(20,0)")
-    unscaled = F.try_add(F.try_multiply(high, F.lit(str(1 << 64)).cast("decimal(20,0)")), low)
-    digits = F.abs(unscaled).cast("decimal(38,0)").cast("string")
-    padded = F.when(F.length(digits) > scale, digits).otherwise(F.lpad(digits, scale + 1, "0"))
-    text = F.concat(
-        F.when(unscaled < 0, "-").otherwise(""), F.substring(padded, F.lit(1), F.length(padded) - scale), F.lit("."),
-        F.substring(padded, F.length(padded) - scale + 1, F.lit(scale)))
-    return F.when((F.length(hx) > 0) & (F.length(short) <= 32), text.try_cast(f"decimal({precision},{scale})"))
+    long = F.try_add(F.try_multiply(high, F.lit(str(1 << 64)).cast("decimal(20,0)")), low).cast("decimal(38,0)").cast("string")
+    unscaled = F.when(F.length(h) <= 16, short).otherwise(long)
+    return F.when(h != "", F.concat(unscaled, F.lit(f"E-{scale}"))).try_cast(f"decimal({precision},{scale})")
+
+
+def decode_decimal_base64(b64, precision: int, scale: int) -> Column:
+    """Decode a base64 two's-complement unscaled integer of any length into a
+    decimal; NULL for malformed text, an empty value and a value that does
+    not fit (``decimal_fault`` tells those from a NULL that was sent).
+
+    One expression, for a column or two; ``operators.cdc`` binds the digits
+    by a projection and calls ``decimal_of_hex``."""
+    return decimal_of_hex(hex_of_base64(b64), precision, scale)
 
 
 def decimal_fault(sent, decoded) -> Column:

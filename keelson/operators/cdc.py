@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.exprs import decimal_fault, decode_decimal_base64, decode_temporal, struct_diff
+from keelson.functions.exprs import decimal_fault, decimal_of_hex, decode_temporal, hex_of_base64, struct_diff
 from keelson.spec import TableSpec
 
 
@@ -56,11 +56,12 @@ def _record_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(payload_fields)
 
 
-def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
+def _decoded_image(img: Column, spec: TableSpec, decimals: Column) -> list[Column]:
+    """Columns of a row image; ``decimals`` holds its decoded decimals."""
     out = []
     for f in spec.after_schema.fields:
         if f.name in spec.decimals:
-            out.append(_decimal(img, spec, f.name).alias(f.name))
+            out.append(decimals[f.name].alias(f.name))
         elif f.name in spec.temporal:
             out.append(decode_temporal(img[f.name], spec.temporal[f.name]).alias(f.name))
         else:
@@ -68,33 +69,44 @@ def _decoded_image(img: Column, spec: TableSpec) -> list[Column]:
     return out
 
 
-def _decimal(img: Column, spec: TableSpec, name: str) -> Column:
-    p, s = spec.decimals[name]
-    return decode_decimal_base64(img[name], p, s) if spec.decimal_encoding == "base64" else img[name].try_cast(f"decimal({p},{s})")
+def _with_decimals(df: DataFrame, images: dict[str, Column], spec: TableSpec) -> DataFrame:
+    """Adds, for each named image, a struct of its decoded decimals.  Two
+    projections: the first computes the hex digits, the second reads them
+    several times, which keeps Catalyst from merging the two."""
+    if not spec.decimals:
+        return df.withColumns({out: F.lit(None).cast("struct<none:int>") for out in images})
+    if spec.decimal_encoding == "base64":
+        df = df.withColumns({f"__{out}_{n}": hex_of_base64(img[n]) for out, img in images.items() for n in spec.decimals})
+        value = {(out, n): decimal_of_hex(f"__{out}_{n}", p, s) for out in images for n, (p, s) in spec.decimals.items()}
+    else:
+        value = {(out, n): img[n].try_cast(f"decimal({p},{s})") for out, img in images.items() for n, (p, s) in spec.decimals.items()}
+    return df.withColumns({out: F.struct(*[value[out, n].alias(n) for n in spec.decimals]) for out in images})
 
 
-def _decodable(img: Column, spec: TableSpec) -> Column:
-    """Every decimal that was sent can be decoded (NULL images pass)."""
+def _decodable(img: Column, decoded: Column, spec: TableSpec) -> Column:
+    """Every decimal that was sent is decoded (NULL images pass)."""
     ok = F.lit(True)
     for name in spec.decimals:
-        ok = ok & ~decimal_fault(img[name], _decimal(img, spec, name))
+        ok = ok & ~decimal_fault(img[name], decoded[name])
     return F.coalesce(ok, F.lit(True))
 
 
 def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
-              ts_col: str = "timestamp", keep=None) -> DataFrame:
+              ts_col: str = "timestamp", keep=None, decode: bool = False) -> DataFrame:
     """Transport rows -> ``json_value, kafka_timestamp, p`` (the parsed
     payload, NULL when the message is not a valid envelope).
 
     The record may come wrapped (``{"payload": ...}``) or bare.  With
-    ``keep`` (a predicate on the payload) only matching rows are returned.
-    The parse is a projected column read by a generator,
-    ``explode(filter(array(payload), keep))``, rather than followed by a
+    ``decode`` the decoded decimals of the after image come as ``d``.  With
+    ``keep`` (a predicate on the payload and, with ``decode``, its decimals)
+    only matching rows are returned.
+    Parse and decode are projected columns read by a generator,
+    ``explode(filter(array(record), keep))``, rather than followed by a
     ``filter``: Catalyst pushes a filter below the projection by
-    substituting the ``from_json`` call into it (parsing every message
-    twice), and would inline the parse into each reference of a collapsed
-    projection; a generator's input stays one projected column, so each
-    message is parsed exactly once.
+    substituting the calls into it (doing them twice for every message), and
+    would inline the parse into each reference of a collapsed projection; a
+    generator's input stays a projected column, so each message is parsed,
+    and each decimal decoded, exactly once, in compiled code.
     """
     msgs = raw.select(F.col(value_col).cast("string").alias("json_value"),
                       F.col(ts_col).alias("kafka_timestamp"),
@@ -102,9 +114,15 @@ def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
     env = F.col("__env")
     bare_fields = [f.name for f in _record_schema(spec).fields]
     bare = F.when(env.getField("op").isNotNull(), F.struct(*[env.getField(n).alias(n) for n in bare_fields]))
-    payload = F.coalesce(env.getField("payload"), bare)
-    rows = F.array(payload) if keep is None else F.filter(F.array(payload), keep)
-    return msgs.select("json_value", "kafka_timestamp", F.explode(rows).alias("p"))
+    msgs = msgs.select("json_value", "kafka_timestamp", F.coalesce(env.getField("payload"), bare).alias("p"))
+    given = ["p"]
+    if decode:
+        msgs = _with_decimals(msgs, {"d": F.col("p.after")}, spec)
+        given.append("d")
+    record = F.array(F.struct(*given))
+    rows = record if keep is None else F.filter(record, lambda r: keep(*[r[g] for g in given]))
+    return (msgs.select("json_value", "kafka_timestamp", F.explode(rows).alias("__r"))
+            .select("json_value", "kafka_timestamp", *[F.col(f"__r.{g}").alias(g) for g in given]))
 
 
 def _meta(spec: TableSpec) -> list[Column]:
@@ -122,13 +140,13 @@ def parse_envelope(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     metadata; deletes (no after image), unparsable messages and those with
     an undecodable decimal are left out (the key must be in the after
     image); ``dead_letters`` returns the last two."""
-    def keep(p):
+    def keep(p, d):
         ok = p.isNotNull()
         for k in spec.key:
             ok = ok & p["after"][k].isNotNull()
-        return ok & _decodable(p["after"], spec)
-    parsed = parse_raw(raw, spec, keep=keep, **kw)
-    return parsed.select(*_decoded_image(F.col("p.after"), spec), *_meta(spec))
+        return ok & _decodable(p["after"], d, spec)
+    parsed = parse_raw(raw, spec, keep=keep, decode=True, **kw)
+    return parsed.select(*_decoded_image(F.col("p.after"), spec, F.col("d")), *_meta(spec))
 
 
 def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
@@ -139,20 +157,21 @@ def parse_changes(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     def key_of(p, k):
         return F.coalesce(p["after"][k], p["before"][k]) if spec.keep_before else p["after"][k]
 
-    def keep(p):
+    def keep(p, d):
         ok = p.isNotNull()
         for k in spec.key:
             ok = ok & key_of(p, k).isNotNull()
-        return ok & _decodable(p["after"], spec)
-    parsed = parse_raw(raw, spec, keep=keep, **kw)
+        return ok & _decodable(p["after"], d, spec)
+    parsed = parse_raw(raw, spec, keep=keep, decode=True, **kw)
     p = F.col("p")
     key_cols = [key_of(p, k).alias(k) for k in spec.key]
     after, before = F.col("p.after"), F.col("p.before")
-    value_cols = [c for c, f in zip(_decoded_image(after, spec), spec.after_schema.fields)
+    value_cols = [c for c, f in zip(_decoded_image(after, spec, F.col("d")), spec.after_schema.fields)
                   if f.name not in spec.key]
     extra = []
     if spec.keep_before:
-        extra = [F.struct(*_decoded_image(before, spec)).alias("_before"),
+        parsed = _with_decimals(parsed, {"b": before}, spec)
+        extra = [F.struct(*_decoded_image(before, spec, F.col("b"))).alias("_before"),
                  before.isNull().alias("_no_before")]
     return parsed.select(*key_cols, *value_cols, *_meta(spec), *extra)
 
@@ -167,8 +186,8 @@ def dead_letters(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
     for k in spec.key:
         has_key = has_key & (F.coalesce(p["after"][k], p["before"][k]) if spec.keep_before else p["after"][k]).isNotNull()
     reason = (F.when(p.isNull(), "unparsable").when(~has_key, "no key")
-              .when(~_decodable(p["after"], spec), "undecodable decimal"))
-    parsed = parse_raw(raw, spec, **kw)
+              .when(~_decodable(p["after"], F.col("d"), spec), "undecodable decimal"))
+    parsed = parse_raw(raw, spec, decode=True, **kw)
     return parsed.select("json_value", "kafka_timestamp", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 

@@ -19,6 +19,17 @@ def test_each_message_parsed_once(spark):
     assert p.count("from_json(") == 1
 
 
+@pytest.mark.parametrize("name", ["cdc_parse_envelope", "quality_split_quarantine", "fact_ledger", "end_to_end_star", "cdc_current_state_deletes"])
+def test_each_decimal_decoded_once(spark, name):
+    p = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("unbase64(") == 1 and p.count("from_json(") == 1
+
+
+def test_before_and_after_decimals_decoded_once_each(spark):
+    p = E.queries()["cdc_change_diff"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("unbase64(") == 2 and p.count("from_json(") == 1
+
+
 def test_current_state_is_partially_aggregated(spark):
     p = plan(spark, "cdc_current_state_agg")
     assert "partial_max_by" in p
