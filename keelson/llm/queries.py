@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, html_template, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
+from . import decontaminate, exact_dedup, fill_in_middle, html_template, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
 
 QUERIES = {
     "op1_html_extraction": html_template.op1_html_extraction,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_sharding": sharding.op9_sharding,
     "op10_packing": packing.op10_packing,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
 }
 
 SQL = {
     "op3_exact_dedup": exact_dedup.SQL,
     "op5_url_filter": url_rules.SQL,
     "op6_decontamination": decontaminate.SQL,
+    "op11_fill_in_middle": fill_in_middle.SQL,
 }
