@@ -261,8 +261,10 @@ def current_state_window(changes: DataFrame, spec: TableSpec, order: Sequence[st
 
 
 def current_state_with_deletes(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """Current state where a key whose latest change is a delete is gone."""
-    return current_state(changes, spec).filter(F.col("cdc_operation") != "d")
+    """Current state where a key whose latest change is a delete is gone.
+    Before images are no state: they are left out before the shuffle."""
+    images = [c for c in ("_before", "_no_before") if c in changes.columns]
+    return current_state(changes.drop(*images), spec).filter(F.col("cdc_operation") != "d")
 
 
 def change_diff(changes: DataFrame, spec: TableSpec) -> DataFrame:
