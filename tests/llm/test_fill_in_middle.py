@@ -71,7 +71,6 @@ def test_edge_cases(spark, edge_docs, empty_docs):
     assert sorted([tuple(r[c] for c in cols) for r in got.collect()], key=repr) == want
     back = got.select("text", M.restored(got["output"], got["form"]).alias("back"))
     assert all((r["text"] or "") == r["back"] for r in back.collect())
-    assert {r["form"] for r in got.collect()} == {"plain", "psm", "spm"}
     for r in got.collect():
         assert M.rebuilt(r["output"].encode(), r["form"]).decode() == (r["text"] or "")
     edge = M.fill_in_middle(edge_docs)
