@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, fill_in_middle, html_template, language_id, lm_mixing, packing, sharding, simhash, suffix_dedup, url_rules
+from . import decontaminate, exact_dedup, fill_in_middle, html_template, language_id, lm_mixing, packing, quality_rules, sharding, simhash, suffix_dedup, url_rules
 
 QUERIES = {
     "op1_html_extraction": html_template.op1_html_extraction,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_sharding": sharding.op9_sharding,
     "op10_packing": packing.op10_packing,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_quality_rules": quality_rules.op12_quality_rules,
 }
 
 SQL = {
