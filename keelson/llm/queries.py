@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, fill_in_middle, html_template, language_id, lm_mixing, packing, quality_rules, sharding, simhash, suffix_dedup, url_rules
+from . import decontaminate, exact_dedup, fill_in_middle, html_template, language_id, lm_mixing, packing, prefix_trie, quality_rules, sharding, simhash, suffix_dedup, url_rules
 
 QUERIES = {
     "op1_html_extraction": html_template.op1_html_extraction,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_packing": packing.op10_packing,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
     "op12_quality_rules": quality_rules.op12_quality_rules,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 SQL = {

@@ -30,7 +30,8 @@ def counts(text):
 def buckets(text):
     k = [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
     one = [xxhash.xxh64_intdigest(w, 42) for w in k]
-    two = [xxhash.xxh64_intdigest(b, a) for a, b in zip(one, k[1:])]
+    # a number is hashed as its 8 bytes, and the result seeds the hash of the word
+    two = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(one, k[1:])]
     return [h % R.BUCKETS for h in one + two]
 
 
