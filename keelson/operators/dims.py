@@ -131,14 +131,62 @@ def scd2(versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
     Both per-key scans (previous hash, next change time) go through
     ``sequences.keyed_scan``: a key with more than a partition's share of
     the versions is split over many tasks."""
+    v = versions.withColumn("__gone", F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False))
+    points = _run_starts(v, key, ts, attrs, tie, skew_safe)
+    return (points.filter(F.col("__starts") & ~F.col("__gone")).drop("__gone", "__starts").withColumn("valid_from", F.col(ts))
+            .withColumn("is_current", F.col("valid_to").isNull()))
+
+
+def _run_starts(v: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str], tie: Sequence[str],
+                skew_safe: bool | str) -> DataFrame:
+    """Versions (with ``__gone``) and ``__starts`` (differs from the version
+    before) and, for those, ``valid_to`` (time of the next that starts)."""
     from keelson.operators.sequences import keyed_scan
     order = [ts, *tie]
-    gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     image = [F.coalesce(F.col(a).cast("string"), F.lit("\u0000")) for a in attrs]
-    h = F.when(gone, F.xxhash64(F.lit("deleted"))).otherwise(F.xxhash64(F.lit("image"), *image))
-    v = versions.withColumn("__h", h).withColumn("__gone", gone)
-    prev = keyed_scan(v, key, order, lag=["__h"], skew_safe=skew_safe).withColumnRenamed("lag___h", "__prev")
-    changes = prev.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__h"))).drop("__h", "__prev")
-    nxt = keyed_scan(changes, key, order, lead=[ts], skew_safe=skew_safe).withColumnRenamed(f"lead_{ts}", "valid_to")
-    return (nxt.filter(~F.col("__gone")).drop("__gone").withColumn("valid_from", F.col(ts))
+    h = F.when(F.col("__gone"), F.xxhash64(F.lit("deleted"))).otherwise(F.xxhash64(F.lit("image"), *image))
+    prev = keyed_scan(v.withColumn("__h", h), key, order, lag=["__h"], skew_safe=skew_safe)
+    prev = prev.withColumn("__starts", F.col("lag___h").isNull() | (F.col("lag___h") != F.col("__h"))).drop("__h", "lag___h")
+    starts = keyed_scan(prev.filter("__starts"), key, order, lead=[ts], skew_safe=skew_safe).withColumnRenamed(f"lead_{ts}", "valid_to")
+    rest = prev.filter(~F.col("__starts")).withColumn("valid_to", F.lit(None).cast(v.schema[ts].dataType))
+    return starts.unionByName(rest.select(*starts.columns))
+
+
+def scd2_merge(spark, root: str, versions: DataFrame, key: Sequence[str], ts: str, attrs: Sequence[str],
+               tie: Sequence[str] = (), deleted: Column | None = None, buckets: int = 64,
+               skew_safe: bool | str = "auto") -> list[int]:
+    """Merge versions, in any order of arrival, into the stored type-2 history
+    at ``root``; returns the key buckets written.
+
+    A late version cuts the row it falls into: the row before it ends where
+    it begins, and it ends where the old row or the next version begins.
+    That needs the versions that changed nothing too (a later cut may make
+    them start a row), so the table keeps every version once, with a mark on
+    those that start a row.  Only keys that the load holds are derived
+    anew, only buckets they touch are written, and readers switch to them at
+    once (``sinks.versioned``).  A version delivered again changes nothing.
+    """
+    from keelson.sinks import versioned
+    keep = list(dict.fromkeys([*key, ts, *tie, *attrs]))
+    gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
+    load = versions.select(*keep, gone.alias("__gone")).dropDuplicates([*key, ts, *tie])
+
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        cols = [*keep, "__gone", versioned.BUCKET]
+        if old is None:
+            return _run_starts(new.select(*cols), key, ts, attrs, tie, skew_safe)
+        keys = new.select(*key).distinct()
+        # what is stored wins over a version delivered again
+        fresh = new.join(old.select(*key, ts, *tie), [*key, ts, *tie], "left_anti")
+        redo = old.join(keys, list(key), "left_semi").select(*cols).unionByName(fresh.select(*cols))
+        done = _run_starts(redo, key, ts, attrs, tie, skew_safe)
+        return done.unionByName(old.join(keys, list(key), "left_anti").select(*done.columns))
+    return versioned.merge_buckets(spark, root, load, key, merge, buckets)
+
+
+def scd2_read(spark, root: str, ts: str) -> DataFrame:
+    """The history that ``scd2_merge`` keeps, with the columns of ``scd2``."""
+    from keelson.sinks import versioned
+    points = versioned.read_buckets(spark, root)
+    return (points.filter(F.col("__starts") & ~F.col("__gone")).drop("__gone", "__starts").withColumn("valid_from", F.col(ts))
             .withColumn("is_current", F.col("valid_to").isNull()))

@@ -208,6 +208,28 @@ n AS (SELECT *, lead(source_ts_ms) OVER (PARTITION BY entity_id ORDER BY source_
 SELECT entity_id, status, source_lsn, source_ts_ms AS valid_from, nxt AS valid_to, nxt IS NULL AS is_current
 FROM n WHERE NOT gone"""
 
+SQL["dim_scd2_incremental"] = SQL["dim_scd2"]
+
+SQL["fact_as_of_version"] = f"""WITH h AS ({SQL["dim_scd2"]}),
+f AS (SELECT event_id, user_id, epoch_us(ts) // 1000 - 21600000 AS as_of_ms FROM events)
+SELECT f.event_id, f.user_id, f.as_of_ms, h.status, h.source_lsn AS version_lsn
+FROM f LEFT JOIN h ON h.entity_id = f.user_id AND h.valid_from <= f.as_of_ms AND (h.valid_to IS NULL OR f.as_of_ms < h.valid_to)"""
+
+SQL["ledger_refusals"] = """
+WITH RECURSIVE s AS (SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(12,2)) AS points,
+       CASE event_type WHEN 'purchase' THEN CAST(value AS DECIMAL(12,2)) WHEN 'click' THEN -CAST(value AS DECIMAL(12,2)) ELSE 0 END AS x,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+r AS (SELECT event_id, user_id, event_type, points, k, x >= 0 AS accepted, CAST(CASE WHEN x >= 0 THEN x ELSE 0 END AS DECIMAL(18,2)) AS available FROM s WHERE k = 1
+      UNION ALL
+      SELECT s.event_id, s.user_id, s.event_type, s.points, s.k, s.x >= 0 OR r.available + s.x >= 0,
+        CAST(CASE WHEN s.x >= 0 OR r.available + s.x >= 0 THEN r.available + s.x ELSE r.available END AS DECIMAL(18,2))
+      FROM r JOIN s ON s.user_id = r.user_id AND s.k = r.k + 1)
+SELECT event_id, user_id, event_type, points, accepted, available FROM r"""
+
+SQL["table_atomic_replace"] = """
+SELECT o_orderstatus, count(*) AS n_rows, CASE WHEN coalesce(o_orderstatus IN ('F', 'O'), false) THEN 'valid' ELSE 'quarantine' END AS side FROM orders GROUP BY ALL
+UNION ALL SELECT NULL, count(*), 'valid before' FROM orders WHERE o_orderstatus = 'O'"""
+
 SQL["cdc_dead_letters"] = f"""WITH {EV}
 SELECT 'unparsable' AS reason, ts AS kafka_ts, count(*) AS n_messages FROM msgs WHERE is_cut GROUP BY ts"""
 

@@ -11,7 +11,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.operators import cdc, dims, facts, rollups as R
+from keelson.functions.exprs import epoch_ms
+from keelson.operators import cdc, dims, facts, ledger as ledger_op, rollups as R
 from keelson.operators import quality as Q
 from keelson.plans import fixtures as fx
 
@@ -334,8 +335,34 @@ def q_dim_scd2(spark, sf):
     return h.select("entity_id", "status", "source_lsn", "valid_from", "valid_to", "is_current")
 
 
+@query("dim_scd2_incremental")
+def q_dim_scd2_incremental(spark, sf):
+    """The same history from three loads out of order: the odd log positions
+    of the second half, then the first half, then the rest, each merged into
+    the touched buckets only."""
+    from keelson.session import scratch_path
+    v = all_changes(spark, sf).select("entity_id", "status", "source_ts_ms", "source_lsn", "cdc_operation")
+    late = F.col("kafka_ts") >= F.lit(UPSERT_CUTOFF).cast("timestamp_ntz")
+    v = v.withColumn("kafka_ts", F.timestamp_millis("source_ts_ms").cast("timestamp_ntz"))
+    odd = F.col("source_lsn") % 2 == 1
+    root = scratch_path(spark, "scd2")
+    for load in (v.filter(late & odd), v.filter(~late), v.filter(late & ~odd)):
+        dims.scd2_merge(spark, root, load, ["entity_id"], "source_ts_ms", ["status"], tie=["source_lsn"],
+                        deleted=F.col("cdc_operation") == "d", buckets=8)
+    h = dims.scd2_read(spark, root, "source_ts_ms")
+    return h.select("entity_id", "status", "source_lsn", "valid_from", "valid_to", "is_current")
+
+
 # -------------------------------------------------------------- facts ----
 
+@query("fact_as_of_version")
+def q_fact_as_of_version(spark, sf):
+    """Each event's entity with the status that was valid six hours before it."""
+    ev = fx.read(spark, sf, "events").select("event_id", "user_id", (epoch_ms("ts") - 6 * 3_600_000).alias("as_of_ms"))
+    history = q_dim_scd2(spark, sf).select("entity_id", "status", F.col("source_lsn").alias("version_lsn"), "valid_from", "valid_to")
+    return facts.lookup_version(ev, history, "user_id", "as_of_ms", "entity_id", ["status", "version_lsn"], width=7 * 86_400_000)
+
+
 @query("fact_unmatched_keys")
 def q_fact_unmatched_keys(spark, sf):
     # a dimension with a gap: accounts in debit are missing
@@ -470,6 +497,16 @@ def q_ledger_running_balance(spark, sf):
                      (F.col("running_balance") < 0).alias("is_overdrawn"))
 
 
+@query("ledger_refusals")
+def q_ledger_refusals(spark, sf):
+    """Redemptions (clicks) above the points available at that moment do not
+    happen; earned points come from purchases."""
+    signed = (F.when(F.col("event_type") == "purchase", F.col("points"))
+              .when(F.col("event_type") == "click", -F.col("points")).otherwise(F.lit(0)))
+    done = ledger_op.settle(event_ledger(spark, sf), "user_id", ["ts", "event_id"], signed)
+    return done.select("event_id", "user_id", "event_type", "points", "accepted", F.col("balance").alias("available"))
+
+
 def customer_miles(spark, sf) -> DataFrame:
     """Miles = whole hundreds of order value per customer (0 without orders)."""
     per = (fx.read(spark, sf, "orders").groupBy("o_custkey")
@@ -650,6 +687,26 @@ def q_end_to_end_star(spark, sf):
     return fact.select("entity_id", "customer_key", "status", "amount_dec", "source_ts_ms")
 
 
+@query("table_atomic_replace")
+def q_table_atomic_replace(spark, sf):
+    """Silver and Quarantine replaced together: a reader opened before the
+    second write keeps what it saw, one opened after it sees the new rows on
+    both sides; the old folder goes with ``expire``."""
+    from keelson.session import scratch_path
+    from keelson.sinks import versioned
+    root = scratch_path(spark, "atomic")
+    o = fx.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    checked = Q.check(o, [Q.accepted_values("has_final_status", "o_orderstatus", ["F", "O"])])
+    versioned.replace_split(checked.filter(F.col("o_orderstatus") != "F"), root)
+    before = versioned.read_split(spark, root, True).agg(F.count(F.lit(1)).alias("n")).checkpoint()
+    versioned.replace_split(checked, root)
+    versioned.expire(spark, root)
+    side = lambda valid: (versioned.read_split(spark, root, valid).groupBy("o_orderstatus")
+                          .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("side", F.lit("valid" if valid else "quarantine")))
+    old = before.select(F.lit(None).cast("string").alias("o_orderstatus"), F.col("n").alias("n_rows"), F.lit("valid before").alias("side"))
+    return side(True).unionByName(side(False)).unionByName(old)
+
+
 @query("table_overwrite_roundtrip")
 def q_table_overwrite_roundtrip(spark, sf):
     """Overwrite a table and read it back through the format: only the
