@@ -437,6 +437,9 @@ SQL["stream_dedupe_first"] = f"""WITH {EV}
 SELECT entity_id, source_lsn, status FROM ledger
 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY source_lsn) = 1"""
 
+SQL["stream_early_facts"] = """
+SELECT event_id, user_id, user_id IN (SELECT user_id FROM events WHERE event_type = 'signup') AS has_parent FROM events WHERE event_type = 'purchase'"""
+
 SQL["stream_window_counts"] = """
 WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, value FROM events),
 m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS wm FROM events)

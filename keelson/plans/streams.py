@@ -55,10 +55,12 @@ def q_stream_dedupe_first(spark, sf):
     """First event per key for ever (the captured jobs' behaviour): decided
     by the log position, not by the order in which rows arrive."""
     ensure_utc(spark)
+    from keelson.sinks import versioned
     out, ck = scratch_path(spark, "first"), scratch_path(spark, "first-ckpt")
-    writer = routing.first_per_key_writer(fx.EVENTS_SPEC, out)
-    runner.run_to_end(runner.start_foreach_batch(fx.envelopes(_events_stream(spark, sf)), writer, ck))
-    return spark.read.parquet(out).select("entity_id", "source_lsn", "status")
+    stream = routing.first_per_key(fx.envelopes(_events_stream(spark, sf)), fx.EVENTS_SPEC)
+    runner.run_to_end(runner.start_foreach_batch(stream, routing.keyed_writer(fx.EVENTS_SPEC, out, 8), ck, output_mode="update",
+                                                 state_partitions=_cores(spark)))
+    return versioned.read_buckets(spark, out).select("entity_id", "source_lsn", "status")
 
 
 @query("stream_window_counts")
@@ -209,3 +211,51 @@ def q_stream_late_side_table(spark, sf):
     msgs.filter(cut).write.parquet(f"{landing}/b")
     run()
     return _bronze_columns(BI.read_late(spark, late).drop("batch_id", "event_date"))
+
+
+CHILD = "event_id bigint, user_id bigint, ts timestamp"
+PARENT = "member_id bigint, joined timestamp"
+
+
+def early_facts(spark, sf, parents_late: bool, base: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Purchases wait for their user's first signup.  Purchases and signups
+    come in two deliveries, the signups of odd users with the first or only
+    with the second one; what was quarantined is re-driven at the end.
+    Returns the accepted and the quarantined purchases."""
+    from pyspark.sql import types as T
+
+    from keelson.streaming import references as R
+    ensure_utc(spark)
+    ev = fx.read(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    buys = ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    joins = ev.filter(F.col("event_type") == "signup").groupBy(F.col("user_id").alias("member_id")).agg(F.min("ts").alias("joined"))
+    # far-off rows that match nothing: they move both watermarks past all others
+    flush = ev.agg(F.timestamp_add("DAY", F.lit(400), F.max("ts")).alias("ts"))
+    cut = F.col("ts") < F.lit(UPSERT_CUTOFF).cast("timestamp")
+    odd = F.col("member_id") % 2 == 1
+    first_joins, later_joins = (joins.filter(~odd), joins.filter(odd)) if parents_late else (joins.filter(odd), joins.filter(~odd))
+    landing, ck = scratch_path(spark, "early"), scratch_path(spark, "early-ckpt")
+    base = base or scratch_path(spark, "checked")
+    schema = T.StructType.fromDDL(CHILD)
+
+    def deliver(name: str, b: DataFrame, j: DataFrame) -> None:
+        b.write.parquet(f"{landing}/buys/{name}")
+        j.write.parquet(f"{landing}/joins/{name}")
+        waiting = R.await_parents(ingest.file_source(spark, f"{landing}/buys/*", CHILD), ingest.file_source(spark, f"{landing}/joins/*", PARENT),
+                                  "user_id", "member_id", "ts", "joined", wait="2 days", remember="400 days")
+        runner.run_to_end(runner.start_foreach_batch(waiting, R.split_writer(base), ck, state_partitions=_cores(spark)))
+
+    deliver("a", buys.filter(cut), first_joins)
+    deliver("b", buys.filter(~cut), later_joins)
+    deliver("end", flush.select(F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), "ts"),
+            flush.select(F.lit(-2).cast("bigint").alias("member_id"), F.col("ts").alias("joined")))
+    R.redrive(spark, base, schema, "event_id", "user_id", joins, "member_id", run="1")
+    return R.accepted(spark, base, schema), R.quarantined(spark, base, schema, "event_id")
+
+
+@query("stream_early_facts")
+def q_stream_early_facts(spark, sf):
+    """Every purchase once: accepted when its user ever signed up."""
+    ok, bad = early_facts(spark, sf, parents_late=True)
+    return (ok.withColumn("has_parent", F.lit(True)).unionByName(bad.withColumn("has_parent", F.lit(False)))
+            .filter(F.col("event_id") >= 0).select("event_id", "user_id", "has_parent"))

@@ -34,6 +34,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
 def pointer(spark: SparkSession, root: str) -> dict[str, str]:
     """Part -> folder (relative to ``root``) of the current version; empty
     before the first write."""
@@ -48,7 +53,7 @@ def pointer(spark: SparkSession, root: str) -> dict[str, str]:
     return json.loads(data.decode())
 
 
-def _switch(spark: SparkSession, root: str, parts: dict[str, str]) -> None:
+def write_pointer(spark: SparkSession, root: str, parts: dict[str, str]) -> None:
     """Replace the pointer: written beside it, then renamed over it."""
     root = root.rstrip("/")
     jvm = spark._jvm
@@ -81,7 +86,7 @@ def replace_all(tables: dict[str, DataFrame], root: str, fmt: str = "parquet", p
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(f"{root.rstrip('/')}/{folder}/{name}")
-    _switch(spark, root, {name: f"{folder}/{name}" for name in tables})
+    write_pointer(spark, root, {name: f"{folder}/{name}" for name in tables})
 
 
 def replace_split(checked: DataFrame, root: str, fmt: str = "parquet", flag: str = "_valid") -> None:
@@ -89,7 +94,7 @@ def replace_split(checked: DataFrame, root: str, fmt: str = "parquet", flag: str
     by ``flag``, and both sides change together (``read_split``)."""
     folder = _fresh()
     checked.write.format(fmt).partitionBy(flag).save(f"{root.rstrip('/')}/{folder}/split")
-    _switch(checked.sparkSession, root, {"split": f"{folder}/split"})
+    write_pointer(checked.sparkSession, root, {"split": f"{folder}/split"})
 
 
 def read(spark: SparkSession, root: str, name: str = "table", fmt: str = "parquet") -> DataFrame:
@@ -147,7 +152,7 @@ def merge_buckets(spark: SparkSession, root: str, changes: DataFrame, key: Seque
     # rows of a bucket together, a large bucket split
     (merge(old, new).hint("rebalance", BUCKET)
      .write.format(fmt).partitionBy(BUCKET).save(f"{root.rstrip('/')}/{folder}"))
-    _switch(spark, root, {**parts, **{str(b): folder for b in touched}, "buckets": str(buckets)})
+    write_pointer(spark, root, {**parts, **{str(b): folder for b in touched}, "buckets": str(buckets)})
     return touched
 
 

@@ -6,19 +6,17 @@ Per micro-batch:
 1. parse the messages, drop repeated deliveries inside the batch
    (``dedupe_changes``: an aggregate, so a huge group of copies of one
    change collapses map-side before the shuffle);
-2. watermark = latest transport time the table has seen (one row per
-   written batch in ``_progress``) minus the delay;
+2. watermark = latest transport time the table has seen (a small file in
+   ``_progress``, replaced by each batch) minus the delay;
 3. rows older than the watermark are late (repeats included, as with any
    watermark) and go to the late table;
 4. on-time rows already written are dropped: an anti join with the
-   table's change ids at or after the watermark (a partition-pruned read
-   by event date);
+   table's change ids at or after the watermark (of the day folders from
+   the watermark's on; no other folder is listed);
 5. both outputs are ``batch_id=<n>`` partitions written by overwrite, so
    a replayed batch rewrites the same rows (exactly once).
 
 Only scalars reach the driver (the watermark, one timestamp per batch).
-No existence probes: the progress table is created empty on first use
-(``mode("ignore")``) and read with its schema.
 """
 
 from __future__ import annotations
@@ -29,12 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import cdc
+from keelson.sinks import versioned
 from keelson.spec import TableSpec
 
 
-PROGRESS_SCHEMA = "batch_id bigint, max_ts timestamp"
-
-
 def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_seconds: int = 600,
                         fmt: str = "parquet", keep_deletes: bool = False):
     """``foreachBatch`` function implementing the steps above.
@@ -51,20 +47,23 @@ def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_
         spark = batch.sparkSession
         rows = cdc.dedupe_changes(parse(batch), spec).withColumn(
             "event_date", F.to_date("kafka_timestamp"))
-        # progress table: created empty on first use (a no-op afterwards)
-        spark.createDataFrame([], PROGRESS_SCHEMA).write.mode("ignore").format(fmt).save(f"{table_path}/_progress")
-        progress = spark.read.format(fmt).schema(PROGRESS_SCHEMA).load(f"{table_path}/_progress")
-        prior = progress.filter(F.col("batch_id") < batch_id).agg(F.max("max_ts")).first()[0]
+        # progress: the latest transport time before each of the last two batches
+        # (a replayed batch finds what it found the first time)
+        progress = versioned.pointer(spark, f"{table_path}/_progress")
+        earlier = [(int(b), t) for b, t in progress.items() if int(b) < batch_id]
+        prior = _dt.datetime.fromisoformat(max(earlier)[1]) if earlier else None
         wm = prior - _dt.timedelta(seconds=delay_seconds) if prior is not None else None
         if wm is not None:
             # a watermark exists only after a batch wrote on-time rows, so the table exists
-            seen = spark.read.format(fmt).load(f"{table_path}/data")
-            recent = (seen.filter((F.col("event_date") >= F.lit(wm.date()))
-                                  & (F.col("kafka_timestamp") >= F.lit(wm))
-                                  & (F.col("batch_id") < batch_id))
-                      .select(*[F.col(c).alias(f"__s_{c}") for c in ids]))
-            cond = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ids]
-            rows = rows.join(recent, cond, "left_anti")
+            # on-time rows lie between the watermark and the latest time: only those days are listed
+            days = [f"{table_path}/data/event_date={wm.date() + _dt.timedelta(days=i)}" for i in range((prior.date() - wm.date()).days + 1)]
+            held = [d for d in days if versioned.exists(spark, d)]
+            if held:
+                seen = spark.read.format(fmt).option("basePath", f"{table_path}/data").load(held)
+                recent = (seen.filter((F.col("kafka_timestamp") >= F.lit(wm)) & (F.col("batch_id") < batch_id))
+                          .select(*[F.col(c).alias(f"__s_{c}") for c in ids]))
+                cond = [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in ids]
+                rows = rows.join(recent, cond, "left_anti")
             late_cond = F.col("kafka_timestamp") < F.lit(wm)
         else:
             late_cond = F.lit(False)
@@ -73,15 +72,13 @@ def dedupe_batch_writer(spec: TableSpec, table_path: str, late_path: str, delay_
             on_time = rows.filter(~F.col("__late")).drop("__late")
             late = rows.filter(F.col("__late")).drop("__late")
             (on_time.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", "event_date")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id")
              .format(fmt).save(f"{table_path}/data"))
             (late.write.mode("overwrite").format(fmt).save(f"{late_path}/batch_id={batch_id}"))
-            top = on_time.agg(F.max("kafka_timestamp").alias("max_ts"))
-            prev_top = wm + _dt.timedelta(seconds=delay_seconds) if wm is not None else None
-            top = top.select(F.lit(batch_id).alias("batch_id"),
-                             F.greatest(F.col("max_ts"), F.lit(prev_top).cast("timestamp")).alias("max_ts")
-                             if prev_top is not None else F.col("max_ts"))
-            top.write.mode("overwrite").format(fmt).save(f"{table_path}/_progress/batch_id={batch_id}")
+            top = max([t for t in (on_time.agg(F.max("kafka_timestamp")).first()[0], prior) if t is not None], default=None)
+            if top is not None:
+                last = sorted(earlier)[-1:]
+                versioned.write_pointer(spark, f"{table_path}/_progress", {**{str(b): t for b, t in last}, str(batch_id): top.isoformat()})
         finally:
             rows.unpersist()
     return write

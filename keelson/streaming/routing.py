@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.operators import cdc
+from keelson.sinks import versioned
 from keelson.spec import TableSpec
 
 
@@ -37,14 +38,15 @@ def batch_partition_reader(spark, base_path: str, fmt: str = "parquet") -> Calla
 
 def topic_router(specs: dict[str, TableSpec], writer: Callable[[DataFrame, str, int], None],
                  topic_col: str = "topic", reader: Callable[[str, int], DataFrame | None] | None = None,
-                 delay_seconds: int | None = None, unknown: str = "_unknown_topics") -> Callable[[DataFrame, int], None]:
+                 delay_seconds: int | None = 86_400, unknown: str = "_unknown_topics") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: for each topic, parse its messages with the
     table's spec (deletes kept), drop repeated deliveries, write.
 
     Repeats are dropped inside the batch and, with a ``reader`` of what was
-    written, against earlier batches by change id; ``delay_seconds`` limits
-    that to changes at most so much older than the batch's oldest (default:
-    all).  Messages of topics without a spec go, as they came, to the table
+    written, against earlier batches by change id.  As with a watermark, that
+    looks back a bounded time: at changes at most ``delay_seconds`` older
+    than the batch's oldest, so that a batch's work follows the batch; None
+    compares with all that was ever written.  Messages of topics without a spec go, as they came, to the table
     ``unknown``."""
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()          # read the micro-batch once for all tables
@@ -70,20 +72,27 @@ def topic_router(specs: dict[str, TableSpec], writer: Callable[[DataFrame, str,
     return route
 
 
-def first_per_key_writer(spec: TableSpec, path: str, order: tuple[str, ...] = ("source_lsn", "source_ts_ms", "kafka_timestamp"),
-                         fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that keeps one row per key for ever: that of
-    the first batch the key comes in, and of that batch its least by
-    ``order``.  An aggregate decides, so neither the number of splits nor
-    the order of rows matters; keys already written are left out."""
+def first_per_key(raw: DataFrame, spec: TableSpec, order: tuple[str, ...] = ("source_lsn", "source_ts_ms", "kafka_timestamp")) -> DataFrame:
+    """One row per key, that of its least change by ``order``, as a streaming
+    aggregate (``update`` mode): a batch gives the keys whose first change
+    it has moved.  Neither the number of splits nor the order of rows or
+    batches matters.  The state holds a row per key."""
+    rows = cdc.parse_envelope(raw, spec)
+    rest = [c for c in rows.columns if c not in spec.key]
+    first = rows.groupBy(*spec.key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r"))
+    return first.select(*spec.key, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def keyed_writer(spec: TableSpec, root: str, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function for ``update`` mode: each row replaces its
+    key's row in a table cut by key bucket (``sinks.versioned``).  Only the
+    buckets that a batch touches are read and written; a replayed batch
+    writes the same rows again."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = cdc.parse_envelope(batch, spec)
-        rest = [c for c in rows.columns if c not in spec.key]
-        first = (rows.groupBy(*spec.key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r"))
-                 .select(*spec.key, *[F.col(f"__r.{c}").alias(c) for c in rest]))
-        seen = batch_partition_reader(batch.sparkSession, path, fmt)("", batch_id)
-        if seen is not None:
-            known = seen.select(*[F.col(c).alias(f"__s_{c}") for c in spec.key])
-            first = first.join(known, [F.col(c) == F.col(f"__s_{c}") for c in spec.key], "left_anti")
-        first.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+            if old is None:
+                return new
+            keys = new.select(*spec.key)
+            return old.join(keys, list(spec.key), "left_anti").select(*new.columns).unionByName(new)
+        versioned.merge_buckets(batch.sparkSession, root, batch, spec.key, merge, buckets)
     return write

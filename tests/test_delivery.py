@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from keelson.operators import cdc, dims, facts
 from keelson.plans import fixtures as fx
 from keelson.session import scratch_path
+from keelson.sinks import versioned
 from keelson.streaming import ingest, routing, runner
 
 from conftest import SF_SMALL
@@ -25,22 +26,44 @@ def test_parsed_and_dead_letters_are_all_messages(spark):
     assert reasons == {"undecodable decimal": 1, "no key": 1, "unparsable": 2}
 
 
-def test_first_event_per_key_from_many_files(spark):
+@pytest.mark.parametrize("splits", [1, 2, 8])
+def test_first_event_per_key_whatever_the_splits(spark, splits):
+    """Later positions come first, in some files and batches; the table is
+    the same, and a batch that moves no first event writes no bucket."""
     msgs = fx.cdc_raw(spark, SF_SMALL)
     landing, out, ck = (scratch_path(spark, n) for n in ("landing", "first", "first-ckpt"))
 
     def run():
-        raw = ingest.file_source(spark, f"{landing}/*", MSG)
-        runner.run_to_end(runner.start_foreach_batch(raw, routing.first_per_key_writer(fx.EVENTS_SPEC, out), ck))
+        raw = ingest.file_source(spark, f"{landing}/*", MSG, options={"maxFilesPerTrigger": "3"})
+        stream = routing.first_per_key(raw, fx.EVENTS_SPEC)
+        runner.run_to_end(runner.start_foreach_batch(stream, routing.keyed_writer(fx.EVENTS_SPEC, out, 4), ck, output_mode="update", state_partitions=2))
+        return {r["entity_id"]: r["source_lsn"] for r in versioned.read_buckets(spark, out).collect()}
 
-    msgs.orderBy(F.col("lsn").desc()).repartition(8).write.parquet(f"{landing}/a")
-    run()
     want = {r["entity_id"]: r["lsn"] for r in cdc.parse_envelope(msgs, fx.EVENTS_SPEC).groupBy("entity_id").agg(F.min("source_lsn").alias("lsn")).collect()}
-    assert {r["entity_id"]: r["source_lsn"] for r in spark.read.parquet(out).collect()} == want
-    msgs.write.parquet(f"{landing}/b")      # delivered again: nothing new
+    half = F.col("lsn") > 500
+    msgs.filter(half).repartition(splits).write.parquet(f"{landing}/a")
     run()
-    rows = spark.read.parquet(out).collect()
-    assert len(rows) == len(want)
+    msgs.filter(~half).orderBy(F.col("lsn").desc()).repartition(splits).write.parquet(f"{landing}/b")
+    assert run() == want
+    rows = versioned.read_buckets(spark, out).count()
+    assert rows == len(want)
+
+
+@pytest.mark.parametrize("parents_late", [True, False])
+def test_early_facts_end_up_the_same_in_both_orders(spark, parents_late):
+    """Some purchases are quarantined on the stream; each purchase ends on one side."""
+    from keelson.plans import streams
+    base = scratch_path(spark, "checked")
+    ok, bad = streams.early_facts(spark, SF_SMALL, parents_late, base)
+    ev = fx.read(spark, SF_SMALL, "events")
+    members = {r["user_id"] for r in ev.where("event_type = 'signup'").select("user_id").collect()}
+    buys = {r["event_id"]: r["user_id"] for r in ev.where("event_type = 'purchase'").collect()}
+    got_ok, got_bad = [r["event_id"] for r in ok.collect()], [r["event_id"] for r in bad.where("event_id >= 0").collect()]
+    assert sorted(got_ok) == sorted(e for e, u in buys.items() if u in members)
+    assert sorted(got_bad) == sorted(e for e, u in buys.items() if u not in members)
+    redriven = spark.read.parquet(f"{base}/load=redrive-1").count()
+    on_stream = spark.read.parquet(base).where("_has_parent and load like 'batch-%'").count()
+    assert redriven > 0 and on_stream > 0 and redriven + on_stream == len(got_ok)
 
 
 def test_scd2_closes_at_a_delete_and_starts_anew(spark):

@@ -142,7 +142,7 @@ def test_a_write_that_dies_leaves_the_old_table(spark):
 def test_tables_under_one_pointer_change_together(spark, monkeypatch):
     root = scratch_path(spark, "both")
     versioned.replace_all({"silver": spark.range(5), "quarantine": spark.range(2)}, root)
-    monkeypatch.setattr(versioned, "_switch", lambda *a: (_ for _ in ()).throw(OSError("killed before the switch")))
+    monkeypatch.setattr(versioned, "write_pointer", lambda *a: (_ for _ in ()).throw(OSError("killed before the switch")))
     with pytest.raises(OSError, match="killed"):
         versioned.replace_all({"silver": spark.range(50), "quarantine": spark.range(20)}, root)
     assert [versioned.read(spark, root, t).count() for t in ("silver", "quarantine")] == [5, 2]
