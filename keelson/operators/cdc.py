@@ -215,6 +215,54 @@ def parse_stats(raw: DataFrame, spec: TableSpec, **kw) -> DataFrame:
                  F.count_if(key_present).alias("n_with_after_key")))
 
 
+#: What a declared type may look like in a JSON image.
+_KINDS = {"int": ["integer"], "bigint": ["integer"], "smallint": ["integer"], "tinyint": ["integer"], "double": ["integer", "number"],
+          "float": ["integer", "number"], "string": ["string"], "boolean": ["boolean"]}
+
+
+def _accepted_kinds(spec: TableSpec) -> dict[str, list[str]]:
+    out = {}
+    for f in spec.after_schema.fields:
+        if f.name in spec.decimals:
+            out[f.name] = ["string"] if spec.decimal_encoding == "base64" else ["string", "integer", "number"]
+        elif f.name in spec.temporal:
+            out[f.name] = ["integer"]
+        else:
+            out[f.name] = _KINDS.get(f.dataType.simpleString(), ["string"])
+    return out
+
+
+def schema_drift(raw: DataFrame, spec: TableSpec, value_col: str = "value") -> DataFrame:
+    """What the images hold against what the spec declares: ``table_name``,
+    ``column_name``, ``issue``, ``observed``, ``n_rows``.
+
+    * ``undeclared``: a field of some after image that the spec has not (the
+      parser ignores it);
+    * ``retyped``: a declared field whose values are of another kind (the
+      parser reads them as NULL), a row for each kind;
+    * ``vanished``: a declared field that no after image has.
+
+    Images are parsed as VARIANT, without a schema; their fields are counted
+    by name and kind, so what is shuffled is a few rows per task.  JSON null
+    is of every kind; unparsable messages and deletes have no image."""
+    v = F.try_parse_json(F.col(value_col).cast("string"))
+    image = F.coalesce(F.try_variant_get(v, "$.payload.after", "map<string,variant>"), F.try_variant_get(v, "$.after", "map<string,variant>"))
+    fields = raw.select(F.explode(image).alias("column_name", "v"))
+    t = F.schema_of_variant("v")
+    kind = (F.when(t == "BIGINT", "integer").when(t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"), "number").when(t == "STRING", "string")
+            .when(t == "BOOLEAN", "boolean").when(t == "VOID", "null").otherwise("nested"))
+    seen = fields.groupBy("column_name", kind.alias("observed")).agg(F.count(F.lit(1)).alias("n_rows"))
+    allowed = F.create_map(*[F.lit(x) for n, kinds in _accepted_kinds(spec).items() for x in (n, ",".join([*kinds, "null"]))])
+    declared = allowed[F.col("column_name")]
+    issue = F.when(declared.isNull(), "undeclared").when(~F.array_contains(F.split(declared, ","), F.col("observed")), "retyped")
+    # one row per declared field: the spec bounds it
+    names = raw.sparkSession.createDataFrame([(n,) for n in spec.row_fields], "column_name string")
+    gone = names.join(seen, "column_name", "left_anti").select(
+        "column_name", F.lit(None).cast("string").alias("observed"), F.lit(0).cast("bigint").alias("n_rows"), F.lit("vanished").alias("issue"))
+    rows = seen.withColumn("issue", issue).filter("issue is not null").unionByName(gone)
+    return rows.select(F.lit(spec.name).alias("table_name"), "column_name", "issue", "observed", "n_rows")
+
+
 def sample(bronze: DataFrame, n: int, order: Sequence[str], text_cols: dict[str, int]) -> DataFrame:
     """First ``n`` rows in a deterministic order with text columns cut to a
     prefix (inspection output; the limit is the feature).  Spark plans this

@@ -2,33 +2,23 @@
 
 A redemption above the balance at that moment does not happen, so the balance
 is no prefix sum: what a later row may take depends on which earlier ones
-were refused.  A stretch of rows is a function of the balance it starts with,
-and that function is piecewise ``b + offset``: a credit adds to all offsets,
-a debit cuts the piece in which it begins to be payable.  Stretches are
-therefore summarised alone and put together in order.
-
-Rows are range-partitioned by (account, order) and sorted.  Of a slice only
-its first and last account can reach into another slice; for these two the
-pieces are made, in parallel.  The starting balances follow from at most two
-summaries for each slice, and a second pass over the slices settles every
-row.  An account whose summary would need more than ``MOST_PIECES`` pieces
-is settled by one task that streams through its rows in order, one number
-in memory.
+were refused.  As a function of the balance it starts with, a stretch of
+rows is piecewise ``b + offset``: a credit adds to all offsets, a debit cuts
+the piece in which it begins to be payable.  ``folds`` splits a hot account
+into stretches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import Sequence
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.session import scratch_path, shuffle_partitions
+from keelson.operators.folds import fold_scan
 
-#: Pieces that a stretch's summary may have.
+#: Pieces that a stretch's function may have.
 MOST_PIECES = 4096
 
 
@@ -60,75 +50,32 @@ class Stretch:
         return balance + int(self.add[np.searchsorted(self.low, balance, "right") - 1])
 
 
-def _runs(b: pa.RecordBatch, account: int, amount: int) -> Iterator[tuple[str, list[int]]]:
-    """Consecutive rows of one account in a batch."""
-    names, amounts = b.column(account).to_pylist(), b.column(amount).to_pylist()
-    at = 0
-    for i in range(1, len(names) + 1):
-        if i == len(names) or names[i] != names[at]:
-            yield names[at], amounts[at:i]
-            at = i
-
-
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slice, account, amount) sorted to the pieces of each slice's first and
-    last account; null pieces when there are too many."""
-    done: list[tuple] = []
-    current, stretch, part = None, None, None
-    for b in batches:
-        part = b.column(0)[0].as_py()
-        for name, amounts in _runs(b, 1, 2):
-            if stretch is None or name != current:
-                if stretch is not None and not done:
-                    done.append((part, current, stretch))    # the first account; later ones wait until they prove to be the last
-                current, stretch = name, Stretch()
-            for x in amounts:
-                if stretch.low is not None:
-                    stretch.apply(x)
-                    if len(stretch.low) > MOST_PIECES:
-                        stretch.low = None
-    if stretch is not None:
-        done.append((part, current, stretch))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.string()),
-         pa.array([None if d[2].low is None else d[2].low.tolist() for d in done], pa.list_(pa.int64())),
-         pa.array([None if d[2].low is None else d[2].add.tolist() for d in done], pa.list_(pa.int64()))], names=["slice", "account", "low", "add"])
-
-
-def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Summaries in order to the balance that each begins with; null after
-    one that is not known."""
-    current, balance = None, 0
-    for b in batches:
-        out: list[tuple] = []
-        for part, name, low, add in zip(*[c.to_pylist() for c in b.columns], strict=True):
-            if name != current:
-                current, balance = name, 0
-            out.append((part, name, balance))
-            if balance is not None:
-                f = Stretch()
-                f.low, f.add = (None, None) if low is None else (np.array(low, np.int64), np.array(add, np.int64))
-                balance = None if low is None else f.after(balance)
-        yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.string()),
-                                          pa.array([o[2] for o in out], pa.int64())], names=["slice", "account", "start"])
-
-
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, account, amount, start) sorted to (row, accepted, balance)."""
-    current, balance, first = None, 0, True
-    for b in batches:
-        accepted, balances, at = [], [], 0
-        starts = b.column(3)
-        for name, amounts in _runs(b, 1, 2):
-            if first or name != current:
-                current, balance, first = name, starts[at].as_py() or 0, False
-            for x in amounts:
-                ok = x >= 0 or balance + x >= 0
-                balance += x if ok else 0
-                accepted.append(ok)
-                balances.append(balance)
-            at += len(amounts)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(accepted, pa.bool_()), pa.array(balances, pa.int64())], names=["row", "accepted", "balance"])
+class Refusing:
+    """The machine of a balance that never falls below zero."""
+
+    first = 0
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+
+    def step(self, state: int, value: int) -> tuple[bool, int]:
+        ok = value >= 0 or state + value >= 0
+        return ok, state + value if ok else state
+
+    def nothing(self) -> Stretch:
+        return Stretch()
+
+    def then(self, function: Stretch, value: int) -> Stretch | None:
+        function.apply(value)
+        return function if len(function.low) <= self.most else None
+
+    def pack(self, function: Stretch) -> list[int]:
+        return [*function.low.tolist(), *function.add.tolist()]
+
+    def after(self, packed: list[int], state: int) -> int:
+        f, half = Stretch(), len(packed) // 2
+        f.low, f.add = np.array(packed[:half], np.int64), np.array(packed[half:], np.int64)
+        return f.after(state)
 
 
 def settle(ledger: DataFrame, account: str, order: Sequence[str], signed: Column, scale: int = 2,
@@ -141,68 +88,7 @@ def settle(ledger: DataFrame, account: str, order: Sequence[str], signed: Column
     zero.  Amounts are exact at ``scale`` digits.  Null accounts are one
     account.
     """
-    spark = ledger.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
-    names = ledger.columns
     unit = F.coalesce(F.round(signed.cast("decimal(38,6)") * F.lit(10 ** scale)).cast("long"), F.lit(0).cast("long"))
-    by = [F.col("account"), *[F.col(f"row.`{c}`") for c in order]]
-    rows = ledger.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(account).cast("string").alias("account"), unit.alias("amount"))
-    # both passes read the same slices, so they are fixed in the shared folder
-    path = scratch_path(spark, "ledger")
-    (rows.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("slice", F.spark_partition_id().cast("long"))
-     .write.partitionBy("slice").parquet(path))
-    cut = spark.read.schema("row " + rows.schema["row"].dataType.simpleString() + ", account string, amount long, slice long").parquet(path)
-    in_order = [F.col("slice"), *by]
-
-    def per_slice(df: DataFrame) -> DataFrame:
-        # a slice is one partition again, in its order
-        return df.repartition(n, "slice").sortWithinPartitions(*in_order)
-
-    found = per_slice(cut.select("slice", "account", "amount", "row"))
-    pieces = found.select("slice", "account", "amount").mapInArrow(_by_slice(_summaries, 0), "slice long, account string, low array<long>, add array<long>")
-    starts_path = scratch_path(spark, "starts")
-    pieces.coalesce(1).sortWithinPartitions("account", "slice").mapInArrow(_starts, "slice long, account string, start long").write.parquet(starts_path)
-    starts = spark.read.schema("slice long, account string, start long").parquet(starts_path)
-    s = starts.select(F.col("slice").alias("s"), F.col("account").alias("a"), "start", F.lit(True).alias("known"))
-    whole = starts.where("start is null").select(F.col("account").alias("w"), F.lit(True).alias("alone")).distinct()
-    # at most two rows for each slice
-    marked = (cut.join(F.broadcast(whole), F.col("account").eqNullSafe(F.col("w")), "left")
-              .join(F.broadcast(s), (F.col("slice") == F.col("s")) & F.col("account").eqNullSafe(F.col("a")), "left"))
-    schema = "row " + rows.schema["row"].dataType.simpleString() + ", accepted boolean, balance long"
-    easy = per_slice(marked.where("alone is null")).select("row", "account", "amount", "start", "slice").mapInArrow(_by_slice(_settle, 4), schema)
-    hard = (marked.where("alone").repartition(n, "account").sortWithinPartitions(*by)
-            .select("row", "account", "amount", F.lit(0).cast("long").alias("start")).mapInArrow(_settle, schema))
-    money = (F.col("balance").cast("decimal(20,0)") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
-    return easy.unionByName(hard).select("row.*", "accepted", money.alias("balance"))
-
-
-def _by_slice(fn, at: int):  # noqa: ANN001, ANN202
-    """Applies ``fn`` to each slice of a partition's sorted rows (the slice's
-    number is column ``at``)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        source = iter(batches)
-
-        def one() -> Iterator[pa.RecordBatch]:
-            part = waiting[0].column(at)[0].as_py()
-            while True:
-                b = waiting.pop(0) if waiting else next(source, None)
-                if b is None:
-                    return
-                if not b.num_rows:
-                    continue
-                parts = b.column(at).to_numpy()
-                end = int(np.searchsorted(parts, part, "right"))
-                if end:
-                    yield b.slice(0, end)
-                if end < b.num_rows:
-                    waiting.insert(0, b.slice(end))
-                    return
-        while True:
-            if not waiting:
-                b = next((x for x in source if x.num_rows), None)
-                if b is None:
-                    return
-                waiting.append(b)
-            yield from fn(one())
-    return run
+    done = fold_scan(ledger, account, order, unit, Refusing(MOST_PIECES), num_partitions)
+    money = (F.col("state").cast("decimal(20,0)") / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
+    return done.select("row.*", "accepted", money.alias("balance"))

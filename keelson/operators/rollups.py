@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import hash_fraction_keep, in_comma_list, weekday_code
@@ -172,3 +172,71 @@ def upsert_state(base_state: DataFrame, changes: DataFrame, key: Sequence[str],
     latest = both.groupBy(*key).agg(
         F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order])).alias("__r"))
     return latest.select(*key, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def period_end_balance(ledger: DataFrame, account: str, ts: str, signed: Column, until: Column, period: str = "MONTH") -> DataFrame:
+    """Balance of every account at every period end from its first posting to
+    ``until`` (a date): ``account``, ``period_end``, ``balance``.
+
+    Semi-additive: balances add up over accounts, not over periods.  Postings
+    are summed per (account, period) first, map-side; the running sum then
+    sees one row per period of an account, and each such row is carried
+    forward to the period before the next one (``sequence`` over the gap),
+    without a calendar x account join."""
+    start = F.date_trunc(period, F.col(ts)).cast("date")
+    step = F.expr("interval 3 month" if period.upper() == "QUARTER" else f"interval 1 {period}")
+    last = F.date_trunc(period, until.cast("timestamp_ntz")).cast("date")
+    per = ledger.groupBy(F.col(account).alias("__a"), start.alias("__p")).agg(F.sum(signed).alias("__s"))
+    w = Window.partitionBy("__a").orderBy("__p")
+    run = per.filter((F.col("__p") <= last) & F.col("__p").isNotNull()).select(
+        "__a", "__p", F.sum("__s").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("balance"),
+        F.lead("__p").over(w).alias("__n"))
+    upto = F.when(F.col("__n").isNull(), last).otherwise((F.col("__n") - step).cast("date"))
+    filled = run.select("__a", "balance", F.explode(F.sequence("__p", upto, step)).alias("__q"))
+    return filled.select(F.col("__a").alias(account), F.date_sub((F.col("__q") + step).cast("date"), 1).alias("period_end"), "balance")
+
+
+def cascade(tables: dict[str, tuple[DataFrame, str]], references: Sequence[tuple[str, str, str]], start: str, keys: DataFrame,
+            max_rounds: int = 50) -> DataFrame:
+    """All rows that hang on the given rows of ``start``, along declared
+    references: ``table_name``, ``row_key`` (as string), ``level`` (the
+    shortest way from the start).
+
+    ``tables``: name -> (rows, key column); ``references``: (child table,
+    its column, parent table); ``keys``: one column of keys of ``start``.
+    Any shape will do, several ways to a table or a table that refers to
+    itself: each round joins the children of the last round's new keys,
+    stored, and ends when nothing new came.  A row counts once, at its
+    first level; NULL refers to nothing."""
+    from keelson.session import scratch_path
+    spark = keys.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "frontier")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def frontier(name: str, df: DataFrame, level: int) -> DataFrame:
+        return df.select(F.lit(name).alias("table_name"), df[df.columns[0]].cast("string").alias("row_key"), F.lit(level).alias("level")).filter("row_key is not null")
+
+    new = stored(frontier(start, keys, 0).distinct())
+    found, touched = new, {start}
+    for level in range(1, max_rounds + 1):
+        steps = []
+        for child, column, parent in references:
+            if parent in touched:
+                rows, key = tables[child]
+                up = new.filter(F.col("table_name") == parent).select(F.col("row_key").alias("__up"))
+                steps.append((child, frontier(child, rows.join(up, F.col(column).cast("string") == F.col("__up"), "left_semi").select(key), level)))
+        if not steps:
+            return found
+        reached = steps[0][1]
+        for _, df in steps[1:]:
+            reached = reached.unionByName(df)
+        new = stored(reached.distinct().join(found.select("table_name", "row_key"), ["table_name", "row_key"], "left_anti"))
+        # at most one row per table
+        touched = {r[0] for r in new.select("table_name").distinct().collect()}
+        if not touched:
+            return found
+        found = found.unionByName(new)
+    raise ValueError(f"the cascade did not end in {max_rounds} rounds")

@@ -215,6 +215,46 @@ f AS (SELECT event_id, user_id, epoch_us(ts) // 1000 - 21600000 AS as_of_ms FROM
 SELECT f.event_id, f.user_id, f.as_of_ms, h.status, h.source_lsn AS version_lsn
 FROM f LEFT JOIN h ON h.entity_id = f.user_id AND h.valid_from <= f.as_of_ms AND (h.valid_to IS NULL OR f.as_of_ms < h.valid_to)"""
 
+SQL["cdc_schema_drift"] = f"""WITH {EV}, i AS (SELECT * FROM msgs WHERE NOT is_cut AND op <> 'd')
+SELECT 'events_cdc' AS table_name, 'note' AS column_name, 'undeclared' AS issue, 'string' AS observed, count(*) AS n_rows FROM i WHERE note IS NOT NULL
+UNION ALL SELECT 'events_cdc', 'amount_dec', 'undeclared', 'string', count(*) FROM i WHERE amount IS NOT NULL
+UNION ALL SELECT 'events_cdc', 'amount', 'retyped', 'number', count(*) FROM i WHERE amount IS NOT NULL
+UNION ALL SELECT 'events_cdc', 'channel', 'vanished', NULL, 0"""
+
+SQL["cascade_references"] = """
+WITH r AS (SELECT r_regionkey AS k FROM region WHERE r_regionkey = 0), n AS (SELECT n_nationkey AS k FROM nation WHERE n_regionkey IN (SELECT k FROM r)),
+c AS (SELECT c_custkey AS k FROM customer WHERE c_nationkey IN (SELECT k FROM n)), s AS (SELECT s_suppkey AS k FROM supplier WHERE s_nationkey IN (SELECT k FROM n)),
+o AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey IN (SELECT k FROM c)),
+l AS (SELECT l_orderkey || '-' || l_linenumber AS k, min(CASE WHEN l_suppkey IN (SELECT k FROM s) THEN 3 ELSE 4 END) AS level FROM lineitem
+      WHERE l_suppkey IN (SELECT k FROM s) OR l_orderkey IN (SELECT k FROM o) GROUP BY 1)
+SELECT 'region' AS table_name, CAST(k AS VARCHAR) AS row_key, 0 AS level FROM r UNION ALL SELECT 'nation', CAST(k AS VARCHAR), 1 FROM n
+UNION ALL SELECT 'customer', CAST(k AS VARCHAR), 2 FROM c UNION ALL SELECT 'supplier', CAST(k AS VARCHAR), 2 FROM s
+UNION ALL SELECT 'orders', CAST(k AS VARCHAR), 3 FROM o UNION ALL SELECT 'lineitem', k, level FROM l"""
+
+SQL["mart_month_end_balance"] = """
+WITH m AS (SELECT unnest(generate_series(DATE '1990-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS s), e AS (SELECT CAST(s + INTERVAL 1 MONTH AS DATE) AS nxt FROM m),
+b AS (SELECT c_nationkey, o_custkey, nxt, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS balance FROM e JOIN orders ON o_orderdate < nxt JOIN customer ON c_custkey = o_custkey GROUP BY ALL)
+SELECT c_nationkey, CAST(nxt - INTERVAL 1 DAY AS DATE) AS period_end, count(*) AS n_accounts, CAST(sum(balance) AS DECIMAL(18,2)) AS balance FROM b GROUP BY ALL"""
+
+SQL["fact_bucketed_join"] = """
+SELECT l_orderkey AS orderkey, l_linenumber, l_suppkey, o_custkey FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey"""
+
+SQL["lifecycle_paths"] = """
+WITH RECURSIVE legal(f, t) AS (VALUES ('', 'signup'), ('signup', 'view'), ('view', 'view'), ('view', 'click'), ('click', 'view'), ('click', 'purchase'), ('purchase', 'view')),
+s AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events),
+r AS (SELECT event_id, user_id, k, event_type = 'signup' AS ok, CASE WHEN event_type = 'signup' THEN 'signup' ELSE '' END AS state FROM s WHERE k = 1
+      UNION ALL
+      SELECT s.event_id, s.user_id, s.k, l.t IS NOT NULL, CASE WHEN l.t IS NOT NULL THEN s.event_type ELSE r.state END
+      FROM r JOIN s ON s.user_id = r.user_id AND s.k = r.k + 1 LEFT JOIN legal l ON l.f = r.state AND l.t = s.event_type)
+SELECT user_id, count(*) AS n_events, count(*) FILTER (WHERE NOT ok) AS n_illegal, arg_min(event_id, k) FILTER (WHERE NOT ok) AS first_illegal,
+  nullif(arg_max(state, k), '') AS final_state FROM r GROUP BY user_id"""
+
+SQL["dq_profile_merged"] = """
+SELECT 'user_id' AS column_name, count(*) AS n_rows, count(*) - count(user_id) AS n_nulls, true AS distinct_ok FROM events
+UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type), true FROM events
+UNION ALL SELECT 'value', count(*), count(*) - count(value), true FROM events
+UNION ALL SELECT 'props', count(*), count(*) - count(props), true FROM events"""
+
 SQL["ledger_refusals"] = """
 WITH RECURSIVE s AS (SELECT event_id, user_id, event_type, CAST(value AS DECIMAL(12,2)) AS points,
        CASE event_type WHEN 'purchase' THEN CAST(value AS DECIMAL(12,2)) WHEN 'click' THEN -CAST(value AS DECIMAL(12,2)) ELSE 0 END AS x,

@@ -66,8 +66,51 @@ DQ_TESTS = {
     "loyalty_transactions": {"unique": ["transaction_id"], "not_null": ["transaction_type", "miles_amount"],
                              "accepted": {"transaction_type": TRANSACTION_TYPES},
                              "relationships": {"loyalty_account_id": ("loyalty_accounts", "loyalty_account_id")}},
+    "flight_events": {"unique": ["event_id"], "not_null": ["event_type", "event_timestamp"],
+                      "relationships": {"flight_id": ("flights", "flight_id")}},
+    "delays": {"unique": ["delay_id"], "not_null": ["delay_minutes"], "relationships": {"flight_id": ("flights", "flight_id")}},
+    "diversions": {"unique": ["diversion_id"],
+                   "relationships": {"flight_id": ("flights", "flight_id"), "original_destination": ("airports", "airport_code"),
+                                     "diverted_to": ("airports", "airport_code")}},
+    "flight_cancellations": {"unique": ["cancellation_id"], "relationships": {"flight_id": ("flights", "flight_id")}},
+    "gates": {"unique": ["gate_id"], "not_null": ["gate_number"], "relationships": {"airport_code": ("airports", "airport_code")}},
+    "loyalty_accounts": {"unique": ["loyalty_account_id", "member_number"],
+                         "not_null": ["customer_id", "member_number", "enrollment_date"],
+                         "relationships": {"current_tier_id": ("loyalty_tiers", "tier_id")}},
+    "maintenance_events": {"unique": ["maintenance_event_id"], "not_null": ["maintenance_type", "event_status"],
+                           "accepted": {"event_status": ["DUE", "SCHEDULED", "IN_PROGRESS", "COMPLETED"]},
+                           "relationships": {"aircraft_registration": ("aircraft", "aircraft_registration"),
+                                             "schedule_id": ("maintenance_schedules", "schedule_id")}},
+    "defects": {"unique": ["defect_id"], "not_null": ["defect_description", "defect_status"],
+                "accepted": {"severity": ["MINOR", "MAJOR", "CRITICAL"], "defect_status": ["OPEN", "IN_REPAIR", "RESOLVED"]},
+                "relationships": {"aircraft_registration": ("aircraft", "aircraft_registration"),
+                                  "maintenance_event_id": ("maintenance_events", "maintenance_event_id")}},
+    "maintenance_costs": {"unique": ["cost_id"],
+                          "relationships": {"maintenance_event_id": ("maintenance_events", "maintenance_event_id"),
+                                            "part_id": ("parts", "part_id")}},
+    "booking_items": {"unique": ["booking_item_id"], "not_null": ["flight_id", "fare_amount"],
+                      "relationships": {"booking_id": ("bookings", "booking_id"), "passenger_id": ("passengers", "passenger_id"),
+                                        "fare_class_id": ("fare_classes", "fare_class_id")}},
+    "payments": {"unique": ["payment_id"], "not_null": ["amount", "payment_status"],
+                 "accepted": {"payment_status": ["PENDING", "COMPLETED", "FAILED"]},
+                 "relationships": {"booking_id": ("bookings", "booking_id")}},
+    "tickets": {"unique": ["ticket_id", "ticket_number"], "not_null": ["ticket_number", "ticket_status"],
+                "accepted": {"ticket_status": ["ISSUED", "USED", "CANCELLED", "REFUNDED"]},
+                "relationships": {"booking_item_id": ("booking_items", "booking_item_id")}},
+    "booking_cancellations": {"unique": ["cancellation_id"], "relationships": {"booking_id": ("bookings", "booking_id")}},
+    "refunds": {"unique": ["refund_id"], "not_null": ["refund_amount", "refund_status"],
+                "accepted": {"refund_status": ["REQUESTED", "APPROVED", "PROCESSED", "REJECTED"]},
+                "relationships": {"payment_id": ("payments", "payment_id")}},
 }
 
+
+def references() -> list[tuple[str, str, str]]:
+    """The declared references as (child, column, parent): what
+    ``rollups.cascade`` walks."""
+    return [(child, column, parent) for child, tests in DQ_TESTS.items()
+            for column, (parent, _) in tests.get("relationships", {}).items()]
+
+
 # Append-only ledgers skip the current-state step.
 LEDGERS = {LOYALTY_TRANSACTIONS.name}
 

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.exprs import epoch_ms
-from keelson.operators import cdc, dims, facts, ledger as ledger_op, rollups as R
+from keelson.operators import cdc, dims, facts, ledger as ledger_op, lifecycle, rollups as R
 from keelson.operators import quality as Q
 from keelson.plans import fixtures as fx
+from keelson.spec import TableSpec
 
 AS_OF_PROCESSED = "2024-02-01 00:00:00"
 
@@ -153,6 +154,17 @@ def q_cdc_change_diff(spark, sf):
             .select("source_lsn", "entity_id", "cdc_operation", "changed_columns"))
 
 
+# A spec that the log has drifted away from: two fields are not declared,
+# one is declared as an integer, one does not exist any more.
+DRIFTED_SPEC = TableSpec(name="events_cdc", key=("entity_id",), source_system="shop", keep_before=False,
+                         after_ddl="entity_id bigint, status string, amount bigint, channel string")
+
+
+@query("cdc_schema_drift")
+def q_cdc_schema_drift(spark, sf):
+    return cdc.schema_drift(fx.cdc_raw(spark, sf), DRIFTED_SPEC)
+
+
 # ------------------------------------------------------------ quality ----
 
 @fx.memo
@@ -438,6 +450,21 @@ def q_cascade_semi_join(spark, sf):
                           F.when(F.col("__cancelled"), "CANCELLED").otherwise("ISSUED").alias("ticket_status"))
 
 
+@query("cascade_references")
+def q_cascade_references(spark, sf):
+    """Everything that hangs on one region, along all references: nations,
+    customers and suppliers, orders, lines (reached on two ways)."""
+    t = lambda name, *cols: fx.read(spark, sf, name).select(*cols)
+    line = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id")
+    tables = {"nation": (t("nation", "n_nationkey", "n_regionkey"), "n_nationkey"), "customer": (t("customer", "c_custkey", "c_nationkey"), "c_custkey"),
+              "supplier": (t("supplier", "s_suppkey", "s_nationkey"), "s_suppkey"), "orders": (t("orders", "o_orderkey", "o_custkey"), "o_orderkey"),
+              "lineitem": (t("lineitem", line, "l_orderkey", "l_suppkey"), "line_id")}
+    references = [("nation", "n_regionkey", "region"), ("customer", "c_nationkey", "nation"), ("supplier", "s_nationkey", "nation"),
+                  ("orders", "o_custkey", "customer"), ("lineitem", "l_orderkey", "orders"), ("lineitem", "l_suppkey", "supplier")]
+    region = fx.read(spark, sf, "region").filter("r_regionkey = 0").select("r_regionkey")
+    return R.cascade(tables, references, "region", region)
+
+
 @query("refund_candidates")
 def q_refund_candidates(spark, sf):
     """Cancelled orders with their lines as payments; processed time only
@@ -550,6 +577,15 @@ def q_status_transitions(spark, sf):
     return R.transition_counts(tr, allowed)
 
 
+@query("lifecycle_paths")
+def q_lifecycle_paths(spark, sf):
+    """Each user's events against the allowed steps: an illegal one is
+    ignored, so the state goes on from the last legal event."""
+    ev = fx.read(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    walked = lifecycle.walk(ev, "user_id", ["ts", "event_id"], "event_type", ALLOWED_TRANSITIONS)
+    return lifecycle.summary(walked, "user_id", ["ts", "event_id"], "event_id")
+
+
 def schedules(spark, sf) -> DataFrame:
     """Suppliers as recurring schedules: code by nation, operating days and
     departure / arrival minute derived from the key."""
@@ -643,6 +679,21 @@ def q_dq_report(spark, sf):
     return ro.unionByName(rc)
 
 
+@query("dq_profile_merged")
+def q_dq_profile_merged(spark, sf):
+    """A profile stored per day and merged over all days, against the exact
+    figures: distinct counts within 5 %."""
+    from keelson.session import scratch_path
+    ev = fx.read(spark, sf, "events").select("ts", "user_id", "event_type", "value", "props")
+    path = scratch_path(spark, "profile")
+    Q.profile_by_day(ev, F.to_date("ts"), ["user_id", "event_type", "value", "props"]).write.partitionBy("day").parquet(path)
+    got = Q.merge_profiles(spark.read.parquet(path))
+    exact = ev.agg(*[F.countDistinct(c).alias(c) for c in ("user_id", "event_type", "value", "props")]).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("__c"), F.col(c).alias("__n")) for c in ("user_id", "event_type", "value", "props")])))
+    j = got.join(exact, F.col("column_name") == F.col("__c"))
+    return j.select("column_name", "n_rows", "n_nulls", (F.abs(F.col("n_distinct") - F.col("__n")) <= 0.05 * F.col("__n")).alias("distinct_ok"))
+
+
 @query("incremental_upsert")
 def q_incremental_upsert(spark, sf):
     """Current state built in two loads into a bucketed state table (changes
@@ -670,6 +721,33 @@ def q_mart_daily_rollup(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_orders"), F.sum("price").cast("decimal(18,2)").alias("total_price")))
 
 
+@query("mart_month_end_balance")
+def q_mart_month_end_balance(spark, sf):
+    """Order value per customer, carried to every month end, summed by nation."""
+    o = fx.read(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    until = F.lit("1998-12-31")
+    ends = R.period_end_balance(o, "o_custkey", "o_orderdate", R.dec("o_totalprice"), until)
+    c = fx.read(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    j = ends.join(c, ends.o_custkey == c.c_custkey)
+    return j.groupBy("c_nationkey", "period_end").agg(F.count(F.lit(1)).alias("n_accounts"), F.sum("balance").cast("decimal(18,2)").alias("balance"))
+
+
+@query("fact_bucketed_join")
+def q_fact_bucketed_join(spark, sf):
+    """Lines with their order's customer from two tables cut by the same key:
+    no shuffle on either side."""
+    import uuid
+
+    from keelson.session import scratch_path
+    from keelson.sinks import tables as sinks
+    li = fx.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_linenumber", "l_suppkey")
+    o = fx.read(spark, sf, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    n, tag = sinks.buckets_for(li.count()), uuid.uuid4().hex[:8]
+    sinks.save_bucketed(li, f"lines_{tag}", scratch_path(spark, "lines"), ["orderkey"], n)
+    sinks.save_bucketed(o, f"orders_{tag}", scratch_path(spark, "orders"), ["orderkey"], n)
+    return spark.table(f"lines_{tag}").join(spark.table(f"orders_{tag}").hint("merge"), "orderkey", "left")
+
+
 # Streaming queries register themselves on import.
 from keelson.plans import streams as _streams  # noqa: E402,F401
 

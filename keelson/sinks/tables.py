@@ -73,3 +73,19 @@ def compact(spark, src: str, dst: str, target_files: int, fmt: str = "parquet",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(dst)
+
+
+def save_bucketed(df: DataFrame, name: str, path: str, key: Sequence[str], buckets: int, fmt: str = "parquet") -> None:
+    """Store a table cut and sorted by key hash under a catalog name: two
+    tables with the same cut join on the key without a shuffle."""
+    (df.repartition(buckets, *key).write.format(fmt).mode("overwrite").option("path", path)
+     .bucketBy(buckets, *key).sortBy(*key).saveAsTable(name))
+
+
+def buckets_for(rows: int, per_bucket: int = 5_000_000, least: int = 8, most: int = 65_536) -> int:
+    """Buckets for a table of so many rows: a power of two, so that a table
+    that has grown can be cut anew into multiples of its old buckets."""
+    n = least
+    while n < most and n * per_bucket < rows:
+        n *= 2
+    return n
