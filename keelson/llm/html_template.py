@@ -118,6 +118,12 @@ def parse(page: str) -> tuple[list[Block], Counter]:
     paths: Counter = Counter()
     root = Element("", 0, False, False)
     stack, run = [root], []
+    # where each tag, and any block, is open in the stack: no end tag walks it in vain
+    opened: dict[str, list[int]] = {}
+    block_at = [0]
+
+    def last(tag: str) -> int:
+        return (opened.get(tag) or [0])[-1]
 
     def end_block() -> None:
         if run:
@@ -130,6 +136,10 @@ def parse(page: str) -> tuple[list[Block], Counter]:
     def close(index: int) -> None:
         if any(e.tag not in INLINE for e in stack[index:]):
             end_block()
+        for e in stack[index:]:
+            opened[e.tag].pop()
+            if e.tag not in INLINE:
+                block_at.pop()
         del stack[index:]
 
     at, size = 0, len(page)
@@ -145,12 +155,9 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             continue
         tag, attributes = m[2].lower(), m[3]
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break  # an inline end does not reach beyond its block
+            # an inline end does not reach beyond its block
+            if last(tag) and (tag not in INLINE or last(tag) > block_at[-1]):
+                close(last(tag))
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at) if not attributes.endswith("/>") else None
@@ -163,19 +170,10 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             run.append(" ")
             continue
         if tag not in INLINE:
-            if tag in CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "p":
-                        close(i)
-                        break
-                    if stack[i].tag not in INLINE:
-                        break
-            for i in range(len(stack) - 1, 0, -1) if tag in SIBLINGS else ():
-                if stack[i].tag in SIBLINGS[tag]:
-                    close(i)
-                    break
-                if stack[i].tag in LISTS:
-                    break
+            if tag in CLOSES_P and last("p") and last("p") == block_at[-1]:
+                close(last("p"))
+            if tag in SIBLINGS and (before := max(map(last, SIBLINGS[tag]))) and before >= max(map(last, LISTS)):
+                close(before)
             end_block()
         if tag in VOID or attributes.endswith("/>") and tag in INLINE:
             continue
@@ -187,6 +185,9 @@ def parse(page: str) -> tuple[list[Block], Counter]:
             paths[path] += 1
         if apart and not inner.out:
             end_block()
+        opened.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            block_at.append(len(stack))
         stack.append(Element(tag, path, inner.out or apart, inner.article or starts and not inner.out))
     end_block()
     return blocks, paths

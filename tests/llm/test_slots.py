@@ -1,4 +1,8 @@
 """Pages without an article element, and hosts of copies."""
+import time
+
+import pytest
+
 from keelson.llm import html_template
 
 
@@ -27,3 +31,23 @@ def test_hosts_of_copies_keep_their_articles(spark):
     text = "Title First paragraph of it. Second paragraph of it."
     want = dict.fromkeys(range(20), text) | dict.fromkeys(range(100, 120), "Home Title First paragraph of it.")
     assert texts(spark, rows) == want | {200 + i: f"Title The one paragraph of it. printed at {i}" for i in range(20)}
+
+
+@pytest.mark.parametrize("hostile", [
+    lambda k: "<b>" * k + "</i>" * k, lambda k: "<i><p>" + "<b>" * k + "</i>" * k, lambda k: "<div>" * k + "<li></li>" * k,
+    lambda k: "<b>" * k + "<hr>" * k, lambda k: "<div>" * k + "</p>" * k])
+def test_hostile_markup_takes_linear_time(hostile):
+    """Tags that close nothing, deep in open ones: 200 KB and more in seconds
+    (a walk of the stack for each would take minutes)."""
+    start = time.process_time()
+    html_template.parse(hostile(30_000) + "text")
+    assert time.process_time() - start < 5
+
+
+def test_end_tags_close_what_they_closed():
+    """An inline end does not reach beyond its block; blocks close what they hold."""
+    blocks = lambda h: [b.text for b in html_template.parse(h)[0]]
+    assert blocks("<div><i>a<p>b</i>c</p>d</div>e") == ["a", "bc", "d", "e"]
+    assert blocks("<ul><li>a<li>b<ul><li>c</ul>d</ul>e") == ["a", "b", "c", "d", "e"]
+    assert blocks("<p>a<b>b<p>c</b>d") == ["ab", "cd"]
+
