@@ -101,7 +101,7 @@ def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
     ``keep`` (a predicate on the payload and, with ``decode``, its decimals)
     only matching rows are returned.
     Parse and decode are projected columns read by a generator,
-    ``explode(filter(array(record), keep))``, rather than followed by a
+    ``explode(when(keep, array(record)))``, rather than followed by a
     ``filter``: Catalyst pushes a filter below the projection by
     substituting the calls into it (doing them twice for every message), and
     would inline the parse into each reference of a collapsed projection; a
@@ -120,7 +120,7 @@ def parse_raw(raw: DataFrame, spec: TableSpec, value_col: str = "value",
         msgs = _with_decimals(msgs, {"d": F.col("p.after")}, spec)
         given.append("d")
     record = F.array(F.struct(*given))
-    rows = record if keep is None else F.filter(record, lambda r: keep(*[r[g] for g in given]))
+    rows = record if keep is None else F.when(keep(*[F.col(g) for g in given]), record)
     return (msgs.select("json_value", "kafka_timestamp", F.explode(rows).alias("__r"))
             .select("json_value", "kafka_timestamp", *[F.col(f"__r.{g}").alias(g) for g in given]))
 
