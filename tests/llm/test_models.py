@@ -63,18 +63,19 @@ def test_lm_held_out_rows_teach_nothing(spark):
     assert all(a[i] == pytest.approx(b[i]) for i, _ in base if crc(i) % 7 != 2)
 
 
-def model_of(texts):
-    counts = [np.zeros(16 << bits, np.uint32) for _, bits in lm_mixing.CONTEXTS]
-    lm_mixing.count_texts(texts, counts)
-    return [np.append(np.ascontiguousarray(lm_mixing.tables(c)).view(np.uint32).ravel(), np.uint32(0)) for c in counts]
+def model_of(learned, scored):
+    """What a block that learns from some texts gets to score others."""
+    keys, n = lm_mixing.block_cells([*learned, *scored], [True] * len(learned) + [False] * len(scored))
+    return np.append(lm_mixing.cell_odds(keys, n), np.uint32(0)), lm_mixing.Places(keys)
 
 
 def test_lm_is_a_probability():
     """Over all next bytes the probabilities add up to one, but for unused codes."""
-    model = model_of([lm_mixing.normalised(t) for t in ["the cat sat on the mat", "the dog sat", "été"] * 5])
+    learned = [lm_mixing.normalised(t) for t in ["the cat sat on the mat", "the dog sat", "été"] * 5]
     for prefix in (b"", b"the", b"the c", b"zz"):
         both = [prefix + bytes([x]) for x in range(256)]
-        log = lm_mixing.score_texts(both, model) - (lm_mixing.score_texts([prefix], model)[0] if prefix else 0)
+        model = model_of(learned, both)
+        log = lm_mixing.score_texts(both, *model) - (lm_mixing.score_texts([prefix], *model)[0] if prefix else 0)
         # frequent bytes also have a long code, which they never use
         assert 0.99 < sum(10 ** log) < 1 + 1e-4
 
@@ -82,21 +83,81 @@ def test_lm_is_a_probability():
 def test_lm_scores_do_not_depend_on_the_batch():
     rnd = random.Random(5)
     texts = [lm_mixing.normalised(" ".join(rnd.choice(["the", "cat", "sat", "mat", "xyzzy"]) for _ in range(n))) for n in (0, 1, 3, 40, 900, 5)]
-    model = model_of(texts[:3])
-    alone = [lm_mixing.score_texts([t], model)[0] for t in texts]
-    assert np.allclose(lm_mixing.score_texts(texts, model), alone, rtol=1e-5)
+    model = model_of(texts[:3], texts)
+    alone = [lm_mixing.score_texts([t], *model)[0] for t in texts]
+    assert np.allclose(lm_mixing.score_texts(texts, *model), alone, rtol=1e-5)
 
 
 def test_lm_word_context_hashes_the_word_so_far():
     """The same word after different texts has the same cells."""
     data, _ = lm_mixing.joined([b"abc xyzzy q\n", b"longer words before xyzzy q\n"])
     byte, code = lm_mixing.groups(data)
-    cells = list(lm_mixing.context_cells(data, byte, code))[-1]
+    cells = list(lm_mixing.context_keys(data, byte, code))[-1]
     a, b = bytes(data).index(b"xyzzy"), bytes(data).rindex(b"xyzzy")
     of = lambda at: cells[(byte >= at) & (byte < at + 6)].tolist()
     assert of(a) == of(b) and len(of(a)) > 6
 
 
+def plain_scores(learned, scored):
+    """The mixing model spelled out: contexts as they are, bit by bit."""
+    def steps(t):
+        for i, b in enumerate(t):
+            before = ()
+            word = t[max(t[:i].rfind(x) for x in (b" ", b"\n", b"\0")) + 1:i]
+            for g in range(int(lm_mixing._COUNT[b])):
+                value = int(lm_mixing._VALUE[b][g])
+                yield [(k, word if k == lm_mixing.WORD else (b"\0" * 8 + t)[8 + i - k:8 + i], before) for k in lm_mixing.CONTEXTS], value
+                before += (value,)
+    counts = collections.defaultdict(lambda: [0] * 16)
+    for t in learned:
+        for slots, value in steps(t):
+            for s in slots:
+                counts[s][value] += 1
+
+    def odds(slot, value):
+        c, out = counts.get(slot, [0] * 16), []
+        for bit in range(4):
+            size = 16 >> bit
+            at = value // size * size
+            halves = sum(c[at:at + size // 2]), sum(c[at + size // 2:at + size])
+            one = value >> (3 - bit) & 1
+            x = math.log((halves[one] + lm_mixing.SMOOTH) / (halves[1 - one] + lm_mixing.SMOOTH)) * lm_mixing.STEP
+            out.append(max(-127, min(127, round(x))))
+        return out
+
+    result = []
+    for t in scored:
+        weights = [[lm_mixing.WEIGHT / lm_mixing.STEP] * 4 for _ in lm_mixing.CONTEXTS]
+        todo, bits, run = list(steps(t)), 0.0, 0
+        while todo:
+            width = lm_mixing.RUNS[min(run, len(lm_mixing.RUNS) - 1)]
+            rate = lm_mixing.RATE / lm_mixing.STEP ** 2 * (lm_mixing.RUNS[0] / width) ** lm_mixing.SLOWER
+            moves = [[0.0] * 4 for _ in lm_mixing.CONTEXTS]
+            for slots, value in todo[:width]:
+                inputs = [odds(s, value) for s in slots]
+                for bit in range(4):
+                    z = sum(w[bit] * x[bit] for w, x in zip(weights, inputs))
+                    p = 1 / (1 + math.exp(-z))
+                    bits -= math.log2(p)
+                    for m, x in zip(moves, inputs):
+                        m[bit] += (1 - p) * x[bit]
+            weights = [[a + rate * b for a, b in zip(w, m)] for w, m in zip(weights, moves)]
+            todo, run = todo[width:], run + 1
+        result.append(-bits * math.log10(2))
+    return result
+
+
+def test_lm_scores_equal_the_plain_model(spark, documents):
+    """Real texts, odd bytes and repeats, learned from in several blocks."""
+    rows = [(i, (t or "")[:600]) for i, t in sorted(documents.items())][:40] + [(900, "Zażółć\x00 gęślą\tJAŹŃ q"), (901, ""), (902, None), (907, "the the the " * 60)]
+    texts = [lm_mixing.normalised(t) for _, t in rows]
+    learned = [t for (i, _), t in zip(rows, texts) if i % 3]
+    want = dict(zip([i for i, _ in rows], plain_scores(learned, texts)))
+    got = lm_mixing.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 3 != 0).collect()
+    for r in got:
+        assert r["score"] == pytest.approx(want[r["id"]], rel=1e-4), r["id"]
+
+
 def test_language_query(spark):
     got = Q.QUERIES["op8_language_id"](spark, SF)
     assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
