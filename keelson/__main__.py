@@ -29,7 +29,7 @@ def main(argv=None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--checkpoint", required=True)
     b.add_argument("--trigger-seconds", type=int, default=10)
-    b.add_argument("--dedupe", choices=["change", "first", "none"], default="change")
+    b.add_argument("--dedupe", choices=["change", "first_arrival", "none"], default="change")
     s = sub.add_parser("silver")
     s.add_argument("--table", required=True)
     s.add_argument("--bronze", required=True)

@@ -55,9 +55,10 @@ def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes"
     * ``"change"`` (default): drop repeated deliveries of one change,
       ``dropDuplicatesWithinWatermark(key + change id)``; state is evicted
       once the watermark passes, and every version of a key is kept.
-    * ``"first"``: keep only the first event ever seen per key,
-      ``dropDuplicates(key)``; its state is never evicted and later versions
-      of a key are dropped.
+    * ``"first_arrival"``: the captured jobs' form, ``dropDuplicates(key)``:
+      keeps the event of a key that arrives first, which depends on the
+      order of rows; its state is never evicted and later versions of a key
+      are dropped.  ``routing.first_per_key`` decides by the log position.
     * ``None``: no dedupe.
     """
     parsed = cdc.parse_changes(raw, spec) if keep_deletes else cdc.parse_envelope(raw, spec)
@@ -66,7 +67,7 @@ def bronze_stream(raw: DataFrame, spec: TableSpec, watermark: str = "10 minutes"
     b = parsed.withWatermark("kafka_timestamp", watermark)
     if dedupe == "change":
         b = b.dropDuplicatesWithinWatermark([*spec.key, *spec.change_id])
-    elif dedupe == "first":
+    elif dedupe == "first_arrival":
         b = b.dropDuplicates(list(spec.key))
     elif dedupe is not None:
         raise ValueError(f"unknown dedupe mode {dedupe!r}")

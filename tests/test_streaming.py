@@ -52,7 +52,7 @@ def test_restart_is_exactly_once(spark):
 def test_first_mode_keeps_one_row_per_key(spark):
     landing, out, ck = scratch_path(spark, "l"), scratch_path(spark, "o"), scratch_path(spark, "c")
     fx.cdc_raw(spark, SF_SMALL).write.parquet(f"{landing}/a")
-    _run(spark, landing, out, ck, dedupe="first")
+    _run(spark, landing, out, ck, dedupe="first_arrival")
     got = spark.read.parquet(out)
     assert got.count() == got.select("entity_id").distinct().count()
 
@@ -90,9 +90,9 @@ def test_first_mode_state_grows_with_keys(spark):
     early, late = _split(spark)
     landing, out, ck = scratch_path(spark, "l"), scratch_path(spark, "o"), scratch_path(spark, "c")
     early.write.parquet(f"{landing}/a")
-    _run(spark, landing, out, ck, dedupe="first")
+    _run(spark, landing, out, ck, dedupe="first_arrival")
     late.write.parquet(f"{landing}/b")
-    q = _run(spark, landing, out, ck, dedupe="first")
+    q = _run(spark, landing, out, ck, dedupe="first_arrival")
     keys = spark.read.parquet(out).select("entity_id").distinct().count()
     assert _state_rows(q) == keys      # one entry per key, never evicted
 
