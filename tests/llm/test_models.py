@@ -1,5 +1,6 @@
 """Language-model scores, language ID, token packing and sharding."""
 import collections
+import functools
 import math
 import random
 import re
@@ -25,6 +26,11 @@ def words(t):
     return re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()) + [None]
 
 
+def coded(t):
+    """The bytes that the model codes: each word and a space, then the end."""
+    return b"".join(w + b" " for w in words(t)[:-1]) + lm_mixing.END
+
+
 def check_base(rows, got):
     counts = collections.Counter(w for i, t in rows if crc("" if i is None else i) % 7 != 2 for w in words(t))
     n, v = sum(counts.values()), len(counts)
@@ -42,6 +48,13 @@ def test_lm_query(spark, documents):
     assert 0.5 < bits < 3.5  # far below the eight bits of a byte
 
 
+def test_lm_beats_its_base_on_held_out_text(spark):
+    """By a twentieth of a bit a byte and more, with ten times the text to learn from."""
+    got = lm_mixing.score_documents(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), ~lm_mixing.held_out()).where("not training")
+    score, base, n = got.agg(F.sum("score"), F.sum("base_score"), F.sum("n_bytes")).first()
+    assert (base - score) / n / math.log10(2) < -0.05
+
+
 def test_lm_edge_cases(spark, edge_docs, empty_docs):
     got = lm_mixing.score_documents(edge_docs, ~lm_mixing.held_out())
     rows = got.select(F.col("id").alias("doc_id"), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()
@@ -50,7 +63,7 @@ def test_lm_edge_cases(spark, edge_docs, empty_docs):
     assert lm_mixing.score_documents(empty_docs, F.lit(True)).count() == 0
     # nothing learned: every bit of every group costs one
     blind = collections.Counter((r["id"], round(-r["score"] / math.log10(2))) for r in lm_mixing.score_documents(edge_docs, F.lit(False)).collect())
-    groups = lambda t: int(lm_mixing._COUNT[np.frombuffer(lm_mixing.normalised(t), np.uint8)].sum())
+    groups = lambda t: sum(int(lm_mixing._COUNT[x]) for x in coded(t))
     assert blind == collections.Counter((i, 4 * groups(t)) for i, t in KNOWN)
 
 
@@ -64,93 +77,139 @@ def test_lm_held_out_rows_teach_nothing(spark):
 
 
 def model_of(learned, scored):
-    """What a block that learns from some texts gets to score others."""
-    keys, n = lm_mixing.block_cells([*learned, *scored], [True] * len(learned) + [False] * len(scored))
-    return np.append(lm_mixing.cell_odds(keys, n), np.uint32(0)), lm_mixing.Places(keys)
+    """A block that learns from some texts and scores these and others, its
+    model and the training counts of its words."""
+    block = lm_mixing.Block([t.encode() for t in [*learned, *scored]])
+    training = np.arange(len(learned) + len(scored)) < len(learned)
+    model = lm_mixing.Model(block, lm_mixing.cell_bits(block.cells, block.cell_counts(training)), training)
+    return block, model, np.bincount(block.ids[np.repeat(training, block.sizes)], minlength=len(block.words))
 
 
 def test_lm_is_a_probability():
-    """Over all next bytes the probabilities add up to one, but for unused codes."""
-    learned = [lm_mixing.normalised(t) for t in ["the cat sat on the mat", "the dog sat", "été"] * 5]
+    """Over all next bytes the probabilities add up to one, but for codes that
+    are not used: white space inside words and long codes of frequent bytes."""
+    learned = ["the cat sat on the mat", "the dog sat", "été"] * 5
+    last = [bytes([x]) for x in range(256) if not bytes([x]).isspace()]
     for prefix in (b"", b"the", b"the c", b"zz"):
-        both = [prefix + bytes([x]) for x in range(256)]
-        model = model_of(learned, both)
-        log = lm_mixing.score_texts(both, *model) - (lm_mixing.score_texts([prefix], *model)[0] if prefix else 0)
-        # frequent bytes also have a long code, which they never use
-        assert 0.99 < sum(10 ** log) < 1 + 1e-4
-
-
-def test_lm_scores_do_not_depend_on_the_batch():
+        words_ = [prefix + x for x in last]
+        block = lm_mixing.Block([*[t.encode() for t in learned], *words_, prefix])
+        training = np.arange(len(block.sizes)) < len(learned)
+        model = lm_mixing.Model(block, lm_mixing.cell_bits(block.cells, block.cell_counts(training)), training)
+        ends, at, total = np.cumsum(block.sizes), len(prefix), 0
+        for i, w in enumerate([*words_, prefix], len(learned)):
+            cost = model.costs([block.groups(ends[i] - block.sizes[i], ends[i])[0]])[0]
+            text = (w + b" \n" if w else b"\n")
+            a = sum(int(lm_mixing._COUNT[x]) for x in text[:at])
+            total += 2 ** -cost[a:a + int(lm_mixing._COUNT[text[at]])].sum()
+        assert 0.97 < total < 1 + 1e-4
+
+
+def test_lm_scores_do_not_depend_on_the_batch(monkeypatch):
     rnd = random.Random(5)
-    texts = [lm_mixing.normalised(" ".join(rnd.choice(["the", "cat", "sat", "mat", "xyzzy"]) for _ in range(n))) for n in (0, 1, 3, 40, 900, 5)]
-    model = model_of(texts[:3], texts)
-    alone = [lm_mixing.score_texts([t], *model)[0] for t in texts]
-    assert np.allclose(lm_mixing.score_texts(texts, *model), alone, rtol=1e-5)
+    texts = [" ".join(rnd.choice(["the", "cat", "sat", "mat", "xyzzy"]) for _ in range(n)) for n in (0, 1, 3, 40, 900, 5)]
+    _, model, counts = model_of(texts[:3], texts)
+    together = model.scores(counts)
+    assert np.allclose(together[:3], together[3:6], rtol=1e-5)
+    monkeypatch.setattr(lm_mixing, "CHUNK", 1)
+    assert np.allclose(together, model.scores(counts), rtol=1e-5)
 
 
-def test_lm_word_context_hashes_the_word_so_far():
-    """The same word after different texts has the same cells."""
-    data, _ = lm_mixing.joined([b"abc xyzzy q\n", b"longer words before xyzzy q\n"])
-    byte, code = lm_mixing.groups(data)
-    cells = list(lm_mixing.context_keys(data, byte, code))[-1]
-    a, b = bytes(data).index(b"xyzzy"), bytes(data).rindex(b"xyzzy")
-    of = lambda at: cells[(byte >= at) & (byte < at + 6)].tolist()
-    assert of(a) == of(b) and len(of(a)) > 6
+def test_lm_very_long_words():
+    """Their probability is too small for a floating number; its logarithm is not."""
+    block, model, counts = model_of(["a b c"], ["x" * 70_000, "x" * 70_001 + " a"])
+    got = model.scores(counts)
+    assert np.isfinite(got).all() and got[2] < got[1] < -1000
 
 
 def plain_scores(learned, scored):
-    """The mixing model spelled out: contexts as they are, bit by bit."""
+    """The model spelled out: contexts as they are, bit by bit."""
+    m = lm_mixing
+
     def steps(t):
-        for i, b in enumerate(t):
-            before = ()
-            word = t[max(t[:i].rfind(x) for x in (b" ", b"\n", b"\0")) + 1:i]
-            for g in range(int(lm_mixing._COUNT[b])):
-                value = int(lm_mixing._VALUE[b][g])
-                yield [(k, word if k == lm_mixing.WORD else (b"\0" * 8 + t)[8 + i - k:8 + i], before) for k in lm_mixing.CONTEXTS], value
-                before += (value,)
-    counts = collections.defaultdict(lambda: [0] * 16)
+        previous = b"\n"
+        for w in [*t.lower().split(), None]:
+            body, before_word = (b"\n", previous) if w is None else (w + b" ", previous)
+            out = []
+            for j, b in enumerate(body):
+                whole = before_word + b" " if j == 0 else b" " + body[:j]
+                went = ()
+                for g in range(int(m._COUNT[b])):
+                    value = int(m._VALUE[b][g])
+                    out.append((tuple((k, whole if k == m.WORD else whole[-k:], went) for k in m.CONTEXTS), value))
+                    went += (value,)
+            yield previous, w, out
+            previous = w
+    counts, single, double = collections.defaultdict(lambda: [0] * 16), collections.Counter(), collections.Counter()
     for t in learned:
-        for slots, value in steps(t):
-            for s in slots:
-                counts[s][value] += 1
-
-    def odds(slot, value):
-        c, out = counts.get(slot, [0] * 16), []
-        for bit in range(4):
-            size = 16 >> bit
+        for previous, w, parts in steps(t):
+            single[w] += 1
+            double[previous, w] += 1
+            for slots, value in parts:
+                for s in slots:
+                    counts[s][value] += 1
+    low = lambda n: max(x for x in m._SEEN if x <= n)
+    k = len(m.CONTEXTS)
+
+    @functools.cache
+    def inputs(slots, value, bit, less):
+        seen = []
+        for s in slots:
+            c, size = counts.get(s, [0] * 16), 16 >> bit
             at = value // size * size
             halves = sum(c[at:at + size // 2]), sum(c[at + size // 2:at + size])
             one = value >> (3 - bit) & 1
-            x = math.log((halves[one] + lm_mixing.SMOOTH) / (halves[1 - one] + lm_mixing.SMOOTH)) * lm_mixing.STEP
-            out.append(max(-127, min(127, round(x))))
-        return out
+            seen.append((max(low(halves[one]) - less, 0), low(halves[1 - one])))
+        gate = sum(sum(seen[-1]) >= x for x in m.KNOWN), sum(sum(seen[m.NEAR]) >= x for x in m.KNOWN_NEAR)
+        return gate, np.array([math.log((a + m.SMOOTH) / (b + m.SMOOTH)) for a, b in seen])
+
+    samples = collections.defaultdict(list)
+    for t in learned:
+        for _, _, parts in steps(t):
+            for slots, value in parts:
+                for bit in range(4):
+                    gate, x = inputs(slots, value, bit, 1)
+                    samples[gate].append(x)
+    first = collections.defaultdict(lambda: np.full(k, m.WEIGHT))
+    for gate, rows in samples.items():
+        x, w = np.array(rows), np.full(k, m.WEIGHT)
+        for _ in range(m.STEPS):
+            miss = 1 / (1 + np.exp(np.clip(x @ w, -30, 30)))
+            w = w + np.clip(np.linalg.solve(np.eye(k) * m.RIDGE + (x * (miss * (1 - miss))[:, None]).T @ x, miss @ x - m.RIDGE * (w - m.WEIGHT)), -0.5, 0.5)
+        first[gate] = w
 
     result = []
     for t in scored:
-        weights = [[lm_mixing.WEIGHT / lm_mixing.STEP] * 4 for _ in lm_mixing.CONTEXTS]
-        todo, bits, run = list(steps(t)), 0.0, 0
+        again = np.zeros((4, 1 + len(m.AGAIN)))
+        again[:, 0] = 1
+        todo, costs, run = [p for _, _, parts in steps(t) for p in parts], [], 0
         while todo:
-            width = lm_mixing.RUNS[min(run, len(lm_mixing.RUNS) - 1)]
-            rate = lm_mixing.RATE / lm_mixing.STEP ** 2 * (lm_mixing.RUNS[0] / width) ** lm_mixing.SLOWER
-            moves = [[0.0] * 4 for _ in lm_mixing.CONTEXTS]
+            width = m.RUNS[min(run, len(m.RUNS) - 1)]
+            rate, moves = m.RATE * (m.RUNS[0] / width) ** m.SLOWER, np.zeros_like(again)
             for slots, value in todo[:width]:
-                inputs = [odds(s, value) for s in slots]
+                cost = 0.0
                 for bit in range(4):
-                    z = sum(w[bit] * x[bit] for w, x in zip(weights, inputs))
-                    p = 1 / (1 + math.exp(-z))
-                    bits -= math.log2(p)
-                    for m, x in zip(moves, inputs):
-                        m[bit] += (1 - p) * x[bit]
-            weights = [[a + rate * b for a, b in zip(w, m)] for w, m in zip(weights, moves)]
-            todo, run = todo[width:], run + 1
-        result.append(-bits * math.log10(2))
+                    gate, x = inputs(slots, value, bit, 0)
+                    y = np.clip([first[gate] @ x, *[x[i] for i in m.AGAIN]], -30, 30)
+                    p = 1 / (1 + math.exp(-again[bit] @ y))
+                    cost -= math.log2(p)
+                    moves[bit] += (1 - p) * y
+                costs.append(cost)
+            again, todo, run = again + rate * moves, todo[width:], run + 1
+        total, at = 0.0, 0
+        for previous, w, parts in steps(t):
+            mix = 2 ** -sum(costs[at:at + len(parts)])
+            at += len(parts)
+            n = single[None if previous == b"\n" else previous]
+            prior = m.PRIOR * math.sqrt(n + 1)
+            total += math.log10((low(double[previous, w]) + prior * mix) / (n + prior))
+        result.append(total)
     return result
 
 
 def test_lm_scores_equal_the_plain_model(spark, documents):
-    """Real texts, odd bytes and repeats, learned from in several blocks."""
+    """Real texts, odd bytes and repeats."""
     rows = [(i, (t or "")[:600]) for i, t in sorted(documents.items())][:40] + [(900, "Zażółć\x00 gęślą\tJAŹŃ q"), (901, ""), (902, None), (907, "the the the " * 60)]
-    texts = [lm_mixing.normalised(t) for _, t in rows]
+    texts = [(t or "").encode() for _, t in rows]
     learned = [t for (i, _), t in zip(rows, texts) if i % 3]
     want = dict(zip([i for i, _ in rows], plain_scores(learned, texts)))
     got = lm_mixing.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 3 != 0).collect()

@@ -54,6 +54,6 @@ def test_stages_on_edge_cases(spark, edge_docs, empty_docs):
 
 
 def test_registered():
-    assert {n for n in entry.queries() if n.startswith("op")} == set(Q.QUERIES) and len(Q.QUERIES) == 10
+    assert {n for n in entry.queries() if n.startswith("op")} == set(Q.QUERIES) and len(Q.QUERIES) == 13
     assert "pipeline" in entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "decontamination", "packing"]
