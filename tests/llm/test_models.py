@@ -380,3 +380,20 @@ def test_oracles_of_the_sql_queries(spark):
     cols = ["page_id", "host", "path", "rule", "verdict"]
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({Q.SQL['op5_url_filter']})").fetchall()
     assert bag(Q.QUERIES["op5_url_filter"](spark, SF), *cols) == collections.Counter(want)
+
+
+def test_sharding_balances_tokens_and_rows_too(spark):
+    """Many very short documents beside few very long ones: bytes come first,
+    tokens and rows stay near."""
+    rnd = random.Random(8)
+    rows = [(i, f"w{i} " * rnd.randint(1, 4)) for i in range(8000)] + [(10_000 + i, f"long{i} words " * rnd.randint(1500, 3000)) for i in range(160)]
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), columns=["doc_id"]).collect()
+    check_shards(rows, got)
+    text = dict(rows)
+    size, tokens, count = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in got:
+        size[r["shard"]] += r["size"]
+        tokens[r["shard"]] += len(text[r["doc_id"]].split())
+        count[r["shard"]] += 1
+    spread = [max(c.values()) / min(c.values()) for c in (size, tokens, count)]
+    assert len(size) == 16 and spread[0] < 1.02 and spread[1] < 1.1 and spread[2] < 1.25, spread
