@@ -11,8 +11,10 @@ each word of a block of documents, not for each occurrence.
 
 The predictions, as log odds, are mixed twice.  First by gated weights: the
 gate tells how well the longest contexts are known, and each gate's weights
-are fitted by Newton steps to the block's training occurrences, each taken
-out of the counts that predict it.  Then the mix and two of the contexts
+are fitted by Newton steps to all training occurrences, each taken out of the
+counts that predict it: the last step, which gives one set of weights for the
+corpus, adds up what all blocks found, those before are each block's own.
+Then the mix and two of the contexts
 are mixed again under weights that start at the first mix alone and are
 refined, text by text, after each short run along the gradient of the
 coding cost.
@@ -70,8 +72,6 @@ BLOCK_BYTES = 8 << 20
 #: Bits of a context's hash: so many more than the size of the corpus has, at least, and at most.
 SPARE, LEAST_BITS, MOST_BITS = 14, 40, 60
 END = b"\n"
-#: Training occurrences of groups, spread evenly over a block's, that its first weights are fitted to at most.
-FITTED = 1 << 17
 #: Slots counted, and groups mixed, at a time.
 SLOTS = 1 << 14
 GROUPS = 1 << 17
@@ -260,60 +260,125 @@ def cell_bits(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+#: For each pair of codes (of a bit and, times 256, of its opposite): the log
+#: odds, the same with the bit taken out once, and how often both were seen.
+_PAIR = np.arange(1 << 16)
+_ODDS = np.log((_SEEN[_PAIR & 255] + SMOOTH) / (_SEEN[_PAIR >> 8] + SMOOTH))
+_LESS = np.log((np.maximum(_SEEN[_PAIR & 255] - 1, 0) + SMOOTH) / (_SEEN[_PAIR >> 8] + SMOOTH))
+#: The gate of a bit: the sum of what its longest context and its nearest but one give.
+GATES = (len(KNOWN) + 1) * (len(KNOWN_NEAR) + 1)
+
+
+def _steps(known: np.ndarray, least: tuple[int, ...]) -> np.ndarray:
+    return np.searchsorted(least, known, side="right").astype(np.uint8)
+
+
+def _gates(less: int) -> tuple[np.ndarray, np.ndarray]:
+    known = np.maximum(_SEEN[_PAIR & 255] - less, 0) + _SEEN[_PAIR >> 8]
+    return _steps(known, KNOWN) * np.uint8(len(KNOWN_NEAR) + 1), _steps(known, KNOWN_NEAR)
+
+
+_GATE, _GATE_LESS = _gates(0), _gates(1)
+#: Bits of a pair of codes, and of the times that stand beside the pairs of all contexts and the gate in 64 bits.
+PAIR_BITS = 16
+TIMES_BITS = 64 - 5 - PAIR_BITS * len(CONTEXTS)
+
+
+class Evidence:
+    """What the training occurrences of a block say about the first weights:
+    each distinct combination of a bit's counts, sorted by its gate, with how
+    often it occurs.  None is left out."""
+
+    def __init__(self, block: Block, pairs: np.ndarray, training: np.ndarray) -> None:
+        n = block.times(training).astype(np.int64)
+        groups = np.nonzero(n)[0]
+        few = (1 << TIMES_BITS) - 1
+        packed, more, times = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for at in range(0, len(groups), GROUPS):
+            own = groups[at:at + GROUPS]
+            p = pairs[block.cell[:, own]]
+            key = (_GATE_LESS[0][p[-1]] + _GATE_LESS[1][p[NEAR]]).astype(np.uint64)
+            for x in p:
+                key = key << np.uint64(PAIR_BITS) | x
+            packed.append((key << np.uint64(TIMES_BITS) | (n[own] & few).astype(np.uint64)[:, None]).ravel())
+            many = n[own] > few
+            more.append(key[many].ravel())
+            times.append(np.repeat(n[own][many] & ~few, 4))
+        keys = np.concatenate(packed) if packed else np.empty(0, np.uint64)
+        del packed
+        keys.sort()
+        same = keys >> np.uint64(TIMES_BITS)
+        first = np.nonzero(np.append(True, same[1:] != same[:-1])[:len(same)])[0]
+        once = np.add.reduceat((keys & np.uint64(few)).astype(np.int64), first) if len(keys) else np.empty(0, np.int64)
+        keys, self.times = added(np.concatenate([same[first], *more]), np.concatenate([once, *times]))
+        self.pairs = [(keys >> np.uint64(PAIR_BITS * i)).astype(np.uint16) for i in range(len(CONTEXTS))][::-1]
+        self.cuts = np.searchsorted(keys >> np.uint64(PAIR_BITS * len(CONTEXTS)), np.arange(GATES + 1)).tolist()
+
+    def slopes(self, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the log probability of all occurrences, at each gate's weights: the slope, and the curvature (its sign turned)."""
+        k = len(CONTEXTS)
+        slope, curve = np.zeros((GATES, k)), np.zeros((GATES, k, k))
+        for g, (a, b) in enumerate(zip(self.cuts, self.cuts[1:], strict=False)):
+            for at in range(a, b, GROUPS):
+                end = min(at + GROUPS, b)
+                x = np.stack([_LESS[p[at:end]] for p in self.pairs])
+                miss = 1 / (1 + np.exp(np.clip(weights[g] @ x, -30, 30)))
+                missed = self.times[at:end] * miss
+                slope[g] += x @ missed
+                curve[g] += (x * (missed * (1 - miss))) @ x.T
+        return slope, curve
+
+
+def moved(weights: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> np.ndarray:
+    """The weights after a Newton step."""
+    k = len(CONTEXTS)
+    step = np.linalg.solve(curve + np.eye(k) * RIDGE, (slope - RIDGE * (weights - WEIGHT))[..., None])[..., 0]
+    return weights + np.clip(step, -0.5, 0.5)
+
+
+def fitted(evidence: Evidence) -> np.ndarray:
+    """All Newton steps but the last on a block's training occurrences, and
+    what the last needs of them: numbers that blocks add up (see weights_of)."""
+    weights = np.full((GATES, len(CONTEXTS)), WEIGHT)
+    for _ in range(STEPS - 1):
+        weights = moved(weights, *evidence.slopes(weights))
+    slope, curve = evidence.slopes(weights)
+    bent = (curve @ weights[..., None])[..., 0]
+    return np.concatenate([[1.0], weights.ravel(), slope.ravel(), bent.ravel(), curve.ravel()])
+
+
+def weights_of(sums: np.ndarray) -> np.ndarray:
+    """The last Newton step, from the sums over all blocks: from the mean of
+    their weights, by curvature, along the slope there of all occurrences
+    (each block's carried over by its curvature)."""
+    k = len(CONTEXTS)
+    blocks, (weights, slope, bent), curve = sums[0], sums[1:1 + 3 * GATES * k].reshape(3, GATES, k), sums[1 + 3 * GATES * k:].reshape(GATES, k, k)
+    mean = np.linalg.solve(curve + np.eye(k) * RIDGE * blocks, (bent + RIDGE * weights)[..., None])[..., 0]
+    return moved(mean, slope + bent - (curve @ mean[..., None])[..., 0], curve)
+
+
 class Model:
     """Log odds of all groups of a block from the counts of its cells
-    (``bits``, see cell_bits), and the first mix of them."""
+    (``bits``, see cell_bits), and the first mix of them.  ``weights`` (see
+    weights_of) come from all blocks; without them the block's training
+    occurrences are all there are."""
 
-    def __init__(self, block: Block, bits: np.ndarray, training: np.ndarray) -> None:
+    def __init__(self, block: Block, bits: np.ndarray, training: np.ndarray, weights: np.ndarray | None = None) -> None:
         self.block = block
-        self.seen = bits.view(np.uint8).reshape(-1, 4, 2)
-        self.weights = np.full((len(CONTEXTS), (len(KNOWN) + 1) * (len(KNOWN_NEAR) + 1)), WEIGHT)
-        n = block.times(training)
-        if n.sum() > FITTED:  # occurrences at even steps
-            upto = np.cumsum(n)
-            n = np.bincount(np.searchsorted(upto, (np.arange(FITTED) + 0.5) * (upto[-1] / FITTED)), minlength=len(n))
-        self.fit(np.nonzero(n)[0], n)
+        self.pairs = bits.view("<u2").reshape(-1, 4)
+        self.weights = weights_of(fitted(Evidence(block, self.pairs, training))) if weights is None else weights
         total = block.cell.shape[1]
         #: What the second mix sees: for each input, group and bit.
         self.inputs = np.zeros((1 + len(AGAIN), total + 1, 4), np.float32)
         for at in range(0, total, GROUPS):
             end = min(at + GROUPS, total)
-            x, gate = self.odds(np.arange(at, end), 0)
-            self.inputs[0, at:end] = sum(x[k] * self.weights[k][gate] for k in range(len(CONTEXTS)))
-            self.inputs[1:, at:end] = x[list(AGAIN)]
+            p = self.pairs[block.cell[:, at:end]]
+            x, gate = [_ODDS[q] for q in p], _GATE[0][p[-1]] + _GATE[1][p[NEAR]]
+            self.inputs[0, at:end] = sum(x[k] * self.weights[:, k][gate] for k in range(len(CONTEXTS)))
+            for i, k in enumerate(AGAIN, 1):
+                self.inputs[i, at:end] = x[k]
         np.clip(self.inputs, -30, 30, out=self.inputs)
 
-    def odds(self, groups: np.ndarray, less: int) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of the bits that the groups have, ``less`` times of it
-        taken out, for each context, group and bit; and each bit's gate."""
-        seen = _SEEN[self.seen[self.block.cell[:, groups]]]
-        yes, no = np.maximum(seen[..., 0] - less, 0), seen[..., 1]
-        known = yes + no
-        gate = np.searchsorted(KNOWN, known[-1], side="right") * (len(KNOWN_NEAR) + 1) + np.searchsorted(KNOWN_NEAR, known[NEAR], side="right")
-        return np.log((yes + SMOOTH) / (no + SMOOTH)), gate
-
-    def fit(self, groups: np.ndarray, n: np.ndarray) -> None:
-        """Newton steps of each gate's weights on the training occurrences."""
-        k, gates = len(CONTEXTS), self.weights.shape[1]
-        for _ in range(STEPS):
-            slope, curve = -RIDGE * (self.weights - WEIGHT), np.zeros((gates, k, k)) + np.eye(k) * RIDGE
-            for at in range(0, len(groups), GROUPS):
-                own = groups[at:at + GROUPS]
-                x, gate = self.odds(own, 1)
-                x, gate, times = x.reshape(k, -1), gate.ravel(), np.repeat(n[own], 4)
-                z = sum(x[i] * self.weights[i][gate] for i in range(k))
-                miss = 1 / (1 + np.exp(np.clip(z, -30, 30)))
-                bend = times * miss * (1 - miss)
-                for i in range(k):
-                    slope[i] += np.bincount(gate, weights=times * miss * x[i], minlength=gates)
-                    bent = bend * x[i]
-                    for j in range(i + 1):
-                        curve[:, i, j] += (more := np.bincount(gate, weights=bent * x[j], minlength=gates))
-                        if i != j:
-                            curve[:, j, i] += more
-            step = np.linalg.solve(curve, slope.T[:, :, None])[:, :, 0].T
-            self.weights += np.clip(step, -0.5, 0.5)
-
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """log10 probability of each text of the block, given the training
         counts of its words."""
@@ -325,7 +390,7 @@ class Model:
         previous = np.append(0, block.ids[:-1])
         root = PRIOR * np.sqrt(counts + 1)
         with np.errstate(divide="ignore"):
-            after = np.log(_SEEN[self.seen[block.link_cell, 0, 0]])
+            after = np.log(_SEEN[self.pairs[block.link_cell, 0] & 255])
         for x, y in pieces(n_bytes[order].tolist(), CHUNK):
             own = order[x:y]
             found = [block.groups(starts[i], ends[i]) for i in own]
@@ -481,10 +546,19 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
     # a bucket gets each word and each cell once from every block at most, and answers every block
     known = sent.repartition(n, "bucket").groupBy("bucket").applyInArrow(add_counts, "block long, bucket long, counts binary, tokens long, distinct long, bits binary")
 
-    def score_block(found: pa.Table, known: pa.Table) -> pa.Table:
+    def answers_to(known: pa.Table) -> tuple[list[tuple], np.ndarray]:
+        """What the buckets answered, in their order, and the bits of all cells."""
         answers = sorted(zip(*[known.column(c).to_pylist() for c in ("bucket", "counts", "tokens", "distinct", "bits")], strict=True))
         if [a[0] for a in answers] != list(range(buckets)):
             raise ValueError("a block has not got one answer from every bucket")
+        return answers, np.concatenate([spread(a[4], np.uint64) for a in answers])
+
+    def fit_block(found: pa.Table, known: pa.Table) -> pa.Table:
+        own, training = read_block(found, width)
+        return pa.table({"sums": pa.array([fitted(Evidence(own, answers_to(known)[1].view("<u2").reshape(-1, 4), training))], pa.list_(pa.float64()))})
+
+    def score_block(found: pa.Table, known: pa.Table) -> pa.Table:
+        answers, bits = answers_to(known)
         all_tokens, distinct = sum(a[2] for a in answers), sum(a[3] for a in answers)
         own, training = read_block(found, width)
         c = np.empty(len(own.words), np.int64)
@@ -493,8 +567,7 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
         n_known = np.add.reduceat((have > 0).astype(np.int64), starts)
         base = np.add.reduceat(np.log10(have + 1.0), starts) - own.sizes * np.log10(all_tokens + distinct + 1)
         n_bytes = np.add.reduceat(own.bytes[own.ids], starts)
-        bits = np.concatenate([spread(a[4], np.uint64) for a in answers])
-        score = Model(own, bits, training).scores(c)
+        score = Model(own, bits, training, weights_of(np.array(known.column("sums")[0].as_py()))).scores(c)
         return pa.table({"id": found.column("id"), "training": found.column("training"), "n_bytes": n_bytes, "n_tokens": own.sizes,
                          "n_known": n_known, "train_tokens": pa.array([all_tokens] * len(base), pa.int64()), "base_score": base,
                          "score": score, "bits_per_byte": -score / np.log10(2) / n_bytes})
@@ -502,7 +575,9 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, training boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     known = known.repartition(n, "block")
-    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(score_block, schema)
+    sums = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(fit_block, "sums array<double>").select(F.posexplode("sums"))
+    sums = sums.groupBy("pos").agg(F.sum("col").alias("sum")).agg(F.array_sort(F.collect_list(F.struct("pos", "sum")))["sum"].alias("sums"))
+    return dealt.groupBy("block").cogroup(known.crossJoin(F.broadcast(sums)).groupBy("block")).applyInArrow(score_block, schema)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,3 +88,56 @@ def test_more_contexts_than_any_fixed_table(spark, monkeypatch):
     monkeypatch.setattr(lm_mixing, "BLOCK_BYTES", 200_000)  # each block fits its own first weights
     many = found()
     assert all(many[i] == pytest.approx(want[i], rel=0.02) for i, _ in rows)
+
+
+def plain_weights(block, bits, training):
+    """Newton steps on every training occurrence of every group, one by one."""
+    m, n = lm_mixing, block.times(training).astype(int)
+    groups = np.repeat(np.nonzero(n)[0], n[n > 0])
+    seen = m._SEEN[bits.view(np.uint8).reshape(-1, 4, 2)[block.cell[:, groups]]].reshape(len(m.CONTEXTS), -1, 2)
+    yes, no = np.maximum(seen[..., 0] - 1, 0), seen[..., 1]
+    x, known = np.log((yes + m.SMOOTH) / (no + m.SMOOTH)), yes + no
+    gate = sum(known[-1] >= v for v in m.KNOWN) * (len(m.KNOWN_NEAR) + 1) + sum(known[m.NEAR] >= v for v in m.KNOWN_NEAR)
+    out = []
+    for g in range((len(m.KNOWN) + 1) * (len(m.KNOWN_NEAR) + 1)):
+        own, w = x[:, gate == g], np.full(len(x), m.WEIGHT)
+        for _ in range(m.STEPS):
+            miss = 1 / (1 + np.exp(np.clip(w @ own, -30, 30)))
+            curve = (own * (miss * (1 - miss))) @ own.T + np.eye(len(x)) * m.RIDGE
+            w = w + np.clip(np.linalg.solve(curve, own @ miss - m.RIDGE * (w - m.WEIGHT)), -0.5, 0.5)
+        out.append(w)
+    return np.array(out)
+
+
+def test_first_weights_come_from_every_training_occurrence():
+    """Of more than 2**17 groups none is left out, however often one occurs."""
+    rnd = random.Random(8)
+    some = ["".join(rnd.choice("abcdefghéQ.") for _ in range(rnd.randint(1, 6))) for _ in range(4000)]
+    texts = [" ".join(rnd.choice(some[:3] if rnd.random() < 0.3 else some) for _ in range(200)).encode() for _ in range(150)]
+    block, training = lm_mixing.Block(texts), np.arange(150) % 7 != 2
+    assert block.times(training).sum() > 1 << 17 and block.times(training).max() > 1 << lm_mixing.TIMES_BITS
+    bits = lm_mixing.cell_bits(block.cells, block.cell_counts(training))
+    assert np.allclose(lm_mixing.Model(block, bits, training).weights, plain_weights(block, bits, training), atol=1e-9)
+
+
+def test_blocks_share_their_first_weights(spark, monkeypatch):
+    """The weights come from the training occurrences of all blocks: scores
+    hardly depend on how documents are dealt."""
+    rnd = random.Random(6)
+    some = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 7))) for _ in range(3000)]
+    rows = [(i, " ".join(rnd.choice(some) if i % 2 else some[int(rnd.random() ** 3 * 300)] for _ in range(100))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda: {r["id"]: r["score"] for r in lm_mixing.score_documents(docs, F.col("doc_id") % 5 != 0).collect()}
+    one = found()
+    monkeypatch.setattr(lm_mixing, "BLOCK_BYTES", 60_000)
+    many = found()
+    assert all(many[i] == pytest.approx(one[i], rel=0.001) for i, _ in rows)
+
+
+def test_weights_of_a_gate_that_each_block_sees_once():
+    """Added up over blocks, the last step holds the weights near their start once, not once a block."""
+    k, n = len(lm_mixing.CONTEXTS), 10_000
+    slope, curve = np.full((lm_mixing.GATES, k), 0.001), np.zeros((lm_mixing.GATES, k, k))
+    weights = np.full((lm_mixing.GATES, k), lm_mixing.WEIGHT)
+    one = np.concatenate([[1.0], weights.ravel(), slope.ravel(), np.zeros(weights.size), curve.ravel()])
+    assert np.allclose(lm_mixing.weights_of(one * n) - lm_mixing.WEIGHT, 0.5)  # the slope of all is ten: the step is as long as steps may be
