@@ -28,7 +28,9 @@ opposite.  Word counts, for the base score, go the same way.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_text, partitions_for, pieces, row_key, slices, table, texts, whole_text
+from .common import crc_text, partitions_for, pieces, row_key, table, texts, whole_text
 
 # Bytes coded by one group (the 16th value is the escape), and
 # by one more; all others take the two escapes and their two halves.
@@ -69,8 +71,11 @@ RUNS = (16, 16, 32, 64, 128, 256)
 #: Bytes scored at a time, and of text in a block of documents.
 CHUNK = 1 << 19
 BLOCK_BYTES = 8 << 20
-#: Bits of a context's hash: so many more than the size of the corpus has, at least, and at most.
-SPARE, LEAST_BITS, MOST_BITS = 14, 40, 60
+#: Bits of a context's hash: so many more than the size of the corpus has, and at least.  The last of a slot's
+#: bits tell which groups went before: the slots of a context follow each other.  A slot's bits at most.
+SPARE, LEAST_BITS = 14, 40
+WENT_BITS = 5
+MOST_BITS = 60
 END = b"\n"
 #: Slots counted, and groups mixed, at a time.
 SLOTS = 1 << 14
@@ -120,12 +125,14 @@ class Block:
     """
 
     def __init__(self, found: list[bytes], bits: int = MOST_BITS) -> None:
-        at: dict[bytes, int] = {END: 0}
+        at: defaultdict[bytes, int] = defaultdict(count().__next__)
+        at[END]
         ids, sizes = [], []
         for t in found:
-            own = [at.setdefault(w, len(at)) for w in t.lower().split()]
-            ids.append(np.array([*own, 0], np.int32))
-            sizes.append(len(own) + 1)
+            own = t.lower().split()
+            own.append(END)
+            ids.append(np.fromiter(map(at.__getitem__, own), np.int32, len(own)))
+            sizes.append(len(own))
         known = list(at)
         order = [0, *sorted(range(1, len(known)), key=known.__getitem__)]
         rank = np.empty(len(known), np.int32)
@@ -133,7 +140,7 @@ class Block:
         self.words, self.sizes = [known[i] for i in order], np.array(sizes, np.int64)
         self.ids = rank[np.concatenate([np.empty(0, np.int32), *ids])]
         size = np.fromiter(map(len, self.words), np.int64, len(at))
-        data = np.frombuffer(b"".join(x for w in self.words for x in (b" ", w, b" ")), np.uint8)
+        data = np.frombuffer(b" " + b"  ".join(self.words) + b" ", np.uint8)
         start = np.cumsum(size + 2) - size - 2
         # hashes of runs of bytes: differences of prefix sums
         power = np.cumprod(np.full(len(data), _FACTOR, np.uint64), dtype=np.uint64)
@@ -164,26 +171,35 @@ class Block:
         symbol = np.concatenate([data[later_of], (pairs & 255).astype(np.uint8)])
         #: Bytes that code each word: its own and a space; of the end, itself.
         self.bytes = np.where(np.arange(len(size)) == 0, 1, size + 1)
-        count = _COUNT[symbol]
-        of = np.repeat(np.arange(len(symbol), dtype=np.int32), count)
-        code = np.repeat(symbol.astype(np.int64) << 2, count) + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-        went, value = np.take(_BEFORE.ravel(), code) * _ODD, np.take(_VALUE.ravel(), code)
+        many = _COUNT[symbol]
+        of = np.repeat(np.arange(len(symbol), dtype=np.int32), many)
+        code = np.repeat(symbol.astype(np.int64) << 2, many) + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        low = np.take(_BEFORE.ravel(), code) << np.uint64(4) | np.take(_VALUE.ravel(), code)
+
+        def slots(h: np.ndarray) -> np.ndarray:
+            return h >> np.uint64(64 - bits + WENT_BITS) << np.uint64(WENT_BITS + 4)
 
         def keys(number: int, k: int) -> np.ndarray:
             first = np.maximum(least, ends - k) if k != WORD else least
             h = mixed((prefix[ends] - prefix[first]) * inverse[first] + np.uint64(number * int(_ODD) % (1 << 64)))
-            return mixed(h[of] + went) >> np.uint64(64 - bits) << np.uint64(4) | value
+            return slots(h)[of] | low
 
         # a word and the previous one: a slot of one cell
         whole = mixed((prefix[start + size + 2] - prefix[start]) * inverse[start])
-        link = mixed(whole[followed >> 32] * _ODD + whole[followed & 0xFFFFFFFF]) >> np.uint64(64 - bits) << np.uint64(4)
+        link = slots(mixed(whole[followed >> 32] * _ODD + whole[followed & 0xFFFFFFFF]))
         every = np.concatenate([*[keys(number, k) for number, k in enumerate(CONTEXTS, 1)], link])
-        self.cells, at_cell = np.unique(every, return_inverse=True)
+        del power, inverse, prefix, alike, order, new, code, low, link, whole, later, depth, before, followed, pairs, previous, ends, least, word_of
+        order = np.argsort(every)
+        every = every[order]
+        new = np.append(True, every[1:] != every[:-1])[:len(every)]
+        self.cells, at_cell = every[new], np.empty(len(every), np.int32)
+        del every
+        at_cell[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
         rows = len(CONTEXTS) * len(of)
         #: The cell (an index into ``cells``) of each context and group, and of each word after a previous one.
-        self.cell, self.link_cell = at_cell[:rows].reshape(len(CONTEXTS), len(of)).astype(np.int32), at_cell[rows:]
+        self.cell, self.link_cell = at_cell[:rows].reshape(len(CONTEXTS), len(of)), at_cell[rows:]
         self.of, self.word_of, self.n = of, word, n
-        self.begin = np.append(0, np.cumsum(count))  # the groups of each symbol
+        self.begin = np.append(0, np.cumsum(many))  # the groups of each symbol
         self.at = np.append(0, np.cumsum(n))  # the later bytes of each word
         self.later = len(later_of)
 
@@ -225,7 +241,7 @@ def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_bits(size: int) -> int:
-    return min(max(size.bit_length() + SPARE, LEAST_BITS), MOST_BITS)
+    return min(max(size.bit_length() + SPARE, LEAST_BITS) + WENT_BITS, MOST_BITS)
 
 
 def cell_cuts(cells: np.ndarray, buckets: int, bits: int) -> list[int]:
@@ -438,10 +454,32 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2).astype("<u8")
 
 
+def pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, id, training, text) to a row for each block of a batch: lists
+    of ids, of ``training`` and of the texts' sizes, and the texts,
+    compressed together."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = np.asarray(batch.column(0))
+        order = np.argsort(block, kind="stable")
+        first = np.nonzero(np.append(True, np.diff(block[order])))[0]
+        found, at = batch.take(pa.array(order)), pa.array(np.append(first, len(order)), pa.int32())
+        own = texts(found, 3)
+        joined = [zstandard.ZstdCompressor(level=3).compress(b"".join(own[a:b])) for a, b in zip(first, [*first[1:], len(own)], strict=True)]
+        lists = [pa.ListArray.from_arrays(at, x) for x in (found.column(1), found.column(2), pa.array(list(map(len, own)), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([pa.array(block[order][first]), *lists, pa.array(joined, pa.binary())], ["block", "id", "training", "size", "text"])
+
+
+def flat(column: pa.ChunkedArray) -> pa.ChunkedArray:
+    return pa.chunked_array([c.flatten() for c in column.chunks], column.type.value_type)
+
+
 def read_block(found: pa.Table, bits: int) -> tuple[Block, np.ndarray]:
-    """A block of documents, and which of them are learned from."""
-    batches = slices(found.select(["text"]).to_batches())
-    return Block([t for b in batches for t in texts(b, 0)], bits), np.array(found.column("training").to_pylist(), bool)
+    """A block of documents (see pack_rows), and which of them are learned from."""
+    text, sizes = b"".join(map(zstandard.ZstdDecompressor().decompress, found.column("text").to_pylist())), flat(found.column("size")).to_pylist()
+    ends = np.cumsum(sizes).tolist()
+    return Block([text[e - n:e] for e, n in zip(ends, sizes, strict=True)], bits), np.array(flat(found.column("training")).to_pylist(), bool)
 
 
 def cuts(bucket: np.ndarray, buckets: int) -> np.ndarray:
@@ -460,37 +498,79 @@ def squeezed(a: np.ndarray, sorted_: bool = False) -> bytes:
 def spread(raw: bytes, dtype: type, sorted_: bool = False) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
     width = np.dtype(dtype).itemsize
-    a = np.ascontiguousarray(planes.reshape(width, -1).T).view(dtype).ravel()
+    a = np.ascontiguousarray(planes.reshape(width, len(planes) // width).T).view(dtype).ravel()
     return np.cumsum(a, dtype=dtype) if sorted_ else a
 
 
-def by_bucket(bucket: np.ndarray, *keys: np.ndarray) -> np.ndarray:
-    """Order by bucket and, in it, by the keys (least significant first): the
-    same in every read of a block."""
-    return np.lexsort((*keys, bucket))
+def squeezed_cells(cells: np.ndarray) -> bytes:
+    """Sorted cells, compressed: the steps between their contexts, which of
+    them begin a context, and what tells the cells of a context apart."""
+    own = np.uint64(WENT_BITS + 4)
+    top = cells >> own
+    new = np.append(True, top[1:] != top[:-1])[:len(top)]
+    low = squeezed((cells & np.uint64((1 << WENT_BITS + 4) - 1)).astype(np.uint16))
+    return len(cells).to_bytes(8, "little") + len(low).to_bytes(8, "little") + np.packbits(new).tobytes() + low + squeezed(top[new], True)
+
+
+def spread_cells(raw: bytes) -> np.ndarray:
+    n, size = (int.from_bytes(raw[at:at + 8], "little") for at in (0, 8))
+    at = 16 + -(-n // 8)
+    new = np.unpackbits(np.frombuffer(raw[16:at], np.uint8), count=n)
+    top = spread(raw[at + size:], np.uint64, True)
+    return (top[np.cumsum(new, dtype=np.int64) - 1] << np.uint64(WENT_BITS + 4) | spread(raw[at:at + size], np.uint16)) if n else top
+
+
+def squeezed_bits(bits: np.ndarray) -> bytes:
+    """What cell_bits gives, compressed.  Of most cells all bits were seen
+    alike and no opposite: their first code, and a mark, tell the rest.  Of
+    others the opposites follow, and what each code lacks to the one before
+    less its opposite (nothing, when counts are small)."""
+    codes = bits.view(np.uint8).reshape(-1, 4, 2)
+    mark = codes[:, :, 1].any(axis=1) | (codes[:, 1:, 0] != codes[:, :1, 0]).any(axis=1)
+    rest = codes[mark]
+    lacks = rest[:, :-1, 0] - rest[:, 1:, 0] - rest[:, 1:, 1]
+    planes = [codes[:, 0, 0], np.packbits(mark), rest[:, :, 1].T, lacks.T]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(np.ascontiguousarray(x).tobytes() for x in planes))
+
+
+def spread_bits(raw: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers that squeezed_bits has compressed."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    codes = np.zeros((n, 4, 2), np.uint8)
+    codes[:, :, 0] = planes[:n, None]
+    marks = -(-n // 8)
+    mark = np.unpackbits(planes[n:n + marks], count=n).astype(bool)
+    rest = codes[mark]
+    more = planes[n + marks:].reshape(7, len(rest))
+    rest[:, :, 1] = more[:4].T
+    for bit in range(1, 4):
+        rest[:, bit, 0] = rest[:, bit - 1, 0] - rest[:, bit, 1] - more[3 + bit]
+    codes[mark] = rest
+    return codes.reshape(n, 8).view(np.uint64).ravel()
 
 
 def word_order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order in which a block's words travel, and the cuts at its buckets."""
+    """The order in which a block's words travel, sorted in each bucket, and the cuts at its buckets."""
     bucket = (keys[:, 1] % np.uint64(buckets)).astype(np.int64)
-    order = by_bucket(bucket, keys[:, 1], keys[:, 0])
+    order = np.argsort(bucket, kind="stable")
     return order, cuts(bucket[order], buckets)
 
 
 def send_counts(buckets: int, bits: int) -> Callable:
-    """A block's rows to (bucket, block, keys, n, cells, times): its words
+    """A block's rows to (bucket, block, words, n, cells, times): its words
     and its cells, with their counts; a row for every bucket."""
     def run(found: pa.Table) -> pa.Table:
         own, training = read_block(found, bits)
         keys, n = word_keys(own.words), np.bincount(own.ids[np.repeat(training, own.sizes)], minlength=len(own.words))
         order, words_at = word_order(keys, buckets)
-        keys, n = keys[order], n[order]
+        words, n = [own.words[i] for i in order], n[order]
         cells, cells_at = own.cells, cell_cuts(own.cells, buckets, bits)
         times = own.cell_counts(training).astype(np.uint32)
-        rows = [(keys[a:b].tobytes(), squeezed(n[a:b]), squeezed(cells[c:d], True), squeezed(times[c:d]))
+        pack = zstandard.ZstdCompressor(level=3).compress
+        rows = [(pack(b" ".join(words[a:b])), squeezed(n[a:b]), squeezed_cells(cells[c:d]), squeezed(times[c:d]))
                 for a, b, c, d in zip(words_at, words_at[1:], cells_at, cells_at[1:], strict=False)]
         return pa.table({"bucket": pa.array(range(buckets), pa.int64()), "block": pa.array([found.column("block")[0].as_py()] * len(rows), pa.int64()),
-                         **{name: pa.array([r[i] for r in rows], pa.binary()) for i, name in enumerate(("keys", "n", "cells", "times"))}})
+                         **{name: pa.array([r[i] for r in rows], pa.binary()) for i, name in enumerate(("words", "n", "cells", "times"))}})
     return run
 
 
@@ -498,24 +578,24 @@ def add_counts(found: pa.Table) -> pa.Table:
     """A bucket's rows to (block, bucket, counts over all blocks, training
     tokens, distinct training words, bits): the bucket's tokens and distinct
     words in each of its rows; counts and bits in the order sent."""
-    raw = found.column("keys").to_pylist()
-    keys = np.frombuffer(b"".join(raw), np.uint64).reshape(-1, 2)
-    n = np.concatenate([spread(r, np.int64) for r in found.column("n").to_pylist()])
+    each = [spread(r, np.int64) for r in found.column("n").to_pylist()]
+    n, ends = np.concatenate(each), np.cumsum(list(map(len, each)))
+    words = (zstandard.ZstdDecompressor().decompress(r) for r in found.column("words").to_pylist())
+    keys = np.concatenate([word_keys(w.split(b" ") if len(x) else []) for w, x in zip(words, each, strict=True)])
     order = np.lexsort((keys[:, 1], keys[:, 0]))
     ordered = keys[order]
     new = np.append(True, (ordered[1:] != ordered[:-1]).any(axis=1))[:len(n)]
     total = np.add.reduceat(n[order], np.nonzero(new)[0]) if len(n) else n
     c = np.empty(len(n), np.int64)
     c[order] = total[np.cumsum(new) - 1]
-    ends = np.cumsum([len(r) // 16 for r in raw])
-    sent = [spread(r, np.uint64, True) for r in found.column("cells").to_pylist()]
+    sent = [spread_cells(r) for r in found.column("cells").to_pylist()]
     cells, times = added(np.concatenate(sent), np.concatenate([spread(r, np.uint32) for r in found.column("times").to_pylist()]).astype(np.int64))
     bits = cell_bits(cells, times)
     return pa.table({"block": found.column("block"), "bucket": found.column("bucket"),
-                     "counts": pa.array([squeezed(c[e - len(r) // 16:e]) for e, r in zip(ends, raw, strict=True)], pa.binary()),
-                     "tokens": pa.array([int(n.sum())] * len(raw), pa.int64()),
-                     "distinct": pa.array([int((total > 0).sum())] * len(raw), pa.int64()),
-                     "bits": pa.array([squeezed(bits[np.searchsorted(cells, x)]) for x in sent], pa.binary())})
+                     "counts": pa.array([squeezed(c[e - len(x):e]) for e, x in zip(ends, each, strict=True)], pa.binary()),
+                     "tokens": pa.array([int(n.sum())] * len(each), pa.int64()),
+                     "distinct": pa.array([int((total > 0).sum())] * len(each), pa.int64()),
+                     "bits": pa.array([squeezed_bits(bits[np.searchsorted(cells, x)]) for x in sent], pa.binary())})
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -540,27 +620,29 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     blocks = max(1, round(size / BLOCK_BYTES))
     n = partitions_for(spark, blocks, 1)
-    dealt = rows.select(F.pmod(F.xxhash64("id", "th"), F.lit(blocks)).alias("block"), "id", "training", "text").repartition(n, "block")
+    kind = rows.schema["id"].dataType.simpleString()
+    dealt = rows.select(F.pmod(F.xxhash64("id", "th"), F.lit(blocks)).alias("block"), "id", "training", "text")
+    dealt = dealt.mapInArrow(pack_rows, f"block long, id array<{kind}>, training array<boolean>, size array<long>, text binary").repartition(n, "block")
     buckets, width = max(12, blocks), hash_bits(size)
-    sent = dealt.groupBy("block").applyInArrow(send_counts(buckets, width), "bucket long, block long, keys binary, n binary, cells binary, times binary")
+    sent = dealt.groupBy("block").applyInArrow(send_counts(buckets, width), "bucket long, block long, words binary, n binary, cells binary, times binary")
     # a bucket gets each word and each cell once from every block at most, and answers every block
     known = sent.repartition(n, "bucket").groupBy("bucket").applyInArrow(add_counts, "block long, bucket long, counts binary, tokens long, distinct long, bits binary")
 
-    def answers_to(known: pa.Table) -> tuple[list[tuple], np.ndarray]:
-        """What the buckets answered, in their order, and the bits of all cells."""
+    def answers_to(known: pa.Table, own: Block) -> tuple[list[tuple], np.ndarray]:
+        """What the buckets answered, in their order, and the bits of the block's cells."""
         answers = sorted(zip(*[known.column(c).to_pylist() for c in ("bucket", "counts", "tokens", "distinct", "bits")], strict=True))
         if [a[0] for a in answers] != list(range(buckets)):
             raise ValueError("a block has not got one answer from every bucket")
-        return answers, np.concatenate([spread(a[4], np.uint64) for a in answers])
+        return answers, np.concatenate([spread_bits(a[4], m) for a, m in zip(answers, np.diff(cell_cuts(own.cells, buckets, width)).tolist(), strict=True)])
 
     def fit_block(found: pa.Table, known: pa.Table) -> pa.Table:
         own, training = read_block(found, width)
-        return pa.table({"sums": pa.array([fitted(Evidence(own, answers_to(known)[1].view("<u2").reshape(-1, 4), training))], pa.list_(pa.float64()))})
+        return pa.table({"sums": pa.array([fitted(Evidence(own, answers_to(known, own)[1].view("<u2").reshape(-1, 4), training))], pa.list_(pa.float64()))})
 
     def score_block(found: pa.Table, known: pa.Table) -> pa.Table:
-        answers, bits = answers_to(known)
-        all_tokens, distinct = sum(a[2] for a in answers), sum(a[3] for a in answers)
         own, training = read_block(found, width)
+        answers, bits = answers_to(known, own)
+        all_tokens, distinct = sum(a[2] for a in answers), sum(a[3] for a in answers)
         c = np.empty(len(own.words), np.int64)
         c[word_order(word_keys(own.words), buckets)[0]] = np.concatenate([spread(a[1], np.int64) for a in answers])
         starts, have = np.cumsum(own.sizes) - own.sizes, c[own.ids]
@@ -568,11 +650,10 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
         base = np.add.reduceat(np.log10(have + 1.0), starts) - own.sizes * np.log10(all_tokens + distinct + 1)
         n_bytes = np.add.reduceat(own.bytes[own.ids], starts)
         score = Model(own, bits, training, weights_of(np.array(known.column("sums")[0].as_py()))).scores(c)
-        return pa.table({"id": found.column("id"), "training": found.column("training"), "n_bytes": n_bytes, "n_tokens": own.sizes,
+        return pa.table({"id": flat(found.column("id")), "training": flat(found.column("training")), "n_bytes": n_bytes, "n_tokens": own.sizes,
                          "n_known": n_known, "train_tokens": pa.array([all_tokens] * len(base), pa.int64()), "base_score": base,
                          "score": score, "bits_per_byte": -score / np.log10(2) / n_bytes})
 
-    kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, training boolean, n_bytes long, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     known = known.repartition(n, "block")
     sums = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(fit_block, "sums array<double>").select(F.posexplode("sums"))

@@ -3,7 +3,9 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from keelson.llm import lm_mixing
@@ -141,3 +143,34 @@ def test_weights_of_a_gate_that_each_block_sees_once():
     weights = np.full((lm_mixing.GATES, k), lm_mixing.WEIGHT)
     one = np.concatenate([[1.0], weights.ravel(), slope.ravel(), np.zeros(weights.size), curve.ravel()])
     assert np.allclose(lm_mixing.weights_of(one * n) - lm_mixing.WEIGHT, 0.5)  # the slope of all is ten: the step is as long as steps may be
+
+
+def test_what_blocks_and_buckets_send_is_small_and_whole(documents):
+    """Cells, their bits, words and texts travel packed; none is lost."""
+    m = lm_mixing
+    texts = [(t or "").encode() for t in documents.values()]
+    block = m.Block(texts, m.hash_bits(sum(map(len, texts))))
+    times = block.cell_counts(np.arange(len(texts)) % 7 != 2)
+    bits = m.cell_bits(block.cells, times)
+    assert (m.spread_cells(m.squeezed_cells(block.cells)) == block.cells).all()
+    assert (m.spread_bits(m.squeezed_bits(bits), len(bits)) == bits).all()
+    assert len(m.squeezed_cells(block.cells)) < 0.9 * len(m.squeezed(block.cells, True))
+    assert len(m.squeezed_bits(bits)) < 0.7 * len(m.squeezed(bits))
+    any_bits = np.frombuffer(random.Random(7).randbytes(8 * 1001), np.uint64)
+    assert (m.spread_bits(m.squeezed_bits(any_bits), 1001) == any_bits).all()
+    nothing = np.empty(0, np.uint64)
+    assert len(m.spread_cells(m.squeezed_cells(nothing))) == len(m.spread_bits(m.squeezed_bits(nothing), 0)) == 0
+    rows = pa.RecordBatch.from_pydict({"block": pa.array([i % 3 for i in range(len(texts))], pa.int64()), "id": [None if i % 5 == 0 else f"d{i}" for i in range(len(texts))],
+                                       "training": [i % 7 != 2 for i in range(len(texts))], "text": [t.decode() for t in texts]})
+    packed = pa.Table.from_batches(m.pack_rows(iter([rows, rows.slice(0, 0)])))
+    assert packed.column("block").to_pylist() == [0, 1, 2] and sum(map(len, packed.column("text").to_pylist())) < 0.7 * sum(map(len, texts))
+    for b in range(3):
+        own, want = packed.slice(b, 1), rows.take(pa.array(range(b, len(texts), 3)))
+        assert m.flat(own.column("id")).to_pylist() == want.column("id").to_pylist()
+        read, training = m.read_block(own, m.MOST_BITS)
+        assert training.tolist() == want.column("training").to_pylist()
+        assert (read.cells == m.Block(texts[b::3]).cells).all() and (read.ids == m.Block(texts[b::3]).ids).all()
+        sent = m.send_counts(4, m.MOST_BITS)(own)
+        words = [w for r in sent.column("words").to_pylist() for w in zstandard.ZstdDecompressor().decompress(r).split(b" ")]
+        assert sorted(words) == sorted(read.words)
+        assert sum(map(len, sent.column("words").to_pylist())) < 0.6 * 16 * len(words)
