@@ -28,12 +28,12 @@ opposite.  Word counts, for the base score, go the same way.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import count
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +80,8 @@ END = b"\n"
 #: Slots counted, and groups mixed, at a time.
 SLOTS = 1 << 14
 GROUPS = 1 << 17
+#: Texts whose inputs are read at a time.
+TEXTS = 64
 
 
 def _codes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -114,6 +116,77 @@ def mixed(h: np.ndarray) -> np.ndarray:
 _LETTER = mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
 
 
+#: What tells apart the groups of a slot's context: the groups before, and the value.
+_LOW = (_BEFORE << np.uint64(4) | _VALUE).ravel()
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+
+
+def ordered(keys: np.ndarray) -> np.ndarray:
+    """The order that sorts 64-bit keys, equal ones as they come: numbers of
+    the upper bits and the place are sorted, which is faster than places are."""
+    n = len(keys)
+    place = max(n - 1, 0).bit_length()
+    low = max(int(keys.max()).bit_length() + place - 64, 0) if n else 0
+    packed = keys >> np.uint64(low) << np.uint64(place)
+    packed |= np.arange(n, dtype=np.uint64)
+    packed.sort()
+    packed &= np.uint64((1 << place) - 1)
+    order = packed.view(np.int64)
+    if low:
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            order = order[np.argsort(found, kind="stable")]
+    return order
+
+
+def distinct(keys: np.ndarray, first: bool = False) -> tuple[np.ndarray, ...]:
+    """Distinct keys, sorted; where each is first, if asked for; and for all keys which one they are."""
+    order = ordered(keys)
+    found, which = keys[order], np.empty(len(keys), np.int32)
+    new = np.append(True, found[1:] != found[:-1])[:len(found)]
+    which[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return (found[new], order[new], which) if first else (found[new], which)
+
+
+def within(many: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of some numbers."""
+    return np.arange(many.sum(), dtype=np.int32) - np.repeat((np.cumsum(many) - many).astype(np.int32), many)
+
+
+def last_bytes(data: np.ndarray, least: np.ndarray, ends: np.ndarray, symbol: np.ndarray, k: int) -> np.ndarray:
+    """Numbers that are equal when the last ``k`` bytes from ``least`` to ``ends`` are, and the symbol (``k`` is six at most)."""
+    size = np.minimum(ends - least, k)
+    out = (size << 8 | symbol).astype(np.uint64)
+    for i in range(1, k + 1):
+        out <<= np.uint64(8)
+        out |= np.where(i <= size, data[ends - np.minimum(i, size)], np.uint8(0))
+    return out
+
+
+def tokens(found: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct tokens of some texts, the end first and the words sorted; the
+    tokens of all texts in a row, each text closed by an end; and how many each text has."""
+    data = np.frombuffer(b"".join([t + END for t in found]).lower(), np.uint8)
+    letter = ~_SPACE[data]
+    start = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1 if len(data) else np.empty(0, np.int64)
+    if len(data) and letter[0]:
+        start = np.append(0, start)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1)
+    sizes = np.diff(np.searchsorted(start, ends), prepend=0) + 1
+    offsets = np.append(np.cumsum(letter)[start] - 1, np.count_nonzero(letter))
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data[letter])]).dictionary_encode()
+    order = pc.array_sort_indices(words.dictionary)
+    rank = np.empty(len(order), np.int32)
+    rank[np.asarray(order)] = np.arange(1, len(order) + 1)
+    ids = np.zeros(int(sizes.sum()), np.int32)
+    inner = np.ones(len(ids), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    ids[inner] = rank[np.asarray(words.indices)]
+    known = words.dictionary.take(order)
+    cut, joined = np.frombuffer(known.buffers()[1], np.int64)[:len(known) + 1].tolist(), known.buffers()[2].to_pybytes()
+    return [END, *[joined[a:b] for a, b in zip(cut, cut[1:], strict=False)]], ids, sizes
+
+
 class Block:
     """The words of a block's texts and all groups that code them.
 
@@ -125,30 +198,18 @@ class Block:
     """
 
     def __init__(self, found: list[bytes], bits: int = MOST_BITS) -> None:
-        at: defaultdict[bytes, int] = defaultdict(count().__next__)
-        at[END]
-        ids, sizes = [], []
-        for t in found:
-            own = t.lower().split()
-            own.append(END)
-            ids.append(np.fromiter(map(at.__getitem__, own), np.int32, len(own)))
-            sizes.append(len(own))
-        known = list(at)
-        order = [0, *sorted(range(1, len(known)), key=known.__getitem__)]
-        rank = np.empty(len(known), np.int32)
-        rank[order] = np.arange(len(known))
-        self.words, self.sizes = [known[i] for i in order], np.array(sizes, np.int64)
-        self.ids = rank[np.concatenate([np.empty(0, np.int32), *ids])]
-        size = np.fromiter(map(len, self.words), np.int64, len(at))
+        self.words, self.ids, self.sizes = tokens(found)
+        size = np.fromiter(map(len, self.words), np.int64, len(self.words))
         data = np.frombuffer(b" " + b"  ".join(self.words) + b" ", np.uint8)
         start = np.cumsum(size + 2) - size - 2
         # hashes of runs of bytes: differences of prefix sums
         power = np.cumprod(np.full(len(data), _FACTOR, np.uint64), dtype=np.uint64)
         inverse = np.cumprod(np.full(len(data) + 1, pow(_FACTOR, -1, 1 << 64), np.uint64), dtype=np.uint64)
         prefix = np.append(np.uint64(0), np.cumsum(_LETTER[data] * power, dtype=np.uint64))
+        del power
         # bytes of words behind the first, the space after it included; none of the end
         n = np.where(np.arange(len(size)) == 0, 0, size)
-        word = np.repeat(np.arange(len(size)), n)
+        word = np.repeat(np.arange(len(size), dtype=np.int32), n)
         depth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         later = depth + start[word] + 2
         # words are sorted, so those that begin alike follow each other among the words of a length: one symbol for all
@@ -157,51 +218,71 @@ class Block:
         new = np.append(True, (alike[1:] != alike[:-1]) | (depth[order][1:] != depth[order][:-1]))[:len(order)]
         self.symbol = np.empty(len(order), np.int32)  # of each byte behind a word's first
         self.symbol[order] = np.cumsum(new) - 1
-        word_of, later_of = word[order][new], later[order][new]
+        later_of = later[order][new]
+        least_of = start[word[order][new]]
+        del depth, later, alike, order
         # words after words, and first bytes after words
-        before = np.append(0, self.ids[:-1]) if len(self.ids) else self.ids
-        followed, self.link = np.unique(before.astype(np.int64) << 32 | self.ids, return_inverse=True)
-        pairs = followed >> 32 << 8 | data[start[followed & 0xFFFFFFFF] + 1]
+        shift = np.uint64(len(self.words).bit_length())
+        before = np.append(np.int32(0), self.ids[:-1]) if len(self.ids) else self.ids
+        followed, self.link = distinct(before.astype(np.uint64) << shift | self.ids.astype(np.uint64))
+        follows, followed = (followed >> shift).astype(np.int64), (followed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+        pairs = follows << 8 | data[start[followed] + 1]
         new = np.append(True, pairs[1:] != pairs[:-1])[:len(pairs)]
-        self.pair = (np.cumsum(new) - 1)[self.link]
+        self.pair = (np.cumsum(new, dtype=np.int32) - np.int32(1))[self.link]
         pairs = pairs[new]
         previous = pairs >> 8
         ends = np.concatenate([later_of, (start + size + 2)[previous]])
-        least = np.concatenate([start[word_of], start[previous] + 1])
+        least = np.concatenate([least_of, start[previous] + 1])
         symbol = np.concatenate([data[later_of], (pairs & 255).astype(np.uint8)])
+        self.later = len(later_of)
+        del before, new, pairs, previous, later_of, least_of
         #: Bytes that code each word: its own and a space; of the end, itself.
         self.bytes = np.where(np.arange(len(size)) == 0, 1, size + 1)
-        many = _COUNT[symbol]
-        of = np.repeat(np.arange(len(symbol), dtype=np.int32), many)
-        code = np.repeat(symbol.astype(np.int64) << 2, many) + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-        low = np.take(_BEFORE.ravel(), code) << np.uint64(4) | np.take(_VALUE.ravel(), code)
 
         def slots(h: np.ndarray) -> np.ndarray:
             return h >> np.uint64(64 - bits + WENT_BITS) << np.uint64(WENT_BITS + 4)
 
-        def keys(number: int, k: int) -> np.ndarray:
-            first = np.maximum(least, ends - k) if k != WORD else least
-            h = mixed((prefix[ends] - prefix[first]) * inverse[first] + np.uint64(number * int(_ODD) % (1 << 64)))
-            return slots(h)[of] | low
-
+        def keys(k: int, of: np.ndarray | slice) -> np.ndarray:
+            """The cells of some symbols' groups in the context ``k``."""
+            end, first = ends[of], least[of]
+            if k != WORD:
+                first = np.maximum(first, end - k)
+            h = mixed((prefix[end] - prefix[first]) * inverse[first] + np.uint64((CONTEXTS.index(k) + 1) * int(_ODD) % (1 << 64)))
+            many = _COUNT[symbol[of]]
+            code = np.repeat(symbol[of].astype(np.int32) << 2, many) + within(many)
+            return np.repeat(slots(h), many) | np.take(_LOW, code)
+
+        # bytes after the same last bytes are one symbol to a short context; the shorter follows from the longer
+        alike, near = {}, np.arange(len(symbol))
+        number = np.arange(len(symbol), dtype=np.int32)
+        for k in sorted(set(CONTEXTS) - {WORD}, reverse=True):
+            _, found_at, own = distinct(last_bytes(data, least[near], ends[near], symbol[near], k), True)
+            near, number = near[found_at], own[number]
+            alike[k] = near, number
         # a word and the previous one: a slot of one cell
         whole = mixed((prefix[start + size + 2] - prefix[start]) * inverse[start])
-        link = slots(mixed(whole[followed >> 32] * _ODD + whole[followed & 0xFFFFFFFF]))
-        every = np.concatenate([*[keys(number, k) for number, k in enumerate(CONTEXTS, 1)], link])
-        del power, inverse, prefix, alike, order, new, code, low, link, whole, later, depth, before, followed, pairs, previous, ends, least, word_of
-        order = np.argsort(every)
-        every = every[order]
-        new = np.append(True, every[1:] != every[:-1])[:len(every)]
-        self.cells, at_cell = every[new], np.empty(len(every), np.int32)
+        link = slots(mixed(whole[follows] * _ODD + whole[followed]))
+        del follows, followed, whole, near, number
+        every = [*[keys(k, alike[k][0] if k in alike else slice(None)) for k in CONTEXTS], link]
+        del inverse, prefix, ends, least, link, data
+        at = np.cumsum([0, *map(len, every)])
+        every = np.concatenate(every)
+        self.cells, at_cell = distinct(every)
         del every
-        at_cell[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
-        rows = len(CONTEXTS) * len(of)
-        #: The cell (an index into ``cells``) of each context and group, and of each word after a previous one.
-        self.cell, self.link_cell = at_cell[:rows].reshape(len(CONTEXTS), len(of)), at_cell[rows:]
-        self.of, self.word_of, self.n = of, word, n
+        many = _COUNT[symbol]
         self.begin = np.append(0, np.cumsum(many))  # the groups of each symbol
+        self.of = np.repeat(np.arange(len(symbol), dtype=np.int32), many)
+        #: The cell (an index into ``cells``) of each context and group, and of each word after a previous one.
+        self.cell, self.link_cell = np.empty((len(CONTEXTS), len(self.of)), np.int32), at_cell[at[-2]:].copy()
+        for i, k in enumerate(CONTEXTS):
+            if k in alike:
+                of, number = alike[k]
+                first = np.cumsum(_COUNT[symbol[of]]) - _COUNT[symbol[of]] + at[i]
+                np.take(at_cell, np.repeat(first[number] - self.begin[:-1], many) + np.arange(len(self.of)), out=self.cell[i], mode="clip")
+            else:
+                self.cell[i] = at_cell[at[i]:at[i + 1]]
+        self.word_of, self.n = word, n
         self.at = np.append(0, np.cumsum(n))  # the later bytes of each word
-        self.later = len(later_of)
 
     def times(self, training: np.ndarray) -> np.ndarray:
         """How often each group occurs in the training texts."""
@@ -212,16 +293,26 @@ class Block:
 
     def groups(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         """The groups that code tokens ``a`` to ``b``, in their order, and how many each token has."""
-        ids = self.ids[a:b]
-        n = self.n[ids] + 1
-        first = np.cumsum(n) - n
-        place = np.repeat(self.at[ids] - first - 1, n) + np.arange(n.sum())
-        place[first] = 0
-        symbols = self.symbol[place] if len(self.symbol) else place.astype(np.int32)
-        symbols[first] = self.pair[a:b] + self.later
-        begin, many = self.begin[symbols], self.begin[symbols + 1] - self.begin[symbols]
+        return self.groups_of(self.ids[a:b], self.pair[a:b])
+
+    def groups_of(self, ids: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any tokens, given with their part of ``pair``."""
+        spelled, at = self.spelled
+        first = pair + self.later
+        # of each token, a run of groups for its first byte and one for all others
+        begin = np.stack([self.begin[first] + at[-1], at[ids]], axis=1).ravel()
+        many = np.stack([self.begin[first + 1] - self.begin[first], at[ids + 1] - at[ids]], axis=1).ravel()
         total = np.cumsum(many)
-        return (np.repeat(begin - total + many, many) + np.arange(total[-1])).astype(np.int32), np.add.reduceat(many, first)
+        rows = spelled[np.repeat(begin - total + many, many) + np.arange(total[-1])]
+        return rows, many[::2] + many[1::2]
+
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """The groups of all words' later bytes, then all groups once; and where each word's begin."""
+        begin, many = self.begin[self.symbol], np.diff(self.begin)[self.symbol]
+        total = np.append(0, np.cumsum(many))
+        rows = np.repeat((begin - total[:-1]).astype(np.int32), many) + np.arange(total[-1], dtype=np.int32)
+        return np.concatenate([rows, np.arange(self.begin[-1], dtype=np.int32)]), total[self.at]
 
     def cell_counts(self, training: np.ndarray) -> np.ndarray:
         """How often each cell occurs in the training texts."""
@@ -234,7 +325,7 @@ class Block:
 
 def added(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of ``n``."""
-    order = np.argsort(keys)
+    order = ordered(keys)
     keys, n = keys[order], n[order]
     first = np.nonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])[0]
     return keys[first], np.add.reduceat(n, first) if len(n) else n
@@ -254,26 +345,36 @@ def cell_cuts(cells: np.ndarray, buckets: int, bits: int) -> list[int]:
 _SEEN = np.append(np.arange(128.0), np.rint(128 * 2 ** (np.arange(128) / 16)))
 
 
+def code_of(n: np.ndarray) -> np.ndarray:
+    """The codes of whole numbers."""
+    code = np.minimum(n, 127).astype(np.uint8)
+    many = np.flatnonzero(n > 127)
+    code[many] = np.searchsorted(_SEEN, n[many], side="right") - 1
+    return code
+
+
 def cell_bits(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For sorted distinct cells that hold whole slots: how often, in that
     slot after the cell's bits before, each of its four bits was seen, and
     its opposite (eight codes of _SEEN, as one 64-bit number)."""
     slots = keys >> np.uint64(4)
     new = np.append(True, slots[1:] != slots[:-1])[:len(slots)]
-    slot = np.cumsum(new) - 1
-    value, out = (keys & np.uint64(15)).astype(np.int64), np.empty((len(keys), 8), np.uint8)
-    for at in range(0, int(new.sum()), SLOTS):
+    alone = new & np.append(new[1:], True)[:len(slots)]
+    # the only cell of a slot: all bits were seen alike, and no opposite
+    bits = code_of(n).astype(np.uint64) * np.uint64(0x0001000100010001)
+    others = np.flatnonzero(~alone)
+    slot, value, n = np.cumsum(new[others], dtype=np.int64) - 1, (keys[others] & np.uint64(15)).astype(np.int64), n[others]
+    out = np.empty((len(others), 8), np.uint8)
+    for at in range(0, int(slot[-1]) + 1 if len(slot) else 0, SLOTS):
         a, b = np.searchsorted(slot, [at, at + SLOTS])
         cell, v = slot[a:b] - at, value[a:b]
-        counts = np.bincount(cell * 16 + v, weights=n[a:b], minlength=(int(slot[b - 1]) - at + 1) * 16)
-        for bit in range(4):
-            node = counts.reshape(-1, 2 << bit, 8 >> bit).sum(axis=2)
-            side = v >> (3 - bit)
-            code = np.minimum(node, 127).astype(np.uint8)
-            many = node > 127
-            code[many] = np.searchsorted(_SEEN, node[many], side="right") - 1
-            out[a:b, 2 * bit], out[a:b, 2 * bit + 1] = code[cell, side], code[cell, side ^ 1]
-    return out.view(np.uint64).ravel()
+        node = np.bincount(cell * 16 + v, weights=n[a:b], minlength=(int(slot[b - 1]) - at + 1) * 16)
+        for bit in range(3, -1, -1):
+            side = (cell << bit + 1) + (v >> 3 - bit)
+            out[a:b, 2 * bit], out[a:b, 2 * bit + 1] = code_of(node[side]), code_of(node[side ^ 1])
+            node = node[::2] + node[1::2]
+    bits[others] = out.view("<u8").ravel()
+    return bits
 
 
 #: For each pair of codes (of a bit and, times 256, of its opposite): the log
@@ -309,24 +410,24 @@ class Evidence:
         n = block.times(training).astype(np.int64)
         groups = np.nonzero(n)[0]
         few = (1 << TIMES_BITS) - 1
-        packed, more, times = [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        packed, counted, more, times = [], [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for at in range(0, len(groups), GROUPS):
             own = groups[at:at + GROUPS]
             p = pairs[block.cell[:, own]]
             key = (_GATE_LESS[0][p[-1]] + _GATE_LESS[1][p[NEAR]]).astype(np.uint64)
             for x in p:
                 key = key << np.uint64(PAIR_BITS) | x
-            packed.append((key << np.uint64(TIMES_BITS) | (n[own] & few).astype(np.uint64)[:, None]).ravel())
+            # equal ones are added up at once, so that few are held
+            some = (key << np.uint64(TIMES_BITS) | (n[own] & few).astype(np.uint64)[:, None]).ravel()
+            some.sort()
+            same = some >> np.uint64(TIMES_BITS)
+            first = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
+            packed.append(same[first])
+            counted.append(np.add.reduceat((some & np.uint64(few)).astype(np.int64), first))
             many = n[own] > few
             more.append(key[many].ravel())
             times.append(np.repeat(n[own][many] & ~few, 4))
-        keys = np.concatenate(packed) if packed else np.empty(0, np.uint64)
-        del packed
-        keys.sort()
-        same = keys >> np.uint64(TIMES_BITS)
-        first = np.nonzero(np.append(True, same[1:] != same[:-1])[:len(same)])[0]
-        once = np.add.reduceat((keys & np.uint64(few)).astype(np.int64), first) if len(keys) else np.empty(0, np.int64)
-        keys, self.times = added(np.concatenate([same[first], *more]), np.concatenate([once, *times]))
+        keys, self.times = added(np.concatenate([*packed, *more]), np.concatenate([*counted, *times]))
         self.pairs = [(keys >> np.uint64(PAIR_BITS * i)).astype(np.uint16) for i in range(len(CONTEXTS))][::-1]
         self.cuts = np.searchsorted(keys >> np.uint64(PAIR_BITS * len(CONTEXTS)), np.arange(GATES + 1)).tolist()
 
@@ -384,15 +485,15 @@ class Model:
         self.pairs = bits.view("<u2").reshape(-1, 4)
         self.weights = weights_of(fitted(Evidence(block, self.pairs, training))) if weights is None else weights
         total = block.cell.shape[1]
-        #: What the second mix sees: for each input, group and bit.
-        self.inputs = np.zeros((1 + len(AGAIN), total + 1, 4), np.float32)
+        #: What the second mix sees: for each group, input and bit.
+        self.inputs = np.zeros((total + 1, 1 + len(AGAIN), 4), np.float32)
         for at in range(0, total, GROUPS):
             end = min(at + GROUPS, total)
             p = self.pairs[block.cell[:, at:end]]
             x, gate = [_ODDS[q] for q in p], _GATE[0][p[-1]] + _GATE[1][p[NEAR]]
-            self.inputs[0, at:end] = sum(x[k] * self.weights[:, k][gate] for k in range(len(CONTEXTS)))
+            self.inputs[at:end, 0] = sum(x[k] * self.weights[:, k][gate] for k in range(len(CONTEXTS)))
             for i, k in enumerate(AGAIN, 1):
-                self.inputs[i, at:end] = x[k]
+                self.inputs[at:end, i] = x[k]
         np.clip(self.inputs, -30, 30, out=self.inputs)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
@@ -409,43 +510,56 @@ class Model:
             after = np.log(_SEEN[self.pairs[block.link_cell, 0] & 255])
         for x, y in pieces(n_bytes[order].tolist(), CHUNK):
             own = order[x:y]
-            found = [block.groups(starts[i], ends[i]) for i in own]
-            for i, cost, (_, n) in zip(own, self.costs([g for g, _ in found]), found, strict=True):
-                a, b = starts[i], ends[i]
-                mix = np.add.reduceat(cost, np.cumsum(n) - n) * -np.log(2)
-                prior = root[previous[a:b]]
-                out[i] = (np.logaddexp(after[block.link[a:b]], np.log(prior) + mix) - np.log(counts[previous[a:b]] + prior)).sum() / np.log(10)
+            n = block.sizes[own]
+            first = np.cumsum(n) - n
+            token = np.repeat(starts[own] - first, n) + np.arange(n.sum())
+            rows, n = block.groups_of(block.ids[token], block.pair[token])
+            mix = np.add.reduceat(self.cost(rows, np.add.reduceat(n, first)), np.cumsum(n) - n) * -np.log(2)
+            prior = root[previous[token]]
+            of = np.logaddexp(after[block.link[token]], np.log(prior) + mix) - np.log(counts[previous[token]] + prior)
+            out[own] = np.add.reduceat(of, first) / np.log(10)
         return out
 
     def costs(self, found: list[np.ndarray]) -> list[np.ndarray]:
-        """Bits that each group of some texts costs, given its rows: the second mix."""
-        order = np.argsort([-len(g) for g in found], kind="stable")
-        rows = np.concatenate([found[i] for i in order])
-        sizes = np.array([len(found[i]) for i in order])
-        first = np.cumsum(sizes) - sizes
-        weights = np.zeros((len(self.inputs), 4, len(order), 1), np.float32)
+        """Bits that each group of some texts costs, given its rows."""
+        sizes = np.array(list(map(len, found)))
+        return np.split(self.cost(np.concatenate(found), sizes), np.cumsum(sizes)[:-1])
+
+    def seen(self, own: np.ndarray) -> np.ndarray:
+        """The inputs of some rows, as (input, bit, *rows)."""
+        x = np.empty((*self.inputs.shape[1:], *own.shape), np.float32)
+        for at in range(0, len(own), TEXTS):
+            x[:, :, at:at + TEXTS] = np.take(self.inputs, own[at:at + TEXTS], axis=0, mode="clip").transpose(2, 3, 0, 1)
+        return x
+
+    def cost(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The same for the rows of all texts in a row, each of so many: the second mix."""
+        order = np.argsort(-sizes, kind="stable")
+        first, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        weights = np.zeros((self.inputs.shape[1], 4, len(order), 1), np.float32)
         weights[0] = 1
         cost, at, run = np.zeros(len(rows) + 1), 0, 0
-        rows = np.append(rows, np.int32(self.inputs.shape[1] - 1))
+        rows = np.append(rows, len(self.inputs) - 1).astype(np.intp)
         while at < sizes[0]:
             width = RUNS[min(run, len(RUNS) - 1)]
             rate = np.float32(RATE * (RUNS[0] / width) ** SLOWER)
             live = int(np.searchsorted(-sizes, -at, side="left"))  # texts longer than at
             step = at + np.arange(width)
             index = np.where(step < sizes[:live, None], first[:live, None] + step, len(rows) - 1)
-            own = np.take(rows, index)
-            x = [np.ascontiguousarray(np.take(i, own, axis=0).transpose(2, 0, 1)) for i in self.inputs]
-            z = sum(a * w[:, :live] for a, w in zip(x, weights, strict=True))
+            x = self.seen(np.take(rows, index))
+            z = x[0] * weights[0, :, :live]
+            for a, w in zip(x[1:], weights[1:], strict=True):
+                z += a * w[:, :live]
             np.clip(z, -40, 40, out=z)
             odds = np.exp(np.negative(z, out=z), out=z)
             above = odds + np.float32(1)
             miss = np.divide(odds, above, out=odds)  # 1 - probability of the bit
-            cost[index] = np.log2(above, out=above).sum(axis=0)
+            two = above[:2] * above[2:]  # at most (1 + exp(40)) ** 2, which is a float32
+            cost[index] = np.log2(two, out=two).sum(axis=0)
             for a, w in zip(x, weights, strict=True):
                 w[:, :live] += rate * np.matmul(miss[:, :, None, :], a[:, :, :, None])[..., 0]
             at, run = at + width, run + 1
-        by_place = dict(zip(order.tolist(), zip(first, sizes, strict=True), strict=True))
-        return [cost[a:a + n] for a, n in (by_place[i] for i in range(len(found)))]
+        return cost[:-1]
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -520,32 +634,58 @@ def spread_cells(raw: bytes) -> np.ndarray:
     return (top[np.cumsum(new, dtype=np.int64) - 1] << np.uint64(WENT_BITS + 4) | spread(raw[at:at + size], np.uint16)) if n else top
 
 
-def squeezed_bits(bits: np.ndarray) -> bytes:
-    """What cell_bits gives, compressed.  Of most cells all bits were seen
+def first_of(cells: np.ndarray | None, n: int) -> list[np.ndarray]:
+    """For each bit of sorted cells: which are the first of their slot after
+    the bits before, so that others follow from them (without cells: all)."""
+    if cells is None:
+        return [np.ones(n, bool)] * 4
+    steps = cells[1:] ^ cells[:-1]
+    return [np.append(True, steps >> np.uint64(4 - bit) != 0)[:n] for bit in range(4)]
+
+
+def squeezed_bits(bits: np.ndarray, cells: np.ndarray | None = None) -> bytes:
+    """What cell_bits gives for sorted distinct ``cells``, compressed.  What
+    cells of a slot share travels once.  Of most cells all bits were seen
     alike and no opposite: their first code, and a mark, tell the rest.  Of
     others the opposites follow, and what each code lacks to the one before
     less its opposite (nothing, when counts are small)."""
     codes = bits.view(np.uint8).reshape(-1, 4, 2)
-    mark = codes[:, :, 1].any(axis=1) | (codes[:, 1:, 0] != codes[:, :1, 0]).any(axis=1)
-    rest = codes[mark]
-    lacks = rest[:, :-1, 0] - rest[:, 1:, 0] - rest[:, 1:, 1]
-    planes = [codes[:, 0, 0], np.packbits(mark), rest[:, :, 1].T, lacks.T]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(np.ascontiguousarray(x).tobytes() for x in planes))
-
-
-def spread_bits(raw: bytes, n: int) -> np.ndarray:
+    first, mark = first_of(cells, len(codes)), np.zeros(len(codes), bool)
+    own, opposite = (np.ascontiguousarray(codes[:, :, side].T) for side in (0, 1))
+    lacks = own[:-1] - own[1:] - opposite[1:]
+    for bit in range(4):
+        mark |= first[bit] & (opposite[bit] != 0 if not bit else opposite[bit] | lacks[bit - 1] != 0)
+    planes = [own[0][first[0]], np.packbits(mark)]
+    for bit in range(4):
+        told = np.flatnonzero(first[bit] & mark)
+        planes += [opposite[bit][told], *([lacks[bit - 1][told]] if bit else [])]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(x.tobytes() for x in planes))
+
+
+def spread_bits(raw: bytes, n: int, cells: np.ndarray | None = None) -> np.ndarray:
     """The ``n`` numbers that squeezed_bits has compressed."""
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    codes = np.zeros((n, 4, 2), np.uint8)
-    codes[:, :, 0] = planes[:n, None]
-    marks = -(-n // 8)
-    mark = np.unpackbits(planes[n:n + marks], count=n).astype(bool)
-    rest = codes[mark]
-    more = planes[n + marks:].reshape(7, len(rest))
-    rest[:, :, 1] = more[:4].T
-    for bit in range(1, 4):
-        rest[:, bit, 0] = rest[:, bit - 1, 0] - rest[:, bit, 1] - more[3 + bit]
-    codes[mark] = rest
+    first = first_of(cells, n)
+    at = np.count_nonzero(first[0])
+    start, codes = planes[:at], np.empty((n, 4, 2), np.uint8)
+    mark = np.unpackbits(planes[at:at + -(-n // 8)], count=n).astype(bool)
+    at += -(-n // 8)
+    for bit in range(4):
+        new = np.flatnonzero(first[bit])
+        told = np.flatnonzero(mark[new])
+        opposite = np.zeros(len(new), np.uint8)
+        opposite[told] = planes[at:at + len(told)]
+        own = codes[new, bit - 1, 0] - opposite if bit else start
+        if bit:
+            own[told] -= planes[at + len(told):at + 2 * len(told)]
+        at += len(told) * (2 if bit else 1)
+        codes[new, bit, 0], codes[new, bit, 1] = own, opposite
+        if len(new) < n:
+            again = np.flatnonzero(~first[bit])
+            leader = np.searchsorted(new, again) - 1
+            other = (cells[again] ^ cells[new[leader]]) >> np.uint64(3 - bit) & np.uint64(1) != 0
+            a, b = own[leader], opposite[leader]
+            codes[again, bit, 0], codes[again, bit, 1] = np.where(other, b, a), np.where(other, a, b)
     return codes.reshape(n, 8).view(np.uint64).ravel()
 
 
@@ -589,13 +729,16 @@ def add_counts(found: pa.Table) -> pa.Table:
     c = np.empty(len(n), np.int64)
     c[order] = total[np.cumsum(new) - 1]
     sent = [spread_cells(r) for r in found.column("cells").to_pylist()]
-    cells, times = added(np.concatenate(sent), np.concatenate([spread(r, np.uint32) for r in found.column("times").to_pylist()]).astype(np.int64))
+    at = np.cumsum([0, *map(len, sent)])
+    cells, which = distinct(np.concatenate(sent))
+    del sent
+    times = np.bincount(which, weights=np.concatenate([spread(r, np.uint32) for r in found.column("times").to_pylist()]), minlength=len(cells))
     bits = cell_bits(cells, times)
     return pa.table({"block": found.column("block"), "bucket": found.column("bucket"),
                      "counts": pa.array([squeezed(c[e - len(x):e]) for e, x in zip(ends, each, strict=True)], pa.binary()),
                      "tokens": pa.array([int(n.sum())] * len(each), pa.int64()),
                      "distinct": pa.array([int((total > 0).sum())] * len(each), pa.int64()),
-                     "bits": pa.array([squeezed_bits(bits[np.searchsorted(cells, x)]) for x in sent], pa.binary())})
+                     "bits": pa.array([squeezed_bits(bits[which[a:b]], cells[which[a:b]]) for a, b in zip(at, at[1:], strict=False)], pa.binary())})
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -633,7 +776,8 @@ def score_documents(docs: DataFrame, training: Column, text: str = "text", id_co
         answers = sorted(zip(*[known.column(c).to_pylist() for c in ("bucket", "counts", "tokens", "distinct", "bits")], strict=True))
         if [a[0] for a in answers] != list(range(buckets)):
             raise ValueError("a block has not got one answer from every bucket")
-        return answers, np.concatenate([spread_bits(a[4], m) for a, m in zip(answers, np.diff(cell_cuts(own.cells, buckets, width)).tolist(), strict=True)])
+        at = cell_cuts(own.cells, buckets, width)
+        return answers, np.concatenate([spread_bits(a[4], y - x, own.cells[x:y]) for a, x, y in zip(answers, at, at[1:], strict=False)])
 
     def fit_block(found: pa.Table, known: pa.Table) -> pa.Table:
         own, training = read_block(found, width)

@@ -1,6 +1,7 @@
 """The scoring model's contexts are told apart at any size of the corpus."""
 import collections
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -174,3 +175,44 @@ def test_what_blocks_and_buckets_send_is_small_and_whole(documents):
         words = [w for r in sent.column("words").to_pylist() for w in zstandard.ZstdDecompressor().decompress(r).split(b" ")]
         assert sorted(words) == sorted(read.words)
         assert sum(map(len, sent.column("words").to_pylist())) < 0.6 * 16 * len(words)
+
+
+def peak(run):
+    """The most bytes held at a time by a run, and what it returns."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_block_takes_little_memory():
+    """An executor holds two blocks beside its heap: what is made of one on the way is small."""
+    m, rnd = lm_mixing, random.Random(6)
+    some = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randint(2, 9))) for _ in range(20_000)]
+    texts = [" ".join(rnd.choices(some, k=500)).encode() for _ in range(400)]
+    m.Block(texts[:2])  # what is imported at first use does not count
+    assert peak(lambda: m.Block(texts))[1] < 26 * sum(map(len, texts))
+
+
+@pytest.mark.parametrize("numbers", [[], [5], [1 << 63, 0, 1 << 63, (1 << 63) + 1], [(1 << 64) - 1 - i % 7 for i in range(3000)]])
+def test_the_order_of_64_bit_numbers(numbers):
+    """Equal ones as they come, whatever the upper bits are."""
+    keys = np.array(numbers, np.uint64)
+    assert lm_mixing.ordered(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+    found, first, which = lm_mixing.distinct(keys, True)
+    assert found.tolist() == sorted(set(numbers)) and found[which].tolist() == numbers
+    assert first.tolist() == [numbers.index(x) for x in found.tolist()]
+
+
+def test_what_cells_of_a_slot_share_travels_once():
+    rnd = random.Random(9)
+    cells = np.array(sorted({rnd.randrange(1 << 12) << 30 | rnd.randrange(16) for _ in range(40_000)}), np.uint64)
+    bits = lm_mixing.cell_bits(cells, np.array([rnd.choice([0, 1, 1, 2, 9, 300, 10 ** 6]) for _ in cells.tolist()]))
+    raw = lm_mixing.squeezed_bits(bits, cells)
+    assert (lm_mixing.spread_bits(raw, len(cells), cells) == bits).all()
+    assert len(raw) < 0.6 * len(lm_mixing.squeezed_bits(bits))
+    some = np.array([rnd.random() < 0.3 for _ in cells.tolist()])  # a block asks for some of a slot's cells
+    assert (lm_mixing.spread_bits(lm_mixing.squeezed_bits(bits[some], cells[some]), some.sum(), cells[some]) == bits[some]).all()
+    nothing = cells[:0]
+    assert len(lm_mixing.spread_bits(lm_mixing.squeezed_bits(nothing, nothing), 0, nothing)) == 0
